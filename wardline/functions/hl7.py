@@ -1,12 +1,12 @@
 """HL7 v2 pipe messages as native Spark column expressions.
 
-A message is never handed to Python. Each segment that is read once per
-message (MSH, EVN, PID, PV1, PV2, ZPV, DG1) is cut out of the text by one
-regular expression and split into fields; the repeating OBX segments come out
+A message is never handed to Python. The text is split into segments once;
+the first segment of each id that is read (MSH, EVN, PID, PV1, PV2, ZPV,
+DG1) is picked and split into fields, and the repeating OBX segments come out
 as an array of field arrays. Field addressing then is plain array access:
 
-* field ``n`` of a segment is ``fields[n-1]`` (the id is not kept);
-  for MSH it is ``fields[n-2]`` because MSH-1 is the field separator itself;
+* field ``n`` of a segment is ``fields[n]`` (``fields[0]`` is the id);
+  for MSH it is ``fields[n-1]`` because MSH-1 is the field separator itself;
 * a whole field means its first repetition (``~``), left encoded;
 * component ``c`` is the ``c``-th ``^`` piece of the first repetition;
 * empty text reads as NULL, as does anything missing.
@@ -26,7 +26,7 @@ from wardline.functions.timeparse import hl7_time
 FIELD_SEP = r"\|"
 REPETITION_SEP = "~"
 COMPONENT_SEP = r"\^"
-SEGMENT_BREAK = r"\r\n|\r|\n"
+SEGMENT_BREAK = r"[\r\n]+"
 DEFAULT_ENCODING = "^~\\&"
 
 # Observation codes and texts, the ER diagnosis type, the
@@ -48,20 +48,22 @@ DISCHARGE_TRIGGERS = ("A03", "A13")
 SINGLE_SEGMENTS = ("EVN", "PID", "PV1", "PV2", "ZPV", "DG1")
 
 
-def _seg_regex(seg: str) -> str:
-    return r"(?:^|[\r\n])" + seg + r"\|([^\r\n]*)"
+def lines(text: Column) -> Column:
+    """The message's segments, one string each (empty lines dropped)."""
+    return F.split(text, SEGMENT_BREAK)
 
 
-def segment_fields(text: Column, seg: str) -> Column:
-    """Fields of the first ``seg`` segment (array<string>, index 0 = field 1)."""
+def segment_fields(segs: Column, seg: str) -> Column:
+    """Fields of the first ``seg`` segment, index 0 = the segment id (MSH must lead the message)."""
     if seg == "MSH":
-        return F.split(F.regexp_extract(text, r"^MSH\|([^\r\n]*)", 1), FIELD_SEP)
-    return F.split(F.regexp_extract(text, _seg_regex(seg), 1), FIELD_SEP)
+        first = F.get(segs, 0)
+        return F.split(F.when(first.startswith("MSH|"), first), FIELD_SEP)
+    return F.split(F.get(F.filter(segs, lambda s: s.startswith(seg + "|")), 0), FIELD_SEP)
 
 
-def repeating_segments(text: Column, seg: str = "OBX") -> Column:
+def repeating_segments(segs: Column, seg: str = "OBX") -> Column:
     """All ``seg`` segments in order, each as its field array."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_seg_regex(seg)), 1), lambda s: F.split(s, FIELD_SEP))
+    return F.transform(F.filter(segs, lambda s: s.startswith(seg + "|")), lambda s: F.split(s, FIELD_SEP))
 
 
 def blank_to_null(x: Column) -> Column:
@@ -70,7 +72,7 @@ def blank_to_null(x: Column) -> Column:
 
 def field(fields: Column, n: int, seg: str = "") -> Column:
     """Raw field ``n`` (all repetitions), NULL when absent."""
-    return F.get(fields, n - 2 if seg == "MSH" else n - 1)
+    return F.get(fields, n - 1 if seg == "MSH" else n)
 
 
 def whole(fields: Column, n: int, seg: str = "") -> Column:
@@ -99,25 +101,32 @@ def normalize(text: Column) -> Column:
     return F.regexp_replace(patched, "\n", "\r")
 
 
-def parse(text: Column) -> Column:
-    """The parts every extractor reads, computed once per message.
+def parse_lines(segs: Column) -> Column:
+    """P4 over split segments: the parts every extractor reads.
 
     struct<msh, evn, pid, pv1, pv2, zpv, dg1: array<string>, obx: array<array<string>>>
     """
-    parts = [segment_fields(text, "MSH").alias("msh")]
-    parts += [segment_fields(text, s).alias(s.lower()) for s in SINGLE_SEGMENTS]
-    parts.append(repeating_segments(text, "OBX").alias("obx"))
+    parts = [segment_fields(segs, "MSH").alias("msh")]
+    parts += [segment_fields(segs, s).alias(s.lower()) for s in SINGLE_SEGMENTS]
+    parts.append(repeating_segments(segs, "OBX").alias("obx"))
     return F.struct(*parts)
 
 
+def parse(text: Column) -> Column:
+    """Message text -> parsed struct (see :func:`parse_lines`)."""
+    return parse_lines(lines(text))
+
+
 def validity(text: Column) -> Column:
     """NULL when the message is accepted, else the reason it is quarantined."""
-    msh = segment_fields(text, "MSH")
+    first = F.substring_index(text, "\r", 1)
+    first = F.substring_index(first, "\n", 1)
+    msh = F.split(first, FIELD_SEP)
     return (
         F.when(text.isNull(), F.lit("null_text"))
         .when(~text.startswith("MSH|"), F.lit("not_hl7"))
-        .when(~F.get(msh, 0).startswith(DEFAULT_ENCODING), F.lit("encoding"))
-        .when(F.size(msh) < 11, F.lit("short_header"))
+        .when(~F.get(msh, 1).startswith(DEFAULT_ENCODING), F.lit("encoding"))
+        .when(F.size(msh) < 12, F.lit("short_header"))
         .when(component(msh, 12, 1, "MSH").isNull(), F.lit("no_version"))
     )
 
@@ -144,35 +153,35 @@ def trigger(p: Column) -> Column:
     return component(p["msh"], 9, 2, "MSH")
 
 
-def visit_time(p: Column, n: int, triggers: tuple[str, ...]) -> Column:
-    """PV1-``n`` as an instant when the trigger event is one of ``triggers``."""
-    return F.when(trigger(p).isin(*triggers), hl7_time(whole(p["pv1"], n)))
+def _when_trigger(p: Column, raw: Column, triggers: tuple[str, ...]) -> Column:
+    return F.when(trigger(p).isin(*triggers), raw)
 
 
-def message_time(p: Column) -> Column:
-    return hl7_time(whole(p["msh"], 7, "MSH"))
+# Output columns that need a conversion after the raw text is cut out.
+TIME_COLUMNS = ("msg_tm", "birth_date", "death_date", "hosp_admsn_time", "hosp_disch_time", "adt_arrival_time")
+LONG_COLUMNS = ("pat_enc_csn_id", "hsp_account_id")
 
 
-def encounter_id(p: Column) -> Column:
-    return to_long(whole(p["pv1"], 19))
-
+def adt_raw(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
+    """E1, first step: every ADT column as raw text cut from the parsed message.
 
-def adt_columns(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
-    """The ADT detail columns of one parsed message, by output name."""
+    Visit times are already gated by the trigger event (E6-E8); times and ids
+    are converted by :func:`convert`.
+    """
     msh, evn, pid, pv1, pv2, zpv = (p[k] for k in ("msh", "evn", "pid", "pv1", "pv2", "zpv"))
     return {
         "msg_typ": component(msh, 9, 1, "MSH"),
         "msg_src": F.lit(msg_src),
         "trigger_evnt": trigger(p),
-        "msg_tm": message_time(p),
+        "msg_tm": whole(msh, 7, "MSH"),
         "bod_id": whole(msh, 10, "MSH"),
         "pat_mrn_id": component(pid, 3, 1),
-        "pat_enc_csn_id": encounter_id(p),
-        "birth_date": hl7_time(whole(pid, 7)),
-        "death_date": hl7_time(whole(pid, 29)),
+        "pat_enc_csn_id": whole(pv1, 19),
+        "birth_date": whole(pid, 7),
+        "death_date": whole(pid, 29),
         "pat_class_abbr": whole(pv1, 2),
-        "hosp_admsn_time": visit_time(p, 44, ADMIT_TRIGGERS),
-        "hosp_disch_time": visit_time(p, 45, DISCHARGE_TRIGGERS),
+        "hosp_admsn_time": _when_trigger(p, whole(pv1, 44), ADMIT_TRIGGERS),
+        "hosp_disch_time": _when_trigger(p, whole(pv1, 45), DISCHARGE_TRIGGERS),
         "department_abbr": component(pv1, 3, 1),
         "loc_abbr": component(evn, 5, 14),
         "room_nm": component(pv1, 3, 2),
@@ -183,18 +192,44 @@ def adt_columns(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
         "acuity_level_abbr": acuity(p),
         "ed_disposition_abbr": whole(zpv, 15),
         "disch_disp_abbr": whole(pv1, 36),
-        "adt_arrival_time": visit_time(p, 44, ARRIVAL_TRIGGERS),
-        "hsp_account_id": to_long(whole(pv1, 50)),
+        "adt_arrival_time": _when_trigger(p, whole(pv1, 44), ARRIVAL_TRIGGERS),
+        "hsp_account_id": whole(pv1, 50),
         "accommodation_abbr": whole(pv2, 2),
         "user_id": component(evn, 5, 1),
     }
 
 
+def convert(name: str, raw: Column) -> Column:
+    """E1, second step: raw text -> typed value (C1/C2 for times, P11 for ids)."""
+    if name in TIME_COLUMNS:
+        return hl7_time(raw)
+    if name in LONG_COLUMNS:
+        return to_long(raw)
+    return raw
+
+
+def adt_columns(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
+    """E1 in one step (raw text and conversion composed), by output name."""
+    return {k: convert(k, v) for k, v in adt_raw(p, msg_src).items()}
+
+
+def message_time(p: Column) -> Column:
+    return hl7_time(whole(p["msh"], 7, "MSH"))
+
+
+def encounter_id(p: Column) -> Column:
+    return to_long(whole(p["pv1"], 19))
+
+
 def child_header(p: Column, msg_src: str = HL7_SOURCE) -> tuple[Column, Column, Column]:
     """(msg_src, msg_tm, pat_enc_csn_id) shared by the three child tables."""
     return F.lit(msg_src), message_time(p), encounter_id(p)
 
 
+def child_header_raw(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
+    return {"msg_src": F.lit(msg_src), "msg_tm": whole(p["msh"], 7, "MSH"), "pat_enc_csn_id": whole(p["pv1"], 19)}
+
+
 def dx_rows(p: Column) -> Column:
     """array<struct<dx_icd_cd, dx_name, dx_code_type>> of the chief-complaint OBX."""
     hits = F.filter(p["obx"], lambda o: _obx_is(o, OBS_CHIEF_COMPLAINT, TEXT_DX))

@@ -1,7 +1,7 @@
 """Message time parsing (lenient HL7 timestamps) and US/Central localisation.
 
 Every function here is independent of the session time zone: HL7 digits are
-parsed with an explicit ``+0000`` so the result's UTC wall clock equals the
+assembled into a timestamp in UTC so the result's UTC wall clock equals the
 digits, and ``to_utc_timestamp`` / ``from_utc_timestamp`` shift wall clocks
 without consulting the session zone.
 """
@@ -11,33 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The zone every HL7 wall-clock time is read in, and the accepted
-# digit layouts (14, 12 and 8 digits; anything else, zones included, is NULL).
+# The zone every HL7 wall-clock time is read in. Accepted layouts
+# are 14, 12 and 8 digits (yyyyMMddHHmmss, yyyyMMddHHmm, yyyyMMdd); anything
+# else, zones and fractions included, is NULL.
 CENTRAL = "US/Central"
-HL7_LAYOUTS = {14: "yyyyMMddHHmmss", 12: "yyyyMMddHHmm", 8: "yyyyMMdd"}
 
 def wall_clock(x: Column) -> Column:
-    """HL7 TS text -> TIMESTAMP whose UTC wall clock equals the digits, or NULL."""
-    digits = x.rlike("^[0-9]+$")
-    n = F.length(x)
-    z = F.concat(x, F.lit("+0000"))
-    out = None
-    for width, layout in HL7_LAYOUTS.items():
-        parsed = F.try_to_timestamp(z, F.lit(layout + "Z"))
-        cond = digits & (n == width)
-        out = F.when(cond, parsed) if out is None else out.when(cond, parsed)
-    return out
+    """HL7 TS text -> TIMESTAMP whose UTC wall clock equals the digits, or NULL.
+
+    8 and 12 digits are padded to 14 (midnight, whole minute) so one parse
+    pattern serves all three layouts. ``x`` is referenced once, so the
+    expression stays small wherever the optimizer copies it.
+    """
+    digits = F.regexp_extract(x, r"^([0-9]{14}|[0-9]{12}|[0-9]{8})$", 1)
+    return F.try_to_timestamp(F.concat(F.rpad(digits, 14, "0"), F.lit("+0000")), F.lit("yyyyMMddHHmmssZ"))
 
 
 def localize(w: Column, tz: str = CENTRAL) -> Column:
     """Wall clock (as UTC wall clock) -> instant in ``tz``.
 
     In the repeated autumn hour the standard-time (later) instant wins, as a
-    non-DST localisation does; a skipped spring hour moves forward.
+    non-DST localisation does; a skipped spring hour keeps the standard
+    offset, i.e. moves forward. Spark resolves an overlap to the earlier
+    instant, so the later one is found by converting one hour later and
+    stepping back; the greater of the two is the answer in every case.
     """
-    u = F.to_utc_timestamp(w, tz)
-    later = u + F.expr("INTERVAL '1' HOUR")
-    return F.when(F.from_utc_timestamp(later, tz) == w, later).otherwise(u)
+    hour = F.expr("INTERVAL '1' HOUR")
+    return F.greatest(F.to_utc_timestamp(w, tz), F.to_utc_timestamp(w + hour, tz) - hour)
 
 
 def hl7_time(x: Column, tz: str = CENTRAL) -> Column:

@@ -19,6 +19,7 @@ from wardline.functions.hl7 import (
     ACUITY_DELIMITER, ADMIT_TRIGGERS, ARRIVAL_TRIGGERS, DISCHARGE_TRIGGERS, ER_DIAGNOSIS_TYPE,
     OBS_ACUITY, OBS_CHIEF_COMPLAINT, TEXT_ACUITY, TEXT_DX, TEXT_VISIT_REASON, blank_to_null, to_long,
 )
+from wardline.functions.hl7 import convert as hl7_convert
 from wardline.functions.timeparse import hl7_time, iso_time
 
 # The 31-character delimiter between envelopes of a batched file.
@@ -170,8 +171,8 @@ def acuity(m: Column) -> Column:
     return blank_to_null(F.array_join(vals, ACUITY_DELIMITER))
 
 
-def adt_columns(m: Column) -> dict[str, Column]:
-    """E1 over an envelope struct, by output name."""
+def adt_raw(m: Column) -> dict[str, Column]:
+    """E1, first step: every ADT column as raw text read from the envelope struct."""
     msh, evn, pid, pv1, pv2, zpv = (segment(m, s) for s in (MSH, EVN, PID, PV1, PV2, ZPV))
     trig = trigger(m)
     loc = pv1["PV1.3.AssignedPatientLocation"][PL]
@@ -180,15 +181,15 @@ def adt_columns(m: Column) -> dict[str, Column]:
         "msg_typ": _leaf(msh, "MSH.9.MessageType", "ns0:MSG.MessageType", "MSG.1.MessageCode"),
         "msg_src": _leaf(m, REGION),
         "trigger_evnt": trig,
-        "msg_tm": message_time(m),
+        "msg_tm": _leaf(m, RECEIVED),
         "bod_id": _leaf(m, BODID),
         "pat_mrn_id": blank_to_null(F.get(pid["PID.3.PatientIdentifierList"], 0)[CX[0]][CX[1]]),
-        "pat_enc_csn_id": encounter_id(m),
-        "birth_date": _time(pid, "PID.7.DatetimeOfBirth"),
-        "death_date": _time(pid, "PID.29.PatientDeathDateAndTime"),
+        "pat_enc_csn_id": _leaf(pv1, "PV1.19.VisitNumber", *CX),
+        "birth_date": _leaf(pid, "PID.7.DatetimeOfBirth", *TS),
+        "death_date": _leaf(pid, "PID.29.PatientDeathDateAndTime", *TS),
         "pat_class_abbr": _leaf(pv1, "PV1.2.PatientClass"),
-        "hosp_admsn_time": F.when(trig.isin(*ADMIT_TRIGGERS), _time(pv1, "PV1.44.AdmitDatetime")),
-        "hosp_disch_time": F.when(trig.isin(*DISCHARGE_TRIGGERS), _time(pv1, "PV1.45.DischargeDatetime")),
+        "hosp_admsn_time": F.when(trig.isin(*ADMIT_TRIGGERS), _leaf(pv1, "PV1.44.AdmitDatetime", *TS)),
+        "hosp_disch_time": F.when(trig.isin(*DISCHARGE_TRIGGERS), _leaf(pv1, "PV1.45.DischargeDatetime", *TS)),
         "department_abbr": _leaf(loc, "PL.1.PointOfCare"),
         "loc_abbr": _leaf(xcn, "XCN.14.AssigningFacility", *HD),
         "room_nm": _leaf(loc, "PL.2.Room"),
@@ -199,13 +200,29 @@ def adt_columns(m: Column) -> dict[str, Column]:
         "acuity_level_abbr": acuity(m),
         "ed_disposition_abbr": _leaf(zpv, "ZPV.15.EDDisposition"),
         "disch_disp_abbr": _leaf(pv1, "PV1.36.DischargeDisposition"),
-        "adt_arrival_time": F.when(trig.isin(*ARRIVAL_TRIGGERS), _time(pv1, "PV1.44.AdmitDatetime")),
-        "hsp_account_id": to_long(_leaf(pv1, "PV1.50.AlternateVisitID", *CX)),
+        "adt_arrival_time": F.when(trig.isin(*ARRIVAL_TRIGGERS), _leaf(pv1, "PV1.44.AdmitDatetime", *TS)),
+        "hsp_account_id": _leaf(pv1, "PV1.50.AlternateVisitID", *CX),
         "accommodation_abbr": _leaf(pv2, "PV2.2.AccommodationCode", *CE),
         "user_id": _leaf(xcn, "XCN.1.IDNumber"),
     }
 
 
+def convert(name: str, raw: Column) -> Column:
+    """E1, second step: the received time is ISO (zone honoured, not localised); other times as HL7."""
+    if name == "msg_tm":
+        return iso_time(raw)
+    return hl7_convert(name, raw)
+
+
+def adt_columns(m: Column) -> dict[str, Column]:
+    return {k: convert(k, v) for k, v in adt_raw(m).items()}
+
+
+def child_header_raw(m: Column) -> dict[str, Column]:
+    return {"msg_src": _leaf(m, REGION), "msg_tm": _leaf(m, RECEIVED),
+            "pat_enc_csn_id": _leaf(segment(m, PV1), "PV1.19.VisitNumber", *CX)}
+
+
 def child_header(m: Column) -> tuple[Column, Column, Column]:
     """Region, received time, encounter; rows need all three."""
     return _leaf(m, REGION), message_time(m), encounter_id(m)

@@ -18,7 +18,9 @@ HL7, XML = "hl7", "xml"
 
 
 def parse_hl7(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn(PARSED, hl7.parse(F.col(text)))
+    """Adds the parsed message; the segment split is its own projection so it runs once."""
+    return df.withColumn("_lines", hl7.lines(F.col(text))) \
+        .withColumn(PARSED, hl7.parse_lines(F.col("_lines"))).drop("_lines")
 
 
 def parse_xml(df: DataFrame, text: str = "text") -> DataFrame:
@@ -38,39 +40,58 @@ def _ordered(cols: dict[str, Column], schema, extra: dict[str, Column]) -> list[
 
 
 def adt_detail(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE) -> DataFrame:
-    """One ADT row per message, in table column order (audit stamps left to the sink)."""
+    """One ADT row per message, in table column order (audit stamps left to the sink).
+
+    Two projections: the raw text of every field is cut out into one struct,
+    then converted. Keeping them apart lets each field be cut once and keeps
+    each generated method small enough for whole-stage code generation.
+    """
     m = F.col(PARSED)
-    cols = hl7.adt_columns(m, msg_src) if fmt == HL7 else xmlmsg.adt_columns(m)
+    raw = hl7.adt_raw(m, msg_src) if fmt == HL7 else xmlmsg.adt_raw(m)
+    conv = hl7.convert if fmt == HL7 else xmlmsg.convert
     nm = F.col("msg_nm") if "msg_nm" in parsed.columns else F.lit(None).cast("string")
-    return parsed.select(*_ordered(cols, ADT_HIST, {"msg_nm": nm}))
+    staged = parsed.select(nm.alias("msg_nm"), F.struct(*[c.alias(k) for k, c in raw.items()]).alias("_raw"))
+    r = F.col("_raw")
+    cols = {k: conv(k, r[k]) for k in raw}
+    return staged.select(*_ordered(cols, ADT_HIST, {"msg_nm": F.col("msg_nm")}))
 
 
 def _header(fmt: str, msg_src: str):
+    """Header columns and the condition that all three are present."""
     m = F.col(PARSED)
     src, tm, csn = hl7.child_header(m, msg_src) if fmt == HL7 else xmlmsg.child_header(m)
     ok = tm.isNotNull() & csn.isNotNull() & src.isNotNull()
     return src.alias("msg_src"), tm.alias("msg_tm"), csn.alias("pat_enc_csn_id"), ok
 
 
+# The children keep or drop rows inside the generator (an incomplete header
+# yields a NULL array, hence no rows) rather than with a filter: a filter
+# would be pushed below the parse and re-evaluate the header from raw text.
+
+
 def encounter_dx(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE) -> DataFrame:
     """0..n diagnosis rows per message."""
     src, tm, csn, ok = _header(fmt, msg_src)
     rows = hl7.dx_rows(F.col(PARSED)) if fmt == HL7 else xmlmsg.dx_rows(F.col(PARSED))
-    return parsed.where(ok).select(src, tm, csn, F.inline(rows)).select(*data_columns(DX_HIST))
+    return parsed.select(src, tm, csn, ok.alias("_ok"), rows.alias("_rows")) \
+        .select("msg_src", "msg_tm", "pat_enc_csn_id", F.inline(F.when(F.col("_ok"), F.col("_rows"))))
 
 
 def er_complaint(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE) -> DataFrame:
     """0..1 ER complaint row per message."""
     src, tm, csn, ok = _header(fmt, msg_src)
     c = hl7.er_complaint(F.col(PARSED)) if fmt == HL7 else xmlmsg.er_complaint(F.col(PARSED))
-    return parsed.where(ok & c.isNotNull()).select(src, tm, csn, c.alias("er_complaint"))
+    staged = parsed.select(src, tm, csn, ok.alias("_ok"), c.alias("_c"))
+    return staged.select("msg_src", "msg_tm", "pat_enc_csn_id",
+                         F.explode(F.when(F.col("_ok") & F.col("_c").isNotNull(), F.array("_c"))).alias("er_complaint"))
 
 
 def visit_reason(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE) -> DataFrame:
     """0..n visit reason rows per message."""
     src, tm, csn, ok = _header(fmt, msg_src)
     reasons = hl7.visit_reasons(F.col(PARSED)) if fmt == HL7 else xmlmsg.visit_reasons(F.col(PARSED))
-    return parsed.where(ok).select(src, tm, csn, F.explode(reasons).alias("encntr_rsn"))
+    return parsed.select(src, tm, csn, ok.alias("_ok"), reasons.alias("_r")) \
+        .select("msg_src", "msg_tm", "pat_enc_csn_id", F.explode(F.when(F.col("_ok"), F.col("_r"))).alias("encntr_rsn"))
 
 
 def fan_out(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE) -> dict[str, DataFrame]:

@@ -13,12 +13,31 @@ from pyspark.sql.types import TimestampType
 from wardline.functions.timeparse import utc_ntz
 from wardline.operators import extract as E
 from wardline.plans import carriers as C
+from wardline.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that has fewer partitions than the cluster has cores
+    (a single small file); a no-op for any source of real size."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+def land(spark: SparkSession, msgs: DataFrame, name: str) -> DataFrame:
+    """Writes rendered messages to the shared folder and reads them back, as a message
+    drop would deliver them. Parsing then starts from stored text (the optimizer cannot
+    fold the rendering into every consumer), and a source smaller than the cluster's
+    parallelism is spread over all cores first."""
+    msgs = spread(msgs)
+    path = scratch_path(spark, name)
+    msgs.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Instants -> UTC wall clock NTZ, other columns untouched."""
     return df.select(*[utc_ntz(F.col(f.name)).alias(f.name) if isinstance(f.dataType, TimestampType) else F.col(f.name)
@@ -34,17 +53,22 @@ def _accepted(msgs: DataFrame, fmt: str) -> DataFrame:
 # ------------------------------------------------------------------ HL7
 
 
+def _hl7_events(spark, d):
+    return land(spark, C.hl7_from_events(spread(table(spark, d, "events"))), "hl7-events")
+
+
 def hl7_adt_detail(spark, d):
-    return portable(E.adt_detail(_accepted(C.hl7_from_events(table(spark, d, "events")), E.HL7)))
+    return portable(E.adt_detail(_accepted(_hl7_events(spark, d), E.HL7)))
 
 
 def hl7_event_times(spark, d):
-    adt = E.adt_detail(_accepted(C.hl7_from_events(table(spark, d, "events")), E.HL7))
+    adt = E.adt_detail(_accepted(_hl7_events(spark, d), E.HL7))
     return portable(adt.select("msg_nm", "trigger_evnt", "adt_arrival_time", "hosp_admsn_time", "hosp_disch_time"))
 
 
 def _hl7_orders(spark, d):
-    return _accepted(C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), E.HL7)
+    msgs = land(spark, C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "hl7-orders")
+    return _accepted(msgs, E.HL7)
 
 
 def hl7_dx(spark, d):
@@ -64,13 +88,14 @@ def hl7_acuity(spark, d):
 
 
 def hl7_mrn_first_repetition(spark, d):
-    return E.adt_detail(_accepted(C.hl7_from_customers(table(spark, d, "customer")), E.HL7), E.HL7) \
+    msgs = land(spark, C.hl7_from_customers(spread(table(spark, d, "customer"))), "hl7-customers")
+    return E.adt_detail(_accepted(msgs, E.HL7), E.HL7) \
         .select("msg_nm", "pat_mrn_id")
 
 
 def hl7_reject_split(spark, d):
-    events = table(spark, d, "events")
-    msgs = C.damage_events(C.hl7_from_events(events), events)
+    events = spread(table(spark, d, "events"))
+    msgs = land(spark, C.damage_events(C.hl7_from_events(events), events), "hl7-damaged")
     return E.with_validity(msgs, E.HL7).select("msg_nm", "reject_reason")
 
 
@@ -78,11 +103,13 @@ def hl7_reject_split(spark, d):
 
 
 def xml_adt_detail(spark, d):
-    return portable(E.adt_detail(_accepted(C.xml_from_events(table(spark, d, "events")), E.XML), E.XML))
+    msgs = land(spark, C.xml_from_events(spread(table(spark, d, "events"))), "xml-events")
+    return portable(E.adt_detail(_accepted(msgs, E.XML), E.XML))
 
 
 def _xml_orders(spark, d):
-    return _accepted(C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), E.XML)
+    msgs = land(spark, C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "xml-orders")
+    return _accepted(msgs, E.XML)
 
 
 def xml_dx(spark, d):
@@ -102,7 +129,7 @@ def xml_acuity(spark, d):
 
 
 def split_batched_files(spark, d):
-    files = C.batch_documents(table(spark, d, "documents"))
+    files = land(spark, C.batch_documents(table(spark, d, "documents")), "batched-files")
     return E.explode_batches(files).select("file_id", "part_no", "text")
 
 
