@@ -121,3 +121,35 @@ SELECT doc_id // 8 AS file_id,
   text
 FROM documents WHERE length(text) > 0""",
 }
+
+_MASTER = """WITH m AS (SELECT o_custkey AS pat_enc_csn_id, o_orderkey,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS hosp_disch_time FROM orders),
+kept AS (SELECT * FROM m WHERE NOT EXISTS (
+  SELECT 1 FROM m e WHERE e.pat_enc_csn_id = m.pat_enc_csn_id AND e.hosp_disch_time IS NOT NULL
+    AND CAST(e.hosp_disch_time AS DATE) < CAST(DATE '1996-01-01' - INTERVAL 2 DAY AS DATE)))"""
+
+ORACLE.update({
+    "latest_per_key_ties": """
+SELECT event_id, user_id, ts_hour FROM (
+  SELECT event_id, user_id, date_trunc('hour', ts) AS ts_hour,
+    rank() OVER (PARTITION BY user_id ORDER BY date_trunc('hour', ts) DESC) AS rk FROM events) WHERE rk = 1""",
+    "latest_row_number": """
+SELECT l_orderkey, l_suppkey, l_linenumber, l_partkey, l_quantity FROM (
+  SELECT l_orderkey, l_suppkey, l_linenumber, l_partkey, l_quantity,
+    row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber DESC, l_partkey DESC, l_quantity DESC) AS rn
+  FROM lineitem) WHERE rn = 1""",
+    "retention_master": _MASTER + "\nSELECT * FROM kept",
+    "retention_child": _MASTER + """
+SELECT c_custkey AS pat_enc_csn_id, c_name FROM customer c
+WHERE EXISTS (SELECT 1 FROM kept k WHERE k.pat_enc_csn_id = c.c_custkey)""",
+    "drop_all_null": """
+SELECT * FROM (SELECT
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS c_custkey,
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS c_name,
+  CASE WHEN c_mktsegment <> 'BUILDING' AND c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer)
+WHERE c_custkey IS NOT NULL OR c_name IS NOT NULL OR c_acctbal IS NOT NULL""",
+    "audit_columns": "SELECT c_custkey, true AS has_insert_tsp, true AS has_insert_user, true AS has_update_tsp FROM customer",
+    "flatten_xml_paths": """
+SELECT CAST(o_orderkey AS VARCHAR) AS "Header.Key", o_orderstatus AS "Header.Status",
+  o_orderpriority AS "Notes.Note.Text", CAST(o_totalprice AS VARCHAR) AS "Price" FROM orders""",
+})

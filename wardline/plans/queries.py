@@ -149,3 +149,86 @@ QUERIES = {
     "xml_acuity": xml_acuity,
     "split_batched_files": split_batched_files,
 }
+
+
+# ------------------------------------------------------------------ relational
+
+from wardline.operators import cleanse as CL  # noqa: E402
+from wardline.operators import latest as LT  # noqa: E402
+from wardline.operators import retention as RT  # noqa: E402
+
+# Fixed query parameters of the registered retention check.
+RETENTION_AS_OF = "1996-01-01"
+RETENTION_DAYS = 2
+
+
+def latest_per_key_ties(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", F.date_trunc("hour", "ts").alias("ts_hour"))
+    return LT.latest_with_ties(ev, ["user_id"], "ts_hour")
+
+
+def latest_row_number(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "l_quantity")
+    return LT.latest_one(li, ["l_orderkey", "l_suppkey"], ["l_linenumber", "l_partkey", "l_quantity"])
+
+
+def _retention_master(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_custkey").alias("pat_enc_csn_id"), "o_orderkey",
+                    F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("hosp_disch_time"))
+
+
+def retention_master(spark, d):
+    return RT.prune_master(_retention_master(spark, d), RETENTION_DAYS, RETENTION_AS_OF)
+
+
+def retention_child(spark, d):
+    kept = RT.prune_master(_retention_master(spark, d), RETENTION_DAYS, RETENTION_AS_OF)
+    child = table(spark, d, "customer").select(F.col("c_custkey").alias("pat_enc_csn_id"), "c_name")
+    return RT.prune_child(child, kept)
+
+
+def _nullable_customers(spark, d):
+    c = table(spark, d, "customer")
+    gone = F.col("c_mktsegment") == "BUILDING"
+    return c.select(F.when(~gone, F.col("c_custkey")).alias("c_custkey"), F.when(~gone, F.col("c_name")).alias("c_name"),
+                    F.when(~gone & (F.col("c_acctbal") >= 0), F.col("c_acctbal")).alias("c_acctbal"))
+
+
+def drop_all_null(spark, d):
+    return CL.drop_all_null(_nullable_customers(spark, d))
+
+
+def audit_columns(spark, d):
+    stamped = CL.stamp_update(CL.stamp_insert(table(spark, d, "customer").select("c_custkey")))
+    return stamped.select("c_custkey", F.col("row_insert_tsp").isNotNull().alias("has_insert_tsp"),
+                          F.col("insert_user_id").isNotNull().alias("has_insert_user"),
+                          F.col("row_updt_tsp").isNotNull().alias("has_update_tsp"))
+
+
+def flatten_xml_paths(spark, d):
+    from wardline.functions import xmlmsg as X
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+    o = spread(table(spark, d, "orders"))
+    xml = F.concat(F.lit("<Order><Header><Key>"), F.col("o_orderkey"), F.lit("</Key><Status>"), F.col("o_orderstatus"),
+                   F.lit("</Status></Header><Notes><Note><Text>first</Text></Note><Note><Text>"),
+                   F.col("o_orderpriority"), F.lit("</Text></Note></Notes><Price>"), F.col("o_totalprice"),
+                   F.lit("</Price></Order>"))
+    schema = StructType([
+        StructField("Header", StructType([StructField("Key", StringType()), StructField("Status", StringType())])),
+        StructField("Notes", StructType([StructField("Note", ArrayType(StructType([StructField("Text", StringType())])))])),
+        StructField("Price", StringType()),
+    ])
+    parsed = o.select(F.from_xml(xml, schema).alias("m"))
+    return parsed.select(*X.flatten_struct(F.col("m"), schema))
+
+
+QUERIES.update({
+    "latest_per_key_ties": latest_per_key_ties,
+    "latest_row_number": latest_row_number,
+    "retention_master": retention_master,
+    "retention_child": retention_child,
+    "drop_all_null": drop_all_null,
+    "audit_columns": audit_columns,
+    "flatten_xml_paths": flatten_xml_paths,
+})
