@@ -153,3 +153,27 @@ WHERE c_custkey IS NOT NULL OR c_name IS NOT NULL OR c_acctbal IS NOT NULL""",
 SELECT CAST(o_orderkey AS VARCHAR) AS "Header.Key", o_orderstatus AS "Header.Status",
   o_orderpriority AS "Notes.Note.Text", CAST(o_totalprice AS VARCHAR) AS "Price" FROM orders""",
 })
+
+_STATES = "SELECT user_id AS pat_enc_csn_id, ts AS msg_tm, 'evt-' || CAST(event_id AS VARCHAR) AS msg_nm, event_type AS trigger_evnt FROM events"
+_BROKER_ADT = _event_adt(False).replace(
+    "'evt-' || CAST(event_id AS VARCHAR) AS msg_nm",
+    "CAST(user_id % 4 AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) || '-' || CAST(event_id * 10 AS VARCHAR) AS msg_nm")
+_XML_ADT_NO_NAME = "SELECT * EXCLUDE (msg_nm) FROM (" + _event_adt(True) + ")"
+
+ORACLE.update({
+    "upsert_merge": f"""
+SELECT pat_enc_csn_id, msg_tm, msg_nm, trigger_evnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY pat_enc_csn_id ORDER BY msg_tm DESC, msg_nm DESC) AS rn FROM ({_STATES}))
+WHERE rn = 1""",
+    "append_and_upsert": _STATES,
+    "stream_ingest_fanout": _BROKER_ADT,
+    "stream_batch_metrics": f"""
+SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max({_tz(_TS)}) AS latest_msg_tm FROM events
+UNION ALL SELECT 'encntr_dx_hist', 0, NULL
+UNION ALL SELECT 'encntr_er_complnt_hist', 0, NULL
+UNION ALL SELECT 'encntr_visit_rsn_hist', 0, NULL""",
+    "stream_xml_files": _XML_ADT_NO_NAME,
+    "stream_table_copy": _STATES,
+    "cluster_by_range": _STATES,
+    "table_actions": _STATES + " WHERE event_type <> 'error'",
+})

@@ -232,3 +232,147 @@ QUERIES.update({
     "audit_columns": audit_columns,
     "flatten_xml_paths": flatten_xml_paths,
 })
+
+
+# ------------------------------------------------------------------ sinks and streams
+
+from wardline.functions import xmlmsg as XM  # noqa: E402
+from wardline.schemas import ADT_HIST  # noqa: E402
+from wardline.sinks import tables as TB  # noqa: E402
+from wardline.sinks import upsert as UP  # noqa: E402
+from wardline.sinks import warehouse as WH  # noqa: E402
+from wardline.sources import broker as BR  # noqa: E402
+from wardline.sources import files as FS  # noqa: E402
+from wardline.sources import tables as ST  # noqa: E402
+from wardline.streaming import ingest as IN  # noqa: E402
+
+# Fixed query parameter: events before this instant form the older of two upsert batches.
+SPLIT_TS = "2024-01-16 00:00:00"
+
+
+def _event_states(spark, d):
+    ev = table(spark, d, "events")
+    return ev.select(F.col("user_id").alias("pat_enc_csn_id"), F.col("ts").alias("msg_tm"),
+                     F.concat(F.lit("evt-"), F.col("event_id")).alias("msg_nm"),
+                     F.col("event_type").alias("trigger_evnt"))
+
+
+def _halves(spark, d):
+    rows = _event_states(spark, d)
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    return rows.where(F.col("msg_tm") >= split), rows.where(F.col("msg_tm") < split)
+
+
+def upsert_merge(spark, d):
+    """K5: the newer half is applied first, the older second; the guard must keep the newer state."""
+    newer, older = _halves(spark, d)
+    path = scratch_path(spark, "current")
+    UP.upsert(spark, newer, path)
+    UP.upsert(spark, older, path)
+    return UP.read_current(spark, path).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
+
+
+def append_and_upsert(spark, d):
+    """K7: both batches appended to the history (batch 0 twice: a retry) and upserted."""
+    newer, older = _halves(spark, d)
+    hist, cur = scratch_path(spark, "hist"), scratch_path(spark, "current")
+    UP.append_and_upsert(spark, newer, 0, hist, cur)
+    UP.append_and_upsert(spark, newer, 0, hist, cur)
+    UP.append_and_upsert(spark, older, 1, hist, cur)
+    return spark.read.parquet(hist).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
+
+
+def _broker_records(spark, d):
+    """Event messages as broker records: body bytes plus partition, sequence number, offset."""
+    ev = spread(table(spark, d, "events"))
+    msgs = C.hl7_from_events(ev).join(ev.select(F.concat(F.lit("evt-"), F.col("event_id")).alias("msg_nm"),
+                                                "event_id", "user_id"), "msg_nm")
+    return msgs.select(F.col("text").cast("binary").alias("body"), (F.col("user_id") % 4).cast("string").alias("partition"),
+                       F.col("event_id").alias("sequenceNumber"), (F.col("event_id") * 10).cast("string").alias("offset"))
+
+
+def _run_ingest(spark, d):
+    root = scratch_path(spark, "ingest")
+    drop = f"{root}/broker"
+    land(spark, _broker_records(spark, d), "broker").write.parquet(drop)
+    stream = spark.readStream.schema("body binary, partition string, sequenceNumber bigint, offset string") \
+        .option("maxFilesPerTrigger", 4).parquet(drop)
+    paths = {t: f"{root}/{t}" for t in IN.TABLES}
+    q = IN.ingest(BR.broker_messages(stream), E.HL7, paths, f"{root}/_checkpoint", f"{root}/quarantine", f"{root}/metrics")
+    q.awaitTermination()
+    return root, paths
+
+
+def stream_ingest_fanout(spark, d):
+    """S4 + T7 + K2: broker records streamed, parsed once, fanned out; ADT table read back."""
+    _, paths = _run_ingest(spark, d)
+    cols = [c for c in ADT_HIST.fieldNames() if c not in ("row_insert_tsp", "insert_user_id")]
+    return portable(spark.read.parquet(paths["adt_hist"]).select(*cols))
+
+
+def stream_batch_metrics(spark, d):
+    """A2 + A3 via K2's observed metrics, summed over the batches of the ingest."""
+    root, _ = _run_ingest(spark, d)
+    m = spark.read.parquet(f"{root}/metrics")
+    return portable(m.groupBy("table_name").agg(F.sum("batch_rows").alias("batch_rows"),
+                                                F.max("latest_msg_tm").alias("latest_msg_tm")))
+
+
+def stream_xml_files(spark, d):
+    """S1-S3 + P1 + T7: batched XML files dropped in a folder, streamed, split, parsed once."""
+    root = scratch_path(spark, "xmldrop")
+    msgs = land(spark, C.xml_from_events(spread(table(spark, d, "events"))), "xml")
+    msgs.select(F.concat(F.col("text"), F.lit("\n"), F.lit(XM.BATCH_DELIMITER)).alias("value")).write.text(f"{root}/drop")
+    stream = FS.read_text_named(spark, f"{root}/drop", max_files=2)
+    paths = {t: f"{root}/{t}" for t in IN.TABLES}
+    IN.ingest(stream, E.XML, paths, f"{root}/_checkpoint", batched_files=True).awaitTermination()
+    cols = [c for c in ADT_HIST.fieldNames() if c not in ("row_insert_tsp", "insert_user_id", "msg_nm")]
+    return portable(spark.read.parquet(paths["adt_hist"]).select(*cols))
+
+
+def stream_table_copy(spark, d):
+    """S5 + K11: a table appended in batches is tailed and copied to a warehouse folder."""
+    root = scratch_path(spark, "copy")
+    rows = _event_states(spark, d)
+    for i, et in enumerate(["signup", "view", "click", "purchase", "error"]):
+        rows.where(F.col("trigger_evnt") == et).write.mode("append").parquet(f"{root}/table")
+    src = ST.tail_table(spark, f"{root}/table", rows.schema, max_files=3)
+    WH.copy_stream(src, f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
+    return spark.read.parquet(f"{root}/warehouse")
+
+
+def cluster_by_range(spark, d):
+    """Rewrite clustered by time; contents unchanged."""
+    path = scratch_path(spark, "cluster")
+    _event_states(spark, d).write.parquet(path)
+    TB.compact(spark, path, "msg_tm", files=4)
+    return spark.read.parquet(path)
+
+
+def table_actions(spark, d):
+    """Ensure (idempotent), self-overwrite through staging, truncate + positional insert."""
+    path = scratch_path(spark, "actions")
+    rows = _event_states(spark, d)
+    TB.ensure_table(spark, path, rows.schema)
+    TB.ensure_table(spark, path, rows.schema)
+    rows.write.mode("append").parquet(path)
+    current = spark.read.parquet(path)
+    TB.overwrite_table(spark, current.where(F.col("trigger_evnt") != "error"), path)
+    keep = spark.read.parquet(path)
+    other = scratch_path(spark, "actions2")
+    TB.ensure_table(spark, other, rows.schema)
+    TB.truncate_table(spark, other, rows.schema)
+    TB.insert_select(keep.select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt"), other, rows.schema)
+    return spark.read.parquet(other)
+
+
+QUERIES.update({
+    "upsert_merge": upsert_merge,
+    "append_and_upsert": append_and_upsert,
+    "stream_ingest_fanout": stream_ingest_fanout,
+    "stream_batch_metrics": stream_batch_metrics,
+    "stream_xml_files": stream_xml_files,
+    "stream_table_copy": stream_table_copy,
+    "cluster_by_range": cluster_by_range,
+    "table_actions": table_actions,
+})
