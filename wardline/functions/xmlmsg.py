@@ -113,9 +113,28 @@ def parse(text: Column) -> Column:
     return F.from_xml(text, ENVELOPE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+SEGMENT_KEYS = {MSH: "msh", EVN: "evn", PID: "pid", PV1: "pv1", PV2: "pv2", ZPV: "zpv", DG1: "dg1"}
+
+
+def normalize(env: Column) -> Column:
+    """P8/P9 once per message: each segment taken from whichever known parent holds it.
+
+    struct<region, bodid, received, corrupt, msh, evn, pid, pv1, pv2, zpv, dg1, obx>;
+    extractors read this flat struct, so the parent lookup is not repeated per field.
+    """
+    admin = env[PAYLOAD][ADMINISTER]
+    group = admin[VISIT_GROUP]
+    parts = [env[REGION].alias("region"), env[BODID].alias("bodid"), env[RECEIVED].alias("received"),
+             env[CORRUPT].alias("corrupt")]
+    parts += [F.coalesce(admin[seg], group[seg]).alias(k) for seg, k in SEGMENT_KEYS.items()]
+    parts.append(F.coalesce(group[OBX], admin[OBX], F.array().cast(ArrayType(_s(_SEGMENTS[OBX][0])))).alias("obx"))
+    return F.struct(*parts)
+
+
 def validity(m: Column) -> Column:
-    """NULL when the envelope parsed, else the quarantine reason."""
-    return F.when(m.isNull(), F.lit("null_text")).when(m[CORRUPT].isNotNull(), F.lit("malformed_xml"))
+    """NULL when the envelope parsed, else the quarantine reason (``m`` is the normalized struct)."""
+    return F.when(m.isNull() | (m["region"].isNull() & m["corrupt"].isNull() & m["msh"].isNull() & m["pv1"].isNull()),
+                  F.lit("null_text")).when(m["corrupt"].isNotNull(), F.lit("malformed_xml"))
 
 
 def _path(c: Column, *names: str) -> Column:
@@ -125,15 +144,12 @@ def _path(c: Column, *names: str) -> Column:
 
 
 def segment(m: Column, seg: str) -> Column:
-    """The segment under whichever known parent holds it (AdministerPatient first)."""
-    admin = m[PAYLOAD][ADMINISTER]
-    return F.coalesce(admin[seg], admin[VISIT_GROUP][seg])
+    """A segment of the normalized struct."""
+    return m[SEGMENT_KEYS[seg]]
 
 
 def observations(m: Column) -> Column:
-    """Every OBX node, VisitGroup first, as an array (one node is a list of one)."""
-    admin = m[PAYLOAD][ADMINISTER]
-    return F.coalesce(admin[VISIT_GROUP][OBX], admin[OBX], F.array().cast(ArrayType(_s(_SEGMENTS[OBX][0]))))
+    return m["obx"]
 
 
 def _leaf(c: Column, *names: str) -> Column:
@@ -153,7 +169,7 @@ def encounter_id(m: Column) -> Column:
 
 
 def message_time(m: Column) -> Column:
-    return iso_time(_leaf(m, RECEIVED))
+    return iso_time(_leaf(m, "received"))
 
 
 def _obx_is(o: Column, code: str, text: str) -> Column:
@@ -179,10 +195,10 @@ def adt_raw(m: Column) -> dict[str, Column]:
     xcn = evn["EVN.5.OperatorID"][XCN]
     return {
         "msg_typ": _leaf(msh, "MSH.9.MessageType", "ns0:MSG.MessageType", "MSG.1.MessageCode"),
-        "msg_src": _leaf(m, REGION),
+        "msg_src": _leaf(m, "region"),
         "trigger_evnt": trig,
-        "msg_tm": _leaf(m, RECEIVED),
-        "bod_id": _leaf(m, BODID),
+        "msg_tm": _leaf(m, "received"),
+        "bod_id": _leaf(m, "bodid"),
         "pat_mrn_id": blank_to_null(F.get(pid["PID.3.PatientIdentifierList"], 0)[CX[0]][CX[1]]),
         "pat_enc_csn_id": _leaf(pv1, "PV1.19.VisitNumber", *CX),
         "birth_date": _leaf(pid, "PID.7.DatetimeOfBirth", *TS),
@@ -219,13 +235,13 @@ def adt_columns(m: Column) -> dict[str, Column]:
 
 
 def child_header_raw(m: Column) -> dict[str, Column]:
-    return {"msg_src": _leaf(m, REGION), "msg_tm": _leaf(m, RECEIVED),
+    return {"msg_src": _leaf(m, "region"), "msg_tm": _leaf(m, "received"),
             "pat_enc_csn_id": _leaf(segment(m, PV1), "PV1.19.VisitNumber", *CX)}
 
 
 def child_header(m: Column) -> tuple[Column, Column, Column]:
     """Region, received time, encounter; rows need all three."""
-    return _leaf(m, REGION), message_time(m), encounter_id(m)
+    return _leaf(m, "region"), message_time(m), encounter_id(m)
 
 
 def dx_rows(m: Column) -> Column:

@@ -24,7 +24,9 @@ def parse_hl7(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def parse_xml(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn(PARSED, xmlmsg.parse(F.col(text)))
+    """Adds the parsed envelope, normalized to one struct of segments (two projections)."""
+    return df.withColumn("_env", xmlmsg.parse(F.col(text))) \
+        .withColumn(PARSED, xmlmsg.normalize(F.col("_env"))).drop("_env")
 
 
 def parse(df: DataFrame, fmt: str, text: str = "text") -> DataFrame:
@@ -112,10 +114,20 @@ def with_validity(df: DataFrame, fmt: str, text: str = "text") -> DataFrame:
 
 
 def split_valid(df: DataFrame, fmt: str = HL7, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(accepted, quarantined) — rejects keep their text and reason instead of vanishing."""
+    """(accepted, quarantined) — rejects keep their text and reason instead of vanishing.
+
+    HL7 is checked on the text, so the filter goes down to the scan. XML needs the
+    parse; there the accepted rows come out of a generator (an invalid message gives
+    an empty array) so the optimizer cannot copy the parse into a pushed-down filter.
+    """
     v = with_validity(df, fmt, text)
-    good = v.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    bad = v.where(F.col("reject_reason").isNotNull())
+    reason = F.col("reject_reason")
+    if fmt == HL7:
+        good = v.where(reason.isNull()).drop("reject_reason")
+    else:
+        others = [c for c in df.columns if c != PARSED]
+        good = v.select(*others, F.explode(F.when(reason.isNull(), F.array(F.col(PARSED)))).alias(PARSED))
+    bad = v.where(reason.isNotNull())
     if PARSED in bad.columns:
         bad = bad.drop(PARSED)
     return good, bad

@@ -106,18 +106,19 @@ def hl7_from_events(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- XML
 
 
-def _esc(c: Column) -> Column:
+def esc(c: Column) -> Column:
+    """XML-escape free text. The carrier values are codes and numbers, so nodes take them raw."""
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
 
 
 def el(name: str, *children) -> Column:
-    """``<name>children</name>``; NULL when every child is NULL (so optional nodes vanish)."""
-    kids = [(_esc(c) if isinstance(c, Column) else F.lit(c)) if not isinstance(c, _Node) else c.col for c in children]
-    body = F.concat_ws("", *kids)
-    present = F.lit(False)
-    for k in kids:
-        present = present | k.isNotNull()
-    return F.when(present, F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>")))
+    """``<name>children</name>``; NULL when every child is NULL or empty (so optional nodes vanish).
+
+    Each child is referenced once: nesting stays linear in size.
+    """
+    kids = [(c if isinstance(c, Column) else F.lit(c)) if not isinstance(c, _Node) else c.col for c in children]
+    body = kids[0] if len(kids) == 1 else F.concat_ws("", *kids)
+    return F.nullif(F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>")), F.lit(f"<{name}></{name}>"))
 
 
 class _Node:
