@@ -376,3 +376,38 @@ QUERIES.update({
     "cluster_by_range": cluster_by_range,
     "table_actions": table_actions,
 })
+
+
+# ------------------------------------------------------------------ seed
+
+from wardline.operators import seed as SD  # noqa: E402
+from wardline.plans import seed_roles as SR  # noqa: E402
+
+
+def _seeded(spark, d):
+    t = SR.roles(spark, d)
+    adt = SD.seed_adt(t, SR.SEED_AS_OF, SR.SEED_START, msg_tm=SR.seed_msg_tm(),
+                      excluded_locations=SR.SEED_EXCLUDED_LOCATIONS)
+    return t, adt
+
+
+def seed_adt(spark, d):
+    return portable(_seeded(spark, d)[1])
+
+
+def seed_dx(spark, d):
+    t, adt = _seeded(spark, d)
+    return portable(SD.seed_dx(adt, t))
+
+
+def seed_er(spark, d):
+    t, adt = _seeded(spark, d)
+    return portable(SD.seed_er(adt, t))
+
+
+def seed_visit_reason(spark, d):
+    t, adt = _seeded(spark, d)
+    return portable(SD.seed_visit_reason(adt, t))
+
+
+QUERIES.update({"seed_adt": seed_adt, "seed_dx": seed_dx, "seed_er": seed_er, "seed_visit_reason": seed_visit_reason})
