@@ -78,3 +78,14 @@ def test_staged_overwrite_and_compact(spark):
         .agg(F.min("row_insert_tsp").alias("lo"), F.max("row_insert_tsp").alias("hi")).orderBy("lo").collect()
     assert all(a["hi"] <= b["lo"] for a, b in zip(parts, parts[1:]))  # ranges do not overlap
     assert spark.read.parquet(p).count() == 50
+
+
+def test_retention_job_prunes_children_and_master(spark):
+    root = scratch_path(spark, "rjob")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1)), (2, None, dt.datetime(2024, 1, 2))],
+                          "pat_enc_csn_id bigint, hosp_disch_time timestamp, row_insert_tsp timestamp") \
+        .write.parquet(f"{root}/m")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "orphan")], "pat_enc_csn_id bigint, x string").write.parquet(f"{root}/c")
+    RT.retention_job(spark, f"{root}/m", [f"{root}/c"], 2, "2024-01-10")
+    assert [r[0] for r in spark.read.parquet(f"{root}/m").collect()] == [2]
+    assert [r[0] for r in spark.read.parquet(f"{root}/c").collect()] == [2]

@@ -37,3 +37,27 @@ def prune_master(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
 def prune_child(child: DataFrame, kept_master: DataFrame, key: str = KEY) -> DataFrame:
     """R2: child rows whose encounter is still in the (pruned) master; orphans and NULL keys go."""
     return child.join(kept_master.select(key), key, "left_semi")
+
+
+def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2, as_of=None, key: str = KEY,
+                  discharge: str = "hosp_disch_time", cluster_by: str | None = "row_insert_tsp") -> None:
+    """Prune the master and its children together, then compact.
+
+    The pruned master is computed once and staged; every child is pruned
+    against the staged copy; only when all staged tables are written are they
+    swapped in, master last, so a failure part-way leaves every table as it
+    was (D21). Compaction then clusters each table by ``cluster_by``.
+    """
+    from wardline.sinks.tables import compact, stage, swap_in
+
+    master = spark.read.parquet(master_path)
+    staged_master = stage(prune_master(master, days, as_of, key, discharge), master_path)
+    kept = spark.read.parquet(staged_master)
+    staged = [(stage(prune_child(spark.read.parquet(p), kept, key), p), p) for p in child_paths]
+    for s, p in staged:
+        swap_in(spark, s, p)
+    swap_in(spark, staged_master, master_path)
+    if cluster_by:
+        for p in [master_path, *child_paths]:
+            if cluster_by in spark.read.parquet(p).columns:
+                compact(spark, p, cluster_by)

@@ -263,3 +263,5 @@ FROM adt INNER JOIN er_com ON adt.pat_enc_csn_id = er_com.pat_enc_csn_id""",
 FROM adt INNER JOIN rsn_visit ON adt.pat_enc_csn_id = rsn_visit.pat_enc_csn_id
 INNER JOIN cl_rsn_visit ON rsn_visit.enc_reason_id = cl_rsn_visit.reason_visit_id""",
 })
+
+ORACLE["retention_job"] = ORACLE["retention_master"]

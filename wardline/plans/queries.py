@@ -411,3 +411,15 @@ def seed_visit_reason(spark, d):
 
 
 QUERIES.update({"seed_adt": seed_adt, "seed_dx": seed_dx, "seed_er": seed_er, "seed_visit_reason": seed_visit_reason})
+
+
+def retention_job(spark, d):
+    """Master (orders by customer) and one child (customers) pruned together, then clustered."""
+    root = scratch_path(spark, "retention")
+    _retention_master(spark, d).withColumn("row_insert_tsp", F.col("hosp_disch_time")).write.parquet(f"{root}/master")
+    table(spark, d, "customer").select(F.col("c_custkey").alias("pat_enc_csn_id"), "c_name").write.parquet(f"{root}/child")
+    RT.retention_job(spark, f"{root}/master", [f"{root}/child"], RETENTION_DAYS, RETENTION_AS_OF)
+    return spark.read.parquet(f"{root}/master").drop("row_insert_tsp")
+
+
+QUERIES["retention_job"] = retention_job
