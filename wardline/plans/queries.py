@@ -294,9 +294,10 @@ def _broker_records(spark, d):
 def _run_ingest(spark, d):
     root = scratch_path(spark, "ingest")
     drop = f"{root}/broker"
-    land(spark, _broker_records(spark, d), "broker").write.parquet(drop)
+    par = spark.sparkContext.defaultParallelism
+    _broker_records(spark, d).repartition(2 * par).write.parquet(drop)  # the broker drop: two triggers' worth
     stream = spark.readStream.schema("body binary, partition string, sequenceNumber bigint, offset string") \
-        .option("maxFilesPerTrigger", 4).parquet(drop)
+        .option("maxFilesPerTrigger", par).parquet(drop)
     paths = {t: f"{root}/{t}" for t in IN.TABLES}
     q = IN.ingest(BR.broker_messages(stream), E.HL7, paths, f"{root}/_checkpoint", f"{root}/quarantine", f"{root}/metrics")
     q.awaitTermination()
