@@ -22,10 +22,15 @@ def _as_of(as_of: dt.date | str | None) -> Column:
 
 def expired_keys(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
                  discharge: str = "hosp_disch_time") -> DataFrame:
-    """Encounters with a discharge date before ``as_of - days``."""
+    """Encounters with a discharge date before ``as_of - days``, each once.
+
+    The DISTINCT is a partial (map-side) aggregation, so an encounter holding a
+    large share of the rows collapses before the shuffle and the join's key side
+    stays one row per encounter.
+    """
     d = F.col(discharge)
     cut = F.date_sub(_as_of(as_of), days)
-    return master.where(d.isNotNull() & (F.to_date(d) < cut)).select(key)
+    return master.where(d.isNotNull() & (F.to_date(d) < cut)).select(key).distinct()
 
 
 def prune_master(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
@@ -35,8 +40,9 @@ def prune_master(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
 
 
 def prune_child(child: DataFrame, kept_master: DataFrame, key: str = KEY) -> DataFrame:
-    """R2: child rows whose encounter is still in the (pruned) master; orphans and NULL keys go."""
-    return child.join(kept_master.select(key), key, "left_semi")
+    """R2: child rows whose encounter is still in the (pruned) master; orphans and NULL keys go.
+    The master's keys are de-duplicated map-side first (A5)."""
+    return child.join(kept_master.select(key).distinct(), key, "left_semi")
 
 
 def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2, as_of=None, key: str = KEY,
