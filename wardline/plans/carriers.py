@@ -112,13 +112,15 @@ def esc(c: Column) -> Column:
 
 
 def el(name: str, *children) -> Column:
-    """``<name>children</name>``; NULL when every child is NULL or empty (so optional nodes vanish).
+    """``<name>children</name>``: NULL when its only child is NULL (an absent leaf); a parent
+    whose children are all absent renders empty, which parses to the same NULL fields.
 
-    Each child is referenced once: nesting stays linear in size.
+    Each child is referenced exactly once (no ``nullif``, which Spark rewrites into
+    a second copy of its argument), so nesting stays linear in size.
     """
     kids = [(c if isinstance(c, Column) else F.lit(c)) if not isinstance(c, _Node) else c.col for c in children]
     body = kids[0] if len(kids) == 1 else F.concat_ws("", *kids)
-    return F.nullif(F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>")), F.lit(f"<{name}></{name}>"))
+    return F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>"))
 
 
 class _Node:
