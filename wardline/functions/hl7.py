@@ -101,14 +101,24 @@ def normalize(text: Column) -> Column:
     return F.regexp_replace(patched, "\n", "\r")
 
 
+def observation_parts(segs: Column) -> Column:
+    """Every OBX as struct<c3, c5>: the components of the first repetition of OBX-3
+    (identifier, text, ...) and OBX-5 (the value), split once per observation."""
+    def comps(fields: Column, n: int) -> Column:
+        return F.split(F.get(F.split(F.get(fields, n), REPETITION_SEP), 0), COMPONENT_SEP)
+
+    return F.transform(repeating_segments(segs, "OBX"),
+                       lambda f: F.struct(comps(f, 3).alias("c3"), comps(f, 5).alias("c5")))
+
+
 def parse_lines(segs: Column) -> Column:
     """P4 over split segments: the parts every extractor reads.
 
-    struct<msh, evn, pid, pv1, pv2, zpv, dg1: array<string>, obx: array<array<string>>>
+    struct<msh, evn, pid, pv1, pv2, zpv, dg1: array<string>, obx: array<struct<c3, c5: array<string>>>>
     """
     parts = [segment_fields(segs, "MSH").alias("msh")]
     parts += [segment_fields(segs, s).alias(s.lower()) for s in SINGLE_SEGMENTS]
-    parts.append(repeating_segments(segs, "OBX").alias("obx"))
+    parts.append(observation_parts(segs).alias("obx"))
     return F.struct(*parts)
 
 
@@ -135,17 +145,17 @@ def is_valid(text: Column) -> Column:
     return validity(text).isNull()
 
 
-def _obx_code(o: Column, c: int) -> Column:
-    return component(o, 3, c)
+def _obx_is(o: Column, code: str, text: str) -> Column:
+    return (F.get(o["c3"], 0) == code) & (F.get(o["c3"], 1) == text)
 
 
-def _obx_is(o: Column, code: str, text: str) -> Column:
-    return (_obx_code(o, 1) == code) & (_obx_code(o, 2) == text)
+def _obx_value(o: Column, c: int) -> Column:
+    return blank_to_null(F.get(o["c5"], c - 1))
 
 
 def acuity(p: Column) -> Column:
     """E5: OBX-5.2 of every acuity observation joined by ``|||``; none -> NULL."""
-    vals = F.transform(F.filter(p["obx"], lambda o: _obx_is(o, OBS_ACUITY, TEXT_ACUITY)), lambda o: component(o, 5, 2))
+    vals = F.transform(F.filter(p["obx"], lambda o: _obx_is(o, OBS_ACUITY, TEXT_ACUITY)), lambda o: _obx_value(o, 2))
     return blank_to_null(F.array_join(vals, ACUITY_DELIMITER))
 
 
@@ -234,14 +244,14 @@ def dx_rows(p: Column) -> Column:
     """array<struct<dx_icd_cd, dx_name, dx_code_type>> of the chief-complaint OBX."""
     hits = F.filter(p["obx"], lambda o: _obx_is(o, OBS_CHIEF_COMPLAINT, TEXT_DX))
     rows = F.transform(hits, lambda o: F.struct(
-        component(o, 5, 1).alias("dx_icd_cd"), component(o, 5, 2).alias("dx_name"), component(o, 5, 3).alias("dx_code_type")))
+        _obx_value(o, 1).alias("dx_icd_cd"), _obx_value(o, 2).alias("dx_name"), _obx_value(o, 3).alias("dx_code_type")))
     return F.filter(rows, lambda r: r["dx_icd_cd"].isNotNull() | r["dx_name"].isNotNull() | r["dx_code_type"].isNotNull())
 
 
 def visit_reasons(p: Column) -> Column:
     """array<string> of OBX-5.9 of the visit-reason observations, empties dropped."""
     hits = F.filter(p["obx"], lambda o: _obx_is(o, OBS_CHIEF_COMPLAINT, TEXT_VISIT_REASON))
-    return F.filter(F.transform(hits, lambda o: component(o, 5, 9)), lambda r: r.isNotNull())
+    return F.filter(F.transform(hits, lambda o: _obx_value(o, 9)), lambda r: r.isNotNull())
 
 
 def er_complaint(p: Column) -> Column:

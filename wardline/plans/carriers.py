@@ -248,6 +248,9 @@ def _obx_xml(l, v) -> Column:
 
 def _order_lines(lineitem: DataFrame, render) -> DataFrame:
     """Per order: its OBX segments ordered by (line number, part, supplier, quantity); one bounded aggregation per order."""
+    from wardline.plans.queries import spread
+
+    lineitem = spread(lineitem)  # render on every core; a no-op for a source with enough splits
     l = {c: F.col(c) for c in lineitem.columns}
     seg = render(l, _line_values(l))
     order = [l["l_linenumber"].alias("n"), l["l_partkey"].alias("p"), l["l_suppkey"].alias("q"), l["l_quantity"].alias("r")]
