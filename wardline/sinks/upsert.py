@@ -2,9 +2,11 @@
 
 A current table is partitioned by ``_bucket = pmod(xxhash64(key), n)``. An
 upsert reduces the batch to the latest state per key, reads only the buckets
-the batch touches (partition pruning), merges per key, stages the merged
-buckets and swaps them in with a dynamic partition overwrite. Buckets the
-batch does not touch are neither read nor written.
+the batch touches (partition pruning), merges per key in one shuffle on the
+bucket (so each bucket is written by one task, one file per bucket), stages
+the merged buckets and swaps them in with a dynamic partition overwrite.
+Buckets the batch does not touch are neither read nor written. Size
+``buckets`` to the table: each bucket should stay within one task's memory.
 
 Merge rule (D7): per key, the side with the later ``msg_tm`` wins and the
 batch wins ties, so replaying or reordering batches cannot roll a row back.
@@ -34,12 +36,18 @@ def reduce_batch(batch: DataFrame, key: str = KEY, mode: str = "one",
     return latest_with_ties(batch, [key], order[0])
 
 
-def merge_states(target: DataFrame, updates: DataFrame, key: str = KEY, time_col: str = "msg_tm") -> DataFrame:
+def merge_states(target: DataFrame, updates: DataFrame, key: str = KEY, time_col: str = "msg_tm",
+                 by: str | None = None, partitions: int | None = None) -> DataFrame:
     """Per key keep the updates when their time is >= the target's, else the target rows.
     NULL keys never match, so both sides' NULL-key rows are kept. An updated key keeps
-    its first insert stamp. One shuffle on the key."""
+    its first insert stamp. One shuffle: on ``by`` (a function of the key, e.g. its
+    bucket) when given, so the result comes out already clustered for the write."""
     both = target.withColumn("_src", F.lit(0)).unionByName(updates.withColumn("_src", F.lit(1)))
-    w = Window.partitionBy(key)
+    if by:
+        both = both.repartition(partitions, by) if partitions else both.repartition(by)
+        w = Window.partitionBy(by, key)
+    else:
+        w = Window.partitionBy(key)
     is_t, is_s = F.col("_src") == 0, F.col("_src") == 1
     t_max = F.max(F.when(is_t, F.col(time_col))).over(w)
     s_max = F.max(F.when(is_s, F.col(time_col))).over(w)
@@ -60,7 +68,8 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str = KEY, mod
     reduced = stamp_update(stamp_insert(reduce_batch(batch.drop(BUCKET), key, mode)))
     reduced = reduced.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
     if not exists(spark, path):
-        reduced.write.partitionBy(BUCKET).parquet(path)
+        # one task per bucket: one file per bucket folder
+        reduced.repartition(buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
         return
     reduced = reduced.persist()
     try:
@@ -68,9 +77,9 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str = KEY, mod
         if not touched:
             return
         target = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
-        merged = merge_states(target, reduced.select(*target.columns), key).select(*target.columns)
+        merged = merge_states(target, reduced.select(*target.columns), key, by=BUCKET, partitions=len(touched))
         staged = scratch_path(spark, "upsert-stage")
-        merged.write.partitionBy(BUCKET).parquet(staged)
+        merged.select(*target.columns).write.partitionBy(BUCKET).parquet(staged)
         spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(BUCKET).parquet(path)
     finally:
