@@ -133,3 +133,15 @@ def test_missing_segments_give_nulls(spark):
     r = adt(spark, [msg([BASE[0]])])["m0"]
     assert r["trigger_evnt"] == "A04" and r["pat_enc_csn_id"] is None and r["pat_mrn_id"] is None
     assert r["acuity_level_abbr"] is None
+
+
+def test_normalize_and_broker_transform(spark):
+    from wardline.functions.hl7 import normalize
+    from wardline.sources.broker import broker_messages
+
+    df = spark.createDataFrame([("MSH|^~\\&|A|2.3x|2.3\nPID|1",)], "text string")
+    assert df.select(normalize(F.col("text"))).first()[0] == "MSH|^~\\&|A|2.5x|2.3\rPID|1"
+    recs = spark.createDataFrame([(bytearray(msg(BASE).encode()), "0", 5, "50"), (bytearray(b"junk"), "1", 6, "60")],
+                                 "body binary, partition string, sequenceNumber bigint, offset string")
+    assert [(r["msg_nm"], r["text"][:3]) for r in broker_messages(recs).collect()] == [("0-5-50", "MSH")]
+    assert [r["valid"] for r in broker_messages(recs, keep_rejects=True).collect()] == [True, False]

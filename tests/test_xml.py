@@ -93,3 +93,31 @@ def test_split_batches(spark):
     assert got[2] == [(0, "a"), (1, "b")]
     assert 3 not in got
     assert got[4] == [(0, "\nx"), (1, "y")]
+
+
+def test_file_drop_stream_names_and_archive(spark, tmp_path):
+    import os
+
+    from wardline.session import scratch_path
+    from wardline.sources.files import read_text_named
+
+    root = scratch_path(spark, "drop")
+    os.makedirs(f"{root}/in/day1", exist_ok=True)
+    with open(f"{root}/in/day1/msg-a.xml", "w") as f:
+        f.write(envelope() + X.BATCH_DELIMITER + "\n" + envelope(trigger="A01"))
+    s = read_text_named(spark, f"{root}/in", archive_dir=f"{root}/archive", glob="*.xml")
+    q = E.explode_batches(s).writeStream.format("memory").queryName("drop_test") \
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.sql("SELECT msg_nm, part_no FROM drop_test ORDER BY part_no").collect()
+    assert [(r[0], r[1]) for r in got] == [("msg-a.xml", 0), ("msg-a.xml", 1)]
+
+
+def test_flatten_last_repetition_wins(spark):
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+    schema = StructType([StructField("A", StructType([StructField("B", StringType())])),
+                         StructField("R", ArrayType(StructType([StructField("V", StringType())])))])
+    df = spark.createDataFrame([("<x><A><B>1</B></A><R><V>a</V></R><R><V>b</V></R></x>",)], "t string")
+    out = df.select(F.from_xml("t", schema).alias("m")).select(*X.flatten_struct(F.col("m"), schema))
+    assert out.columns == ["A.B", "R.V"] and tuple(out.first()) == ("1", "b")

@@ -13,9 +13,11 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def read_files(spark: SparkSession, directory: str, max_files: int | None = None, archive_dir: str | None = None,
-               glob: str | None = None) -> DataFrame:
-    """Streaming binary files. ``archive_dir`` moves processed files away."""
+               glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """Streaming binary files, sub-folders included. ``archive_dir`` moves processed files away."""
     r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if archive_dir:
