@@ -236,10 +236,6 @@ def child_header(p: Column, msg_src: str = HL7_SOURCE) -> tuple[Column, Column,
     return F.lit(msg_src), message_time(p), encounter_id(p)
 
 
-def child_header_raw(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
-    return {"msg_src": F.lit(msg_src), "msg_tm": whole(p["msh"], 7, "MSH"), "pat_enc_csn_id": whole(p["pv1"], 19)}
-
-
 def dx_rows(p: Column) -> Column:
     """array<struct<dx_icd_cd, dx_name, dx_code_type>> of the chief-complaint OBX."""
     hits = F.filter(p["obx"], lambda o: _obx_is(o, OBS_CHIEF_COMPLAINT, TEXT_DX))

@@ -234,11 +234,6 @@ def adt_columns(m: Column) -> dict[str, Column]:
     return {k: convert(k, v) for k, v in adt_raw(m).items()}
 
 
-def child_header_raw(m: Column) -> dict[str, Column]:
-    return {"msg_src": _leaf(m, "region"), "msg_tm": _leaf(m, "received"),
-            "pat_enc_csn_id": _leaf(segment(m, PV1), "PV1.19.VisitNumber", *CX)}
-
-
 def child_header(m: Column) -> tuple[Column, Column, Column]:
     """Region, received time, encounter; rows need all three."""
     return _leaf(m, "region"), message_time(m), encounter_id(m)
