@@ -121,3 +121,14 @@ def test_flatten_last_repetition_wins(spark):
     df = spark.createDataFrame([("<x><A><B>1</B></A><R><V>a</V></R><R><V>b</V></R></x>",)], "t string")
     out = df.select(F.from_xml("t", schema).alias("m")).select(*X.flatten_struct(F.col("m"), schema))
     assert out.columns == ["A.B", "R.V"] and tuple(out.first()) == ("1", "b")
+
+
+def test_segments_under_unknown_parents_are_found(spark):
+    t = envelope().replace("<ns0:MessagePayload><ns0:AdministerPatient>",
+                           "<ns0:MessagePayload><ns0:AdministerPatient><ns0:Elsewhere>") \
+        .replace("<ns0:DG1.Diagnosis>", "</ns0:Elsewhere><ns0:DG1.Diagnosis>") \
+        .replace("<VisitGroup><ns0:PV1.PatientVisit>", "<VisitGroup><Deeper><ns0:PV1.PatientVisit>") \
+        .replace("</ns0:PV1.PatientVisit>", "</ns0:PV1.PatientVisit></Deeper>")
+    good, _ = E.split_valid(E.parse_xml(frame(spark, [t])), E.XML)
+    r = collect(E.adt_detail(good, E.XML))[0]
+    assert (r["trigger_evnt"], r["pat_mrn_id"], r["pat_enc_csn_id"], r["pat_class_abbr"]) == ("A04", "M100", 55501, "EMERGENCY")

@@ -114,10 +114,28 @@ def parse(text: Column) -> Column:
 
 
 SEGMENT_KEYS = {MSH: "msh", EVN: "evn", PID: "pid", PV1: "pv1", PV2: "pv2", ZPV: "zpv", DG1: "dg1"}
+# Segments whose parent element is not fixed by the message specification: when
+# one is under neither known parent it is located anywhere in the document.
+UNPLACED = (MSH, EVN, PID, PV1, PV2, ZPV)
 
 
-def normalize(env: Column) -> Column:
-    """P8/P9 once per message: each segment taken from whichever known parent holds it.
+def _anywhere(text: Column, seg: str) -> Column:
+    """The first ``seg`` element wherever it sits, parsed with the segment's schema.
+
+    A path-suffix lookup: the element is cut out of the text and parsed on its
+    own (wrapped so its namespace prefixes stay bound). Only evaluated for a
+    message whose segment was not found under a known parent.
+    """
+    esc = seg.replace(".", r"\.")
+    frag = F.regexp_extract(text, f"<{esc}(?:\\s[^>]*)?>[\\s\\S]*?</{esc}>", 0)
+    wrapped = F.concat(F.lit('<w xmlns:ns0="urn:w0" xmlns:ns1="urn:w1">'), frag, F.lit("</w>"))
+    schema = StructType([StructField(seg, _s(_SEGMENTS[seg]))])
+    return F.when(frag != "", F.from_xml(wrapped, schema, {"mode": "PERMISSIVE"})[seg])
+
+
+def normalize(env: Column, text: Column | None = None) -> Column:
+    """P8/P9 once per message: each segment taken from whichever known parent holds it,
+    else (given the text) from anywhere in the document.
 
     struct<region, bodid, received, corrupt, msh, evn, pid, pv1, pv2, zpv, dg1, obx>;
     extractors read this flat struct, so the parent lookup is not repeated per field.
@@ -126,7 +144,11 @@ def normalize(env: Column) -> Column:
     group = admin[VISIT_GROUP]
     parts = [env[REGION].alias("region"), env[BODID].alias("bodid"), env[RECEIVED].alias("received"),
              env[CORRUPT].alias("corrupt")]
-    parts += [F.coalesce(admin[seg], group[seg]).alias(k) for seg, k in SEGMENT_KEYS.items()]
+    for seg, k in SEGMENT_KEYS.items():
+        found = [admin[seg], group[seg]]
+        if text is not None and seg in UNPLACED:
+            found.append(F.when(env[CORRUPT].isNull(), _anywhere(text, seg)))
+        parts.append(F.coalesce(*found).alias(k))
     parts.append(F.coalesce(group[OBX], admin[OBX], F.array().cast(ArrayType(_s(_SEGMENTS[OBX][0])))).alias("obx"))
     return F.struct(*parts)
 

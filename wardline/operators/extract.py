@@ -26,7 +26,7 @@ def parse_hl7(df: DataFrame, text: str = "text") -> DataFrame:
 def parse_xml(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the parsed envelope, normalized to one struct of segments (two projections)."""
     return df.withColumn("_env", xmlmsg.parse(F.col(text))) \
-        .withColumn(PARSED, xmlmsg.normalize(F.col("_env"))).drop("_env")
+        .withColumn(PARSED, xmlmsg.normalize(F.col("_env"), F.col(text))).drop("_env")
 
 
 def parse(df: DataFrame, fmt: str, text: str = "text") -> DataFrame:
