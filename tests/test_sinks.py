@@ -89,3 +89,16 @@ def test_retention_job_prunes_children_and_master(spark):
     RT.retention_job(spark, f"{root}/m", [f"{root}/c"], 2, "2024-01-10")
     assert [r[0] for r in spark.read.parquet(f"{root}/m").collect()] == [2]
     assert [r[0] for r in spark.read.parquet(f"{root}/c").collect()] == [2]
+
+
+def test_rewrites_keep_batch_partitioning(spark):
+    root = scratch_path(spark, "histpart")
+    h = f"{root}/h"
+    df = rows(spark, [(1, T1, "a", "x"), (2, T2, "b", "y")])
+    UP.append_batch(df, 0, h)
+    m = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, None)], "pat_enc_csn_id bigint, hosp_disch_time timestamp")
+    m.write.parquet(f"{root}/m")
+    RT.retention_job(spark, f"{root}/m", [h], 2, "2024-01-10", cluster_by="row_insert_tsp")
+    assert TB.partition_columns(spark, h) == ["_batch_id"]
+    UP.append_batch(df, 1, h)  # appending after the rewrite still works
+    assert sorted(r[0] for r in spark.read.parquet(h).select("pat_enc_csn_id").collect()) == [1, 2, 2]

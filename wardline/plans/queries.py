@@ -299,7 +299,8 @@ def _run_ingest(spark, d):
     stream = spark.readStream.schema("body binary, partition string, sequenceNumber bigint, offset string") \
         .option("maxFilesPerTrigger", par).parquet(drop)
     paths = {t: f"{root}/{t}" for t in IN.TABLES}
-    q = IN.ingest(BR.broker_messages(stream), E.HL7, paths, f"{root}/_checkpoint", f"{root}/quarantine", f"{root}/metrics")
+    # rejects are not dropped at the source: the fan-out routes them to the quarantine
+    q = IN.ingest(BR.broker_messages(stream, keep_rejects=True).drop("valid"), E.HL7, paths, f"{root}/_checkpoint", f"{root}/quarantine", f"{root}/metrics")
     q.awaitTermination()
     return root, paths
 

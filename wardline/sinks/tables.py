@@ -49,6 +49,20 @@ def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
     return out
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a path table, read from its top-level ``name=value`` folders."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and "=" in name:
+            first = name.split("=", 1)[0]
+            deeper = partition_columns(spark, st.getPath().toString())
+            return [first, *deeper]
+    return []
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Replace ``path`` by the fully written ``staged`` directory (two renames)."""
     fs, target, jvm = _fs(spark, path)
@@ -66,8 +80,11 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` beside ``path``; returns the staged directory."""
+    """Write ``df`` beside ``path``; returns the staged directory. The table's own
+    partitioning is kept unless ``partition_by`` says otherwise."""
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
+    if partition_by is None:
+        partition_by = [c for c in partition_columns(df.sparkSession, path) if c in df.columns]
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -92,12 +109,19 @@ def insert_select(df: DataFrame, path: str, schema: StructType) -> None:
 
 
 def compact(spark: SparkSession, path: str, col: str = "row_insert_tsp", files: int | None = None) -> None:
-    """Rewrite the table range-partitioned and sorted on ``col`` (one-column clustering).
+    """Rewrite the table range-partitioned and sorted on ``col`` (one-column clustering),
+    keeping its folder partitioning.
 
     ``files`` defaults to the current file count divided so each output file is
     about the size of ``spark.sql.files.maxPartitionBytes``.
     """
-    df = spark.read.parquet(path)
+    from pyspark.errors import AnalysisException
+
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:  # a partitioned table pruned to nothing has no file to read a schema from
+        return
     n = files or max(1, df.rdd.getNumPartitions())
-    clustered = df.repartitionByRange(n, F.col(col)).sortWithinPartitions(col)
-    overwrite_table(spark, clustered, path)
+    parts = partition_columns(spark, path)  # e.g. ``_batch_id`` of a history table: kept
+    clustered = df.repartitionByRange(n, F.col(col)).sortWithinPartitions(*parts, col)
+    overwrite_table(spark, clustered, path, parts or None)
