@@ -10,10 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from wardline.functions import xmlmsg as XM
 from wardline.functions.timeparse import utc_ntz
+from wardline.operators import cleanse as CL
 from wardline.operators import extract as E
+from wardline.operators import latest as LT
+from wardline.operators import retention as RT
+from wardline.operators import seed as SD
 from wardline.plans import carriers as C
+from wardline.plans import seed_roles as SR
+from wardline.schemas import ADT_HIST
 from wardline.session import scratch_path
+from wardline.sinks import tables as TB
+from wardline.sinks import upsert as UP
+from wardline.sinks import warehouse as WH
+from wardline.sources import broker as BR
+from wardline.sources import files as FS
+from wardline.sources import tables as ST
+from wardline.streaming import ingest as IN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,9 +167,6 @@ QUERIES = {
 
 # ------------------------------------------------------------------ relational
 
-from wardline.operators import cleanse as CL  # noqa: E402
-from wardline.operators import latest as LT  # noqa: E402
-from wardline.operators import retention as RT  # noqa: E402
 
 # Fixed query parameters of the registered retention check.
 RETENTION_AS_OF = "1996-01-01"
@@ -236,15 +247,6 @@ QUERIES.update({
 
 # ------------------------------------------------------------------ sinks and streams
 
-from wardline.functions import xmlmsg as XM  # noqa: E402
-from wardline.schemas import ADT_HIST  # noqa: E402
-from wardline.sinks import tables as TB  # noqa: E402
-from wardline.sinks import upsert as UP  # noqa: E402
-from wardline.sinks import warehouse as WH  # noqa: E402
-from wardline.sources import broker as BR  # noqa: E402
-from wardline.sources import files as FS  # noqa: E402
-from wardline.sources import tables as ST  # noqa: E402
-from wardline.streaming import ingest as IN  # noqa: E402
 
 # Fixed query parameter: events before this instant form the older of two upsert batches.
 SPLIT_TS = "2024-01-16 00:00:00"
@@ -382,9 +384,6 @@ QUERIES.update({
 
 # ------------------------------------------------------------------ seed
 
-from wardline.operators import seed as SD  # noqa: E402
-from wardline.plans import seed_roles as SR  # noqa: E402
-
 
 def _seeded(spark, d):
     t = SR.roles(spark, d)
