@@ -55,7 +55,7 @@ def main() -> None:
     landed = {
         "hl7_events": (E.HL7, land(spark, C.hl7_from_events(spread(table(spark, sf_dir, "events"))), "bench-hl7e")),
         "hl7_orders": (E.HL7, land(spark, C.hl7_from_orders(table(spark, sf_dir, "orders"),
-                                                            table(spark, sf_dir, "lineitem")), "bench-hl7o")),
+                                                            table(spark, sf_dir, "lineitem")), "bench-hl7o", spread_out=True)),
         "xml_events": (E.XML, land(spark, C.xml_from_events(spread(table(spark, sf_dir, "events"))), "bench-xmle")),
     }
     for name, (fmt, msgs) in landed.items():

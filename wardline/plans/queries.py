@@ -34,20 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that has fewer partitions than the cluster has cores
-    (a single small file); a no-op for any source of real size."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin a table scan that has fewer partitions than the cluster has cores
+    (a single small file); a no-op for any source of real size. Only for scans: the
+    partition count of a plan with a shuffle is only known by running it."""
+    par = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(par) if scan.rdd.getNumPartitions() < par else scan
 
 
-def land(spark: SparkSession, msgs: DataFrame, name: str) -> DataFrame:
+def land(spark: SparkSession, msgs: DataFrame, name: str, spread_out: bool = False) -> DataFrame:
     """Writes rendered messages to the shared folder and reads them back, as a message
-    drop would deliver them. Parsing then starts from stored text (the optimizer cannot
-    fold the rendering into every consumer), and a source smaller than the cluster's
-    parallelism is spread over all cores first."""
-    msgs = spread(msgs)
+    drop would deliver them. Parsing then starts from stored text, and the optimizer
+    cannot fold the rendering into every consumer. ``spread_out`` writes one file per
+    core for messages rendered after a shuffle (AQE may have coalesced it to a few
+    partitions, and each file is read by one task)."""
     path = scratch_path(spark, name)
+    if spread_out:
+        msgs = msgs.repartition(spark.sparkContext.defaultParallelism)
     msgs.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -81,7 +84,8 @@ def hl7_event_times(spark, d):
 
 
 def _hl7_orders(spark, d):
-    msgs = land(spark, C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "hl7-orders")
+    msgs = land(spark, C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "hl7-orders",
+                spread_out=True)
     return _accepted(msgs, E.HL7)
 
 
@@ -109,7 +113,7 @@ def hl7_mrn_first_repetition(spark, d):
 
 def hl7_reject_split(spark, d):
     events = spread(table(spark, d, "events"))
-    msgs = land(spark, C.damage_events(C.hl7_from_events(events), events), "hl7-damaged")
+    msgs = land(spark, C.damage_events(C.hl7_from_events(events), events), "hl7-damaged", spread_out=True)
     return E.with_validity(msgs, E.HL7).select("msg_nm", "reject_reason")
 
 
@@ -122,7 +126,8 @@ def xml_adt_detail(spark, d):
 
 
 def _xml_orders(spark, d):
-    msgs = land(spark, C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "xml-orders")
+    msgs = land(spark, C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "xml-orders",
+                spread_out=True)
     return _accepted(msgs, E.XML)
 
 
@@ -143,7 +148,7 @@ def xml_acuity(spark, d):
 
 
 def split_batched_files(spark, d):
-    files = land(spark, C.batch_documents(table(spark, d, "documents")), "batched-files")
+    files = land(spark, C.batch_documents(table(spark, d, "documents")), "batched-files", spread_out=True)
     return E.explode_batches(files).select("file_id", "part_no", "text")
 
 
