@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import secret_scan
+from wardline.llm import decontaminate, secret_scan
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +16,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan,)}
-ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE}
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op6_decontaminate)}
+ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE,
+                          "op6_decontaminate": decontaminate.ORACLE}
