@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import decontaminate, secret_scan
+from wardline.llm import decontaminate, near_dup, secret_scan
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op6_decontaminate)}
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op6_decontaminate, op8_near_dup)}
 ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE,
-                          "op6_decontaminate": decontaminate.ORACLE}
+                          "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE}
