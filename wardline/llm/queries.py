@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import decontaminate, near_dup, secret_scan
-from wardline.llm.common import table
+from wardline.llm import decontaminate, language_id, near_dup, packing, secret_scan
+from wardline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +29,13 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op6_decontaminate, op8_near_dup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT
+    model = language_id.learn_model(docs, ~held_out)
+    return language_id.detect(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op4_packing, op6_decontaminate, op8_near_dup, op10_language_id)}
 ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE,
                           "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE}
