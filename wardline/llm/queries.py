@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import decontaminate, language_id, near_dup, packing, secret_scan
+from wardline.llm import bitslice, decontaminate, language_id, near_dup, packing, ppm, secret_scan
 from wardline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
@@ -25,6 +29,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), ppm.FOLDS) == ppm.HELD_OUT
+    return ppm.score(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                                             "base_score", "score")
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.detect(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op4_packing, op6_decontaminate, op8_near_dup, op10_language_id)}
-ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_topk_search, op4_packing, op6_decontaminate,
+                                                 op7_ppm_score, op8_near_dup, op10_language_id)}
+ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE, "op2_topk_search": bitslice.ORACLE,
                           "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE}
