@@ -1,10 +1,77 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read back by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read back by the next.
+
+Stages before the last return the columns of documents. What a stage rejects it
+names by doc_id, so rows with a null doc_id, which nothing can name, stay. The
+rejected are few next to the kept: they are counted, and sent to the tasks only
+under a byte bound, so that no text is shuffled.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.llm import decontaminate, language_id, near_dup, packing, secret_scan
+from wardline.llm.common import broadcast_if_small, materialise, table
+
+#: A text is kept if its language has at least this share of its letters.
+LEAST_SHARE = 0.4
+
+
+def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    gone = materialise(rejected.select("doc_id").where("doc_id IS NOT NULL").distinct(), name)
+    return docs.join(broadcast_if_small(gone, gone.count(), 16), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach; those without a letter or a clear language go."""
+    model = language_id.learn_model(docs, F.lit(True))
+    if not model.labels:  # nothing to judge by
+        return docs
+    found = language_id.detect(docs, model, runs=False)
+    return _without(docs, found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE)), "no-language")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, and one of rows that repeat an id and its text."""
+    kept = _without(docs, near_dup.near_duplicates(docs).where("NOT kept"), "near-duplicates")
+    many = materialise(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    hint = broadcast_if_small(many, many.count(), 16)
+    again = kept.join(hint, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _without(kept, many, "repeated-ids").unionByName(again.dropDuplicates(["doc_id", "text"]))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated"), "contaminated")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked."""
+    return secret_scan.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token sequences of what is left."""
+    return packing.pack(packing.pieces(docs))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", pack),
+]
+
+#: Stages with a learned model or a tokenizer are beyond SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bitslice, decontaminate, language_id, near_dup, packing, ppm, secret_scan
+from wardline.llm import (bitslice, decontaminate, html_text, language_id, license_scan, near_dup, packing, ppm, quality,
+                          secret_scan)
 from wardline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +22,23 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
+    scored = quality.score(docs, quality.learn_model(docs, labels, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,6 +54,10 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT
@@ -47,7 +65,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.detect(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_topk_search, op4_packing, op6_decontaminate,
-                                                 op7_ppm_score, op8_near_dup, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_secret_scan, op2_topk_search, op3_quality, op4_packing, op5_license_scan, op6_decontaminate, op7_ppm_score,
+    op8_near_dup, op9_html_text, op10_language_id)}
 ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE, "op2_topk_search": bitslice.ORACLE,
                           "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE}

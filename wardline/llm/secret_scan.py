@@ -187,9 +187,13 @@ def _labelled(order: int, kind: str):
                               s["end"].alias("end"))
 
 
-def scan(docs: DataFrame, rules=RULES) -> DataFrame:
-    """(doc_id, kind, start, end) lists: one row per document, column ``spans`` array by start, then rule order."""
-    docs = docs.select("doc_id", "text")
+def scan(docs: DataFrame, rules=RULES, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, spans): one row per document; spans by start, then in the rules' order.
+
+    With ``whole_rows`` a column ``row`` holds all columns of the document.
+    """
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    docs = docs.select("doc_id", "text", *row)
     postings = materialise(build_index(docs, rules), "trigram-postings")
     # written, so that its size is known before the join is planned
     found = materialise(candidates(postings, rules), "secret-candidates")
@@ -202,7 +206,30 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
         if trigram_query(r.pattern):
             hit = F.when(F.col("doc_id").isNull() | F.array_contains("kinds", r.kind), hit).otherwise(empty)
         lists.append(F.transform(hit, _labelled(i, r.kind)))
-    return marked.select("doc_id", F.array_sort(F.concat(*lists)).alias("spans"))
+    return marked.select("doc_id", F.array_sort(F.concat(*lists)).alias("spans"), *(["row"] if whole_rows else []))
+
+
+def redact(docs: DataFrame, rules=RULES, mask: str = "[SECRET]") -> DataFrame:
+    """The documents, with every span of their texts masked; overlapping spans are masked once.
+
+    A column n_chars, if there is one, is counted anew. A null text stays null.
+    """
+    found = scan(docs, rules, whole_rows=True)
+    text = F.col("row.text")
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = s["start"] >= acc["at"]
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+
+    rest = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.char_length(text))))
+    clean = F.when(F.size("spans") > 0, rest).otherwise(text)
+    out = found.select("row", clean.alias("clean"))
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast(kinds.get("n_chars", "long"))}
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, rules=RULES) -> DataFrame:
