@@ -161,7 +161,8 @@ def _search(k: int):
         for f in frames:
             out = []
             for no, is_query, ids, v, dim in zip(f["block"], f["is_query"], f["ids"], f["v"], f["dim"], strict=True):
-                ids, v = np.frombuffer(ids, np.int64), np.frombuffer(v, "<i4").reshape(-1, dim).astype(np.int64)
+                ids = np.frombuffer(ids, np.int64)
+                v = np.frombuffer(v, "<i4").reshape(len(ids), dim).astype(np.int64)
                 if not is_query:
                     held = (no, build(ids, v))
                 elif held and held[0] == no and held[1].maps.shape[1] == dim:

@@ -247,6 +247,7 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
     frequent = words.where(_grade(F.col("n")) >= least).toPandas()
     keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
     sort = np.argsort(keys)
+    ends = words.where(F.col("key") == int(END_WORD)).agg(F.sum("n")).first()[0] or 0
     held = spark.sparkContext.broadcast((learn(counted, order, nodes), keys[sort], frequent["n"].to_numpy(np.int64)[sort]))
     base = tokens + 0.5 * (distinct + 1)
 
@@ -259,12 +260,10 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
                 at, known = _find(keys, w.hashes)
                 each = np.where(known, np.log10((n[at] if len(n) else 0) + 0.5), 0)
                 sums, known_to = (np.concatenate([[0], np.cumsum(x)]) for x in (each, known))
-                end, end_known = _find(keys, np.array([END_WORD]))
-                end_score = np.log10((n[end[0]] if end_known[0] else 0) + 0.5)
                 size = np.diff(w.first)
                 out = pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].astype("Int64").array, "n_tokens": size + 1})
-                out["n_known"] = np.diff(known_to[w.first]) + int(end_known[0])
-                out["found"] = np.diff(sums[w.first]) + end_score - (size + 1) * np.log10(base) if base else 0.0
+                out["n_known"] = np.diff(known_to[w.first]) + int(ends > 0)
+                out["found"] = np.diff(sums[w.first]) + np.log10(ends + 0.5) - (size + 1) * np.log10(base)
                 out["score"] = text_scores(trie, texts[a:b])
                 signed = w.hashes.view(np.int64)
                 out["rest"] = [signed[s:e][~known[s:e]] for s, e in zip(w.first[:-1], w.first[1:], strict=True)]
