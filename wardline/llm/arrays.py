@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Bytes of text that are worked on at once; a longer text makes a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -64,6 +64,17 @@ def encode(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
 
 
+def encoded(texts) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The texts of a column block by block, encoded as they are needed: (begin, end, bytes)."""
+    sizes = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
+    begin = 0
+    while begin < len(texts):
+        held = np.cumsum(sizes[begin : begin + BLOCK])
+        end = begin + max(1, int(np.searchsorted(held + np.arange(len(held)), BLOCK)))
+        yield begin, end, encode(texts[begin:end])
+        begin = end
+
+
 def words(texts: list[bytes]) -> Words:
     """Words are runs of anything but white space (ASCII)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)

@@ -261,12 +261,11 @@ def detect(docs: DataFrame, model: Model, runs: bool = True) -> DataFrame:
         m = held.value
         names = [*m.labels, "und"]
         for frame in frames:
-            texts = arrays.encode(frame["text"])
-            for a, b in arrays.blocks(texts):
+            for a, b, texts in arrays.encoded(frame["text"]):
                 if m.labels:
-                    label, score, word, first = label_texts(m, texts[a:b])
+                    label, score, word, first = label_texts(m, texts)
                     for i in np.flatnonzero(label >= 0):  # symbols beyond ASCII aren't letters
-                        t = texts[a + i]
+                        t = texts[i]
                         if not any(65 <= c <= 90 or 97 <= c <= 122 for c in set(t)) and not any(ch.isalpha() for ch in frame["text"].iloc[a + i]):
                             label[i], score[i] = -1, 0.0
                 else:

@@ -87,9 +87,8 @@ def _tree_keys(sig: np.ndarray) -> np.ndarray:
 
 def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts = arrays.encode(frame["text"])
-        for a, b in arrays.blocks(texts):
-            sets = shingle_sets(texts[a:b])
+        for a, b, texts in arrays.encoded(frame["text"]):
+            sets = shingle_sets(texts)
             sig = signatures(sets)
             row = np.cumsum([len(s) > 0 for s in sets]) - 1
             keys, low = _tree_keys(sig), (sig & 0xFF).astype(np.uint8)
@@ -231,9 +230,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def _full_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts = arrays.encode(frame["text"])
-        for a, b in arrays.blocks(texts):
-            sets = shingle_sets(texts[a:b])
+        for a, b, texts in arrays.encoded(frame["text"]):
+            sets = shingle_sets(texts)
             sig = (signatures(sets) & 0xFF).astype(np.uint8)
             yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "root": frame["root"].iloc[a:b].array,
                                 "chunks": frame["chunks"].iloc[a:b].array, "sig": [r.tobytes() for r in sig],

@@ -159,12 +159,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            texts = arrays.encode(f["text"])
-            for a, b in arrays.blocks(texts):
+            for a, b, texts in arrays.encoded(f["text"]):
                 if held.value is None:
                     p, per, best = np.full(b - a, 0.5), np.ones(b - a, int), np.zeros(b - a, int)
                 else:
-                    p, weight, per = predict(held.value, texts[a:b])
+                    p, weight, per = predict(held.value, texts)
                     best = [int(x.argmax()) for x in np.split(weight, np.cumsum(per)[:-1])]
                 yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].astype("Int64").array, "score": np.clip(p, 0, 1), "n_passages": per, "top_passage": best})
 
