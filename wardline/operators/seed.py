@@ -1,124 +1,147 @@
 """One-time seeding of the history tables from relational tables.
 
-``tables`` maps the relational table names below to DataFrames. The plan is
-plain joins, a filter and a top-1 window; join strategies are left to
-Catalyst and AQE (code tables are tiny, so they are broadcast by the size
-check Spark applies to every join).
+The inputs go by neutral role names (``ROLES``). The plan is: cut encounters and
+movements down to those that count, take each encounter's last movement, and
+only then attach names, from one list of look-ups. Join strategies are left to
+Catalyst and AQE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators.latest import latest_one
 
-# Fixed values of the seed rule: ADT event types kept (admission, discharge,
-# transfer in, patient update, census), the cancelled event subtype, the
-# test-patient flag, the service-area pattern, excluded locations, the
-# cancelled admission status and the literal columns of seeded rows.
-EVENT_TYPES = (1, 2, 3, 5, 6)
-CANCELLED_SUBTYPE = 2
+# Fixed values of the seed rule: movement types that are kept (admission,
+# discharge, transfer in, patient update, census), the cancelled movement
+# subtype, the flag of test patients, the cancelled admission status, the
+# literal of message columns, the source and the code system.
+MOVEMENT_TYPES = (1, 2, 3, 5, 6)
+CANCELLED_MOVEMENT = 2
 TEST_PATIENT = "Y"
-SERVICE_AREA_LIKE = "%MERCY%"
-EXCLUDED_LOCATIONS = (120230, 120112)
 CANCELLED_ADMISSION = 3
 SEED_LITERAL = "ETL"
 SEED_SOURCE = "STL"
 DX_CODE_TYPE = "ICD-10-CM"
 
-
-def _d(x) -> Column:
-    return F.lit(str(x)).cast("date")
-
-
-def seed_adt(t: Mapping[str, DataFrame], as_of, start="2021-07-01", msg_tm: Column | None = None,
-             event_types: Sequence[int] = EVENT_TYPES, excluded_locations: Sequence[int] = EXCLUDED_LOCATIONS,
-             service_area_like: str = SERVICE_AREA_LIKE, retention_days: int = 2) -> DataFrame:
-    """Current encounters (not discharged, or discharged in the last ``retention_days``)
-    with the bed and room of their last ADT event up to the day before ``as_of``."""
-    as_of_d, start_d = _d(as_of), _d(start)
-    peh = t["pat_enc_hsp"].alias("peh")
-    c = t["clarity_adt"].alias("c").where(
-        (F.to_date("c.effective_time") >= start_d) & (F.to_date("c.effective_time") <= F.date_sub(as_of_d, 1))
-        & F.col("c.event_type_c").isin(*event_types) & (F.col("c.event_subtype_c") != CANCELLED_SUBTYPE))
-    pat = t["patient"].alias("pat")
-    p3 = t["patient_3"].alias("p3").where(F.col("p3.is_test_pat_yn") != TEST_PATIENT)
-    dep = t["mv_dep_loc_sa"].alias("dep")
-    rom, bed = t["clarity_rom"].alias("rom"), t["clarity_bed"].alias("bed")
-
-    j = (peh.join(c, F.col("peh.pat_enc_csn_id") == F.col("c.pat_enc_csn_id"))
-         .join(pat, F.col("pat.pat_id") == F.col("peh.pat_id"))
-         .join(p3, F.col("peh.pat_id") == F.col("p3.pat_id"))
-         .join(t["zc_pat_class"].alias("zc_class"), F.col("peh.adt_pat_class_c") == F.col("zc_class.adt_pat_class_c"), "left")
-         .join(dep, F.col("c.department_id") == F.col("dep.department_id"))
-         .join(rom, F.col("c.room_csn_id") == F.col("rom.room_csn_id"))
-         .join(bed, F.col("bed.bed_csn_id") == F.col("c.bed_csn_id"))
-         .join(t["zc_disch_disp"].alias("zc_disp"), F.col("peh.disch_disp_c") == F.col("zc_disp.disch_disp_c"), "left")
-         .join(t["zc_acuity_level"].alias("zc_acuity"), F.col("zc_acuity.acuity_level_c") == F.col("peh.acuity_level_c"), "left")
-         .join(t["zc_sex"].alias("zc_sex"), F.col("zc_sex.rcpt_mem_sex_c") == F.col("pat.sex_c"), "left")
-         .join(t["zc_arriv_means"].alias("zc_arriv"), F.col("zc_arriv.means_of_arrv_c") == F.col("peh.means_of_arrv_c"), "left")
-         .join(t["zc_ed_disposition"].alias("zc_ed"), F.col("zc_ed.ed_disposition_c") == F.col("peh.ed_disposition_c"), "left")
-         .join(t["zc_bed_status"].alias("zc_bed"), F.col("zc_bed.bed_status_c") == F.col("bed.bed_status_c"), "left")
-         .join(t["zc_accommodation"].alias("zc_accomm"), F.col("zc_accomm.accommodation_c") == F.col("c.accommodation_c"), "left"))
-    disch = F.col("peh.hosp_disch_time")
-    j = j.where((F.to_date("peh.hosp_admsn_time") >= start_d)
-                & (disch.isNull() | (F.to_date(disch) >= F.date_sub(as_of_d, retention_days)))
-                & F.col("dep.sa_rpt_grp_six_name").like(service_area_like)
-                & ~F.col("dep.loc_id").isin(*excluded_locations)
-                & (F.col("peh.admit_conf_stat_c") != CANCELLED_ADMISSION)
-                & F.col("pat.death_date").isNull())
-    lit = F.lit(SEED_LITERAL)
-    rows = j.select(
-        lit.alias("msg_typ"), F.lit(SEED_SOURCE).alias("msg_src"), lit.alias("trigger_evnt"),
-        (msg_tm if msg_tm is not None else F.current_timestamp()).alias("msg_tm"), lit.alias("msg_nm"), lit.alias("bod_id"),
-        F.col("pat.pat_mrn_id").alias("pat_mrn_id"), F.col("peh.pat_enc_csn_id").alias("pat_enc_csn_id"),
-        F.col("pat.birth_date").alias("birth_date"), F.col("pat.death_date").alias("death_date"),
-        F.upper("zc_class.abbr").alias("pat_class_abbr"), F.col("peh.hosp_admsn_time").alias("hosp_admsn_time"),
-        disch.alias("hosp_disch_time"), F.col("dep.department_abbr").alias("department_abbr"),
-        F.col("dep.loc_abbr").alias("loc_abbr"), F.col("rom.room_name").alias("room_nm"),
-        F.col("bed.bed_label").alias("bed_label"), F.col("zc_bed.name").alias("bed_status"),
-        F.col("zc_sex.abbr").alias("sex_abbr"), F.col("zc_arriv.name").alias("means_of_arrv_abbr"),
-        F.substring("zc_acuity.abbr", 3, 1 << 20).alias("acuity_level_abbr"),
-        F.col("zc_ed.abbr").alias("ed_disposition_abbr"), F.col("zc_disp.abbr").alias("disch_disp_abbr"),
-        F.col("peh.adt_arrival_time").alias("adt_arrival_time"), F.col("peh.hsp_account_id").alias("hsp_account_id"),
-        F.col("zc_accomm.abbr").alias("accommodation_abbr"), F.col("c.user_id").alias("user_id"),
-        F.col("c.seq_num_in_enc").alias("_seq"), F.col("c.effective_time").alias("_eff"),
-        F.col("c.department_id").alias("_dep"), F.col("c.room_csn_id").alias("_room"), F.col("c.bed_csn_id").alias("_bed"))
-    # The last event per encounter and patient; ties on the sequence number are broken
-    # by time, department, room and bed so the pick is reproducible.
-    last = latest_one(rows, ["pat_enc_csn_id", "pat_mrn_id"], ["_seq", "_eff", "_dep", "_room", "_bed"])
-    return last.drop("_seq", "_eff", "_dep", "_room", "_bed")
+#: The input tables and the columns that are read of them.
+ROLES = {
+    "encounters": "encounter_id patient_id admitted_at discharged_at arrived_at account_id class_code disposition_code "
+                  "acuity_code arrival_code ed_disposition_code admission_status",
+    "movements": "encounter_id happened_at type_code subtype_code unit_id room_id bed_id position user_id accommodation_code",
+    "patients": "patient_id mrn born died sex_code",
+    "test_flags": "patient_id test_flag",
+    "units": "unit_id unit_name site_id site_name area_name",
+    "rooms": "room_id room_name",
+    "beds": "bed_id bed_name status_code",
+    **{f"{kind}_names": "code name" for kind in ("class", "disposition", "acuity", "sex", "arrival", "ed_disposition",
+                                                 "bed_status", "accommodation")},
+    "diagnoses": "encounter_id diagnosis_id",
+    "diagnosis_codes": "diagnosis_id code",
+    "diagnosis_names": "diagnosis_id name",
+    "complaints": "encounter_id complaint",
+    "visit_reasons": "encounter_id reason_id",
+    "reason_names": "reason_id name",
+}
+
+#: Look-ups: output column, role, the code that is looked up, and what is made of the name.
+LOOKUPS: tuple[tuple[str, str, str, object], ...] = (
+    ("pat_class_abbr", "class_names", "class_code", F.upper),
+    ("disch_disp_abbr", "disposition_names", "disposition_code", None),
+    ("acuity_level_abbr", "acuity_names", "acuity_code", lambda name: F.substr(name, F.lit(3))),  # without its two-letter prefix
+    ("sex_abbr", "sex_names", "sex_code", None),
+    ("means_of_arrv_abbr", "arrival_names", "arrival_code", None),
+    ("ed_disposition_abbr", "ed_disposition_names", "ed_disposition_code", None),
+    ("bed_status", "bed_status_names", "status_code", None),
+    ("accommodation_abbr", "accommodation_names", "accommodation_code", None),
+)
+
+#: Output columns that are another name of an input column.
+RENAMED = {"pat_mrn_id": "mrn", "pat_enc_csn_id": "encounter_id", "birth_date": "born", "death_date": "died",
+           "hosp_admsn_time": "admitted_at", "hosp_disch_time": "discharged_at", "department_abbr": "unit_name",
+           "loc_abbr": "site_name", "room_nm": "room_name", "bed_label": "bed_name", "adt_arrival_time": "arrived_at",
+           "hsp_account_id": "account_id", "user_id": "user_id"}
+
+
+@dataclass(frozen=True)
+class SeedRules:
+    """What a site decides: dates, the areas (LIKE pattern) and sites it seeds, and movement types."""
+
+    as_of: date | str
+    start: date | str
+    area_pattern: str
+    excluded_sites: Sequence[int]
+    days_kept: int = 2
+    movement_types: Sequence[int] = MOVEMENT_TYPES
+
+    def day(self, which: str) -> Column:
+        return F.lit(str(getattr(self, which))).cast("date")
+
+
+def eligible_encounters(t: Mapping[str, DataFrame], rules: SeedRules) -> DataFrame:
+    """Encounters admitted since the start and not long discharged, of living patients who are no test patients."""
+    gone = F.to_date("discharged_at") < F.date_sub(rules.day("as_of"), rules.days_kept)
+    current = t["encounters"].where((F.to_date("admitted_at") >= rules.day("start")) & ~F.coalesce(gone, F.lit(False))
+                                    & (F.col("admission_status") != CANCELLED_ADMISSION))
+    real = t["test_flags"].where(F.col("test_flag") != TEST_PATIENT).select("patient_id")
+    return current.join(t["patients"].where(F.col("died").isNull()), "patient_id").join(real, "patient_id", "left_semi")
+
+
+def eligible_movements(t: Mapping[str, DataFrame], rules: SeedRules) -> DataFrame:
+    """Movements of the period into known rooms and beds of the seeded areas, with their unit's names."""
+    day = F.to_date("happened_at")
+    units = t["units"].where(F.col("area_name").like(rules.area_pattern) & ~F.col("site_id").isin(*rules.excluded_sites))
+    kept = t["movements"].where(day.between(rules.day("start"), F.date_sub(rules.day("as_of"), 1))
+                                & F.col("type_code").isin(*rules.movement_types) & (F.col("subtype_code") != CANCELLED_MOVEMENT))
+    return (kept.join(units.select("unit_id", "unit_name", "site_name"), "unit_id")
+            .join(t["rooms"].select("room_id", "room_name"), "room_id").join(t["beds"].select("bed_id", "bed_name", "status_code"), "bed_id"))
+
+
+def seed_adt(t: Mapping[str, DataFrame], rules: SeedRules, msg_tm: Column | None = None) -> DataFrame:
+    """One row per eligible encounter and patient number, with the place of its last movement.
+
+    Equal positions are told apart by time, unit, room and bed, so that the choice is reproducible (D22).
+    """
+    placed = eligible_encounters(t, rules).join(eligible_movements(t, rules), "encounter_id")
+    rows = latest_one(placed, ["encounter_id", "mrn"], ["position", "happened_at", "unit_id", "room_id", "bed_id"])
+    for column, role, code, made in LOOKUPS:
+        name = made(F.col("name")) if made else F.col("name")
+        rows = rows.join(t[role].select(F.col("code").alias(code), name.alias(column)), code, "left")
+    fixed = {"msg_typ": F.lit(SEED_LITERAL), "msg_src": F.lit(SEED_SOURCE), "trigger_evnt": F.lit(SEED_LITERAL),
+             "msg_tm": F.current_timestamp() if msg_tm is None else msg_tm, "msg_nm": F.lit(SEED_LITERAL), "bod_id": F.lit(SEED_LITERAL)}
+    return rows.select(*[c.alias(k) for k, c in fixed.items()], *[F.col(c).alias(k) for k, c in RENAMED.items()],
+                       *[column for column, *_ in LOOKUPS]).distinct()
+
+
+_CARRIED = ("msg_src", "msg_tm", "pat_enc_csn_id")
+
+
+def _of_seeded(adt: DataFrame, facts: DataFrame) -> DataFrame:
+    """Facts of the seeded encounters, with what children carry of the visit row."""
+    return adt.select(*_CARRIED).join(facts.withColumnRenamed("encounter_id", "pat_enc_csn_id"), "pat_enc_csn_id")
 
 
 def seed_dx(adt: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    """Diagnoses of the seeded encounters."""
-    a, dx = adt.alias("adt"), t["pat_enc_dx"].alias("enc_dx")
-    icd, edg = t["edg_current_icd10"].alias("icd10"), t["clarity_edg"].alias("edg")
-    return (a.join(dx, F.col("adt.pat_enc_csn_id") == F.col("enc_dx.pat_enc_csn_id"))
-            .join(icd, F.col("icd10.dx_id") == F.col("enc_dx.dx_id"))
-            .join(edg, F.col("icd10.dx_id") == F.col("edg.dx_id"))
-            .select(F.col("adt.msg_src").alias("msg_src"), F.col("adt.msg_tm").alias("msg_tm"),
-                    F.col("adt.pat_enc_csn_id").alias("pat_enc_csn_id"), F.col("icd10.code").alias("dx_icd_cd"),
-                    F.col("edg.dx_name").alias("dx_name"), F.lit(DX_CODE_TYPE).alias("dx_code_type")))
+    """Coded and named diagnoses of the seeded encounters."""
+    coded = t["diagnosis_codes"].join(t["diagnosis_names"].select("diagnosis_id", F.col("name").alias("dx_name")), "diagnosis_id")
+    return _of_seeded(adt, t["diagnoses"]).join(coded, "diagnosis_id").select(
+        *_CARRIED, F.col("code").alias("dx_icd_cd"), "dx_name", F.lit(DX_CODE_TYPE).alias("dx_code_type"))
 
 
 def seed_er(adt: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    """ER complaints of the seeded encounters, distinct."""
-    a, er = adt.alias("adt"), t["pat_enc_er_complnt"].alias("er")
-    return (a.join(er, F.col("adt.pat_enc_csn_id") == F.col("er.pat_enc_csn_id"))
-            .select(F.col("adt.msg_src").alias("msg_src"), F.col("adt.msg_tm").alias("msg_tm"),
-                    F.col("adt.pat_enc_csn_id").alias("pat_enc_csn_id"), F.col("er.er_complaint").alias("er_complaint"))
-            .distinct())
+    """Distinct ER complaints of the seeded encounters."""
+    return _of_seeded(adt, t["complaints"]).select(*_CARRIED, F.col("complaint").alias("er_complaint")).distinct()
 
 
 def seed_visit_reason(adt: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
-    """Visit reasons of the seeded encounters, distinct."""
-    a, rv, cl = adt.alias("adt"), t["pat_enc_rsn_visit"].alias("rv"), t["cl_rsn_for_visit"].alias("cl")
-    return (a.join(rv, F.col("adt.pat_enc_csn_id") == F.col("rv.pat_enc_csn_id"))
-            .join(cl, F.col("rv.enc_reason_id") == F.col("cl.reason_visit_id"))
-            .select(F.col("adt.msg_src").alias("msg_src"), F.col("adt.msg_tm").alias("msg_tm"),
-                    F.col("adt.pat_enc_csn_id").alias("pat_enc_csn_id"), F.col("cl.reason_visit_name").alias("encntr_rsn"))
-            .distinct())
+    """Distinct named visit reasons of the seeded encounters."""
+    return (_of_seeded(adt, t["visit_reasons"]).join(t["reason_names"], "reason_id")
+            .select(*_CARRIED, F.col("name").alias("encntr_rsn")).distinct())
+
+
+CHILDREN = {"encntr_dx_hist": seed_dx, "encntr_er_complnt_hist": seed_er, "encntr_visit_rsn_hist": seed_visit_reason}

@@ -1,83 +1,70 @@
-"""The relational seed inputs played by the driver tables.
+"""The relational seed inputs played by the driver tables, whole and uncut.
 
-Each role is a projection of one driver table (or a join of two small ones),
-written twice: here as DataFrames and in ``oracle.SEED_ROLES`` as SQL.
+Rows that a rule drops and codes that a look-up misses come from the key values,
+so that every table is read in full. The oracle SQL states the results in its
+own way, straight from the driver tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed query parameters of the registered seed check.
-SEED_AS_OF = "1999-01-01"
-SEED_START = "1996-01-01"
-SEED_EXCLUDED_LOCATIONS = (3, 7)
+from wardline.operators.seed import SeedRules
+
+# Fixed parameters of the registered seed check.
+AS_OF = "1999-01-01"
+RULES = SeedRules(as_of=AS_OF, start="1996-01-01", area_pattern="% AREA", excluded_sites=(3, 7))
+
+
+def _named(df: DataFrame, code: str, prefix: str, name: str) -> DataFrame:
+    return df.select(F.expr(code).alias("code"), F.concat(F.lit(prefix), F.col(name)).alias("name"))
 
 
 def roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from wardline.plans.queries import table
 
-    o, l, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
-    s, n, r, p = (table(spark, sf_dir, x) for x in ("supplier", "nation", "region", "part"))
-    prio = F.substring("o_orderpriority", 1, 1).cast("int")
-    t = {
-        "pat_enc_hsp": o.select(
-            F.col("o_orderkey").alias("pat_enc_csn_id"), F.col("o_custkey").alias("pat_id"),
-            F.col("o_orderdate").alias("hosp_admsn_time"),
-            F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("hosp_disch_time"),
-            F.col("o_orderdate").alias("adt_arrival_time"), (F.col("o_orderkey") + 1000000).alias("hsp_account_id"),
-            prio.alias("adt_pat_class_c"), prio.alias("disch_disp_c"), prio.alias("acuity_level_c"),
-            prio.alias("means_of_arrv_c"), prio.alias("ed_disposition_c"),
-            F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("admit_conf_stat_c")),
-        "clarity_adt": l.select(
-            F.col("l_orderkey").alias("pat_enc_csn_id"), F.col("l_shipdate").alias("effective_time"),
-            F.col("l_linenumber").alias("event_type_c"),
-            F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("event_subtype_c"),
-            F.col("l_suppkey").alias("department_id"), F.col("l_partkey").alias("room_csn_id"),
-            F.col("l_partkey").alias("bed_csn_id"), F.col("l_linenumber").alias("seq_num_in_enc"),
-            F.concat(F.lit("U"), F.col("l_suppkey")).alias("user_id"), (F.col("l_linenumber") % 3).alias("accommodation_c")),
-        "patient": c.select(
-            F.col("c_custkey").alias("pat_id"), F.concat(F.lit("MRN"), F.col("c_custkey")).alias("pat_mrn_id"),
-            F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_nationkey")).cast("timestamp_ntz").alias("birth_date"),
-            F.when(F.col("c_acctbal") < -500, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")).alias("death_date"),
-            (F.col("c_nationkey") % 2).alias("sex_c")),
-        "patient_3": c.select(
-            F.col("c_custkey").alias("pat_id"),
-            F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Y").when(F.col("c_mktsegment") == "BUILDING", None)
-            .otherwise("N").alias("is_test_pat_yn")),
-        "mv_dep_loc_sa": s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
-            F.col("s_suppkey").alias("department_id"), F.concat(F.lit("DEP"), F.col("s_suppkey")).alias("department_abbr"),
-            F.col("n_name").alias("loc_abbr"), F.col("s_nationkey").alias("loc_id"),
-            F.when(F.col("r_name") == "ASIA", F.col("r_name")).otherwise(F.concat(F.col("r_name"), F.lit(" MERCY AREA")))
-            .alias("sa_rpt_grp_six_name")),
-        "clarity_rom": p.select(F.col("p_partkey").alias("room_csn_id"), F.col("p_name").alias("room_name")),
-        "clarity_bed": p.select(F.col("p_partkey").alias("bed_csn_id"), F.col("p_brand").alias("bed_label"),
-                                (F.col("p_size") % 4).alias("bed_status_c"), F.lit("Y").alias("census_inclusn_yn")),
-        "zc_pat_class": r.select((F.col("r_regionkey") + 1).alias("adt_pat_class_c"), F.lower("r_name").alias("abbr")),
-        "zc_disch_disp": r.select((F.col("r_regionkey") + 1).alias("disch_disp_c"), F.concat(F.lit("D-"), "r_name").alias("abbr")),
-        "zc_acuity_level": r.select((F.col("r_regionkey") + 1).alias("acuity_level_c"), F.concat(F.lit("L-"), "r_name").alias("abbr")),
-        "zc_sex": n.where("n_nationkey < 2").select(F.col("n_nationkey").alias("rcpt_mem_sex_c"),
-                                                    F.substring("n_name", 1, 1).alias("abbr")),
-        "zc_arriv_means": r.select((F.col("r_regionkey") + 1).alias("means_of_arrv_c"), F.concat(F.lit("ARR "), "r_name").alias("name")),
-        "zc_ed_disposition": r.select((F.col("r_regionkey") + 1).alias("ed_disposition_c"), F.concat(F.lit("ED "), "r_name").alias("abbr")),
-        "zc_bed_status": n.where("n_nationkey < 4").select(F.col("n_nationkey").alias("bed_status_c"), F.col("n_name").alias("name")),
-        "zc_accommodation": n.where("n_nationkey < 3").select(F.col("n_nationkey").alias("accommodation_c"),
-                                                              F.concat(F.lit("ACC "), "n_name").alias("abbr")),
-        "pat_enc_dx": l.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("pat_enc_csn_id"), F.col("l_partkey").alias("dx_id")),
-        "edg_current_icd10": p.where("p_size > 10").select(F.col("p_partkey").alias("dx_id"),
-                                                           F.concat(F.lit("ICD"), F.col("p_partkey")).alias("code")),
-        "clarity_edg": p.select(F.col("p_partkey").alias("dx_id"), F.col("p_name").alias("dx_name")),
-        "pat_enc_er_complnt": l.where("l_returnflag = 'A'").select(
-            F.col("l_orderkey").alias("pat_enc_csn_id"), F.concat(F.lit("C"), F.col("l_linestatus")).alias("er_complaint")),
-        "pat_enc_rsn_visit": l.where("l_returnflag = 'N'").select(
-            F.col("l_orderkey").alias("pat_enc_csn_id"), (F.col("l_suppkey") % 10).alias("enc_reason_id")),
-        "cl_rsn_for_visit": n.select(F.col("n_nationkey").alias("reason_visit_id"),
-                                     F.concat(F.lit("RSN "), F.col("n_name")).alias("reason_visit_name")),
+    orders, lines, customers, suppliers, nations, regions, parts = (
+        table(spark, sf_dir, x) for x in ("orders", "lineitem", "customer", "supplier", "nation", "region", "part"))
+    priority = "CAST(substring(o_orderpriority, 1, 1) AS INT)"
+    return {
+        "encounters": orders.selectExpr(
+            "o_orderkey AS encounter_id", "o_custkey AS patient_id", "o_orderdate AS admitted_at",
+            "CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAYS END AS discharged_at", "o_orderdate AS arrived_at",
+            "o_orderkey + 1000000 AS account_id", "CASE o_orderstatus WHEN 'P' THEN 3 ELSE 1 END AS admission_status",
+            *[f"{priority} AS {x}" for x in ("class_code", "disposition_code", "acuity_code", "arrival_code", "ed_disposition_code")]),
+        "movements": lines.selectExpr(
+            "l_orderkey AS encounter_id", "l_shipdate AS happened_at", "l_linenumber AS type_code",
+            "CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END AS subtype_code", "l_suppkey AS unit_id", "l_partkey AS room_id",
+            "l_partkey AS bed_id", "l_linenumber AS position", "concat('U', l_suppkey) AS user_id", "l_linenumber * 6 AS accommodation_code"),
+        "patients": customers.selectExpr(
+            "c_custkey AS patient_id", "concat('MRN', c_custkey) AS mrn",
+            "CAST(date_add(DATE'1950-01-01', c_nationkey) AS TIMESTAMP_NTZ) AS born",
+            "CASE WHEN c_acctbal < -500 THEN TIMESTAMP_NTZ'2000-01-01 00:00:00' END AS died", "c_nationkey * 2 AS sex_code"),
+        "test_flags": customers.selectExpr(
+            "c_custkey AS patient_id", "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Y' WHEN 'BUILDING' THEN NULL ELSE 'N' END AS test_flag"),
+        "units": suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+        .selectExpr("s_suppkey AS unit_id", "concat('DEP', s_suppkey) AS unit_name", "s_nationkey AS site_id", "n_name AS site_name",
+                    "CASE r_name WHEN 'ASIA' THEN r_name ELSE concat(r_name, ' AREA') END AS area_name"),
+        "rooms": parts.selectExpr("p_partkey AS room_id", "p_name AS room_name"),
+        "beds": parts.selectExpr("p_partkey AS bed_id", "p_brand AS bed_name", "p_size AS status_code"),
+        "class_names": regions.selectExpr("r_regionkey + 1 AS code", "lower(r_name) AS name"),
+        "disposition_names": _named(regions, "r_regionkey + 1", "D-", "r_name"),
+        "acuity_names": _named(regions, "r_regionkey + 1", "L-", "r_name"),
+        "sex_names": nations.selectExpr("n_nationkey AS code", "substring(n_name, 1, 1) AS name"),
+        "arrival_names": _named(regions, "r_regionkey + 1", "ARR ", "r_name"),
+        "ed_disposition_names": _named(regions, "r_regionkey + 1", "ED ", "r_name"),
+        "bed_status_names": nations.selectExpr("n_nationkey AS code", "n_name AS name"),
+        "accommodation_names": _named(nations, "n_nationkey", "ACC ", "n_name"),
+        "diagnoses": lines.selectExpr("l_orderkey AS encounter_id", "l_partkey * 2 AS diagnosis_id"),
+        "diagnosis_codes": parts.selectExpr("p_partkey AS diagnosis_id", "concat('ICD', p_partkey) AS code"),
+        "diagnosis_names": parts.selectExpr("p_partkey AS diagnosis_id", "p_name AS name"),
+        "complaints": lines.selectExpr("l_orderkey AS encounter_id", "concat('C', l_linestatus, l_returnflag) AS complaint"),
+        "visit_reasons": lines.selectExpr("l_orderkey AS encounter_id", "l_suppkey % 40 AS reason_id"),
+        "reason_names": nations.selectExpr("n_nationkey AS reason_id", "concat('RSN ', n_name) AS name"),
     }
-    return t
 
 
-def seed_msg_tm():
+def seed_msg_tm() -> Column:
     """The seed's stamp as an instant (UTC midnight of the as-of day), session-zone independent."""
-    return F.to_timestamp(F.lit(SEED_AS_OF + " 00:00:00+0000"), "yyyy-MM-dd HH:mm:ssZ")
+    return F.to_timestamp(F.lit(AS_OF + " 00:00:00+0000"), "yyyy-MM-dd HH:mm:ssZ")
