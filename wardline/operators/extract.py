@@ -134,6 +134,12 @@ def split_valid(df: DataFrame, fmt: str = HL7, text: str = "text") -> tuple[Data
 
 
 def explode_batches(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row per envelope of a batched file, with its position ``part_no``."""
+    """One row per envelope of a batched file, with its position ``part_no``. A file without
+    readable text stays one row without text, to be rejected by name.
+
+    The rows of a file are spread again, since a file is one row and parsing is the work.
+    """
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(xmlmsg.split_batch(F.col(text))).alias("part_no", text))
+    unread = F.array(F.lit(None).cast("string"))
+    parts = F.when(F.col(text).isNull(), unread).otherwise(xmlmsg.split_batch(F.col(text)))
+    return df.select(*others, F.posexplode(parts).alias("part_no", text)).hint("rebalance")

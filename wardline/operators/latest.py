@@ -36,5 +36,11 @@ def latest_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def key_max(df: DataFrame, keys: Sequence[str], col: str = "msg_tm", alias: str = "max_time") -> DataFrame:
-    """The per-key maximum as a column on every row (whole-partition frame)."""
-    return df.withColumn(alias, F.max(col).over(Window.partitionBy(*_cols(keys))))
+    """The per-key maximum as a column on every row.
+
+    An aggregate (summed up in the tasks first) that is joined back, so that a hot key's
+    rows need not meet in one task; NULL keys form a group like any other.
+    """
+    found = df.groupBy(*[c.alias(f"_k{i}") for i, c in enumerate(_cols(keys))]).agg(F.max(col).alias(alias))
+    same = [c.eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(_cols(keys))]
+    return df.join(found, same).drop(*[f"_k{i}" for i in range(len(keys))])

@@ -52,17 +52,22 @@ def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2
     The pruned master is computed once and staged; every child is pruned
     against the staged copy; only when all staged tables are written are they
     swapped in, master last, so a failure part-way leaves every table as it
-    was (D21). Compaction then clusters each table by ``cluster_by``.
+    was (D21). A table that an ingest appended to meanwhile is not swapped but
+    fails with ``ConcurrentWrite``; run the job again then. Compaction then
+    clusters each table by ``cluster_by``.
     """
-    from wardline.sinks.tables import compact, stage, swap_in
+    from wardline.sinks.tables import compact, data_files, stage, swap_in
 
-    master = spark.read.parquet(master_path)
-    staged_master = stage(prune_master(master, days, as_of, key, discharge), master_path)
-    kept = spark.read.parquet(staged_master)
-    staged = [(stage(prune_child(spark.read.parquet(p), kept, key), p), p) for p in child_paths]
+    def whole(path):  # a file that vanished must fail the job, not thin out the table
+        return spark.read.option("ignoreMissingFiles", "false").parquet(path)
+
+    seen = {p: data_files(spark, p) for p in [master_path, *child_paths]}
+    staged_master = stage(prune_master(whole(master_path), days, as_of, key, discharge), master_path, rewritten=True)
+    kept = whole(staged_master)
+    staged = [(stage(prune_child(whole(p), kept, key), p, rewritten=True), p) for p in child_paths]
     for s, p in staged:
-        swap_in(spark, s, p)
-    swap_in(spark, staged_master, master_path)
+        swap_in(spark, s, p, seen[p])
+    swap_in(spark, staged_master, master_path, seen[master_path])
     if cluster_by:
         for p in [master_path, *child_paths]:
             if cluster_by in spark.read.parquet(p).columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -19,9 +19,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.files.ignoreMissingFiles", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     if master:
         builder = builder.master(master)
@@ -40,8 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         path = tempfile.mkdtemp(prefix="wardline-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -52,6 +50,6 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder for one run."""
     base = shared_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

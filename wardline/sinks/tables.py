@@ -3,6 +3,12 @@
 Every rewrite is staged: the new contents are written next to the table and
 swapped in by two renames, so a failed job leaves the old version intact
 and a table is never overwritten while it is being read (Spark refuses that).
+A rewrite notes the table's files before it reads them and fails if there are
+others when it comes to the swap, so rows that a running ingest appends
+meanwhile are not lost.
+
+Rewritten files are named ``folded-*``, which the table tail passes over: rows
+that were rewritten are not new.
 """
 
 from __future__ import annotations
@@ -15,6 +21,15 @@ from pyspark.sql.types import StructType
 
 from wardline.schemas import CURRENT, HISTORY
 
+#: Folder of the batches that compaction has folded, and the mark of the last of them.
+BATCH = "_batch_id"
+FOLDED = -1
+FOLDED_PREFIX = "folded-"
+
+
+class ConcurrentWrite(RuntimeError):
+    """The table got other files between a rewrite's read and its swap."""
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -27,6 +42,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def data_files(spark: SparkSession, path: str) -> set[str]:
+    """The data files below a table's folder; hidden files and folders (``_…``, ``.…``) aside."""
+    fs, p, _ = _fs(spark, path)
+    found: set[str] = set()
+    todo = [p] if fs.exists(p) else []
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            name = st.getPath().getName()
+            if st.isDirectory() and (not name.startswith(("_", ".")) or "=" in name):
+                todo.append(st.getPath())
+            elif st.isFile() and not name.startswith(("_", ".")):
+                found.add(st.getPath().toString())
+    return found
+
+
+def write_property(spark: SparkSession, path: str, name: str, value: str) -> None:
+    """A small fact about a table, beside its data (hidden from scans)."""
+    fs, p, jvm = _fs(spark, f"{path.rstrip('/')}/_wardline_{name}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(value.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_property(spark: SparkSession, path: str, name: str) -> str | None:
+    fs, p, jvm = _fs(spark, f"{path.rstrip('/')}/_wardline_{name}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str] | None = None) -> bool:
     """Create an empty table when missing (an existing empty table is left alone, D17).
     Returns True when it created one."""
@@ -36,19 +87,32 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_b
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    write_property(spark, path, "schema", schema.json())
     return True
 
 
-def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
-    """The four history and four current-state tables under ``root``."""
-    out = {}
-    for name, schema in {**HISTORY, **CURRENT}.items():
-        path = f"{root.rstrip('/')}/{name}"
-        ensure_table(spark, path, schema)
-        out[name] = path
+def create_tables(spark: SparkSession, root: str, buckets: int | None = None) -> dict[str, str]:
+    """The four history tables (by batch) and the four current-state tables (by bucket) under ``root``."""
+    from wardline.sinks.upsert import create_current
+
+    out = {name: f"{root.rstrip('/')}/{name}" for name in (*HISTORY, *CURRENT)}
+    for name, schema in HISTORY.items():
+        ensure_table(spark, out[name], StructType(list(schema.fields)).add(BATCH, "integer"), [BATCH])
+    for name, schema in CURRENT.items():
+        create_current(spark, out[name], schema, **({"buckets": buckets} if buckets else {}))
     return out
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table, one without any file included."""
+    schema = read_property(spark, path, "schema")
+    if schema is None or data_files(spark, path):
+        return spark.read.option("ignoreMissingFiles", "false").parquet(path)
+    import json
+
+    return spark.createDataFrame([], StructType.fromJson(json.loads(schema)))
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns of a path table, read from its top-level ``name=value`` folders."""
     fs, p, _ = _fs(spark, path)
@@ -63,14 +127,32 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return []
 
 
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace ``path`` by the fully written ``staged`` directory (two renames)."""
+def swap_in(spark: SparkSession, staged: str, path: str, seen: set[str] | None = None) -> None:
+    """Replace ``path`` by the fully written ``staged`` directory (two renames).
+
+    ``seen`` are the files that the rewrite read; others by now mean rows it does not
+    hold, and the swap fails instead of losing them. Properties move along.
+    """
     fs, target, jvm = _fs(spark, path)
     src = jvm.org.apache.hadoop.fs.Path(staged)
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
     had = fs.exists(target)
+    if had and seen is not None and data_files(spark, path) != seen:
+        fs.delete(src, True)
+        raise ConcurrentWrite(f"{path} was written to while it was being rewritten")
+    if had:
+        for st in fs.listStatus(target):
+            name = st.getPath().getName()
+            if name.startswith("_wardline_") and not fs.exists(jvm.org.apache.hadoop.fs.Path(src, name)):
+                write_property(spark, staged, name.removeprefix("_wardline_"), read_property(spark, path, name.removeprefix("_wardline_")))
     if had and not fs.rename(target, old):
         raise OSError(f"cannot move {path} aside")
+    if had and seen is not None:
+        late = {f.replace(old.toString(), target.toString(), 1) for f in data_files(spark, old.toString())}
+        if {f.rsplit("/", 1)[-1] for f in late} != {f.rsplit("/", 1)[-1] for f in seen}:
+            fs.rename(old, target)
+            fs.delete(src, True)
+            raise ConcurrentWrite(f"{path} was written to while it was being rewritten")
     if not fs.rename(src, target):
         if had:
             fs.rename(old, target)
@@ -79,19 +161,34 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+def stage(df: DataFrame, path: str, partition_by: list[str] | None = None, rewritten: bool = False) -> str:
     """Write ``df`` beside ``path``; returns the staged directory. The table's own
-    partitioning is kept unless ``partition_by`` says otherwise."""
+    partitioning is kept unless ``partition_by`` says otherwise, and each folder's rows are
+    brought together first (large folders still go to several tasks)."""
+    spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
     if partition_by is None:
-        partition_by = [c for c in partition_columns(df.sparkSession, path) if c in df.columns]
+        partition_by = [c for c in partition_columns(spark, path) if c in df.columns]
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staged)
+    if rewritten:
+        mark_rewritten(spark, staged)
     return staged
 
 
+def mark_rewritten(spark: SparkSession, staged: str) -> None:
+    """Name the data files so that a tail of the table passes them over."""
+    fs, _, jvm = _fs(spark, staged)
+    for f in data_files(spark, staged):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        if not p.getName().startswith(FOLDED_PREFIX):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), FOLDED_PREFIX + p.getName()))
+
+
 def overwrite_table(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full overwrite through a staged copy (safe even when ``df`` reads ``path``)."""
     swap_in(spark, stage(df, path, partition_by), path)
@@ -103,25 +200,59 @@ def truncate_table(spark: SparkSession, path: str, schema: StructType) -> None:
 
 
 def insert_select(df: DataFrame, path: str, schema: StructType) -> None:
-    """Positional INSERT ... SELECT: columns taken in order, cast to the table's types."""
-    cols = [F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(df.columns, schema.fields)]
+    """Positional INSERT ... SELECT: columns taken in order, cast to the table's types.
+
+    As many columns as the table has, or an error.
+    """
+    if len(df.columns) != len(schema.fields):
+        raise ValueError(f"{len(df.columns)} columns given, the table has {len(schema.fields)}")
+    cols = [F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(df.columns, schema.fields, strict=True)]
     df.select(*cols).write.mode("append").parquet(path)
 
 
-def compact(spark: SparkSession, path: str, col: str = "row_insert_tsp", files: int | None = None) -> None:
-    """Rewrite the table range-partitioned and sorted on ``col`` (one-column clustering),
-    keeping its folder partitioning.
+def append_batch_rows(df: DataFrame, batch_id: int, path: str, observed: tuple = ()) -> bool:
+    """Append a batch under its id; a retried batch replaces itself, a folded one is left alone.
 
-    ``files`` defaults to the current file count divided so each output file is
-    about the size of ``spark.sql.files.maxPartitionBytes``.
+    ``observed`` is an Observation and its metrics. Returns whether the rows were written.
     """
-    from pyspark.errors import AnalysisException
+    mark = read_property(df.sparkSession, path, "folded")
+    if mark is not None and batch_id <= int(mark):
+        return False
+    out = df.withColumn(BATCH, F.lit(int(batch_id)))
+    if observed:
+        out = out.observe(*observed)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+    return True
 
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:  # a partitioned table pruned to nothing has no file to read a schema from
+
+def compact(spark: SparkSession, path: str, col: str = "row_insert_tsp", files: int | None = None, keep_batches: int = 1) -> None:
+    """Rewrite the table range-partitioned and sorted on ``col`` (one-column clustering).
+
+    A history's batch folders are folded into one, but for the newest ``keep_batches``,
+    which a restarted stream may replay; the mark of the last folded batch keeps
+    older replays out. Equal values of ``col`` are split by a hash of the row, so a
+    batch that shares one stamp still goes to as many files as its size asks for.
+    ``files`` defaults to what the table's scan would be cut into.
+    """
+    seen = data_files(spark, path)
+    if not seen:
         return
+    df = spark.read.option("ignoreMissingFiles", "false").parquet(path)
     n = files or max(1, df.rdd.getNumPartitions())
-    parts = partition_columns(spark, path)  # e.g. ``_batch_id`` of a history table: kept
-    clustered = df.repartitionByRange(n, F.col(col)).sortWithinPartitions(*parts, col)
-    overwrite_table(spark, clustered, path, parts or None)
+    parts = partition_columns(spark, path)
+    mark = None
+    if parts == [BATCH]:
+        newest = sorted(r[0] for r in df.where(F.col(BATCH) != FOLDED).select(BATCH).distinct().collect())  # one number a batch
+        older = newest[: max(0, len(newest) - keep_batches)]
+        mark = max(older, default=None)
+        if mark is not None:
+            df = df.withColumn(BATCH, F.when(F.col(BATCH) <= mark, F.lit(FOLDED)).otherwise(F.col(BATCH)))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    clustered = df.repartitionByRange(n, *[F.col(c) for c in parts], F.col(col), spread).sortWithinPartitions(*parts, col)
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
+    w = clustered.write.mode("errorifexists")
+    (w.partitionBy(*parts) if parts else w).parquet(staged)
+    mark_rewritten(spark, staged)
+    if mark is not None:
+        write_property(spark, staged, "folded", str(mark))
+    swap_in(spark, staged, path, seen)

@@ -1,12 +1,23 @@
 """Warehouse copy (K9-K11). The destination is any DataFrame writer format: JDBC on a
-cluster, parquet in tests."""
+cluster, files in tests.
+
+A stream may replay its last batch. File destinations hold each batch in a folder
+of its own, which a replay replaces; for others a marker beside the stream's
+checkpoint tells which batches are done, so a replay is passed over.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wardline.operators.latest import latest_with_ties
 from wardline.schemas import KEY
+from wardline.sinks.tables import BATCH, exists, write_property
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 
 def write_warehouse(df: DataFrame, table: str, fmt: str = "jdbc", options: dict | None = None) -> None:
@@ -18,14 +29,36 @@ def write_warehouse(df: DataFrame, table: str, fmt: str = "jdbc", options: dict
         w.save(table)
 
 
+def write_batch(df: DataFrame, batch_id: int, table: str, marks: str, fmt: str = "jdbc", options: dict | None = None) -> None:
+    """Append a batch once, however often it is replayed."""
+    if fmt in FILE_FORMATS:
+        df.withColumn(BATCH, F.lit(int(batch_id))).write.format(fmt).mode("overwrite").options(**(options or {})) \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).save(table)
+    elif not exists(df.sparkSession, f"{marks}/_wardline_{batch_id}"):
+        write_warehouse(df, table, fmt, options)
+        write_property(df.sparkSession, marks, str(batch_id), "written")
+
+
 def latest_to_warehouse(df: DataFrame, table: str, fmt: str = "jdbc", options: dict | None = None, key: str = KEY) -> None:
     """Reduce a batch to its latest rows per key (ties kept), then append."""
     write_warehouse(latest_with_ties(df, [key]), table, fmt, options)
 
 
+def _stream(source: DataFrame, table: str, checkpoint: str, fmt: str, options: dict | None, trigger: dict | None,
+            reduce: Callable[[DataFrame], DataFrame]):
+    marks = f"{checkpoint.rstrip('/')}/_copied"
+    return source.writeStream.option("checkpointLocation", checkpoint) \
+        .foreachBatch(lambda b, i: write_batch(reduce(b), i, table, marks, fmt, options)) \
+        .trigger(**(trigger or {"availableNow": True})).start()
+
+
 def copy_stream(source: DataFrame, table: str, checkpoint: str, fmt: str = "jdbc", options: dict | None = None,
                 trigger: dict | None = None):
     """Tail a table and append each new batch to the warehouse."""
-    return source.writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda b, i: write_warehouse(b, table, fmt, options)) \
-        .trigger(**(trigger or {"availableNow": True})).start()
+    return _stream(source, table, checkpoint, fmt, options, trigger, lambda b: b)
+
+
+def latest_stream(source: DataFrame, table: str, checkpoint: str, fmt: str = "jdbc", options: dict | None = None,
+                  trigger: dict | None = None, key: str = KEY):
+    """K10 as a stream: each batch's latest rows per key."""
+    return _stream(source, table, checkpoint, fmt, options, trigger, lambda b: latest_with_ties(b, [key]))

@@ -17,9 +17,9 @@ from wardline.functions.hl7 import is_valid
 MAX_EVENTS_PER_TRIGGER = 10000
 
 
-def broker_messages(records: DataFrame, keep_rejects: bool = False) -> DataFrame:
-    """Body -> text, message name ``partition-sequenceNumber-offset``; only acceptable HL7
-    unless ``keep_rejects`` (then a ``valid`` column says which)."""
+def broker_messages(records: DataFrame, keep_rejects: bool = True) -> DataFrame:
+    """Body -> text, message name ``partition-sequenceNumber-offset``, and a column
+    ``valid``; rejects are left out only without ``keep_rejects``."""
     text = F.col("body").cast("string")
     nm = F.concat_ws("-", F.col("partition").cast("string"), F.col("sequenceNumber").cast("string"),
                      F.col("offset").cast("string"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from wardline.sources.files import ANY_AGE
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan of a path-based table."""
@@ -12,8 +14,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tail_table(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
-    """Incremental read of an append-only table (new files only)."""
-    r = spark.readStream.schema(schema)
+    """Incremental read of a table that is appended to.
+
+    Files that a rewrite (compaction, retention) wrote hold no new rows and are passed
+    over by their name; let the tail catch up before rows it has not read are rewritten.
+    """
+    r = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE).option("pathGlobFilter", "part-*")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
