@@ -11,20 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The zone every HL7 wall-clock time is read in. Accepted layouts
-# are 14, 12 and 8 digits (yyyyMMddHHmmss, yyyyMMddHHmm, yyyyMMdd); anything
-# else, zones and fractions included, is NULL.
+# The zone every HL7 wall-clock time is read in, and the accepted
+# layouts, for both message kinds: 14, 12 and 8 digits (yyyyMMddHHmmss,
+# yyyyMMddHHmm, yyyyMMdd) and ISO dates and date-times. An ISO time's zone is
+# read where the time is an instant (XML received time) and makes a wall clock
+# NULL. Anything else (years, months, bare clock times) is NULL.
 CENTRAL = "US/Central"
+DIGITS = r"^([0-9]{14}|[0-9]{12}|[0-9]{8})$"
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?)?"
+
 
 def wall_clock(x: Column) -> Column:
-    """HL7 TS text -> TIMESTAMP whose UTC wall clock equals the digits, or NULL.
+    """Time text without a zone -> TIMESTAMP whose UTC wall clock equals it, or NULL.
 
     8 and 12 digits are padded to 14 (midnight, whole minute) so one parse
-    pattern serves all three layouts. ``x`` is referenced once, so the
-    expression stays small wherever the optimizer copies it.
+    pattern serves all three layouts; ISO forms are padded alike.
     """
-    digits = F.regexp_extract(x, r"^([0-9]{14}|[0-9]{12}|[0-9]{8})$", 1)
-    return F.try_to_timestamp(F.concat(F.rpad(digits, 14, "0"), F.lit("+0000")), F.lit("yyyyMMddHHmmssZ"))
+    digits = F.regexp_extract(x, DIGITS, 1)
+    iso = F.regexp_extract(x, ISO + "$", 0)
+    rest = F.substr(F.lit("0000-00-00T00:00:00"), F.length(iso) + 1)
+    from_digits = F.try_to_timestamp(F.concat(F.rpad(digits, 14, "0"), F.lit("+0000")), F.lit("yyyyMMddHHmmssZ"))
+    return F.coalesce(from_digits, F.when(iso != "", F.concat(iso, rest, F.lit("Z")).try_cast("timestamp")))
 
 
 def localize(w: Column, tz: str = CENTRAL) -> Column:
@@ -46,8 +53,10 @@ def hl7_time(x: Column, tz: str = CENTRAL) -> Column:
 
 
 def iso_time(x: Column) -> Column:
-    """XML ReceivedDateTime: ISO-8601; an explicit zone is honoured, naive text uses the session zone."""
-    return x.try_cast("timestamp")
+    """XML ReceivedDateTime: the same layouts as an instant; an ISO zone is honoured, without one it is UTC."""
+    zoned = F.regexp_extract(x, ISO + r"(?:Z|[+-][0-9]{2}:?[0-9]{2})$", 0)
+    colon = F.regexp_replace(zoned, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    return F.coalesce(F.when(zoned != "", colon.try_cast("timestamp")), wall_clock(x))
 
 
 def utc_ntz(ts: Column) -> Column:

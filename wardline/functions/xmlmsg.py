@@ -101,7 +101,7 @@ def envelope_schema() -> StructType:
     """Schema of one envelope for ``from_xml`` (plus the corrupt-record column)."""
     group = dict(_SEGMENTS)
     admin = dict(_SEGMENTS)
-    admin[VISIT_GROUP] = group
+    admin[VISIT_GROUP] = [group]
     return _s({REGION: None, BODID: None, RECEIVED: None, PAYLOAD: {ADMINISTER: admin}, CORRUPT: None})
 
 
@@ -120,17 +120,37 @@ UNPLACED = (MSH, EVN, PID, PV1, PV2, ZPV)
 
 
 def _anywhere(text: Column, seg: str) -> Column:
-    """The first ``seg`` element wherever it sits, parsed with the segment's schema.
+    """All ``seg`` elements (one struct, or an array for repeated segments) wherever they sit.
 
-    A path-suffix lookup: the element is cut out of the text and parsed on its
-    own (wrapped so its namespace prefixes stay bound). Only evaluated for a
-    message whose segment was not found under a known parent.
+    A path-suffix lookup: the elements are cut out of the text and parsed on their
+    own (wrapped so their namespace prefixes stay bound). Only evaluated for a
+    message that holds such an element under a parent that is not known; a message
+    without any costs one substring probe.
     """
     esc = seg.replace(".", r"\.")
-    frag = F.regexp_extract(text, f"<{esc}(?:\\s[^>]*)?>[\\s\\S]*?</{esc}>", 0)
+    every = F.regexp_extract_all(text, F.lit(f"<{esc}(?:\\s[^>]*)?>[\\s\\S]*?</{esc}>"), F.lit(0))
+    repeated = isinstance(_s(_SEGMENTS[seg]), ArrayType)
+    frag = F.array_join(every if repeated else F.slice(every, 1, 1), "")
     wrapped = F.concat(F.lit('<w xmlns:ns0="urn:w0" xmlns:ns1="urn:w1">'), frag, F.lit("</w>"))
     schema = StructType([StructField(seg, _s(_SEGMENTS[seg]))])
-    return F.when(frag != "", F.from_xml(wrapped, schema, {"mode": "PERMISSIVE"})[seg])
+    return F.when(text.contains(f"<{seg}"), F.from_xml(wrapped, schema, {"mode": "PERMISSIVE"})[seg])
+
+
+def _repeated(admin: Column, groups: Column, text: Column | None, seg: str) -> Column:
+    """All elements of a repeated segment: under both known parents and every group, or, if the text
+    holds more of them than that, all of the document."""
+    none = F.array().cast(_s(_SEGMENTS[seg]))
+    known = F.concat(F.coalesce(admin[seg], none), F.flatten(F.transform(F.coalesce(groups, F.array().cast(ArrayType(_s(dict(_SEGMENTS))))),
+                                                                         lambda g: F.coalesce(g[seg], none))))
+    if text is None:
+        return known
+    # how often the text opens such an element
+    opened = (F.length(text) - F.length(F.replace(text, F.lit(f"<{seg}"), F.lit("")))) / len(f"<{seg}")
+    return F.when(opened > F.size(known), F.coalesce(_anywhere(text, seg), known)).otherwise(known)
+
+
+def _member(field: str):
+    return lambda x: x[field]
 
 
 def normalize(env: Column, text: Column | None = None) -> Column:
@@ -141,15 +161,19 @@ def normalize(env: Column, text: Column | None = None) -> Column:
     extractors read this flat struct, so the parent lookup is not repeated per field.
     """
     admin = env[PAYLOAD][ADMINISTER]
-    group = admin[VISIT_GROUP]
+    groups = admin[VISIT_GROUP]
     parts = [env[REGION].alias("region"), env[BODID].alias("bodid"), env[RECEIVED].alias("received"),
              env[CORRUPT].alias("corrupt")]
+    held = F.when(env[CORRUPT].isNull(), text) if text is not None else None
     for seg, k in SEGMENT_KEYS.items():
-        found = [admin[seg], group[seg]]
-        if text is not None and seg in UNPLACED:
-            found.append(F.when(env[CORRUPT].isNull(), _anywhere(text, seg)))
+        if seg == DG1:  # repeated
+            parts.append(_repeated(admin, groups, held, seg).alias(k))
+            continue
+        # of several groups the last one that has the segment
+        in_groups = F.try_element_at(F.filter(F.transform(groups, _member(seg)), lambda x: x.isNotNull()), F.lit(-1))
+        found = [admin[seg], in_groups] + ([_anywhere(held, seg)] if held is not None and seg in UNPLACED else [])
         parts.append(F.coalesce(*found).alias(k))
-    parts.append(F.coalesce(group[OBX], admin[OBX], F.array().cast(ArrayType(_s(_SEGMENTS[OBX][0])))).alias("obx"))
+    parts.append(_repeated(admin, groups, held, OBX).alias("obx"))
     return F.struct(*parts)
 
 
@@ -283,22 +307,30 @@ def er_complaint(m: Column) -> Column:
 def split_batch(text: Column) -> Column:
     """Batched file -> array of envelopes; one leading newline stripped per part, empty parts dropped."""
     parts = F.split(text, r"\Q" + BATCH_DELIMITER + r"\E")
-    stripped = F.transform(parts, lambda p: F.when(p.startswith("\n"), F.substring(p, 2, 1 << 30)).otherwise(p))
+    stripped = F.transform(parts, lambda p: F.when(p.startswith("\n"), F.substr(p, F.lit(2))).otherwise(p))
     return F.filter(stripped, lambda p: F.length(p) > 0)
 
 
 def flatten_struct(c: Column, dtype: StructType, prefix: str = "") -> list[Column]:
-    """P10: one column per leaf, named by its dotted path; for a repeated node the last element wins."""
-    out = []
+    """P10: one column per leaf, named by its dotted path; for a repeated node the last element
+    that has the leaf wins, leaf by leaf."""
+    return [read(c).alias(name) for name, read in _leaves(dtype, prefix)]
+
+
+def _leaves(dtype: StructType, prefix: str):
+    """(dotted name, function from the struct to the leaf)."""
     for f in dtype.fields:
         name = f"{prefix}.{f.name}" if prefix else f.name
-        child = c[f.name]
-        t = f.dataType
-        if isinstance(t, ArrayType):
-            child = F.element_at(child, -1)
-            t = t.elementType
-        if isinstance(t, StructType):
-            out.extend(flatten_struct(child, t, name))
-        else:
-            out.append(child.alias(name))
-    return out
+        t, many = f.dataType, isinstance(f.dataType, ArrayType)
+        t = t.elementType if many else t
+        inner = _leaves(t, name) if isinstance(t, StructType) else [(name, lambda x: x)]
+        for leaf, read in inner:
+            yield leaf, _last_of(f.name, read) if many else _child_of(f.name, read)
+
+
+def _child_of(field: str, read):
+    return lambda c: read(c[field])
+
+
+def _last_of(field: str, read):
+    return lambda c: F.try_element_at(F.filter(F.transform(c[field], read), lambda x: x.isNotNull()), F.lit(-1))

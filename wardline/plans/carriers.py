@@ -51,8 +51,11 @@ def _event_values(e) -> dict[str, Column]:
     return {
         "trig": _case(et, EVENT_TRIGGERS),
         "ts14": hl7_digits(ts),
-        "admit": F.when(et == "click", hl7_digits(ts, True)).otherwise(hl7_digits(ts)),
-        "disch": hl7_digits(ts + F.expr("INTERVAL '2' HOUR")),
+        # the same times in all layouts: digits to the second or minute, and ISO
+        "admit": F.when(et == "click", hl7_digits(ts, True)).when(uid % 4 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+                  .otherwise(hl7_digits(ts)),
+        "disch": F.when(uid % 4 == 1, F.date_format(ts + F.expr("INTERVAL '2' HOUR"), "yyyy-MM-dd HH:mm:ss"))
+                  .otherwise(hl7_digits(ts + F.expr("INTERVAL '2' HOUR"))),
         "birth": F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), ((uid * 97) % 20000).cast("int")), "yyyyMMdd"),
         "death": F.when(val >= 90, hl7_digits(ts)),
         "sex": F.when(uid % 2 == 0, "F").otherwise("M"),
@@ -74,8 +77,8 @@ def _event_break(e) -> Column:
     return F.when(e["event_type"] == "view", "\n").when(e["event_type"] == "click", "\r\n").otherwise("\r")
 
 
-def hl7_from_events(events: DataFrame) -> DataFrame:
-    """One HL7 ADT message per event: (msg_nm, text). Mapping documented in the oracle SQL."""
+def hl7_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One HL7 ADT message per event: (msg_nm, text) and the columns to keep. Mapping documented in the oracle SQL."""
     e = {c: F.col(c) for c in events.columns}
     v = _event_values(e)
     obx_other = segment("OBX", {1: "0", 2: "TX", 3: "8661-1^OTHER^LN", 4: "0", 5: "x", 11: "F"})
@@ -100,7 +103,7 @@ def hl7_from_events(events: DataFrame) -> DataFrame:
         obx_other, obx_acuity, obx_acuity2,
     ]
     text = F.concat_ws("", *[F.concat(s, _event_break(e)) for s in segs])
-    return events.select(F.concat(F.lit("evt-"), e["event_id"]).alias("msg_nm"), text.alias("text"))
+    return events.select(F.concat(F.lit("evt-"), e["event_id"]).alias("msg_nm"), text.alias("text"), *keep)
 
 
 # ---------------------------------------------------------------- XML
@@ -141,9 +144,9 @@ def _chain(names: tuple, leaf) -> _Node:
     return out
 
 
-def xml_envelope(region, bodid, received, admin_children: list, group_children: list) -> Column:
+def xml_envelope(region, bodid, received, admin_children: list, *groups: list) -> Column:
     head = '<ns0:HL7MessageEnvelope xmlns:ns0="urn:wardline:a" xmlns:ns1="urn:wardline:b">'
-    payload = node(X.PAYLOAD, node(X.ADMINISTER, *admin_children, node(X.VISIT_GROUP, *group_children)))
+    payload = node(X.PAYLOAD, node(X.ADMINISTER, *admin_children, *[node(X.VISIT_GROUP, *g) for g in groups]))
     body = F.concat_ws("", *[c.col for c in (node(X.REGION, region), node(X.BODID, bodid), node(X.RECEIVED, received), payload)])
     return F.concat(F.lit(head), body, F.lit("</ns0:HL7MessageEnvelope>"))
 
@@ -196,7 +199,8 @@ def xml_from_events(events: DataFrame) -> DataFrame:
     obx = [obx_xml(OBS_CHIEF_COMPLAINT, "OTHER", name=F.lit("x")),
            _Node(F.when(e["value"] > 40, obx_xml(OBS_ACUITY, TEXT_ACUITY, name=F.concat(F.lit("Level "), lvl)).col)),
            _Node(F.when(e["value"] > 80, obx_xml(OBS_ACUITY, TEXT_ACUITY, name=F.concat(F.lit("Level "), lvl + 1)).col))]
-    received = F.date_format(e["ts"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    received = (F.when(e["event_id"] % 3 == 0, F.date_format(e["ts"], "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+                .when(e["event_id"] % 3 == 1, hl7_digits(e["ts"])).otherwise(F.date_format(e["ts"], "yyyy-MM-dd'T'HH:mm:ss")))
     text = xml_envelope(F.lit("OKC"), e["event_id"].cast("string"), received, [msh, evn, pid, pv2, zpv], [pv1, *obx])
     return events.select(F.concat(F.lit("evt-"), e["event_id"]).alias("msg_nm"), text.alias("text"))
 
@@ -292,10 +296,22 @@ def xml_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                                                   node("DG1.6.DiagnosisType", ER_DIAGNOSIS_TYPE)).col))
     pv1 = node(X.PV1, node("PV1.2.PatientClass", "INPATIENT"), _cx("PV1.19.VisitNumber", v["csn"]),
                _ts("PV1.44.AdmitDatetime", v["ts14"]))
-    obx = _Node(F.array_join(F.transform(F.coalesce(F.col("obx"), F.array()), lambda x: x["s"]), ""))
+    # observations sit in the visit group, beside it, in both, under a parent that no one knows, or in two groups
+    place, lines = o["o_orderkey"] % 5, F.coalesce(F.col("obx"), F.array())
+    early = F.filter(lines, lambda x: x["n"] <= 2)
+
+    def put(where, of) -> _Node:
+        return _Node(F.when(where, F.array_join(F.transform(of, lambda x: x["s"]), "")))
+
+    late = put(place.isin(2, 4), F.filter(lines, lambda x: x["n"] > 2))
+    beside = [put(place == 1, lines), put(place == 2, early)]
+    other = put(place == 3, lines)
+    known, unknown = (_Node(F.when(c, F.concat_ws("", dg1.col, dg1b.col))) for c in (place != 3, place == 3))
+    strange = _Node(F.concat(F.lit("<ns0:Other><Inner>"), F.concat_ws("", unknown.col, other.col), F.lit("</Inner></ns0:Other>")))
     received = F.date_format(o["o_orderdate"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
     region = F.when(o["o_orderpriority"] == "4-NOT SPECIFIED", F.lit(None).cast("string")).otherwise(F.lit("OKC"))
-    text = xml_envelope(region, o["o_orderkey"].cast("string"), received, [msh, pid, dg1, dg1b], [pv1, obx])
+    text = xml_envelope(region, o["o_orderkey"].cast("string"), received, [msh, pid, known, strange, *beside],
+                        [pv1, put(place == 0, lines), put(place == 4, early)], [late])
     return j.select(F.concat(F.lit("ord-"), o["o_orderkey"]).alias("msg_nm"), text.alias("text"))
 
 
@@ -311,16 +327,15 @@ def hl7_from_customers(customer: DataFrame) -> DataFrame:
     return customer.select(F.concat(F.lit("cus-"), c["c_custkey"]).alias("msg_nm"), F.concat_ws("\r", *segs).alias("text"))
 
 
-def damage_events(msgs: DataFrame, events: DataFrame) -> DataFrame:
-    """Rewrites some event messages into rejects: low-value errors lose their header,
-    low-value purchases get foreign encoding characters, low-value views lose the version."""
-    j = msgs.join(events.select(F.concat(F.lit("evt-"), F.col("event_id")).alias("msg_nm"), "event_type", "value"), "msg_nm")
+def damage_events(msgs: DataFrame) -> DataFrame:
+    """Rewrites some event messages (with event_type and value kept) into rejects: low-value errors
+    lose their header, low-value purchases get foreign encoding characters, low-value views lose the version."""
     t, et, val = F.col("text"), F.col("event_type"), F.col("value")
     text = (F.when((et == "error") & (val < 4), F.regexp_replace(t, "^MSH", "XXX"))
             .when((et == "purchase") & (val < 4), F.regexp_replace(t, r"^MSH\|\^~\\&", r"MSH|#~\\&"))
             .when((et == "view") & (val < 4), F.regexp_replace(t, r"\|2\.3([\r\n])", "|$1"))
             .otherwise(t))
-    return j.select("msg_nm", text.alias("text"))
+    return msgs.select("msg_nm", text.alias("text"))
 
 
 def batch_documents(documents: DataFrame, per_file: int = 8) -> DataFrame:

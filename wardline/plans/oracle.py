@@ -166,102 +166,81 @@ SELECT pat_enc_csn_id, msg_tm, msg_nm, trigger_evnt FROM (
   SELECT *, row_number() OVER (PARTITION BY pat_enc_csn_id ORDER BY msg_tm DESC, msg_nm DESC) AS rn FROM ({_STATES}))
 WHERE rn = 1""",
     "append_and_upsert": _STATES,
+    "append_and_upsert_current": f"""
+SELECT unnest(arg_max(x, ROW(msg_tm, msg_nm))) FROM ({_STATES}) AS x GROUP BY x.pat_enc_csn_id""",
+    "upsert_null_keys": f"""
+SELECT unnest(arg_max(x, ROW(msg_tm, msg_nm))) FROM ({_STATES}) AS x WHERE trigger_evnt <> 'error' GROUP BY x.pat_enc_csn_id
+UNION ALL SELECT NULL, msg_tm, msg_nm, trigger_evnt FROM ({_STATES}) WHERE trigger_evnt = 'error'""",
+    "upsert_children_set": f"""
+SELECT pat_enc_csn_id, date_trunc('day', msg_tm) AS msg_tm, trigger_evnt FROM ({_STATES}) AS x
+WHERE date_trunc('day', msg_tm) = (SELECT max(date_trunc('day', msg_tm)) FROM ({_STATES}) AS y WHERE y.pat_enc_csn_id = x.pat_enc_csn_id
+  AND (y.msg_tm >= TIMESTAMP '2024-01-16 00:00:00' OR NOT EXISTS (SELECT 1 FROM ({_STATES}) AS z
+    WHERE z.pat_enc_csn_id = x.pat_enc_csn_id AND z.msg_tm >= TIMESTAMP '2024-01-16 00:00:00')))""",
+    "latest_to_warehouse": f"""
+SELECT pat_enc_csn_id, h AS msg_tm, msg_nm, trigger_evnt FROM (
+  SELECT *, date_trunc('hour', msg_tm) AS h, max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id) AS m FROM ({_STATES})) WHERE h = m""",
     "stream_ingest_fanout": _BROKER_ADT,
     "stream_batch_metrics": f"""
-SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max({_tz(_TS)}) AS latest_msg_tm FROM events
-UNION ALL SELECT 'encntr_dx_hist', 0, NULL
-UNION ALL SELECT 'encntr_er_complnt_hist', 0, NULL
-UNION ALL SELECT 'encntr_visit_rsn_hist', 0, NULL""",
-    "stream_xml_files": _XML_ADT_NO_NAME,
+SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max({_tz("date_trunc('second', o_orderdate)")}) AS latest_msg_tm FROM orders
+UNION ALL SELECT 'encntr_dx_hist', count(*), max(msg_tm) FROM ({_HL7_ORDERS["dx"]})
+UNION ALL SELECT 'encntr_er_complnt_hist', count(*), max(msg_tm) FROM ({_HL7_ORDERS["er_complaint"]})
+UNION ALL SELECT 'encntr_visit_rsn_hist', count(*), max(msg_tm) FROM ({_HL7_ORDERS["visit_reason"]})""",
+    "stream_fanout_dx": _HL7_ORDERS["dx"],
+    "stream_fanout_er": _HL7_ORDERS["er_complaint"],
+    "stream_fanout_visit": _HL7_ORDERS["visit_reason"],
+    "stream_xml_files": f"SELECT *, true AS named_by_file FROM ({_XML_ADT_NO_NAME})",
     "stream_table_copy": _STATES,
     "cluster_by_range": _STATES,
     "table_actions": _STATES + " WHERE event_type <> 'error'",
 })
 
-SEED_ROLES = """WITH
-peh AS (SELECT o_orderkey AS pat_enc_csn_id, o_custkey AS pat_id, o_orderdate AS hosp_admsn_time,
-  CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS hosp_disch_time,
-  o_orderdate AS adt_arrival_time, o_orderkey + 1000000 AS hsp_account_id,
-  CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS adt_pat_class_c, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS disch_disp_c,
-  CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS acuity_level_c, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS means_of_arrv_c,
-  CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS ed_disposition_c,
-  CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 1 END AS admit_conf_stat_c FROM orders),
-c_adt AS (SELECT l_orderkey AS pat_enc_csn_id, l_shipdate AS effective_time, l_linenumber AS event_type_c,
-  CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END AS event_subtype_c, l_suppkey AS department_id,
-  l_partkey AS room_csn_id, l_partkey AS bed_csn_id, l_linenumber AS seq_num_in_enc,
-  'U' || CAST(l_suppkey AS VARCHAR) AS user_id, l_linenumber % 3 AS accommodation_c FROM lineitem),
-pat AS (SELECT c_custkey AS pat_id, 'MRN' || CAST(c_custkey AS VARCHAR) AS pat_mrn_id,
-  CAST(DATE '1950-01-01' + c_nationkey AS TIMESTAMP) AS birth_date,
-  CASE WHEN c_acctbal < -500 THEN TIMESTAMP '2000-01-01 00:00:00' END AS death_date, c_nationkey % 2 AS sex_c FROM customer),
-p3 AS (SELECT c_custkey AS pat_id, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Y' WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE 'N' END AS is_test_pat_yn FROM customer),
-dep_loc AS (SELECT s_suppkey AS department_id, 'DEP' || CAST(s_suppkey AS VARCHAR) AS department_abbr, n_name AS loc_abbr,
-  s_nationkey AS loc_id, CASE WHEN r_name = 'ASIA' THEN r_name ELSE r_name || ' MERCY AREA' END AS sa_rpt_grp_six_name
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-rom AS (SELECT p_partkey AS room_csn_id, p_name AS room_name FROM part),
-bed AS (SELECT p_partkey AS bed_csn_id, p_brand AS bed_label, p_size % 4 AS bed_status_c, 'Y' AS census_inclusn_yn FROM part),
-zc_class AS (SELECT r_regionkey + 1 AS adt_pat_class_c, lower(r_name) AS abbr FROM region),
-zc_disp AS (SELECT r_regionkey + 1 AS disch_disp_c, 'D-' || r_name AS abbr FROM region),
-zc_acuity AS (SELECT r_regionkey + 1 AS acuity_level_c, 'L-' || r_name AS abbr FROM region),
-zc_sex AS (SELECT n_nationkey AS rcpt_mem_sex_c, substr(n_name, 1, 1) AS abbr FROM nation WHERE n_nationkey < 2),
-zc_arriv AS (SELECT r_regionkey + 1 AS means_of_arrv_c, 'ARR ' || r_name AS name FROM region),
-zc_ed_disp AS (SELECT r_regionkey + 1 AS ed_disposition_c, 'ED ' || r_name AS abbr FROM region),
-zc_bed AS (SELECT n_nationkey AS bed_status_c, n_name AS name FROM nation WHERE n_nationkey < 4),
-zc_accomm AS (SELECT n_nationkey AS accommodation_c, 'ACC ' || n_name AS abbr FROM nation WHERE n_nationkey < 3),
-enc_dx AS (SELECT l_orderkey AS pat_enc_csn_id, l_partkey AS dx_id FROM lineitem WHERE l_returnflag = 'R'),
-icd10 AS (SELECT p_partkey AS dx_id, 'ICD' || CAST(p_partkey AS VARCHAR) AS code FROM part WHERE p_size > 10),
-edg AS (SELECT p_partkey AS dx_id, p_name AS dx_name FROM part),
-er_com AS (SELECT l_orderkey AS pat_enc_csn_id, 'C' || l_linestatus AS er_complaint FROM lineitem WHERE l_returnflag = 'A'),
-rsn_visit AS (SELECT l_orderkey AS pat_enc_csn_id, l_suppkey % 10 AS enc_reason_id FROM lineitem WHERE l_returnflag = 'N'),
-cl_rsn_visit AS (SELECT n_nationkey AS reason_visit_id, 'RSN ' || n_name AS reason_visit_name FROM nation),
-adt_dtl AS (SELECT
-  'ETL' AS msg_typ, 'STL' AS msg_src, 'ETL' AS trigger_evnt, TIMESTAMP '1999-01-01 00:00:00' AS msg_tm, 'ETL' AS msg_nm,
-  'ETL' AS bod_id, pat.pat_mrn_id, peh.pat_enc_csn_id, pat.birth_date, pat.death_date,
-  upper(zc_class.abbr) AS pat_class_abbr, peh.hosp_admsn_time, peh.hosp_disch_time,
-  dep_loc.department_abbr, dep_loc.loc_abbr, rom.room_name AS room_nm, bed.bed_label, zc_bed.name AS bed_status,
-  zc_sex.abbr AS sex_abbr, zc_arriv.name AS means_of_arrv_abbr, substr(zc_acuity.abbr, 3) AS acuity_level_abbr,
-  zc_ed_disp.abbr AS ed_disposition_abbr, zc_disp.abbr AS disch_disp_abbr, peh.adt_arrival_time, peh.hsp_account_id,
-  zc_accomm.abbr AS accommodation_abbr, c_curr.user_id,
-  row_number() OVER (PARTITION BY peh.pat_enc_csn_id, pat.pat_mrn_id ORDER BY c_curr.seq_num_in_enc DESC,
-    c_curr.effective_time DESC, c_curr.department_id DESC, c_curr.room_csn_id DESC, c_curr.bed_csn_id DESC) AS row_num
-FROM peh
-INNER JOIN c_adt c_curr ON peh.pat_enc_csn_id = c_curr.pat_enc_csn_id
-  AND CAST(c_curr.effective_time AS DATE) >= DATE '1996-01-01'
-  AND CAST(c_curr.effective_time AS DATE) <= DATE '1999-01-01' - 1
-  AND c_curr.event_type_c IN (1, 2, 3, 5, 6) AND c_curr.event_subtype_c <> 2
-INNER JOIN pat ON pat.pat_id = peh.pat_id
-INNER JOIN p3 ON peh.pat_id = p3.pat_id AND p3.is_test_pat_yn <> 'Y'
-LEFT OUTER JOIN zc_class ON peh.adt_pat_class_c = zc_class.adt_pat_class_c
-INNER JOIN dep_loc ON c_curr.department_id = dep_loc.department_id
-INNER JOIN rom ON c_curr.room_csn_id = rom.room_csn_id
-INNER JOIN bed ON bed.bed_csn_id = c_curr.bed_csn_id
-LEFT OUTER JOIN zc_disp ON peh.disch_disp_c = zc_disp.disch_disp_c
-LEFT OUTER JOIN zc_acuity ON zc_acuity.acuity_level_c = peh.acuity_level_c
-LEFT OUTER JOIN zc_sex ON zc_sex.rcpt_mem_sex_c = pat.sex_c
-LEFT OUTER JOIN zc_arriv ON zc_arriv.means_of_arrv_c = peh.means_of_arrv_c
-LEFT OUTER JOIN zc_ed_disp ON zc_ed_disp.ed_disposition_c = peh.ed_disposition_c
-LEFT OUTER JOIN zc_bed ON zc_bed.bed_status_c = bed.bed_status_c
-LEFT OUTER JOIN zc_accomm ON zc_accomm.accommodation_c = c_curr.accommodation_c
-WHERE CAST(peh.hosp_admsn_time AS DATE) >= DATE '1996-01-01'
-  AND (peh.hosp_disch_time IS NULL OR CAST(peh.hosp_disch_time AS DATE) >= DATE '1999-01-01' - 2)
-  AND dep_loc.sa_rpt_grp_six_name LIKE '%MERCY%'
-  AND dep_loc.loc_id NOT IN (3, 7)
-  AND peh.admit_conf_stat_c <> 3
-  AND pat.death_date IS NULL),
-adt AS (SELECT DISTINCT * EXCLUDE (row_num) FROM adt_dtl WHERE row_num = 1)
+# The seed's results, stated on the driver tables themselves: each order's last
+# line that counts (by aggregation), and names by scalar look-ups.
+_SEEDED = """WITH last AS (
+  SELECT l_orderkey, max(ROW(l_linenumber, l_shipdate, l_suppkey, l_partkey)) AS m
+  FROM lineitem
+  WHERE l_returnflag <> 'R' AND l_linenumber NOT IN (4, 7)
+    AND date_trunc('day', l_shipdate) BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31'
+    AND l_partkey IN (SELECT p_partkey FROM part)
+    AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey NOT IN (
+      SELECT n_nationkey FROM nation WHERE n_nationkey IN (3, 7) OR n_regionkey = (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')))
+  GROUP BY l_orderkey),
+seeded AS (
+  SELECT orders.*, customer.*, m[1] AS line, m[3] AS place, m[4] AS spot, CAST(left(o_orderpriority, 1) AS INTEGER) - 1 AS prio
+  FROM last, orders, customer
+  WHERE o_orderkey = l_orderkey AND c_custkey = o_custkey AND o_orderstatus IN ('O', 'F')
+    AND o_orderdate >= TIMESTAMP '1996-01-01' AND c_acctbal >= -500 AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')
+    AND (o_orderstatus = 'O' OR date_trunc('day', o_orderdate) + INTERVAL 30 DAY >= TIMESTAMP '1998-12-30'))
 """
+_PRIO = "(SELECT {} FROM region WHERE r_regionkey = prio)"
+
+
+def _carried(rest: str) -> str:
+    return "'STL' AS msg_src, TIMESTAMP '1999-01-01 00:00:00' AS msg_tm, o_orderkey AS pat_enc_csn_id, " + rest
+
 
 ORACLE.update({
-    "seed_adt": SEED_ROLES + "SELECT * FROM adt",
-    "seed_dx": SEED_ROLES + """SELECT adt.msg_src, adt.msg_tm, adt.pat_enc_csn_id, icd10.code AS dx_icd_cd, edg.dx_name,
-  'ICD-10-CM' AS dx_code_type
-FROM adt INNER JOIN enc_dx ON adt.pat_enc_csn_id = enc_dx.pat_enc_csn_id
-INNER JOIN icd10 ON icd10.dx_id = enc_dx.dx_id INNER JOIN edg ON icd10.dx_id = edg.dx_id""",
-    "seed_er": SEED_ROLES + """SELECT DISTINCT adt.msg_src, adt.msg_tm, adt.pat_enc_csn_id, er_com.er_complaint
-FROM adt INNER JOIN er_com ON adt.pat_enc_csn_id = er_com.pat_enc_csn_id""",
-    "seed_visit_reason": SEED_ROLES + """SELECT DISTINCT adt.msg_src, adt.msg_tm, adt.pat_enc_csn_id,
-  cl_rsn_visit.reason_visit_name AS encntr_rsn
-FROM adt INNER JOIN rsn_visit ON adt.pat_enc_csn_id = rsn_visit.pat_enc_csn_id
-INNER JOIN cl_rsn_visit ON rsn_visit.enc_reason_id = cl_rsn_visit.reason_visit_id""",
+    "seed_adt": _SEEDED + f"""SELECT 'ETL' AS msg_typ, 'ETL' AS trigger_evnt, 'ETL' AS msg_nm, 'ETL' AS bod_id, {_carried('')}
+  'MRN' || c_custkey AS pat_mrn_id, CAST(DATE '1950-01-01' + c_nationkey AS TIMESTAMP) AS birth_date, CAST(NULL AS TIMESTAMP) AS death_date,
+  o_orderdate AS hosp_admsn_time, o_orderdate AS adt_arrival_time,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS hosp_disch_time, o_orderkey + 1000000 AS hsp_account_id,
+  'U' || place AS user_id, 'DEP' || place AS department_abbr,
+  (SELECT n_name FROM nation WHERE n_nationkey = (SELECT s_nationkey FROM supplier WHERE s_suppkey = place)) AS loc_abbr,
+  (SELECT p_name FROM part WHERE p_partkey = spot) AS room_nm, (SELECT p_brand FROM part WHERE p_partkey = spot) AS bed_label,
+  (SELECT n_name FROM nation WHERE n_nationkey = (SELECT p_size FROM part WHERE p_partkey = spot)) AS bed_status,
+  (SELECT 'ACC ' || n_name FROM nation WHERE n_nationkey = 6 * line) AS accommodation_abbr,
+  (SELECT left(n_name, 1) FROM nation WHERE n_nationkey = 2 * c_nationkey) AS sex_abbr,
+  {_PRIO.format('r_name')} AS pat_class_abbr, {_PRIO.format('r_name')} AS acuity_level_abbr,
+  {_PRIO.format("'D-' || r_name")} AS disch_disp_abbr, {_PRIO.format("'ARR ' || r_name")} AS means_of_arrv_abbr,
+  {_PRIO.format("'ED ' || r_name")} AS ed_disposition_abbr
+FROM seeded""",
+    "seed_dx": _SEEDED + f"""SELECT {_carried("'ICD' || p_partkey AS dx_icd_cd, p_name AS dx_name, 'ICD-10-CM' AS dx_code_type")}
+FROM lineitem, part, seeded WHERE l_orderkey = o_orderkey AND p_partkey = l_partkey + l_partkey""",
+    "seed_er": _SEEDED + f"""SELECT {_carried("unnest(c) AS er_complaint")}
+FROM seeded, (SELECT l_orderkey, list(DISTINCT concat('C', l_linestatus, l_returnflag)) AS c FROM lineitem GROUP BY 1) AS x WHERE x.l_orderkey = o_orderkey""",
+    "seed_visit_reason": _SEEDED + f"""SELECT {_carried("'RSN ' || n_name AS encntr_rsn")}
+FROM seeded, nation WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey % 40 = n_nationkey)""",
 })
 
 ORACLE["retention_job"] = ORACLE["retention_master"]
+ORACLE["retention_job_child"] = ORACLE["retention_child"]

@@ -16,18 +16,17 @@ from wardline.operators import cleanse as CL
 from wardline.operators import extract as E
 from wardline.operators import latest as LT
 from wardline.operators import retention as RT
-from wardline.operators import seed as SD
+from wardline import jobs as JB
 from wardline.plans import carriers as C
 from wardline.plans import seed_roles as SR
 from wardline.schemas import ADT_HIST
 from wardline.session import scratch_path
+from wardline.sinks import metered as MT
 from wardline.sinks import tables as TB
 from wardline.sinks import upsert as UP
 from wardline.sinks import warehouse as WH
-from wardline.sources import broker as BR
 from wardline.sources import files as FS
 from wardline.sources import tables as ST
-from wardline.streaming import ingest as IN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,16 +41,17 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(par) if scan.rdd.getNumPartitions() < par else scan
 
 
-def land(spark: SparkSession, msgs: DataFrame, name: str, spread_out: bool = False) -> DataFrame:
+#: Messages in a landed file: small enough that a few partitions still make many readable files.
+MESSAGES_PER_FILE = 5_000
+
+
+def land(spark: SparkSession, msgs: DataFrame, name: str) -> DataFrame:
     """Writes rendered messages to the shared folder and reads them back, as a message
     drop would deliver them. Parsing then starts from stored text, and the optimizer
-    cannot fold the rendering into every consumer. ``spread_out`` writes one file per
-    core for messages rendered after a shuffle (AQE may have coalesced it to a few
-    partitions, and each file is read by one task)."""
+    cannot fold the rendering into every consumer. Files are cut by rows, so the
+    reading side is as parallel as the data allow."""
     path = scratch_path(spark, name)
-    if spread_out:
-        msgs = msgs.repartition(spark.sparkContext.defaultParallelism)
-    msgs.write.parquet(path)
+    msgs.write.option("maxRecordsPerFile", MESSAGES_PER_FILE).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -84,8 +84,7 @@ def hl7_event_times(spark, d):
 
 
 def _hl7_orders(spark, d):
-    msgs = land(spark, C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "hl7-orders",
-                spread_out=True)
+    msgs = land(spark, C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "hl7-orders")
     return _accepted(msgs, E.HL7)
 
 
@@ -112,8 +111,7 @@ def hl7_mrn_first_repetition(spark, d):
 
 
 def hl7_reject_split(spark, d):
-    events = spread(table(spark, d, "events"))
-    msgs = land(spark, C.damage_events(C.hl7_from_events(events), events), "hl7-damaged", spread_out=True)
+    msgs = land(spark, C.damage_events(C.hl7_from_events(spread(table(spark, d, "events")), keep=("event_type", "value"))), "hl7-damaged")
     return E.with_validity(msgs, E.HL7).select("msg_nm", "reject_reason")
 
 
@@ -126,8 +124,7 @@ def xml_adt_detail(spark, d):
 
 
 def _xml_orders(spark, d):
-    msgs = land(spark, C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "xml-orders",
-                spread_out=True)
+    msgs = land(spark, C.xml_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "xml-orders")
     return _accepted(msgs, E.XML)
 
 
@@ -148,7 +145,7 @@ def xml_acuity(spark, d):
 
 
 def split_batched_files(spark, d):
-    files = land(spark, C.batch_documents(table(spark, d, "documents")), "batched-files", spread_out=True)
+    files = land(spark, C.batch_documents(table(spark, d, "documents")), "batched-files")
     return E.explode_batches(files).select("file_id", "part_no", "text")
 
 
@@ -253,6 +250,8 @@ QUERIES.update({
 # ------------------------------------------------------------------ sinks and streams
 
 
+# Fixed query parameter: envelopes in a dropped XML file.
+XML_PER_FILE = 500
 # Fixed query parameter: events before this instant form the older of two upsert batches.
 SPLIT_TS = "2024-01-16 00:00:00"
 
@@ -267,7 +266,8 @@ def _event_states(spark, d):
 def _halves(spark, d):
     rows = _event_states(spark, d)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    return rows.where(F.col("msg_tm") >= split), rows.where(F.col("msg_tm") < split)
+    newer = F.coalesce(F.col("msg_tm") >= split, F.lit(False))  # rows without a time are in the older half
+    return rows.where(newer), rows.where(~newer)
 
 
 def upsert_merge(spark, d):
@@ -279,82 +279,155 @@ def upsert_merge(spark, d):
     return UP.read_current(spark, path).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
 
 
-def append_and_upsert(spark, d):
+def _appended_and_upserted(spark, d):
     """K7: both batches appended to the history (batch 0 twice: a retry) and upserted."""
     newer, older = _halves(spark, d)
     hist, cur = scratch_path(spark, "hist"), scratch_path(spark, "current")
     UP.append_and_upsert(spark, newer, 0, hist, cur)
     UP.append_and_upsert(spark, newer, 0, hist, cur)
     UP.append_and_upsert(spark, older, 1, hist, cur)
+    return hist, cur
+
+
+def append_and_upsert(spark, d):
+    """K7, the history side; folded by a compaction first, after which batch 0 is replayed once more."""
+    hist, _ = _appended_and_upserted(spark, d)
+    TB.compact(spark, hist, "msg_tm")
+    UP.append_batch(_halves(spark, d)[0], 0, hist)
     return spark.read.parquet(hist).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
 
 
-def _broker_records(spark, d):
+def append_and_upsert_current(spark, d):
+    """K7, the current-state side."""
+    return UP.read_current(spark, _appended_and_upserted(spark, d)[1]).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
+
+
+def upsert_null_keys(spark, d):
+    """K5: rows without a key match nothing and are all kept."""
+    newer, older = (h.withColumn("pat_enc_csn_id", F.when(F.col("trigger_evnt") != "error", F.col("pat_enc_csn_id"))) for h in _halves(spark, d))
+    path = scratch_path(spark, "current")
+    UP.upsert(spark, newer, path, buckets=16)
+    UP.upsert(spark, older, path)  # the table's own bucket count holds
+    return UP.read_current(spark, path).select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
+
+
+def upsert_children_set(spark, d):
+    """K5-K8 with child rows: an encounter's whole set is replaced by the set of its latest time."""
+    newer, older = (h.select("pat_enc_csn_id", F.date_trunc("day", "msg_tm").alias("msg_tm"), "trigger_evnt") for h in _halves(spark, d))
+    path = scratch_path(spark, "children")
+    UP.upsert(spark, older, path, mode="set")
+    UP.upsert(spark, newer, path, mode="set")
+    return UP.read_current(spark, path).select("pat_enc_csn_id", "msg_tm", "trigger_evnt")
+
+
+def _event_records(spark, d):
     """Event messages as broker records: body bytes plus partition, sequence number, offset."""
-    ev = spread(table(spark, d, "events"))
-    msgs = C.hl7_from_events(ev).join(ev.select(F.concat(F.lit("evt-"), F.col("event_id")).alias("msg_nm"),
-                                                "event_id", "user_id"), "msg_nm")
+    msgs = C.hl7_from_events(spread(table(spark, d, "events")), keep=("event_id", "user_id"))
     return msgs.select(F.col("text").cast("binary").alias("body"), (F.col("user_id") % 4).cast("string").alias("partition"),
                        F.col("event_id").alias("sequenceNumber"), (F.col("event_id") * 10).cast("string").alias("offset"))
 
 
-def _run_ingest(spark, d):
+def _order_records(spark, d):
+    """Order messages, which hold diagnoses, complaints and reasons, as broker records."""
+    msgs = C.hl7_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"))
+    key = F.regexp_extract("msg_nm", "[0-9]+", 0).cast("long")
+    return msgs.select(F.col("text").cast("binary").alias("body"), (key % 4).cast("string").alias("partition"),
+                       key.alias("sequenceNumber"), (key * 10).cast("string").alias("offset"))
+
+
+#: Files of the broker drop that one trigger takes.
+FILES_PER_TRIGGER = 4
+
+
+def _run_ingest(spark, records):
     root = scratch_path(spark, "ingest")
     drop = f"{root}/broker"
-    par = spark.sparkContext.defaultParallelism
-    _broker_records(spark, d).repartition(2 * par).write.parquet(drop)  # the broker drop: two triggers' worth
+    records.write.option("maxRecordsPerFile", 20_000).parquet(drop)
     stream = spark.readStream.schema("body binary, partition string, sequenceNumber bigint, offset string") \
-        .option("maxFilesPerTrigger", par).parquet(drop)
-    paths = {t: f"{root}/{t}" for t in IN.TABLES}
+        .option("maxFilesPerTrigger", FILES_PER_TRIGGER).option("maxFileAge", FS.ANY_AGE).parquet(drop)
     # rejects are not dropped at the source: the fan-out routes them to the quarantine
-    q = IN.ingest(BR.broker_messages(stream, keep_rejects=True).drop("valid"), E.HL7, paths, f"{root}/_checkpoint", f"{root}/quarantine", f"{root}/metrics")
-    q.awaitTermination()
-    return root, paths
+    JB.ingest_hl7(stream, root).awaitTermination()
+    return root, JB.paths(root)
 
 
 def stream_ingest_fanout(spark, d):
     """S4 + T7 + K2: broker records streamed, parsed once, fanned out; ADT table read back."""
-    _, paths = _run_ingest(spark, d)
+    _, paths = _run_ingest(spark, _event_records(spark, d))
     cols = [c for c in ADT_HIST.fieldNames() if c not in ("row_insert_tsp", "insert_user_id")]
     return portable(spark.read.parquet(paths["adt_hist"]).select(*cols))
 
 
 def stream_batch_metrics(spark, d):
-    """A2 + A3 via K2's observed metrics, summed over the batches of the ingest."""
-    root, _ = _run_ingest(spark, d)
-    m = spark.read.parquet(f"{root}/metrics")
+    """A2 + A3 via K2's observed metrics, summed over the batches of the ingest; one batch's are written twice."""
+    root, _ = _run_ingest(spark, _order_records(spark, d))
+    again = MT.read_metrics(spark, f"{root}/metrics").where("batch_id = 0")  # a row for each table
+    MT.record_metrics(spark, [r.asDict() for r in again.collect()], f"{root}/metrics")
+    m = MT.read_metrics(spark, f"{root}/metrics")
     return portable(m.groupBy("table_name").agg(F.sum("batch_rows").alias("batch_rows"),
                                                 F.max("latest_msg_tm").alias("latest_msg_tm")))
 
 
+def _fanned_out(name):
+    def query(spark, d):
+        _, paths = _run_ingest(spark, _order_records(spark, d))
+        return portable(spark.read.parquet(paths[name]).drop("row_insert_tsp", "insert_user_id", TB.BATCH))
+
+    query.__doc__ = f"T7: {name} of the order messages' fan-out."
+    return query
+
+
 def stream_xml_files(spark, d):
-    """S1-S3 + P1 + T7: batched XML files dropped in a folder, streamed, split, parsed once."""
+    """S1-S3 + P1 + T7: batched XML files of bounded size dropped in a folder, streamed, split, parsed once.
+
+    Spark names the dropped files, so the message name is compared by its form: the file's own name.
+    """
     root = scratch_path(spark, "xmldrop")
     msgs = land(spark, C.xml_from_events(spread(table(spark, d, "events"))), "xml")
-    msgs.select(F.concat(F.col("text"), F.lit("\n"), F.lit(XM.BATCH_DELIMITER)).alias("value")).write.text(f"{root}/drop")
-    stream = FS.read_text_named(spark, f"{root}/drop", max_files=2)
-    paths = {t: f"{root}/{t}" for t in IN.TABLES}
-    IN.ingest(stream, E.XML, paths, f"{root}/_checkpoint", batched_files=True).awaitTermination()
+    lines = msgs.select(F.concat(F.col("text"), F.lit("\n"), F.lit(XM.BATCH_DELIMITER)).alias("value"))
+    lines.write.option("maxRecordsPerFile", XML_PER_FILE).text(f"{root}/drop")
+    JB.ingest_xml(spark, f"{root}/drop", root).awaitTermination()
     cols = [c for c in ADT_HIST.fieldNames() if c not in ("row_insert_tsp", "insert_user_id", "msg_nm")]
-    return portable(spark.read.parquet(paths["adt_hist"]).select(*cols))
+    names = spark.read.format("binaryFile").load(f"{root}/drop").select(F.element_at(F.split("path", "/"), -1).alias("msg_nm"))
+    adt = spark.read.parquet(JB.paths(root)["adt_hist"]).join(names.withColumn("is_file", F.lit(True)), "msg_nm", "left")
+    return portable(adt.select(*cols, F.coalesce("is_file", F.lit(False)).alias("named_by_file")))
 
 
 def stream_table_copy(spark, d):
-    """S5 + K11: a table appended in batches is tailed and copied to a warehouse folder."""
+    """S5 + K11: a table appended to in batches is tailed and copied to a warehouse folder; the
+    table is compacted and a batch of the copy replayed on the way."""
     root = scratch_path(spark, "copy")
-    rows = _event_states(spark, d)
-    for i, et in enumerate(["signup", "view", "click", "purchase", "error"]):
-        rows.where(F.col("trigger_evnt") == et).write.mode("append").parquet(f"{root}/table")
-    src = ST.tail_table(spark, f"{root}/table", rows.schema, max_files=3)
-    WH.copy_stream(src, f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
-    return spark.read.parquet(f"{root}/warehouse")
+    newer, older = _halves(spark, d)
+
+    def copy():
+        src = ST.tail_table(spark, f"{root}/table", newer.schema, max_files=3)
+        WH.copy_stream(src, f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
+
+    TB.append_batch_rows(newer, 0, f"{root}/table")
+    copy()
+    first = spark.read.parquet(f"{root}/warehouse").where(F.col(TB.BATCH) == 0).drop(TB.BATCH)
+    replay = land(spark, first, "replayed")
+    TB.append_batch_rows(older, 1, f"{root}/table")
+    copy()
+    TB.compact(spark, f"{root}/table", "msg_tm", keep_batches=0)
+    copy()  # rewritten files hold nothing new
+    WH.write_batch(replay, 0, f"{root}/warehouse", f"{root}/_marks", fmt="parquet")
+    return spark.read.parquet(f"{root}/warehouse").drop(TB.BATCH)
+
+
+def latest_to_warehouse(spark, d):
+    """K10 as a stream: the latest states of each batch, ties kept."""
+    root = scratch_path(spark, "latest")
+    rows = _event_states(spark, d).withColumn("msg_tm", F.date_trunc("hour", "msg_tm"))
+    rows.coalesce(1).write.parquet(f"{root}/table")
+    WH.latest_stream(ST.tail_table(spark, f"{root}/table", rows.schema), f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
+    return spark.read.parquet(f"{root}/warehouse").drop(TB.BATCH)
 
 
 def cluster_by_range(spark, d):
     """Rewrite clustered by time; contents unchanged."""
     path = scratch_path(spark, "cluster")
     _event_states(spark, d).write.parquet(path)
-    TB.compact(spark, path, "msg_tm", files=4)
+    TB.compact(spark, path, "msg_tm")
     return spark.read.parquet(path)
 
 
@@ -378,10 +451,17 @@ def table_actions(spark, d):
 QUERIES.update({
     "upsert_merge": upsert_merge,
     "append_and_upsert": append_and_upsert,
+    "append_and_upsert_current": append_and_upsert_current,
+    "upsert_null_keys": upsert_null_keys,
+    "upsert_children_set": upsert_children_set,
     "stream_ingest_fanout": stream_ingest_fanout,
     "stream_batch_metrics": stream_batch_metrics,
+    "stream_fanout_dx": _fanned_out("encntr_dx_hist"),
+    "stream_fanout_er": _fanned_out("encntr_er_complnt_hist"),
+    "stream_fanout_visit": _fanned_out("encntr_visit_rsn_hist"),
     "stream_xml_files": stream_xml_files,
     "stream_table_copy": stream_table_copy,
+    "latest_to_warehouse": latest_to_warehouse,
     "cluster_by_range": cluster_by_range,
     "table_actions": table_actions,
 })
@@ -390,42 +470,50 @@ QUERIES.update({
 # ------------------------------------------------------------------ seed
 
 
-def _seeded(spark, d):
-    t = SR.roles(spark, d)
-    adt = SD.seed_adt(t, SR.SEED_AS_OF, SR.SEED_START, msg_tm=SR.seed_msg_tm(),
-                      excluded_locations=SR.SEED_EXCLUDED_LOCATIONS)
-    return t, adt
+def _seeded(spark, d, name):
+    """The seed job over the driver tables, ADT and one table of the four; read back without stamps."""
+    root = scratch_path(spark, "seed")
+    JB.seed_job(spark, SR.roles(spark, d), root, SR.RULES, SR.seed_msg_tm(), only=name)
+    rows = spark.read.parquet(f"{root}/{name}").drop("row_insert_tsp", "insert_user_id")
+    # the driver tables hold wall clocks: read back as such; the stamp alone is an instant
+    return rows.select(*[(utc_ntz(F.col(c)) if c == "msg_tm" else F.col(c).cast("timestamp_ntz") if t == "timestamp" else F.col(c)).alias(c)
+                         for c, t in rows.dtypes])
 
 
 def seed_adt(spark, d):
-    return portable(_seeded(spark, d)[1])
+    return _seeded(spark, d, "adt_hist")
 
 
 def seed_dx(spark, d):
-    t, adt = _seeded(spark, d)
-    return portable(SD.seed_dx(adt, t))
+    return _seeded(spark, d, "encntr_dx_hist")
 
 
 def seed_er(spark, d):
-    t, adt = _seeded(spark, d)
-    return portable(SD.seed_er(adt, t))
+    return _seeded(spark, d, "encntr_er_complnt_hist")
 
 
 def seed_visit_reason(spark, d):
-    t, adt = _seeded(spark, d)
-    return portable(SD.seed_visit_reason(adt, t))
+    return _seeded(spark, d, "encntr_visit_rsn_hist")
 
 
 QUERIES.update({"seed_adt": seed_adt, "seed_dx": seed_dx, "seed_er": seed_er, "seed_visit_reason": seed_visit_reason})
 
 
-def retention_job(spark, d):
+def _retained(spark, d):
     """Master (orders by customer) and one child (customers) pruned together, then clustered."""
     root = scratch_path(spark, "retention")
     _retention_master(spark, d).withColumn("row_insert_tsp", F.col("hosp_disch_time")).write.parquet(f"{root}/master")
     table(spark, d, "customer").select(F.col("c_custkey").alias("pat_enc_csn_id"), "c_name").write.parquet(f"{root}/child")
     RT.retention_job(spark, f"{root}/master", [f"{root}/child"], RETENTION_DAYS, RETENTION_AS_OF)
-    return spark.read.parquet(f"{root}/master").drop("row_insert_tsp")
+    return root
+
+
+def retention_job(spark, d):
+    return spark.read.parquet(f"{_retained(spark, d)}/master").drop("row_insert_tsp")
+
+
+def retention_job_child(spark, d):
+    return spark.read.parquet(f"{_retained(spark, d)}/child")
 
 
-QUERIES["retention_job"] = retention_job
+QUERIES.update({"retention_job": retention_job, "retention_job_child": retention_job_child})
