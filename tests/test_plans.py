@@ -3,7 +3,9 @@
 from wardline.operators import extract as E
 from wardline.operators import latest as LT
 from wardline.plans import carriers as C
+from wardline.operators import seed as SD
 from wardline.plans import queries as Q
+from wardline.plans import seed_roles as SR
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,12 +37,18 @@ def test_retention_uses_anti_and_semi_joins(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    p = plan(Q.seed_adt(spark, SF))
+    p = plan(SD.seed_adt(SR.roles(spark, SF), SR.RULES))
     assert "l_extendedprice" not in p and "o_totalprice" not in p and "c_name" not in p
     p = plan(Q.retention_master(spark, SF))
     assert "o_totalprice" not in p
 
 
+def test_rendering_events_needs_no_shuffle(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    p = plan(C.damage_events(C.hl7_from_events(events, keep=("event_type", "value"))))
+    assert "Exchange" not in p and "Join" not in p
+
+
 def test_validity_filter_reaches_the_scan_for_hl7(spark):
     msgs = Q.land(spark, C.hl7_from_events(Q.table(spark, SF, "events")), "plan-hl7b")
     good, _ = E.split_valid(E.parse_hl7(msgs), E.HL7)

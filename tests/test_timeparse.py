@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.functions.timeparse import hl7_time, utc_ntz
+from wardline.functions.timeparse import hl7_time, iso_time, utc_ntz
 
 # Reference truth table (UTC results of localising US/Central wall clocks).
 CASES = [
@@ -22,6 +22,15 @@ CASES = [
     ("2024010510", None),
     ("202401", None),
     ("2022", None),
+    ("2022-04-08T10:46:52", dt.datetime(2022, 4, 8, 15, 46, 52)),
+    ("2022-04-08 10:46:52", dt.datetime(2022, 4, 8, 15, 46, 52)),
+    ("2022-04-08T10:46", dt.datetime(2022, 4, 8, 15, 46)),
+    ("2022-04-08T10:46:52.25", dt.datetime(2022, 4, 8, 15, 46, 52, 250000)),
+    ("1988-08-15", dt.datetime(1988, 8, 15, 5, 0)),
+    ("2022-04-08T10:46:52Z", None),
+    ("2022-13-08T10:46:52", None),
+    ("12:30", None),
+    ("2022-04", None),
     ("garbage", None),
     ("", None),
     (None, None),
@@ -38,3 +47,25 @@ def test_truth_table(spark, session_tz):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [want for _, want in CASES]
+
+
+RECEIVED = [
+    ("2024-01-05T10:46:52Z", dt.datetime(2024, 1, 5, 10, 46, 52)),
+    ("2024-01-05T10:46:52-05:00", dt.datetime(2024, 1, 5, 15, 46, 52)),
+    ("2024-01-05T10:46:52.5+0100", dt.datetime(2024, 1, 5, 9, 46, 52, 500000)),
+    ("2024-01-05T10:46:52", dt.datetime(2024, 1, 5, 10, 46, 52)),
+    ("20240105104652", dt.datetime(2024, 1, 5, 10, 46, 52)),
+    ("20240105", dt.datetime(2024, 1, 5)),
+    ("12:30", None), ("2022", None), ("2022-04", None), ("", None), (None, None), ("x", None),
+]
+
+
+@pytest.mark.parametrize("session_tz", ["UTC", "America/New_York"])
+def test_received_times(spark, session_tz):
+    spark.conf.set("spark.sql.session.timeZone", session_tz)
+    try:
+        df = spark.createDataFrame([(x,) for x, _ in RECEIVED], "x string")
+        got = [r[0] for r in df.select(utc_ntz(iso_time(F.col("x")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [want for _, want in RECEIVED]

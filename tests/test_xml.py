@@ -86,7 +86,7 @@ def test_split_batches(spark):
     texts = ["a", "\na" + d + "\nb" + d + "\nc", "a" + d + "b" + d, "", "\n\nx" + d + "y"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "file_id int, text string")
     got = {}
-    for r in collect(E.explode_batches(df)):
+    for r in sorted(collect(E.explode_batches(df)), key=lambda r: r["part_no"]):
         got.setdefault(r["file_id"], []).append((r["part_no"], r["text"]))
     assert got[0] == [(0, "a")]
     assert got[1] == [(0, "a"), (1, "b"), (2, "c")]
@@ -111,6 +111,16 @@ def test_file_drop_stream_names_and_archive(spark, tmp_path):
     q.awaitTermination()
     got = spark.sql("SELECT msg_nm, part_no FROM drop_test ORDER BY part_no").collect()
     assert [(r[0], r[1]) for r in got] == [("msg-a.xml", 0), ("msg-a.xml", 1)]
+    # a finished file is moved away when the next batch ends
+    with open(f"{root}/in/day1/msg-b.xml", "w") as f:
+        f.write(envelope())
+    for _ in range(2):
+        E.explode_batches(read_text_named(spark, f"{root}/in", archive_dir=f"{root}/archive", glob="*.xml")).writeStream.format("noop") \
+            .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination()
+        with open(f"{root}/in/day1/msg-c.xml", "w") as f:
+            f.write(envelope())
+    moved = [f for _, _, names in os.walk(f"{root}/archive") for f in names]
+    assert "msg-a.xml" in moved and not os.path.exists(f"{root}/in/day1/msg-a.xml")
 
 
 def test_flatten_last_repetition_wins(spark):
@@ -132,3 +142,62 @@ def test_segments_under_unknown_parents_are_found(spark):
     good, _ = E.split_valid(E.parse_xml(frame(spark, [t])), E.XML)
     r = collect(E.adt_detail(good, E.XML))[0]
     assert (r["trigger_evnt"], r["pat_mrn_id"], r["pat_enc_csn_id"], r["pat_class_abbr"]) == ("A04", "M100", 55501, "EMERGENCY")
+
+
+def _observed(spark, texts):
+    good, _ = E.split_valid(E.parse_xml(frame(spark, texts)), E.XML)
+    reasons = {m: [] for m in range(len(texts))}
+    for r in collect(good.select("msg_nm", F.transform(F.col("_msg")["obx"], lambda o: o["OBX.5.ObservationValue_XAD"][X.XAD]["XAD.9.CountyparishCode"]).alias("r"))):
+        reasons[int(r["msg_nm"][1:])] = r["r"]
+    return reasons
+
+
+def test_observations_wherever_they_sit(spark):
+    def rsn(v):
+        return RSN.replace("Headache", v)
+
+    base = envelope(obx=(rsn("g"),))
+    beside = base.replace("<VisitGroup>", rsn("a") + "<VisitGroup>")
+    strange = envelope(obx=()).replace("<VisitGroup>", "<ns0:Other><Deep>" + rsn("o") + "</Deep></ns0:Other><VisitGroup>")
+    all_three = beside.replace("<VisitGroup>", "<ns0:Other>" + rsn("o") + "</ns0:Other><VisitGroup>")
+    two_groups = base.replace("</VisitGroup>", "</VisitGroup><VisitGroup>" + rsn("h") + rsn("i") + "</VisitGroup>")
+    got = _observed(spark, [base, beside, strange, all_three, two_groups, envelope(obx=())])
+    assert got == {0: ["g"], 1: ["a", "g"], 2: ["o"], 3: ["a", "o", "g"], 4: ["g", "h", "i"], 5: []}
+
+
+def test_diagnosis_and_visit_under_other_parents(spark):
+    t = envelope().replace("<ns0:DG1.Diagnosis>", "<ns0:Other><ns0:DG1.Diagnosis>").replace("</ns0:DG1.Diagnosis>", "</ns0:DG1.Diagnosis></ns0:Other>")
+    second = envelope(csn="1").replace("</VisitGroup>", "</VisitGroup><VisitGroup>" + RSN + "</VisitGroup>")
+    good, _ = E.split_valid(E.parse_xml(frame(spark, [t, second])), E.XML)
+    assert [r["er_complaint"] for r in collect(E.er_complaint(good, E.XML))] == ["Headache"] * 2
+    assert sorted(r["pat_enc_csn_id"] for r in collect(E.adt_detail(good, E.XML))) == [1, 55501]
+
+
+def test_flatten_takes_the_last_element_that_has_the_leaf(spark):
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+    leaf = StructType([StructField("A", StringType()), StructField("B", StringType()), StructField("N", ArrayType(StringType()))])
+    schema = StructType([StructField("R", ArrayType(leaf))])
+    texts = ["<x><R><A>1</A><B>2</B><N>p</N><N>q</N></R><R><A>3</A></R></x>", "<x></x>", "<x><R></R></x>"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select(F.from_xml("t", schema).alias("m")).select(*X.flatten_struct(F.col("m"), schema))
+    assert out.columns == ["R.A", "R.B", "R.N"]
+    assert [tuple(r) for r in out.collect()] == [("3", "2", "q"), (None,) * 3, (None,) * 3]
+
+
+def test_unreadable_bytes_are_rejected_by_name(spark, tmp_path):
+    import os
+
+    from wardline.jobs import ingest_xml, paths
+    from wardline.session import scratch_path
+
+    root = scratch_path(spark, "bytes")
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/good.xml", "w") as f:
+        f.write(envelope() + X.BATCH_DELIMITER + envelope(csn="2"))
+    with open(f"{root}/in/bad.xml", "wb") as f:
+        f.write(b"<a>\xff\xfe</a>")
+    ingest_xml(spark, f"{root}/in", f"{root}/out").awaitTermination()
+    assert {r.pat_enc_csn_id for r in spark.read.parquet(paths(f"{root}/out")["adt_hist"]).collect()} == {55501, 2}
+    rejects = spark.read.parquet(f"{root}/out/quarantine").collect()
+    assert [(r.msg_nm, r.reject_reason) for r in rejects] == [("bad.xml", "null_text")]
