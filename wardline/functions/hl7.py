@@ -80,10 +80,19 @@ def whole(fields: Column, n: int, seg: str = "") -> Column:
     return blank_to_null(F.get(F.split(field(fields, n, seg), REPETITION_SEP), 0))
 
 
+def components(fields: Column, n: int, seg: str = "") -> Column:
+    """The components of the first repetition of field ``n``."""
+    return F.split(F.get(F.split(field(fields, n, seg), REPETITION_SEP), 0), COMPONENT_SEP)
+
+
+def part(parts: Column, c: int) -> Column:
+    """Component ``c``; empty -> NULL."""
+    return blank_to_null(F.get(parts, c - 1))
+
+
 def component(fields: Column, n: int, c: int, seg: str = "") -> Column:
     """Component ``c`` of the first repetition of field ``n`` (P5); empty -> NULL."""
-    first = F.get(F.split(field(fields, n, seg), REPETITION_SEP), 0)
-    return blank_to_null(F.get(F.split(first, COMPONENT_SEP), c - 1))
+    return part(components(fields, n, seg), c)
 
 
 def to_long(x: Column) -> Column:
@@ -163,8 +172,10 @@ def trigger(p: Column) -> Column:
     return component(p["msh"], 9, 2, "MSH")
 
 
-def _when_trigger(p: Column, raw: Column, triggers: tuple[str, ...]) -> Column:
-    return F.when(trigger(p).isin(*triggers), raw)
+def adt_parts(p: Column) -> dict[str, Column]:
+    """The fields of which an ADT row reads several components, each split once."""
+    return {"type": components(p["msh"], 9, "MSH"), "patient": components(p["pid"], 3),
+            "place": components(p["pv1"], 3), "operator": components(p["evn"], 5)}
 
 
 # Output columns that need a conversion after the raw text is cut out.
@@ -172,40 +183,43 @@ TIME_COLUMNS = ("msg_tm", "birth_date", "death_date", "hosp_admsn_time", "hosp_d
 LONG_COLUMNS = ("pat_enc_csn_id", "hsp_account_id")
 
 
-def adt_raw(p: Column, msg_src: str = HL7_SOURCE) -> dict[str, Column]:
-    """E1, first step: every ADT column as raw text cut from the parsed message.
+def adt_raw(p: Column, msg_src: str = HL7_SOURCE, parts: Column | None = None) -> dict[str, Column]:
+    """E1, first step: every ADT column as raw text cut from the parsed message; ``parts`` is a
+    struct of :func:`adt_parts`, for which a projection before this one cut them.
 
     Visit times are already gated by the trigger event (E6-E8); times and ids
     are converted by :func:`convert`.
     """
     msh, evn, pid, pv1, pv2, zpv = (p[k] for k in ("msh", "evn", "pid", "pv1", "pv2", "zpv"))
+    c = parts if parts is not None else adt_parts(p)
+    event = part(c["type"], 2)
     return {
-        "msg_typ": component(msh, 9, 1, "MSH"),
+        "msg_typ": part(c["type"], 1),
         "msg_src": F.lit(msg_src),
-        "trigger_evnt": trigger(p),
+        "trigger_evnt": event,
         "msg_tm": whole(msh, 7, "MSH"),
         "bod_id": whole(msh, 10, "MSH"),
-        "pat_mrn_id": component(pid, 3, 1),
+        "pat_mrn_id": part(c["patient"], 1),
         "pat_enc_csn_id": whole(pv1, 19),
         "birth_date": whole(pid, 7),
         "death_date": whole(pid, 29),
         "pat_class_abbr": whole(pv1, 2),
-        "hosp_admsn_time": _when_trigger(p, whole(pv1, 44), ADMIT_TRIGGERS),
-        "hosp_disch_time": _when_trigger(p, whole(pv1, 45), DISCHARGE_TRIGGERS),
-        "department_abbr": component(pv1, 3, 1),
-        "loc_abbr": component(evn, 5, 14),
-        "room_nm": component(pv1, 3, 2),
-        "bed_label": component(pv1, 3, 3),
-        "bed_status": component(pv1, 3, 5),
+        "hosp_admsn_time": F.when(event.isin(*ADMIT_TRIGGERS), whole(pv1, 44)),
+        "hosp_disch_time": F.when(event.isin(*DISCHARGE_TRIGGERS), whole(pv1, 45)),
+        "department_abbr": part(c["place"], 1),
+        "loc_abbr": part(c["operator"], 14),
+        "room_nm": part(c["place"], 2),
+        "bed_label": part(c["place"], 3),
+        "bed_status": part(c["place"], 5),
         "sex_abbr": whole(pid, 8),
         "means_of_arrv_abbr": whole(pv2, 38),
         "acuity_level_abbr": acuity(p),
         "ed_disposition_abbr": whole(zpv, 15),
         "disch_disp_abbr": whole(pv1, 36),
-        "adt_arrival_time": _when_trigger(p, whole(pv1, 44), ARRIVAL_TRIGGERS),
+        "adt_arrival_time": F.when(event.isin(*ARRIVAL_TRIGGERS), whole(pv1, 44)),
         "hsp_account_id": whole(pv1, 50),
         "accommodation_abbr": whole(pv2, 2),
-        "user_id": component(evn, 5, 1),
+        "user_id": part(c["operator"], 1),
     }
 
 

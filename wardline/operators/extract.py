@@ -49,7 +49,11 @@ def adt_detail(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE)
     each generated method small enough for whole-stage code generation.
     """
     m = F.col(PARSED)
-    raw = hl7.adt_raw(m, msg_src) if fmt == HL7 else xmlmsg.adt_raw(m)
+    if fmt == HL7:  # fields of several components are split in a projection of their own, once
+        parsed = parsed.withColumn("_parts", F.struct(*[c.alias(k) for k, c in hl7.adt_parts(m).items()]))
+        raw = hl7.adt_raw(m, msg_src, F.col("_parts"))
+    else:
+        raw = xmlmsg.adt_raw(m)
     conv = hl7.convert if fmt == HL7 else xmlmsg.convert
     nm = F.col("msg_nm") if "msg_nm" in parsed.columns else F.lit(None).cast("string")
     staged = parsed.select(nm.alias("msg_nm"), F.struct(*[c.alias(k) for k, c in raw.items()]).alias("_raw"))
