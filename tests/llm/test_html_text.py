@@ -51,3 +51,10 @@ def test_given_pages(spark):
         article = re.search(r"(?s)<article>(.*?)</article>", r.html)[1]
         want = [" ".join(unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)[^>]*>", article)]
         assert got[r.page_id] == "\n".join(b for b in want if b)
+
+
+def test_layout_without_an_article_element(spark):
+    page = """<html><body><div id="header" class="site-header"><h1>Site</h1><p>tagline</p></div><div class="alert alert-info"><p>We moved.</p></div>
+<main><section class="entry"><div class="post-header"><h1>T</h1></div><p>First words.</p><div class="newsletter-signup"><p>join</p></div>
+<p>Second <i>words</i> &#8212; more.</p></section></main><section id="comments-area"><p>a comment that is longer than the whole article of this page</p></section></body></html>"""
+    assert H.extract(pages(spark, [(1, "http://h.example/", page)])).first().text == "T\nFirst words.\nSecond words — more."

@@ -37,9 +37,10 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 SKIPPED = frozenset("nav aside footer form button dialog menu head".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 SKIPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
-    "footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted "
+    "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
+    "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted "
     "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+PAGE_WORDS = frozenset("header site page global main top".split())
 CONTAINERS = frozenset("article main section div td body".split())
 #: An open element of the first kind ends when one of the second begins. Fixed values.
 CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
@@ -71,6 +72,7 @@ def _element(tag: str, attributes: str) -> tuple[str, bool]:
         else:
             found = _WORD.findall(value)
             skip |= not SKIPPED_WORDS.isdisjoint(found)
+            skip |= "header" in found and PAGE_WORDS.issuperset(found)  # not an article's own
             if key == "class":
                 words += found
     return ".".join([tag, *sorted(set(words))]), skip and tag not in ("html", "body", "article", "main")
