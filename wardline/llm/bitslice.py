@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import materialise
+from wardline.llm.common import map_frames, materialise
 
 SCALE = 1024
 TOP = 10
@@ -71,6 +71,20 @@ def build(ids: np.ndarray, v: np.ndarray) -> Slices:
     return Slices(ids, least, bits, np.stack([maps, ~maps & rows]), rows)
 
 
+def stored(index: Slices) -> dict[str, bytes]:
+    """An index block as columns; complements and the bitmap of rows are worked out again."""
+    return {"ids": index.ids.astype("<i8").tobytes(), "least": index.least.astype("<i8").tobytes(),
+            "bits": index.bits.astype("<i4").tobytes(), "slices": index.maps[0].astype("<u8").tobytes()}
+
+
+def loaded(ids: bytes, least: bytes, bits: bytes, slices: bytes) -> Slices:
+    i, lo, b = np.frombuffer(ids, "<i8"), np.frombuffer(least, "<i8"), np.frombuffer(bits, "<i4")
+    words = -(-len(i) // 64)
+    rows = np.packbits(np.arange(words * 64) < len(i), bitorder="little").view("<u8").astype(np.uint64)
+    maps = np.frombuffer(slices, "<u8").astype(np.uint64).reshape(len(lo), -1 if len(lo) else 1, words)
+    return Slices(i, lo, b, np.stack([maps, ~maps & rows]), rows)
+
+
 def add(index: Slices, q: np.ndarray) -> tuple[list[np.ndarray], int]:
     """Slices of the scores above a constant, least significant first, and that constant."""
     weight, sign = np.abs(q), (q < 0).astype(int)
@@ -144,15 +158,26 @@ def search(index: Slices, query_id: int, q: np.ndarray, k: int) -> Iterator[tupl
     return zip(index.ids[chosen].tolist(), total.tolist(), strict=True)
 
 
-def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one number of components, BLOCK at most, as one packed row."""
+def _parts(frames: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(components, ids, vectors) of at most ``most`` rows of one number of components."""
     for f in frames:
         for dim, g in f.groupby(f["v"].map(len)):
-            for a in range(0, len(g), BLOCK):
-                part = g.iloc[a : a + BLOCK]
-                ids = part["vec_id"].to_numpy(np.int64)
-                v = np.array(part["v"].tolist(), np.int64).reshape(len(part), dim)
-                yield pd.DataFrame({"ids": [ids.tobytes()], "v": [v.astype("<i4").tobytes()], "dim": [dim]})
+            for a in range(0, len(g), most):
+                part = g.iloc[a : a + most]
+                yield int(dim), part["vec_id"].to_numpy(np.int64), np.array(part["v"].tolist(), np.int64).reshape(len(part), dim)
+
+
+def _index(block: int):
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for dim, ids, v in _parts(frames, block):
+            yield pd.DataFrame([{"dim": dim, **stored(build(ids, v))}])
+
+    return work
+
+
+def _queries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for dim, ids, v in _parts(frames, QUERIES):
+        yield pd.DataFrame({"dim": [dim], "ids": [ids.astype("<i8").tobytes()], "vectors": [v.astype("<i4").tobytes()]})
 
 
 def _search(k: int):
@@ -160,14 +185,14 @@ def _search(k: int):
         held = None
         for f in frames:
             out = []
-            for no, is_query, ids, v, dim in zip(f["block"], f["is_query"], f["ids"], f["v"], f["dim"], strict=True):
-                ids = np.frombuffer(ids, np.int64)
-                v = np.frombuffer(v, "<i4").reshape(len(ids), dim).astype(np.int64)
-                if not is_query:
-                    held = (no, build(ids, v))
-                elif held and held[0] == no and held[1].maps.shape[1] == dim:
-                    for q, vector in zip(ids.tolist(), v, strict=True):
-                        out += [(q, vector.tobytes(), r, s) for r, s in search(held[1], q, vector, k)]
+            for r in f.itertuples(index=False):
+                if r.vectors is None:
+                    held = (r.block, loaded(r.ids, r.least, r.bits, r.slices))
+                elif held and held[0] == r.block:
+                    ids = np.frombuffer(r.ids, "<i8")
+                    vectors = np.frombuffer(r.vectors, "<i4").reshape(len(ids), r.dim).astype(np.int64)
+                    for q, v in zip(ids.tolist(), vectors, strict=True):
+                        out += [(q, v.tobytes(), i, s) for i, s in search(held[1], q, v, k)]
             yield pd.DataFrame(out, columns=["query_id", "vector", "vec_id", "score"])
 
     return work
@@ -177,16 +202,19 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE, b
     """(query_id, rank, vec_id, score): each query's k highest scores, ties to the smaller vec_id."""
     v = materialise(quantised(rows, scale), "vectors")
     n = v.count()
-    packed = "ids binary, v binary, dim int"
-    blocks = materialise(v.repartition(max(1, -(-n // block))).mapInPandas(_pack, packed).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    n_blocks = max(1, -(-n // block))
+    index = v.repartition(n_blocks).transform(map_frames, _index(block), "dim int, ids binary, least binary, bits binary, slices binary")
+    index = materialise(index.withColumn("block", F.monotonically_increasing_id()), "bit-slices")
     asked = v.where(is_query).distinct()
-    n_asked = asked.count()
-    sets = asked.repartition(max(1, -(-n_asked // QUERIES))).mapInPandas(_pack, packed)
-    # every set of queries goes to every block of its number of components
-    sent = blocks.select("block", "dim").join(sets, "dim").select("block", F.lit(True).alias("is_query"), "ids", "v", "dim")
-    both = blocks.select("block", F.lit(False).alias("is_query"), "ids", "v", "dim").unionAll(sent)
-    found = (both.repartition("block").sortWithinPartitions("block", "is_query")
-             .mapInPandas(_search(k), "query_id long, vector binary, vec_id long, score long"))
+    sets = asked.repartition(max(1, -(-asked.count() // QUERIES))).transform(map_frames, _queries, "dim int, ids binary, vectors binary")
+    # every set of queries goes to every block of its number of components; salted, so that no task pairs all
+    salts = -(-n_blocks // 64)
+    spread = sets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    to = index.select("block", "dim", F.pmod("block", F.lit(salts)).cast("int").alias("salt"))
+    sent = to.join(spread, ["dim", "salt"]).select("block", "dim", "ids", "vectors")
+    both = index.unionByName(sent, allowMissingColumns=True)
+    found = (both.repartition("block").sortWithinPartitions("block", F.col("vectors").isNotNull())
+             .transform(map_frames, _search(k), "query_id long, vector binary, vec_id long, score long"))
     best = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
