@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import ctypes
+import io
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.session import scratch_path
@@ -25,6 +33,65 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for the session's Python workers, once, wherever the driver runs."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'code')}/wardline_package.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(held.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path.toString())
+    _shipped.add(sc.applicationId)
+
+
+#: Rows of an Arrow batch, unless the session says otherwise: whole texts are long, and a
+#: worker holds a batch several times over.
+BATCH_ROWS = "2000"
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Frames = Iterator[pd.DataFrame]
+
+
+def _release() -> None:
+    """Give freed memory back to the system, so that reused workers don't add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def _released(work: Callable[[Frames], Frames]) -> Callable[[Frames], Frames]:
+    def run(frames: Frames) -> Frames:
+        try:
+            yield from work(frames)
+        finally:
+            _release()
+
+    return run
+
+
+def map_frames(df: DataFrame, work: Callable[[Frames], Frames], schema: str) -> DataFrame:
+    """mapInPandas of a function of this package, in batches of bounded size."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+    return df.mapInPandas(_released(work), schema)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only under the byte bound; beyond it Spark shuffles the join."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
@@ -35,6 +102,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def bounded_sample(rows: DataFrame, label: str, most: int, *ids: str) -> DataFrame:
+    """At most ``most`` rows of each label, those with the least hashes of ``ids``.
+
+    Labels are counted first (sums of the tasks), which says how small a hash a row must
+    have; so about twice ``most`` rows of a label, not a share of every task's, meet in
+    the window that makes the number exact. A label with few rows keeps them all.
+    """
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.xxhash64(*ids, F.lit(label))
+    share = (place / F.lit(float(1 << 64))) + 0.5  # 0 to 1
+    near = (rows.join(broadcast_if_small(materialise(counts, "label-counts"), 1 << 10, 64), label)
+            .where(share * F.col("_n") <= 2 * most + 64).drop("_n"))
+    by = Window.partitionBy(label).orderBy(place, *ids)
+    return near.withColumn("_nth", F.row_number().over(by)).where(F.col("_nth") <= most).drop("_nth")
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import broadcast_if_small, materialise
+from wardline.llm.common import broadcast_if_small, map_frames, materialise
 
 #: HTML's elements by kind, and words of class, id or role that mark what is no article. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -207,7 +207,7 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path, votes, n_pages): the winning path of each host; ties to the first path in order."""
-    votes = pages.mapInPandas(_vote, "host string, path string, votes double, n_pages long")
+    votes = pages.transform(map_frames, _vote, "host string, path string, votes double, n_pages long")
     summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("n_pages").alias("n_pages"))
     best = F.max_by(F.struct("path", "votes", "n_pages"), F.struct(F.round("votes", 6), "path"))
     return summed.groupBy("host").agg(best.alias("b")).select("host", "b.*")
@@ -219,4 +219,4 @@ def extract(pages: DataFrame) -> DataFrame:
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     won = materialise(host_paths(pages).select("host", "path"), "host-paths")
     joined = pages.join(broadcast_if_small(won, won.count(), 200), "host", "left")
-    return joined.select("page_id", "url", "html", "path").mapInPandas(_read, "page_id long, url string, text string, path string, n_chars long")
+    return joined.select("page_id", "url", "html", "path").transform(map_frames, _read, "page_id long, url string, text string, path string, n_chars long")

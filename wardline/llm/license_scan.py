@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import broadcast_if_small, materialise
+from wardline.llm.common import broadcast_if_small, map_frames, materialise
 
 LEAST = 0.6
 FILE_SHARE = 0.5
@@ -67,7 +67,7 @@ def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def frequencies(files: DataFrame) -> dict[str, float]:
     """Inverse document frequencies of the templates' terms over all lines; '' is that of an unseen term."""
-    rows = files.select("text").mapInPandas(_frequencies, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = files.select("text").transform(map_frames, _frequencies, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     n = {r["term"]: r["n"] for r in rows}  # as many as the templates have terms
     lines = n.get("", 0)
     return {t: float(np.log((1 + lines) / (1 + (0 if t == "" else n.get(t, 0)))) + 1) for t in ["", *VOCABULARY]}
@@ -123,7 +123,7 @@ def own_licenses(files: DataFrame, idf: dict[str, float], least: float = LEAST)
             out["cosine"] = out["cosine"].astype("Float64")
             yield pd.concat([pd.DataFrame({"doc_id": f["doc_id"].astype("Int64").array, "path": f["path"].array}), out], axis=1)
 
-    return files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", "text").mapInPandas(
+    return files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", "text").transform(map_frames, 
         work, "doc_id long, path string, license string, cosine double, share double")
 
 

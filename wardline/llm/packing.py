@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import materialise
+from wardline.llm.common import map_frames, materialise
 from wardline.llm.near_dup import _groups
 
 SIZE = 1024
@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, vocabulary_path: str | None = None, size: int = SIZE
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_frames, cut, PIECES)
 
 
 def best_fit(lengths: np.ndarray, size: int = SIZE) -> list[list[int]]:
@@ -174,7 +174,7 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
         if before is not None and groups >= before:
             groups = max(1, before // 2)
         dealt = rest.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)))
-        packed = materialise(dealt.repartition("grp").sortWithinPartitions("grp", "row").mapInPandas(_pack(size, turn), schema), "packed")
+        packed = materialise(dealt.repartition("grp").sortWithinPartitions("grp", "row").transform(map_frames, _pack(size, turn), schema), "packed")
         if groups == 1:
             done.append(packed.select(*columns, "sequence_id", "offset"))
             break
