@@ -29,15 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
-from wardline.llm.common import materialise
+from wardline.llm.common import map_frames, materialise
 
 FOLDS, HELD_OUT = 5, 1
 ORDER = 5
-NODES = 1 << 20
-COMMON = 1 << 19
+NODES = 1 << 19
+COMMON = 1 << 18
 BEGIN, END = 0xFE, 0xFF  # bytes that no text has
 SYMBOLS = 255  # all bytes but BEGIN
-SLOTS = 1 << 21
+SLOTS = 1 << 20
 DISCOUNT = 0.5  # of each node's count, for escapes
 END_WORD = np.uint64(1)  # stands for the end among word hashes
 
@@ -87,10 +87,9 @@ def _count(order: int):
             return pd.DataFrame({"kind": kind, "key": keys.view(np.int64), "n": n})
 
         for f in frames:
-            texts = arrays.encode(f["text"])
-            for a, b in arrays.blocks(texts):
-                kinds[0].add(_codes(texts[a:b], order)[0])
-                kinds[1].add(np.concatenate([arrays.words(texts[a:b]).hashes, np.full(b - a, END_WORD)]))
+            for a, b, texts in arrays.encoded(f["text"]):
+                kinds[0].add(_codes(texts, order)[0])
+                kinds[1].add(np.concatenate([arrays.words(texts).hashes, np.full(b - a, END_WORD)]))
                 for k in (0, 1):
                     if kinds[k].held > _Counter.most:
                         kinds[k].merged()
@@ -104,7 +103,7 @@ def _count(order: int):
 
 def counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(kind, key, n): counts of byte codes (kind 0) and of word hashes (kind 1) over whole texts."""
-    return (docs.select("text").mapInPandas(_count(order), "kind int, key long, n long")
+    return (docs.select("text").transform(map_frames, _count(order), "kind int, key long, n long")
             .groupBy("kind", "key").agg(F.sum("n").alias("n")))
 
 
@@ -134,7 +133,7 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _slot(code: np.ndarray) -> np.ndarray:
-    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 21)).astype(np.int64)
+    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 20)).astype(np.int64)
 
 
 def build(order: int, by_level: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
@@ -231,9 +230,10 @@ def learn(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
         levels = levels.unionAll(shorter.select(F.lit(k).alias("k"), "code", "n"))
     levels = materialise(levels, "trie-levels")
     # a shorter context's count is never the smaller one, so what is kept is a trie
-    kept = levels.where(_grade(F.col("n")) >= least_grade(levels, nodes)).toPandas()
-    by = [kept[kept["k"] == k] for k in range(order + 1)]
-    return build(order, [(p["code"].to_numpy(np.int64).view(np.uint64), p["n"].to_numpy(np.int64)) for p in by])
+    kept = levels.where(_grade(F.col("n")) >= least_grade(levels, nodes)).toArrow()
+    k, code, n = (kept.column(c).to_numpy() for c in ("k", "code", "n"))
+    del kept
+    return build(order, [(code[k == i].astype(np.int64).view(np.uint64), n[k == i]) for i in range(order + 1)])
 
 
 def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODES, common: int = COMMON) -> DataFrame:
@@ -244,19 +244,18 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
     words = counted.where("kind = 1").select("key", "n")
     tokens, distinct = (int(x or 0) for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
     least = least_grade(words, common)
-    frequent = words.where(_grade(F.col("n")) >= least).toPandas()
-    keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
+    frequent = words.where(_grade(F.col("n")) >= least).toArrow()
+    keys, times = frequent.column("key").to_numpy().astype(np.int64).view(np.uint64), frequent.column("n").to_numpy().astype(np.int64)
     sort = np.argsort(keys)
     ends = words.where(F.col("key") == int(END_WORD)).agg(F.sum("n")).first()[0] or 0
-    held = spark.sparkContext.broadcast((learn(counted, order, nodes), keys[sort], frequent["n"].to_numpy(np.int64)[sort]))
+    held = spark.sparkContext.broadcast((learn(counted, order, nodes), keys[sort], times[sort]))
     base = tokens + 0.5 * (distinct + 1)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie, keys, n = held.value
         for f in frames:
-            texts = arrays.encode(f["text"])
-            for a, b in arrays.blocks(texts):
-                w = arrays.words(texts[a:b])
+            for a, b, texts in arrays.encoded(f["text"]):
+                w = arrays.words(texts)
                 at, known = _find(keys, w.hashes)
                 each = np.where(known, np.log10((n[at] if len(n) else 0) + 0.5), 0)
                 sums, known_to = (np.concatenate([[0], np.cumsum(x)]) for x in (each, known))
@@ -264,12 +263,12 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
                 out = pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].astype("Int64").array, "n_tokens": size + 1})
                 out["n_known"] = np.diff(known_to[w.first]) + int(ends > 0)
                 out["found"] = np.diff(sums[w.first]) + np.log10(ends + 0.5) - (size + 1) * np.log10(base)
-                out["score"] = text_scores(trie, texts[a:b])
+                out["score"] = text_scores(trie, texts)
                 signed = w.hashes.view(np.int64)
                 out["rest"] = [signed[s:e][~known[s:e]] for s, e in zip(w.first[:-1], w.first[1:], strict=True)]
                 yield out
 
-    scored = materialise(docs.mapInPandas(work, "doc_id long, n_tokens long, n_known long, found double, score double, rest array<long>"), "lm-scores")
+    scored = materialise(docs.transform(map_frames, work, "doc_id long, n_tokens long, n_known long, found double, score double, rest array<long>"), "lm-scores")
     scored = scored.withColumn("row", F.monotonically_increasing_id())
     rare = words.where(_grade(F.col("n")) < least)
     met = (scored.select("row", F.explode("rest").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
