@@ -148,6 +148,10 @@ SELECT * FROM (SELECT
   CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS c_name,
   CASE WHEN c_mktsegment <> 'BUILDING' AND c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer)
 WHERE c_custkey IS NOT NULL OR c_name IS NOT NULL OR c_acctbal IS NOT NULL""",
+    "drop_null_subset": """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal >= 0""",
+    "drop_update_columns": "SELECT c_custkey, c_name FROM customer",
+    "key_max": "SELECT event_id, user_id, ts, (SELECT max(y.ts) FROM events AS y WHERE y.user_id IS NOT DISTINCT FROM x.user_id) AS max_time FROM events AS x",
     "audit_columns": "SELECT c_custkey, true AS has_insert_tsp, true AS has_insert_user, true AS has_update_tsp FROM customer",
     "flatten_xml_paths": """
 SELECT CAST(o_orderkey AS VARCHAR) AS "Header.Key", o_orderstatus AS "Header.Status",
@@ -190,6 +194,7 @@ UNION ALL SELECT 'encntr_visit_rsn_hist', count(*), max(msg_tm) FROM ({_HL7_ORDE
     "stream_fanout_visit": _HL7_ORDERS["visit_reason"],
     "stream_xml_files": f"SELECT *, true AS named_by_file FROM ({_XML_ADT_NO_NAME})",
     "stream_table_copy": _STATES,
+    "append_stream": _STATES,
     "cluster_by_range": _STATES,
     "table_actions": _STATES + " WHERE event_type <> 'error'",
 })

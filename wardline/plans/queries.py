@@ -212,6 +212,22 @@ def drop_all_null(spark, d):
     return CL.drop_all_null(_nullable_customers(spark, d))
 
 
+def drop_null_subset(spark, d):
+    """rows whose given columns are all NULL go, whatever the others hold."""
+    return CL.drop_all_null(_nullable_customers(spark, d), subset=["c_acctbal"])
+
+
+def drop_update_columns(spark, d):
+    """a current row's update stamps don't reach a history."""
+    stamped = CL.stamp_update(table(spark, d, "customer").select("c_custkey", "c_name"))
+    return CL.drop_update_columns(stamped)
+
+
+def key_max(spark, d):
+    """Every event with its user's latest time."""
+    return LT.key_max(table(spark, d, "events").select("event_id", "user_id", "ts"), ["user_id"], "ts")
+
+
 def audit_columns(spark, d):
     stamped = CL.stamp_update(CL.stamp_insert(table(spark, d, "customer").select("c_custkey")))
     return stamped.select("c_custkey", F.col("row_insert_tsp").isNotNull().alias("has_insert_tsp"),
@@ -243,6 +259,9 @@ QUERIES.update({
     "retention_child": retention_child,
     "drop_all_null": drop_all_null,
     "audit_columns": audit_columns,
+    "drop_null_subset": drop_null_subset,
+    "drop_update_columns": drop_update_columns,
+    "key_max": key_max,
     "flatten_xml_paths": flatten_xml_paths,
 })
 
@@ -414,6 +433,17 @@ def stream_table_copy(spark, d):
     return spark.read.parquet(f"{root}/warehouse").drop(TB.BATCH)
 
 
+def append_stream(spark, d):
+    """K1: a plain append stream, resumed once; stamps set, update columns dropped."""
+    root = scratch_path(spark, "append")
+    rows = CL.stamp_update(_event_states(spark, d))
+    newer = F.coalesce(F.col("msg_tm") >= F.lit(SPLIT_TS).cast("timestamp_ntz"), F.lit(False))
+    for part in (newer, ~newer):
+        rows.where(part).write.mode("append").parquet(f"{root}/drop")
+        MT.append_stream(ST.tail_table(spark, f"{root}/drop", rows.schema), f"{root}/table", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/table").where("row_insert_tsp IS NOT NULL AND insert_user_id IS NOT NULL").drop("row_insert_tsp", "insert_user_id")
+
+
 def latest_to_warehouse(spark, d):
     """K10 as a stream: the latest states of each batch, ties kept."""
     root = scratch_path(spark, "latest")
@@ -461,6 +491,7 @@ QUERIES.update({
     "stream_fanout_visit": _fanned_out("encntr_visit_rsn_hist"),
     "stream_xml_files": stream_xml_files,
     "stream_table_copy": stream_table_copy,
+    "append_stream": append_stream,
     "latest_to_warehouse": latest_to_warehouse,
     "cluster_by_range": cluster_by_range,
     "table_actions": table_actions,
