@@ -145,6 +145,32 @@ def test_a_rewrite_fails_rather_than_losing_rows_that_came_meanwhile(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_retention_swaps_no_table_if_one_was_written_to(spark, monkeypatch):
+    from wardline.operators import retention as RT
+
+    root = scratch_path(spark, "ret")
+    master = spark.createDataFrame([(1, "2020-01-01"), (2, None)], "pat_enc_csn_id long, t string").select("pat_enc_csn_id", F.to_timestamp("t").alias("hosp_disch_time"))
+    master.write.parquet(f"{root}/m")
+    for c in ("a", "b"):
+        spark.createDataFrame([(1,), (2,)], "pat_enc_csn_id long").write.parquet(f"{root}/{c}")
+    stage, calls = TB.stage, []
+
+    def stage_and_write(df, path, *a, **k):
+        calls.append(path)
+        out = stage(df, path, *a, **k)
+        if path.endswith("/b"):  # an ingest appends while the job runs
+            spark.createDataFrame([(2,)], "pat_enc_csn_id long").write.mode("append").parquet(path)
+        return out
+
+    monkeypatch.setattr(TB, "stage", stage_and_write)
+    with pytest.raises(TB.ConcurrentWrite):
+        RT.retention_job(spark, f"{root}/m", [f"{root}/a", f"{root}/b"], as_of="2024-01-01")
+    assert [spark.read.parquet(f"{root}/{t}").count() for t in ("m", "a", "b")] == [2, 2, 3]
+    monkeypatch.setattr(TB, "stage", stage)
+    RT.retention_job(spark, f"{root}/m", [f"{root}/a", f"{root}/b"], as_of="2024-01-01")
+    assert [spark.read.parquet(f"{root}/{t}").count() for t in ("m", "a", "b")] == [1, 1, 2]
+
+
 def test_key_max_of_null_keys(spark):
     from wardline.operators.latest import key_max
 

@@ -56,7 +56,7 @@ def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2
     fails with ``ConcurrentWrite``; run the job again then. Compaction then
     clusters each table by ``cluster_by``.
     """
-    from wardline.sinks.tables import compact, data_files, stage, swap_in
+    from wardline.sinks.tables import ConcurrentWrite, compact, data_files, stage, swap_in
 
     def whole(path):  # a file that vanished must fail the job, not thin out the table
         return spark.read.option("ignoreMissingFiles", "false").parquet(path)
@@ -65,6 +65,9 @@ def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2
     staged_master = stage(prune_master(whole(master_path), days, as_of, key, discharge), master_path, rewritten=True)
     kept = whole(staged_master)
     staged = [(stage(prune_child(whole(p), kept, key), p, rewritten=True), p) for p in child_paths]
+    late = [p for p in seen if data_files(spark, p) != seen[p]]
+    if late:  # before any table is swapped
+        raise ConcurrentWrite(f"written to during retention: {', '.join(late)}")
     for s, p in staged:
         swap_in(spark, s, p, seen[p])
     swap_in(spark, staged_master, master_path, seen[master_path])
