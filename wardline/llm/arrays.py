@@ -38,6 +38,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` neighbouring words, by where it begins."""
+    n = len(hashes) - size + 1
+    if n < 1:
+        return np.empty(0, np.uint64)
+    place = mix(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
+    return mix(sum(hashes[i : n + i] * place[i] for i in range(size)))
+
+
 class Words(NamedTuple):
     data: np.ndarray  # bytes of all texts, one separator after each
     lower: np.ndarray  # the same, A-Z lower-cased

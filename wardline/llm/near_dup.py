@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
-from wardline.llm.common import broadcast_if_small, materialise
+from wardline.llm.common import broadcast_if_small, map_frames, materialise
 
 SHINGLE = 5
 PERCENT = 75
@@ -53,10 +53,7 @@ _PLACE = arrays.mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     w = arrays.words(texts)
-    n = len(w.hashes)
-    if n >= SHINGLE:
-        run = sum(w.hashes[i : n - SHINGLE + 1 + i] * _PLACE[i] for i in range(SHINGLE))
-        run = arrays.mix(run)
+    run = arrays.run_hashes(w.hashes, SHINGLE)
     out = []
     for a, b in zip(w.first[:-1], w.first[1:], strict=True):
         if b - a >= SHINGLE:
@@ -104,7 +101,7 @@ def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sketch(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, cls, keys, sig) of every whole text."""
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return cut.mapInPandas(_sketch, "doc_id long, n_shingles long, cls binary, keys array<long>, sig binary")
+    return cut.transform(map_frames, _sketch, "doc_id long, n_shingles long, cls binary, keys array<long>, sig binary")
 
 
 class _Sets:
@@ -198,20 +195,26 @@ def candidate_edges(reps: DataFrame, region: int = REGION) -> DataFrame:
         mine = F.pmod(F.xxhash64("doc_id", F.lit(7)), chunks).cast("int")
         dealt = (marked.where("n IS NOT NULL").select("doc_id", "sig", "key", mine.alias("c"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o"))
                  .select("doc_id", "sig", F.xxhash64("key", F.least("c", "o"), F.greatest("c", "o")).alias("key")))
-        edges = _by_key(dealt).mapInPandas(_link_regions, "a long, b long")
-    cold = _by_key(rows).mapInPandas(_link_regions, "a long, b long")
+        edges = _by_key(dealt).transform(map_frames, _link_regions, "a long, b long")
+    cold = _by_key(rows).transform(map_frames, _link_regions, "a long, b long")
     return (cold if edges is None else cold.unionAll(edges)).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs onto one smaller node, which itself hangs onto none."""
+    twice = edges.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    inner = edges.join(edges.select(F.col("v").alias("of")), F.col("u") == F.col("of"), "left_semi")
+    return not twice.limit(1).count() and not inner.limit(1).count()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root): every node of the edges with the smallest node reachable.
 
     Large and small stars alternate: each node's larger, then its smaller neighbours
-    are hung onto the smallest one, until nothing changes. Each round is written.
+    are hung onto the smallest one, until only stars are left. Each round is written.
     """
     now = materialise(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), name)
-    state = None
-    while True:
+    while not _are_stars(now):
         both = now.unionAll(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
@@ -220,10 +223,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = large.join(least, "v")
         hung = small.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         now = materialise(hung.unionAll(least.select("v", F.col("m").alias("u"))).where("u < v").distinct(), name)
-        mark = now.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("v", "u")), F.lit(0))).first()
-        if mark == state:
-            break
-        state = mark
     roots = now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionAll(roots)
 
@@ -269,11 +268,11 @@ def confirmed_edges(docs: DataFrame, parts: DataFrame, chunk: int = CHUNK) -> Da
     members = materialise(parts.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", "chunks"), "members")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = text.join(broadcast_if_small(members, members.count(), 32), "doc_id")
-    held = held.mapInPandas(_full_sets, "doc_id long, root long, chunks int, sig binary, full binary")
+    held = held.transform(map_frames, _full_sets, "doc_id long, root long, chunks int, sig binary, full binary")
     mine = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("chunks")).cast("int")
     dealt = (held.select("doc_id", "root", "sig", "full", mine.alias("c"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
              .select("doc_id", "sig", "full", F.xxhash64("root", F.least("c", "o"), F.greatest("c", "o")).alias("key")))
-    return _by_key(dealt).mapInPandas(_confirm, "a long, b long").distinct()
+    return _by_key(dealt).transform(map_frames, _confirm, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, region: int = REGION, chunk: int = CHUNK) -> DataFrame:
