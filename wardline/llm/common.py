@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -92,6 +93,23 @@ def map_frames(df: DataFrame, work: Callable[[Frames], Frames], schema: str) ->
     return df.mapInPandas(_released(work), schema)
 
 
+def whole_groups(frames: Frames, by: list[str]) -> Frames:
+    """Frames sorted by the key, cut so that no key goes over a frame's end."""
+    rest = None
+    for frame in frames:
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        same = np.logical_and.reduce([(frame[c] == frame[c].iloc[-1]).to_numpy() for c in by])
+        cut = len(frame) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if cut:
+            yield frame.iloc[:cut]
+        rest = frame.iloc[cut:]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only under the byte bound; beyond it Spark shuffles the join."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

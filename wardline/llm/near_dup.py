@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
-from wardline.llm.common import broadcast_if_small, map_frames, materialise
+from wardline.llm.common import broadcast_if_small, map_frames, materialise, whole_groups
 
 SHINGLE = 5
 PERCENT = 75
@@ -122,23 +122,6 @@ class _Sets:
         return a != b
 
 
-def _groups(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
-    """Frames sorted by the key, cut so that no key goes over a frame's end."""
-    rest = None
-    for frame in frames:
-        if rest is not None:
-            frame = pd.concat([rest, frame], ignore_index=True)
-        if not len(frame):
-            continue
-        same = np.logical_and.reduce([(frame[c] == frame[c].iloc[-1]).to_numpy() for c in by])
-        cut = len(frame) - int(np.argmin(same[::-1])) if not same.all() else 0
-        if cut:
-            yield frame.iloc[:cut]
-        rest = frame.iloc[cut:]
-    if rest is not None and len(rest):
-        yield rest
-
-
 def _connect(ids: np.ndarray, sig: np.ndarray, sets: _Sets) -> Iterator[tuple[int, int]]:
     """Edges (rows) that connect what agrees: neighbours in the order first, then the unconnected."""
     order = np.lexsort(sig.T[::-1])  # longest common prefixes lie side by side
@@ -160,7 +143,7 @@ def _connect(ids: np.ndarray, sig: np.ndarray, sets: _Sets) -> Iterator[tuple[in
 
 def _link_regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidate edges (a, b), a < b, of the regions of one partition, sorted by key."""
-    for frame in _groups(frames, ["key"]):
+    for frame in whole_groups(frames, ["key"]):
         key, ids = frame["key"].to_numpy(), frame["doc_id"].to_numpy(np.int64)
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, MINIMA)
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -239,7 +222,7 @@ def _full_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges that connect the documents of a pair of chunks, each confirmed on the full sets."""
-    for frame in _groups(frames, ["key"]):
+    for frame in whole_groups(frames, ["key"]):
         key, ids = frame["key"].to_numpy(), frame["doc_id"].to_numpy(np.int64)
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, MINIMA)
         full = [np.frombuffer(x, np.uint64) for x in frame["full"]]

@@ -25,8 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import map_frames, materialise
-from wardline.llm.near_dup import _groups
+from wardline.llm.common import map_frames, materialise, whole_groups
 
 SIZE = 1024
 END = 2
@@ -147,7 +146,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int = SIZE) -> lis
 
 def _pack(size: int, turn: int):
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _groups(frames, ["grp"]):
+        for frame in whole_groups(frames, ["grp"]):
             for grp, f in frame.groupby("grp"):
                 lengths = f["length"].to_numpy(np.int64)
                 seq, off, free = (np.empty(len(f), np.int64) for _ in range(3))
