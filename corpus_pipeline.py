@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from wardline.llm import decontaminate, language_id, near_dup, packing, secret_scan
 from wardline.llm.common import broadcast_if_small, materialise, table
 
-#: A text is kept if its language has at least this share of its letters.
-LEAST_SHARE = 0.4
-
 
 def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
     gone = materialise(rejected.select("doc_id").where("doc_id IS NOT NULL").distinct(), name)
@@ -24,12 +21,12 @@ def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter or a clear language go."""
+    """Documents in a language that the labelled ones teach; those without a letter go."""
     model = language_id.learn_model(docs, F.lit(True))
     if not model.labels:  # nothing to judge by
         return docs
     found = language_id.detect(docs, model, runs=False)
-    return _without(docs, found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE)), "no-language")
+    return _without(docs, found.where(F.col("lang_pred") == "und"), "no-language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

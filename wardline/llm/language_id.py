@@ -3,7 +3,8 @@
 Every word of a text gets a label; emissions are sums of weights of its affixes
 and inner n-grams (two to four bytes, white space as the word's edge) and of the
 word itself if it is in the learned lexicon; transitions between labels are
-learned, too. Weights come from a sample of labelled documents of bounded size
+learned, too. Passages that occur under several labels in the sample tell nothing of
+any: they are left out of learning and of a text's vote. Weights come from a sample of labelled documents of bounded size
 (``per_label`` documents a label, ``sample_words`` words of each; both are
 parameters), some of them joined in pairs so that switching occurs. Texts are
 labelled whole: forward-backward gives each word's probabilities, a text's
@@ -23,10 +24,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
+from wardline.llm.common import bounded_sample, map_frames
 
 FOLDS, HELD_OUT = 5, 0
 PER_LABEL = 300
@@ -35,6 +37,7 @@ LEXICON = 4096
 BUCKETS = 1 << 16
 STEPS = 40
 SEGMENT = 64
+RUN = 5  # words of a run by which shared passages are told
 
 
 class Model(NamedTuple):
@@ -43,6 +46,7 @@ class Model(NamedTuple):
     lexicon: np.ndarray  # sorted word hashes
     lexical: np.ndarray  # (len(lexicon) + 1, labels); the last row is for words outside
     moves: np.ndarray  # (labels, labels) log weights
+    shared: np.ndarray  # sorted hashes of word runs that occur under several labels
 
 
 class _Grams(NamedTuple):
@@ -163,18 +167,44 @@ def marginals(emit: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndar
     return out
 
 
+def _shared_runs(w: arrays.Words, of_text: np.ndarray, gold: np.ndarray, k: int) -> np.ndarray:
+    """Runs of words that occur under several labels: these tell nothing of any."""
+    hashes = arrays.run_hashes(w.hashes, RUN)
+    inside = np.flatnonzero(of_text[: len(hashes)] == of_text[RUN - 1 :]) if len(hashes) else np.empty(0, np.int64)
+    unique, which = np.unique(hashes[inside], return_inverse=True)
+    seen = np.zeros((len(unique), k), bool)
+    seen[which, gold[inside]] = True
+    return unique[seen.sum(1) > 1]
+
+
+def _covered(w: arrays.Words, shared: np.ndarray) -> np.ndarray:
+    """Words that lie in a shared run."""
+    out = np.zeros(len(w.hashes) + RUN, bool)
+    hashes = arrays.run_hashes(w.hashes, RUN)
+    if len(shared) and len(hashes):
+        at = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
+        begin = np.flatnonzero(shared[at] == hashes)
+        for i in range(RUN):
+            out[begin + i] = True
+    return out[: len(w.hashes)]
+
+
 def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 7) -> Model:
     """Learn from whole (sampled) texts by gradient ascent on the chains' log likelihood."""
     names = sorted(set(labels))
     k, rng = len(names), np.random.default_rng(seed)
     if not names:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.empty(0, np.uint64), np.zeros((1, 0), np.float32), np.zeros((0, 0)))
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.empty(0, np.uint64), np.zeros((1, 0), np.float32), np.zeros((0, 0)), np.empty(0, np.uint64))
     w = arrays.words([" ".join(t.split()[:SAMPLE_WORDS]).encode("utf-8", "surrogatepass") for t in texts])
-    counts = np.diff(w.first)
-    gold = np.repeat([names.index(x) for x in labels], counts)
-    # every second text is followed by another one in its chain: these switch
+    of_text = np.repeat(np.arange(len(texts)), np.diff(w.first))
+    gold = np.array([names.index(x) for x in labels])[of_text]
+    shared = _shared_runs(w, of_text, gold, k)
+    keep = ~_covered(w, shared)
+    counts = np.bincount(of_text[keep], minlength=len(texts))
+    # two texts in three are followed by another one in their chain: these switch
     order = rng.permutation(len(texts))
     rows = np.concatenate([np.arange(w.first[t], w.first[t + 1]) for t in order] or [np.empty(0, int)]).astype(np.int64)
+    rows = rows[keep[rows]]
     ends = np.cumsum(counts[order])
     first = np.concatenate([[0], ends[(np.arange(len(ends)) % 3 != 0)], ends[-1:]])
     first = np.unique(first)
@@ -218,15 +248,14 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 7)
             d = d * len(rows) / 1000 - 1e-4 * x
             s += d * d
             x += 0.5 * d / np.sqrt(s)
-    return Model(names, params[0].astype(np.float32), lexicon, params[1].astype(np.float32), params[2])
+    return Model(names, params[0].astype(np.float32), lexicon, params[1].astype(np.float32), params[2], shared)
 
 
 def sample(docs: DataFrame, learn: Column, per_label: int = PER_LABEL) -> DataFrame:
-    """At most per_label labelled documents of each label, by a hash of the id and the text."""
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    cut = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    cut = cut.select("doc_id", "lang", F.substring_index(F.regexp_replace("text", r"\s+", " "), " ", SAMPLE_WORDS).alias("text"))
-    return cut.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= per_label).drop("nth")
+    """At most per_label labelled documents of each label, by a hash of the id and the text; SAMPLE_WORDS words of each."""
+    cut = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    drawn = bounded_sample(cut, "lang", per_label, "doc_id", "text")
+    return drawn.withColumn("text", F.substring_index(F.regexp_replace("text", r"\s+", " "), " ", SAMPLE_WORDS))
 
 
 def learn_model(docs: DataFrame, learn: Column, per_label: int = PER_LABEL) -> Model:
@@ -239,9 +268,12 @@ def label_texts(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarra
     w = arrays.words(texts)
     k = len(model.labels)
     p = marginals(_emissions(model, w), model.moves, w.first)
+    text = np.repeat(np.arange(len(texts)), np.diff(w.first))
+    # letters outside of shared passages count, or all where there are no others
     weight = letters(w)
+    own = weight * ~_covered(w, model.shared)
+    weight = np.where(np.bincount(text, own, len(texts))[text] > 0, own, weight)
     share = np.zeros((len(texts), k))
-    text = np.repeat(np.arange(len(texts)), np.diff(w.first))
     for c in range(k):
         share[:, c] = np.bincount(text, p[:, c] * weight, len(texts))
     total = share.sum(1)
@@ -279,4 +311,4 @@ def detect(docs: DataFrame, model: Model, runs: bool = True) -> DataFrame:
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].astype("Int64").array, "lang_pred": [names[x] for x in label],
                                     "score": score, "runs": stretches})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(work, RESULT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_frames, work, RESULT)

@@ -21,11 +21,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
-from wardline.llm.common import broadcast_if_small, materialise
+from wardline.llm.common import bounded_sample, broadcast_if_small, map_frames, materialise
 
 FOLDS, HELD_OUT = 3, 1
 PER_LABEL = 1000
@@ -141,9 +141,7 @@ def predict(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, n
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_LABEL) -> DataFrame:
     """(doc_id, text, quality) of at most per_label documents of each label."""
-    by = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = (labels.select("doc_id", "quality").where(learn & F.col("quality").isin(0, 1))
-             .withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= per_label).drop("nth"))
+    drawn = bounded_sample(labels.select("doc_id", "quality").where(learn & F.col("quality").isin(0, 1)), "quality", per_label, "doc_id")
     drawn = materialise(drawn, "quality-sample")
     return docs.select("doc_id", "text").join(broadcast_if_small(drawn, 2 * per_label, 24), "doc_id")
 
@@ -167,5 +165,5 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     best = [int(x.argmax()) for x in np.split(weight, np.cumsum(per)[:-1])]
                 yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].astype("Int64").array, "score": np.clip(p, 0, 1), "n_passages": per, "top_passage": best})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_frames, 
         work, "doc_id long, score double, n_passages int, top_passage int")
