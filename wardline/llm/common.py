@@ -127,10 +127,10 @@ def bounded_sample(rows: DataFrame, label: str, most: int, *ids: str) -> DataFra
     have; so about twice ``most`` rows of a label, not a share of every task's, meet in
     the window that makes the number exact. A label with few rows keeps them all.
     """
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialise(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n")), "label-counts")
     place = F.xxhash64(*ids, F.lit(label))
     share = (place / F.lit(float(1 << 64))) + 0.5  # 0 to 1
-    near = (rows.join(broadcast_if_small(materialise(counts, "label-counts"), 1 << 10, 64), label)
+    near = (rows.join(broadcast_if_small(counts, counts.count(), 64), label)
             .where(share * F.col("_n") <= 2 * most + 64).drop("_n"))
     by = Window.partitionBy(label).orderBy(place, *ids)
     return near.withColumn("_nth", F.row_number().over(by)).where(F.col("_nth") <= most).drop("_nth")
