@@ -135,10 +135,11 @@ def build_index(docs: DataFrame, rules=RULES) -> DataFrame:
     The lists are cut by document, as the scan deals them, so no list lies in one task.
     """
     grams = sorted({t for r in rules for g in trigram_query(r.pattern) for a in g for t in a})
-    low = F.lower(F.col("text"))
+    low = F.col("low")
     found = F.array(*[F.when(low.contains(t), F.lit(t)) for t in grams]) if grams else F.array().cast("array<string>")
-    return (docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-            .select("doc_id", F.explode(F.array_compact(found)).alias("trigram")))
+    # lower-cased in a projection of its own, or every probe would do it again
+    lowered = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.lower("text").alias("low"))
+    return lowered.select("doc_id", F.explode(F.array_compact(found)).alias("trigram"))
 
 
 def candidates(postings: DataFrame, rules=RULES) -> DataFrame:
@@ -203,8 +204,9 @@ def scan(docs: DataFrame, rules=RULES, whole_rows: bool = False) -> DataFrame:
     lists = []
     for i, r in enumerate(rules):
         hit = spans(text, r)
-        if trigram_query(r.pattern):
-            hit = F.when(F.col("doc_id").isNull() | F.array_contains("kinds", r.kind), hit).otherwise(empty)
+        # a rule without mandatory trigrams scans every text, once where nothing is found
+        maybe = F.col("doc_id").isNull() | F.array_contains("kinds", r.kind) if trigram_query(r.pattern) else text.rlike(r.pattern)
+        hit = F.when(maybe, hit).otherwise(empty)
         lists.append(F.transform(hit, _labelled(i, r.kind)))
     return marked.select("doc_id", F.array_sort(F.concat(*lists)).alias("spans"), *(["row"] if whole_rows else []))
 
