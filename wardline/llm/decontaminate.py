@@ -84,8 +84,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     docs = docs.select("doc_id", "text")
     wins = materialise(windows(items.select("item_id", "text"), width), "windows")
     terms = materialise(wins.select(F.explode("terms").alias("term")).distinct(), "terms")
-    freq = frequencies(docs, terms, terms.count())
-    looked_up = materialise(anchors(wins, freq), "anchors")
+    freq = materialise(frequencies(docs, terms, terms.count()), "frequencies")
+    looked_up = materialise(anchors(wins, broadcast_if_small(freq, freq.count(), 64)), "anchors")
     rare = materialise(looked_up.select("term").distinct(), "anchor-terms")
     postings = materialise(build_index(docs, rare, rare.count(), width), "postings")
     hits = materialise(matches(postings, looked_up, looked_up.count()), "hits")
