@@ -145,6 +145,7 @@ def scan(files: DataFrame, least: float = LEAST, file_share: float = FILE_SHARE)
     up = needy.select("of", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))).alias("dir"))
     near = (up.join(broadcast_if_small(granted, granted.count(), 200), "dir").groupBy("of")
             .agg(F.max_by(F.struct("given", "dir"), F.length("dir")).alias("near")))
-    joined = own.withColumn("of", folder).join(near, "of", "left")
+    near = materialise(near, "nearest-licenses")  # a row for a directory: few next to the files
+    joined = own.withColumn("of", folder).join(broadcast_if_small(near, near.count(), 200), "of", "left")
     return joined.select("doc_id", "path", F.coalesce("license", "near.given").alias("license"), "cosine",
                          F.when(F.col("license").isNull(), F.col("near.dir")).alias("inherited_from"))
