@@ -160,11 +160,25 @@ def search(index: Slices, query_id: int, q: np.ndarray, k: int) -> Iterator[tupl
 
 def _parts(frames: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(components, ids, vectors) of at most ``most`` rows of one number of components."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def cut(dim: int, down_to: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        ids, v = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
+        a = 0
+        while len(ids) - a > down_to:
+            yield dim, ids[a : a + most], v[a : a + most]
+            a += most
+        if a < len(ids):
+            held[dim] = [(ids[a:], v[a:])]
+
     for f in frames:
         for dim, g in f.groupby(f["v"].map(len)):
-            for a in range(0, len(g), most):
-                part = g.iloc[a : a + most]
-                yield int(dim), part["vec_id"].to_numpy(np.int64), np.array(part["v"].tolist(), np.int64).reshape(len(part), dim)
+            dim = int(dim)
+            held.setdefault(dim, []).append((g["vec_id"].to_numpy(np.int64), np.array(g["v"].tolist(), np.int64).reshape(len(g), dim)))
+            if sum(len(i) for i, _ in held[dim]) >= most:
+                yield from cut(dim, most - 1)
+    for dim in list(held):
+        yield from cut(dim, 0)
 
 
 def _index(block: int):
