@@ -93,3 +93,19 @@ def test_pruning_keeps_a_bounded_trie(spark, documents):
     assert sum(len(level.nodes) for level in trie.levels) <= 60
     codes = np.array([(97 << 24) | (98 << 16) | (99 << 8) | s for s in range(256) if s != ppm.BEGIN], np.uint64)
     assert (10 ** ppm.scores(trie, codes)).sum() <= 1 + 1e-9
+
+
+def test_scores_are_those_of_the_whole_trie(spark, documents):
+    """More nodes than any bound on what is sent to the tasks; each text as the trie in memory scores it."""
+    letters = np.random.default_rng(7).integers(97, 123, (60, 4000), np.uint8)
+    rows = [*ODD[:7], *((100 + i, row.tobytes().decode()) for i, row in enumerate(letters))]
+    held = fold(F.col("doc_id"), 5) == 1
+    encoded = {d: (t or "").encode() for d, t in rows}
+    train = [(t or "").encode() for d, t in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 5 != 1]
+    trie = trie_of(train, ppm.ORDER)
+    assert sum(len(level.nodes) for level in trie.levels) > ppm.NODES
+    want = dict(zip(encoded, ppm.text_scores(trie, list(encoded.values())), strict=True))
+    for cached in (1 << 20, 1000, 0):
+        got = ppm.score(documents(rows), ~held, cached=cached).collect()
+        assert len(got) == len(rows)
+        assert all(abs(r.score - want[r.doc_id]) < 1e-6 * abs(want[r.doc_id]) + 1e-9 for r in got)

@@ -1,13 +1,16 @@
 """Language-model scores by prediction by partial matching over bytes.
 
 The trie holds, for every byte context of up to ORDER bytes, the counts of the
-bytes that follow; all training texts are counted, tasks first. Nodes below a
-least count are pruned so that at most ``nodes`` stay (a bound of the model's
-size, not of what is counted). A byte is coded in the longest known context;
-escapes go to shorter ones, with the symbols seen in the longer one excluded
-(a discount of each node's
-count and all pruned counts go to the escape). Since counts are fixed after training, the code length of
-a byte depends on its context alone, so every node's is worked out once.
+bytes that follow; all training texts are counted, tasks first. The whole trie is
+a table, of any size. A byte is coded in the longest known context; escapes go to
+shorter ones, with the symbols seen in the longer one excluded (a discount of each
+node's count goes to the escape). Since counts are fixed after training, the code
+length of a byte depends on its context alone, so that of every (context, byte) that
+any text has is worked out once, level by level in joins on the shorter context. The
+commonest ones' are sent to the tasks (``cached`` at most, which changes no result);
+the others are counted in each text and meet their lengths in a join. ``build`` and
+``learn`` make tries in memory, ``learn`` of the commonest nodes only; ``score`` needs
+neither.
 
 A text ends with an end symbol. ``base_score`` is an add-half unigram model of
 words. The commonest words' counts are sent to the tasks (``common`` at most);
@@ -25,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm import arrays
@@ -35,6 +38,7 @@ FOLDS, HELD_OUT = 5, 1
 ORDER = 5
 NODES = 1 << 19
 COMMON = 1 << 18
+CACHED = 1 << 20
 BEGIN, END = 0xFE, 0xFF  # bytes that no text has
 SYMBOLS = 255  # all bytes but BEGIN
 SLOTS = 1 << 20
@@ -56,25 +60,26 @@ def _codes(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Counter:
-    """Counts of keys, merged now and then; handed over when there are many."""
+    """Counts of keys in texts learned from and in all texts, merged now and then; handed over when there are many."""
 
     most = 1 << 21
 
     def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
-        self.held += len(self.parts[-1][0])
+    def add(self, keys: np.ndarray, learned: bool) -> None:
+        keys, n = np.unique(keys, return_counts=True)
+        self.parts.append((keys, n * learned, n))
+        self.held += len(keys)
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.parts) > 1:
-            keys, where = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-            n = np.bincount(where, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
-            self.parts = [(keys, n)]
-        self.held = sum(len(k) for k, _ in self.parts)
-        return self.parts[0] if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            keys, where = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+            n, m = (np.bincount(where, np.concatenate([p[i] for p in self.parts]), len(keys)).astype(np.int64) for i in (1, 2))
+            self.parts = [(keys, n, m)]
+        self.held = sum(len(p[0]) for p in self.parts)
+        return self.parts[0] if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def _count(order: int):
@@ -82,29 +87,35 @@ def _count(order: int):
         kinds = (_Counter(), _Counter())
 
         def out(kind: int) -> pd.DataFrame:
-            keys, n = kinds[kind].merged()
+            keys, n, m = kinds[kind].merged()
             kinds[kind].parts, kinds[kind].held = [], 0
-            return pd.DataFrame({"kind": kind, "key": keys.view(np.int64), "n": n})
+            return pd.DataFrame({"kind": kind, "key": keys.view(np.int64), "n": n, "m": m})
 
         for f in frames:
-            for a, b, texts in arrays.encoded(f["text"]):
-                kinds[0].add(_codes(texts, order)[0])
-                kinds[1].add(np.concatenate([arrays.words(texts).hashes, np.full(b - a, END_WORD)]))
-                for k in (0, 1):
-                    if kinds[k].held > _Counter.most:
-                        kinds[k].merged()
-                    if kinds[k].held > _Counter.most:
-                        yield out(k)
+            for learned in (True, False):
+                for a, b, texts in arrays.encoded(f["text"][f["learns"] == learned].array):
+                    kinds[0].add(_codes(texts, order)[0], learned)
+                    if learned:
+                        kinds[1].add(np.concatenate([arrays.words(texts).hashes, np.full(b - a, END_WORD)]), learned)
+                    for k in (0, 1):
+                        if kinds[k].held > _Counter.most:
+                            kinds[k].merged()
+                        if kinds[k].held > _Counter.most:
+                            yield out(k)
         for k in (0, 1):
             yield out(k)
 
     return work
 
 
-def counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """(kind, key, n): counts of byte codes (kind 0) and of word hashes (kind 1) over whole texts."""
-    return (docs.select("text").transform(map_frames, _count(order), "kind int, key long, n long")
-            .groupBy("kind", "key").agg(F.sum("n").alias("n")))
+def counts(docs: DataFrame, order: int = ORDER, learns: Column | None = None) -> DataFrame:
+    """(kind, key, n, m): counts of byte codes (kind 0) and of word hashes (kind 1) over whole texts.
+
+    ``n`` counts the texts to learn from; ``m`` all, whose byte codes are listed even where n is 0.
+    """
+    learns = F.lit(True) if learns is None else F.coalesce(learns, F.lit(False))
+    return (docs.select("text", learns.alias("learns")).transform(map_frames, _count(order), "kind int, key long, n long, m long")
+            .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
 
 
 class Level(NamedTuple):
@@ -236,11 +247,103 @@ def learn(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
     return build(order, [(code[k == i].astype(np.int64).view(np.uint64), n[k == i]) for i in range(order + 1)])
 
 
-def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODES, common: int = COMMON) -> DataFrame:
+def _log_ratio(a: Column, b: Column) -> Column:
+    """log10 of a / b; null, where one is 0."""
+    return F.log10(a) - F.log10(b)
+
+
+def code_lengths(codes: DataFrame, order: int = ORDER) -> DataFrame:
+    """(code, m, length): log10 probability of every code's byte in its context, by the whole trie.
+
+    ``codes`` has (code, n, m); a node is a code with n > 0. From the shortest contexts on,
+    each level's codes meet those of the level below that they end with. ``w`` sums the
+    escapes that follow the one from a context, down to the shortest; ``b`` is what is left
+    of a code's length after them, where an escape from its context is certain.
+    """
+    levels = [codes]
+    for k in range(order - 1, -1, -1):
+        shorter = levels[0].groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code"))
+        levels.insert(0, materialise(shorter.agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "trie-level"))
+    met = None
+    for k, level in enumerate(levels):
+        level = level.select("code", "n", "m", F.shiftrightunsigned("code", 8).alias("context"))
+        context = Window.partitionBy("context")  # at most 255 bytes follow a context
+        level = level.withColumn("total", F.sum("n").over(context)).withColumn("kinds", F.sum((F.col("n") > 0).cast("long")).over(context))
+        node, known = F.col("n") > 0, F.col("total") > 0
+        hit = _log_ratio(F.col("n") - DISCOUNT, F.col("total"))
+        escape = _log_ratio(DISCOUNT * F.col("kinds"), F.col("total"))
+        if met is None:
+            never = -F.log10(F.greatest(F.lit(1), SYMBOLS - F.col("kinds")))
+            met = level.select("code", "n", "m", "total", "kinds", F.lit(0.0).alias("w"), never.alias("b"),
+                               F.when(node, hit).when(known, escape + never).otherwise(never).alias("length"))
+            continue
+        below = met.select(F.col("code").alias("ends"), *[F.col(c).alias(f"{c}_0") for c in ("n", "total", "kinds", "w", "b", "length")])
+        level = level.withColumn("ends", F.col("code").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(below, "ends")
+        # what the shorter context has besides this one's bytes
+        level = level.withColumn("more", F.col("total_0") - F.sum(F.when(node, F.col("n_0")).otherwise(0)).over(context))
+        again = F.when(F.col("more") > 0, _log_ratio(DISCOUNT * (F.col("kinds_0") - F.col("kinds")), F.col("more"))).otherwise(0.0)
+        level = level.withColumn("w", F.col("w_0") + again)
+        last = _log_ratio(F.col("n_0") - DISCOUNT, F.col("more"))  # coded one level below
+        down = F.col("n_0") > 0
+        met = level.select("code", "n", "m", "total", "kinds", "w", F.when(down, last - F.col("w")).otherwise(F.col("b_0")).alias("b"),
+                           F.when(node, hit).when(known & down, escape + last)
+                           .when(known, escape + F.col("w") + F.col("b_0")).otherwise(F.col("length_0")).alias("length"))
+    return met.select("code", "m", "length")
+
+
+class Cache(NamedTuple):
+    codes: np.ndarray  # sorted
+    lengths: np.ndarray
+    slot_codes: np.ndarray  # by hash, the commoner one wins a slot
+    slot_lengths: np.ndarray
+
+
+def cache_of(codes: np.ndarray, lengths: np.ndarray, m: np.ndarray) -> Cache:
+    slot_codes, slot_lengths = np.full(SLOTS, np.uint64(0xFFFFFFFFFFFFFFFF)), np.zeros(SLOTS)
+    rare_first = np.argsort(m, kind="stable")
+    slot = _slot(codes[rare_first])
+    slot_codes[slot], slot_lengths[slot] = codes[rare_first], lengths[rare_first]
+    sort = np.argsort(codes)
+    return Cache(codes[sort], lengths[sort], slot_codes, slot_lengths)
+
+
+def cached_lengths(cache: Cache, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the codes, 0 where they are not in the cache; whether they are."""
+    slot = _slot(codes)
+    known = cache.slot_codes[slot] == codes
+    each = np.where(known, cache.slot_lengths[slot], 0)
+    rest = np.flatnonzero(~known)
+    if len(rest) and len(cache.codes):
+        unique, where = np.unique(codes[rest], return_inverse=True)
+        at, found = _find(cache.codes, unique)
+        each[rest], known[rest] = np.where(found, cache.lengths[at], 0)[where], found[where]
+    return each, known
+
+
+def _counted(codes: np.ndarray, of: np.ndarray, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each text's distinct codes and how often it has them; ``of`` is the text of a code."""
+    sort = np.lexsort((codes, of))
+    codes, of = codes[sort], of[sort]
+    new = np.ones(len(codes), bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (of[1:] != of[:-1])
+    at = np.flatnonzero(new)
+    times = np.diff(np.append(at, len(codes)))
+    bounds = np.searchsorted(of[at], np.arange(size + 1))
+    codes = codes[at].view(np.int64)
+    return tuple([x[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)] for x in (codes, times))
+
+
+def score(docs: DataFrame, learns: Column, order: int = ORDER, cached: int = CACHED, common: int = COMMON) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every whole text."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = materialise(counts(docs.where(learns), order), "lm-counts")
+    counted = materialise(counts(docs, order, learns), "lm-counts")
+    lengths = materialise(code_lengths(counted.where("kind = 0").select(F.col("key").alias("code"), "n", "m"), order), "code-lengths")
+    least_m = least_grade(lengths.select(F.col("m").alias("n")), cached)
+    sent = lengths.where(_grade(F.col("m")) >= least_m).toArrow()
+    code, length, m = (sent.column(c).to_numpy() for c in ("code", "length", "m"))
+    cache = cache_of(code.astype(np.int64).view(np.uint64), length.astype(np.float64), m.astype(np.int64))
+    del sent
     words = counted.where("kind = 1").select("key", "n")
     tokens, distinct = (int(x or 0) for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
     least = least_grade(words, common)
@@ -248,11 +351,11 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
     keys, times = frequent.column("key").to_numpy().astype(np.int64).view(np.uint64), frequent.column("n").to_numpy().astype(np.int64)
     sort = np.argsort(keys)
     ends = words.where(F.col("key") == int(END_WORD)).agg(F.sum("n")).first()[0] or 0
-    held = spark.sparkContext.broadcast((learn(counted, order, nodes), keys[sort], times[sort]))
+    held = spark.sparkContext.broadcast((cache, keys[sort], times[sort]))
     base = tokens + 0.5 * (distinct + 1)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie, keys, n = held.value
+        cache, keys, n = held.value
         for f in frames:
             for a, b, texts in arrays.encoded(f["text"]):
                 w = arrays.words(texts)
@@ -263,18 +366,27 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER, nodes: int = NODE
                 out = pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].astype("Int64").array, "n_tokens": size + 1})
                 out["n_known"] = np.diff(known_to[w.first]) + int(ends > 0)
                 out["found"] = np.diff(sums[w.first]) + np.log10(ends + 0.5) - (size + 1) * np.log10(base)
-                out["score"] = text_scores(trie, texts)
+                code, first = _codes(texts, order)
+                length, near = cached_lengths(cache, code)
+                out["score"] = np.add.reduceat(length, first)
+                away = np.flatnonzero(~near)
+                out["codes"], out["times"] = _counted(code[away], np.searchsorted(first, away, "right") - 1, len(texts))
                 signed = w.hashes.view(np.int64)
                 out["rest"] = [signed[s:e][~known[s:e]] for s, e in zip(w.first[:-1], w.first[1:], strict=True)]
                 yield out
 
-    scored = materialise(docs.transform(map_frames, work, "doc_id long, n_tokens long, n_known long, found double, score double, rest array<long>"), "lm-scores")
-    scored = scored.withColumn("row", F.monotonically_increasing_id())
+    schema = "doc_id long, n_tokens long, n_known long, found double, score double, codes array<long>, times array<long>, rest array<long>"
+    scored = materialise(docs.transform(map_frames, work, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     rare = words.where(_grade(F.col("n")) < least)
     met = (scored.select("row", F.explode("rest").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
            .join(rare, "key", "left").groupBy("row")
            .agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
                 F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known")))
-    return scored.join(met, "row", "left").select(
+    # a code that is not sent is no common one, so no key of this join has a large share of its rows
+    far = lengths.where(_grade(F.col("m")) < least_m).select("code", "length")
+    coded = (scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("c")).select("row", F.col("c.codes").alias("code"), F.col("c.times").alias("times"))
+             .join(far, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("length")).alias("more_score")))
+    return scored.join(met, "row", "left").join(coded, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
