@@ -6,7 +6,11 @@ pieces are dealt into groups of bounded size at random, packed best-fit
 decreasing, and the groups improve by local search: the emptiest bin moves a
 document, or exchanges one or two documents for one, so that the sum of squared
 fills grows, until it is empty. What lies in bins that stay underfull goes on to
-the next round with fewer groups, until one group is left.
+the next round with fewer groups of the same size, until one group is left. Pieces
+too long to share a bin with the shortest one left are sequences of their own. When a
+round takes few pieces away, what is left is matched by its counts of lengths: best-fit
+decreasing over the counts, which are few, says for each length's first, second, ...
+piece its bin; that is taken if it needs fewer bins than the round did.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed
 each; a null doc_id is kept; extra columns are ignored; an empty table gives an
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import map_frames, materialise, whole_groups
@@ -30,6 +34,8 @@ from wardline.llm.common import map_frames, materialise, whole_groups
 SIZE = 1024
 END = 2
 GROUP = 4096
+#: A round that leaves more than this share of its pieces is the last of its kind.
+SHRINKS = 0.75
 #: Bins with at least this many free places go on to the next round.
 SLACK = 8
 
@@ -102,6 +108,42 @@ def best_fit(lengths: np.ndarray, size: int = SIZE) -> list[list[int]]:
     return bins
 
 
+def best_fit_counts(counts: dict[int, int], size: int = SIZE) -> tuple[np.ndarray, int]:
+    """Best-fit decreasing of counted lengths, and the number of bins.
+
+    Rows (length, first, bin, each, offset): from its ``first`` piece on, a length's pieces
+    go ``each`` to a bin, from ``bin`` on, behind ``offset``.
+    """
+    free: dict[int, list[tuple[int, int]]] = {}  # ranges of bins by free places
+    out, n_bins = [], 0
+    for n in sorted(counts, reverse=True):
+        first, left = 0, counts[n]
+        while left:
+            f = min((f for f in free if f >= n), default=None)
+            if f is None:
+                f, b, k = size, n_bins, -(-left // (size // n))
+                n_bins += k
+            else:
+                b, k = free[f].pop()
+                if not free[f]:
+                    del free[f]
+            each = f // n
+            put = min(left, k * each)
+            out.append((n, first, b, each, size - f))
+            whole, more = divmod(put, each)
+            for at, number, held in ((b, whole, each), (b + whole, int(more > 0), more), (b + whole + (more > 0), k - whole - (more > 0), 0)):
+                if number:
+                    free.setdefault(f - held * n, []).append((at, number))
+            first, left = first + put, left - put
+    return np.array(sorted(out), np.int64).reshape(-1, 5), n_bins
+
+
+def places(ranges: np.ndarray, length: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of each length's numbered pieces."""
+    _, first, b, each, offset = ranges[np.searchsorted((ranges[:, 0] << 40) + ranges[:, 1], (length << 40) + number, "right") - 1].T
+    return b + (number - first) // each, offset + (number - first) % each * length
+
+
 def improve(bins: list[list[int]], lengths: np.ndarray, size: int = SIZE) -> list[list[int]]:
     """Local search: every step raises the sum of squared fills; ends when no pass empties a bin."""
     least = -(-int(lengths.sum()) // size)
@@ -150,7 +192,10 @@ def _pack(size: int, turn: int):
             for grp, f in frame.groupby("grp"):
                 lengths = f["length"].to_numpy(np.int64)
                 seq, off, free = (np.empty(len(f), np.int64) for _ in range(3))
-                for k, b in enumerate(improve(best_fit(lengths, size), lengths, size)):
+                alone = lengths > size - lengths.min()  # too long to share a bin with any
+                some = np.flatnonzero(~alone)
+                bins = improve(best_fit(lengths[some], size), lengths[some], size)
+                for k, b in enumerate([[i] for i in np.flatnonzero(alone)] + [some[b] for b in bins]):
                     b = sorted(b)
                     ends = np.cumsum(lengths[b])
                     seq[b], off[b], free[b] = (turn << 56) + (int(grp) << 24) + k, ends - lengths[b], size - ends[-1]
@@ -159,6 +204,25 @@ def _pack(size: int, turn: int):
     return pack
 
 
+def _numbered(rest: DataFrame, buckets: int) -> DataFrame:
+    """The pieces, those of each length numbered from 0 on."""
+    rest = rest.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    n = rest.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("row")) - 1
+    return rest.withColumn("nth", nth).join(n, ["length", "bucket"]).withColumn("number", F.col("before") + F.col("nth")).drop("nth", "before", "bucket")
+
+
+def _match(held, turn: int):
+    def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            seq, off = places(held.value, f["length"].to_numpy(np.int64), f["number"].to_numpy(np.int64))
+            yield f.drop(columns="number").assign(sequence_id=(turn << 56) + seq, offset=off)
+
+    return match
+
+
 def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     """The pieces with sequence_id and offset."""
     cut = materialise(cut, "pieces")  # numbered below: must not change
@@ -167,11 +231,15 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     done = [cut.withColumn("row", row).where(F.col("length") == size).select(*columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest = cut.withColumn("row", row).where(F.col("length") < size)
     schema = PIECES + ", row long, sequence_id long, offset long, free long"
-    left, groups, turn = rest.count(), None, 1
-    while left:
-        before, groups = groups, -(-left // group)
-        if before is not None and groups >= before:
-            groups = max(1, before // 2)
+    turn = 1
+    while True:
+        left, shortest = rest.agg(F.count(F.lit(1)), F.min("length")).first()
+        if not left:
+            break
+        alone = F.col("length") > size - shortest
+        done.append(rest.where(alone).select(*columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+        rest = rest.where(~alone)
+        groups = -(-left // group)
         dealt = rest.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)))
         packed = materialise(dealt.repartition("grp").sortWithinPartitions("grp", "row").transform(map_frames, _pack(size, turn), schema), "packed")
         if groups == 1:
@@ -179,8 +247,18 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
             break
         full = F.col("free") < SLACK
         done.append(packed.where(full).select(*columns, "sequence_id", "offset"))
-        rest = packed.where(~full).select(*columns, "row")
-        left, turn = rest.count(), turn + 1
+        under = packed.where(~full)
+        rest = under.select(*columns, "row")
+        n = {r.length: r.n for r in rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``size`` rows
+        turn += 1
+        if sum(n.values()) <= SHRINKS * left:
+            continue
+        ranges, bins = best_fit_counts(n, size)
+        if bins < under.where("offset = 0").count():
+            held = cut.sparkSession.sparkContext.broadcast(ranges)
+            under = _numbered(rest, groups).select(*columns, "number").transform(map_frames, _match(held, turn), PIECES + ", sequence_id long, offset long")
+        done.append(under.select(*columns, "sequence_id", "offset"))
+        break
     out = done[0]
     for d in done[1:]:
         out = out.unionAll(d)
