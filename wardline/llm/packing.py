@@ -256,7 +256,7 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
         ranges, bins = best_fit_counts(n, size)
         if bins < under.where("offset = 0").count():
             held = cut.sparkSession.sparkContext.broadcast(ranges)
-            under = _numbered(rest, groups).select(*columns, "number").transform(map_frames, _match(held, turn), PIECES + ", sequence_id long, offset long")
+            under = _numbered(rest, 16 * groups).select(*columns, "number").transform(map_frames, _match(held, turn), PIECES + ", sequence_id long, offset long")
         done.append(under.select(*columns, "sequence_id", "offset"))
         break
     out = done[0]
