@@ -58,3 +58,25 @@ def test_layout_without_an_article_element(spark):
 <main><section class="entry"><div class="post-header"><h1>T</h1></div><p>First words.</p><div class="newsletter-signup"><p>join</p></div>
 <p>Second <i>words</i> &#8212; more.</p></section></main><section id="comments-area"><p>a comment that is longer than the whole article of this page</p></section></body></html>"""
     assert H.extract(pages(spark, [(1, "http://h.example/", page)])).first().text == "T\nFirst words.\nSecond words — more."
+
+
+def test_values_are_no_attributes_and_telling_classes_no_boilerplate(spark):
+    words = "words of the article that stay " * 5
+    marks = ['style="overflow:hidden"', 'title="The hidden valley"', 'data-id="comment-5"', 'class="content has-sidebar"', 'class="no-sidebar"',
+             "class='page with-sidebar'", "data-x='id=sidebar' class=text", "href=/a?class=ad&id=menu", 'id="text" id="sidebar"']
+    gone = ['class="sidebar"', "id=comments-area", "hidden", 'aria-hidden="true"', "class='x cookie-notice'", 'ROLE="navigation"']
+    rows = [(i, None, f"<body><div {m}><p>{words}</p></div></body>") for i, m in enumerate(marks)]
+    rows += [(100 + i, None, f"<body><div {m}><p>{words}</p></div><div><p>else</p></div></body>") for i, m in enumerate(gone)]
+    got = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
+    assert [got[i] for i in range(len(marks))] == [words.strip()] * len(marks)
+    assert [got[100 + i] for i in range(len(gone))] == ["else"] * len(gone)
+
+
+def test_winner_is_widened_to_what_lies_around_it(spark):
+    body = "words of the entry " * 55
+    page = f"""<html><body><div class=wrap><div class=links><p><a href=/1>other things</a> <a href=/2>more other things</a></p></div>
+<div class=post><h1>A title of 20 letters</h1><div class=entry><p>{body}</p></div></div></div></body></html>"""
+    want = f"A title of 20 letters\n{body.strip()}"
+    got = H.extract(pages(spark, [(1, "http://h.example/1", page), (2, "http://h.example/2", page), (3, None, page)])).collect()
+    assert [r.text for r in got] == [want] * 3
+    assert {r.path for r in got} == {"html/body/div.wrap/div.post"}

@@ -3,7 +3,8 @@
 Every page's containers are scored by the text that lies in them (links and
 boilerplate count against it). Each page votes, with its best containers' scores,
 for generalised tag-class paths; Spark sums the votes of a host, and the path
-that wins is read from all of the host's pages. A page without the winning path
+that wins, widened to the containers around it as long as what they add is text and
+not mostly links, is read from all of the host's pages. A page without the winning path
 falls back to its own best container. Votes are summed in the tasks first, so a
 host with a third of all pages is one small row for each task.
 
@@ -40,6 +41,8 @@ SKIPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted "
     "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+#: A class with one of these tells of what is there or not (``has-sidebar``), and is no sidebar. Fixed values.
+TELLING_WORDS = frozenset("has have no non none not with without".split())
 PAGE_WORDS = frozenset("header site page global main top".split())
 CONTAINERS = frozenset("article main section div td body".split())
 #: An open element of the first kind ends when one of the second begins. Fixed values.
@@ -48,7 +51,7 @@ CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset figur
           "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")  # whole ones, one after the other
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -63,15 +66,20 @@ def _element(tag: str, attributes: str) -> tuple[str, bool]:
     """Generalised name (class words without numbers), and whether it is no article."""
     skip = tag in SKIPPED
     words: list[str] = []
+    seen: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key not in ("class", "id", "role", "hidden", "aria-hidden") or key in seen:  # the first one counts
+            continue
+        seen.add(key)
         if key == "role":
             skip |= value in SKIPPED_ROLES
         elif key in ("hidden", "aria-hidden"):
             skip |= key == "hidden" or value == "true"
         else:
             found = _WORD.findall(value)
-            skip |= not SKIPPED_WORDS.isdisjoint(found)
+            names = [_WORD.findall(name) for name in value.split()]
+            skip |= any(TELLING_WORDS.isdisjoint(name) and not SKIPPED_WORDS.isdisjoint(name) for name in names)
             skip |= "header" in found and PAGE_WORDS.issuperset(found)  # not an article's own
             if key == "class":
                 words += found
@@ -166,6 +174,38 @@ def containers(found: list[Block]) -> dict[str, float]:
     return out
 
 
+def amounts(found: list[Block]) -> dict[str, tuple[int, int]]:
+    """Characters of text that is not skipped in each container path, and those of them in links."""
+    out: dict[str, tuple[int, int]] = {}
+    for b in found:
+        if b.skipped_at >= len(b.path):
+            for depth, step in enumerate(b.path):
+                if step.partition(".")[0] in CONTAINERS:
+                    key = "/".join(b.path[: depth + 1])
+                    n, linked = out.get(key, (0, 0))
+                    out[key] = n + len(b.text), linked + min(b.linked, len(b.text))
+    return out
+
+
+def widened(path: str, held: dict[str, tuple[int, int]]) -> str:
+    """The highest container around the path, below the body, up to which all that is added is not mostly links."""
+    steps = path.split("/")
+    n, linked = held.get(path, (0, 0))
+    for depth in range(len(steps) - 1, 0, -1):
+        around = "/".join(steps[:depth])
+        if steps[depth - 1].partition(".")[0] == "body":
+            break
+        if around not in held:  # no container
+            continue
+        more, more_linked = held[around][0] - n, held[around][1] - linked
+        if more and 2 * more_linked >= more:
+            break
+        if more:
+            path = around
+            n, linked = held[around]
+    return path
+
+
 def main_text(found: list[Block], path: str) -> str:
     """The blocks of the container, without what is skipped inside of it."""
     steps = tuple(path.split("/"))
@@ -181,14 +221,26 @@ def _vote(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         sums: dict[tuple[str, str], list[float]] = {}
         for host, page in zip(f["host"], f["html"], strict=True):
-            scored = containers(blocks(page)) if page else {}
+            if host is None or not page:
+                continue
+            found = blocks(page)
+            scored, held = containers(found), amounts(found)
             whole = sum(s for s in scored.values() if s > 0)
             for path, s in scored.items():
-                if s > 0 and host is not None:  # a page's votes sum up to one
-                    v = sums.setdefault((host, path), [0.0, 0])
+                v = sums.setdefault((host, path), [0.0, 0, 0, 0])
+                if s > 0:  # a page's votes sum up to one
                     v[0] += s / whole
                     v[1] += 1
-        yield pd.DataFrame([(h, p, v, n) for (h, p), (v, n) in sums.items()], columns=["host", "path", "votes", "n_pages"])
+                n, linked = held.get(path, (0, 0))
+                v[2] += n
+                v[3] += linked
+        yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=["host", "path", "votes", "n_pages", "chars", "linked"])
+
+
+def _widen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        held = [dict(zip(p, zip(n, k, strict=True), strict=True)) for p, n, k in zip(f["paths"], f["chars"], f["linked"], strict=True)]
+        yield f[["host", "votes", "n_pages"]].assign(path=[widened(p, h) for p, h in zip(f["path"], held, strict=True)])[["host", "path", "votes", "n_pages"]]
 
 
 def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,6 +251,7 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text = main_text(found, path) if path else ""
             if not text:  # not laid out like its host's other pages
                 path = _best(containers(found))
+                path = path and widened(path, amounts(found))
                 text = main_text(found, path) if path else "\n".join(b.text for b in found if b.skipped_at >= len(b.path))
             texts.append(text)
             paths.append(path)
@@ -206,11 +259,17 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes, n_pages): the winning path of each host; ties to the first path in order."""
-    votes = pages.transform(map_frames, _vote, "host string, path string, votes double, n_pages long")
-    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("n_pages").alias("n_pages"))
+    """(host, path, votes, n_pages): the winning path of each host, widened; ties to the first path in order."""
+    votes = pages.transform(map_frames, _vote, "host string, path string, votes double, n_pages long, chars long, linked long")
+    summed = materialise(votes.groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in ("votes", "n_pages", "chars", "linked")]), "host-votes")
     best = F.max_by(F.struct("path", "votes", "n_pages"), F.struct(F.round("votes", 6), "path"))
-    return summed.groupBy("host").agg(best.alias("b")).select("host", "b.*")
+    won = summed.where("votes > 0").groupBy("host").agg(best.alias("b")).select("host", "b.*")
+    around = summed.select("host", F.col("path").alias("outer"), "chars", "linked")
+    # the winner and what is around it: as many rows as a path has steps
+    held = won.join(around, "host").where(F.col("outer").eqNullSafe(F.col("path")) | F.expr("startswith(path, concat(outer, '/'))"))
+    lists = held.groupBy("host").agg(*[F.first(c).alias(c) for c in ("path", "votes", "n_pages")], F.collect_list(F.struct("outer", "chars", "linked")).alias("x"))
+    return lists.select("host", "path", "votes", "n_pages", F.col("x.outer").alias("paths"), F.col("x.chars").alias("chars"), F.col("x.linked").alias("linked")).transform(
+        map_frames, _widen, "host string, path string, votes double, n_pages long")
 
 
 def extract(pages: DataFrame) -> DataFrame:
