@@ -50,3 +50,18 @@ def test_odd_rows_in_every_stage(spark, documents, empty):
 
 def test_order():
     assert [n for n, _ in C.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "packing"]
+
+
+def test_rows_are_judged_by_their_own_text(spark, documents):
+    """Rows without an id are rejected like others; of one id's two texts only the bad one goes."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").select("text").orderBy("item_id").first().text
+    near = " ".join(f"common{i} words" for i in range(40))
+    own = {i: " ".join(f"own{i} thing{j} stays" for j in range(20)) for i in range(8)}
+    rows = [(1, near), (2, near + " end"), (2, own[2]), (None, near + " last"), (None, own[0]), (None, "123 ### 456"), (3, "99 !!"), (3, own[3]),
+            (None, f"{own[4]} {item}"), (5, f"{own[5]} {item}"), (5, own[6]), (None, own[7]), (None, own[7])]
+    docs = documents(rows, "en")
+    for _, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert got == sorted([(1, near), (2, own[2]), (None, own[0]), (3, own[3]), (5, own[6]), (None, own[7])], key=str)

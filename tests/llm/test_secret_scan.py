@@ -54,3 +54,12 @@ def test_added_rules_and_redaction(spark, documents):
 
 def test_empty(spark, documents):
     assert S.digest(S.scan(documents([(1, "x")]).limit(0))).count() == 0
+
+
+def test_private_keys_are_masked_with_their_bodies(spark, documents):
+    def key(kind):
+        return f"-----BEGIN {kind}PRIVATE KEY-----\nMIIEvQIBADANBgkqhkiG9w0B\nAQEFAASCBKcwggSj+/=\n-----END {kind}PRIVATE KEY-----"
+
+    docs = documents([(1, f"a {key('RSA ')} b {key('')}\nc"), (2, "x\n" + key("EC ")[:70] + "\n"), (None, f"{key('OPENSSH ')} z"), (4, "-----END PRIVATE KEY----- only")])
+    out = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    assert out == {1: "a [SECRET] b [SECRET]\nc", 2: "x\n[SECRET]", None: "[SECRET] z", 4: "-----END PRIVATE KEY----- only"}
