@@ -63,3 +63,19 @@ def test_create_tables(spark):
         read = TB.read_history if name in HISTORY else UP.read_current
         names = [c for c in read(spark, path).schema.fieldNames() if c != TB.BATCH]
         assert names == {**HISTORY, **CURRENT}[name].fieldNames()
+
+
+def test_latest_to_warehouse_reduces_each_of_two_batches(spark, monkeypatch):
+    from wardline.operators.latest import latest_with_ties
+    from wardline.plans import queries as Q
+
+    roots = []
+    monkeypatch.setattr(Q, "scratch_path", lambda s, name: roots.append(scratch_path(s, name)) or roots[-1])
+    Q.latest_to_warehouse(spark, SF).count()
+    root = next(r for r in roots if "latest" in r.rsplit("/", 1)[-1])
+    got = spark.read.parquet(f"{root}/warehouse")
+    assert sorted(r[0] for r in got.select(TB.BATCH).distinct().collect()) == [0, 1]
+    for batch, half in enumerate(Q._halves(spark, SF)):
+        want = latest_with_ties(half.withColumn("msg_tm", F.date_trunc("hour", "msg_tm")), ["pat_enc_csn_id"])
+        mine = got.where(F.col(TB.BATCH) == batch).select(*want.columns)
+        assert mine.count() > 0 and mine.exceptAll(want).count() == 0 and want.exceptAll(mine).count() == 0

@@ -445,12 +445,13 @@ def append_stream(spark, d):
 
 
 def latest_to_warehouse(spark, d):
-    """K10 as a stream: the latest states of each batch, ties kept."""
+    """K10 as a stream: the latest states of each of two batches, ties kept; read as the latest of them."""
     root = scratch_path(spark, "latest")
-    rows = _event_states(spark, d).withColumn("msg_tm", F.date_trunc("hour", "msg_tm"))
-    rows.coalesce(1).write.parquet(f"{root}/table")
-    WH.latest_stream(ST.tail_table(spark, f"{root}/table", rows.schema), f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
-    return spark.read.parquet(f"{root}/warehouse").drop(TB.BATCH)
+    for batch, half in enumerate(_halves(spark, d)):
+        rows = half.withColumn("msg_tm", F.date_trunc("hour", "msg_tm"))
+        TB.append_batch_rows(rows, batch, f"{root}/table")
+        WH.latest_stream(ST.tail_table(spark, f"{root}/table", rows.schema), f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
+    return LT.latest_with_ties(spark.read.parquet(f"{root}/warehouse"), ["pat_enc_csn_id"]).drop(TB.BATCH)
 
 
 def cluster_by_range(spark, d):
