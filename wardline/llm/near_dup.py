@@ -1,18 +1,17 @@
-"""MinHash near-duplicates with an LSH forest.
+"""MinHash near-duplicates by banding: 16 bands of two components, no LSH forest.
 
 A document's set holds its distinct five-word shingles (64-bit hashes). Documents
 with equal sets form a class; classes go on by their smallest doc_id. Signatures
-of 128 minima are sorted in 16 orders (trees), each beginning with eight
-components of its own. In each order a region holds the classes that share the
-first two components; a pair of similarity 0.75 misses all 16 regions with a
-probability of 2e-6. Within a region neighbours by longest common prefix are
-compared first, then whatever is not yet connected, by signatures alone; only
-the edges that connect are emitted, never all pairs. A region of more than
-``region`` classes goes deeper: its rows are dealt out by the next components,
-and, so that depth loses no link, also in pairs of chunks.
-
-The connected parts of those candidate edges hold every link that the forest
-finds. In them links are confirmed on full sets, in chunks of bounded size, and
+of 128 minima fall into 16 trees of eight components, of which only the first two
+are a key: a region holds the classes that share them, so depth is fixed; a pair of
+similarity 0.75 misses all 16 regions with a probability of 2e-6. Within a region,
+sorted by all components in one order, neighbours are compared first, then whatever
+is not yet connected, by signatures alone; only the edges that connect are emitted,
+never all pairs. A region of more than ``region`` classes is dealt out by a hash of
+the id in pairs of chunks, so that no link is lost.
+
+The connected parts of those candidate edges hold every link that the bands
+find. In them links are confirmed on full sets, in chunks of bounded size, and
 the components of the confirmed links are the result.
 
 Defined cases: without words the set is empty and links with nothing; a null
