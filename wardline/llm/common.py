@@ -63,6 +63,7 @@ BATCH_ROWS = "2000"
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 Frames = Iterator[pd.DataFrame]
+Batches = Iterator[pa.RecordBatch]
 
 
 def _release() -> None:
@@ -74,8 +75,8 @@ def _release() -> None:
         pass
 
 
-def _released(work: Callable[[Frames], Frames]) -> Callable[[Frames], Frames]:
-    def run(frames: Frames) -> Frames:
+def _released(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    def run(frames: Iterator) -> Iterator:
         try:
             yield from work(frames)
         finally:
@@ -93,6 +94,52 @@ def map_frames(df: DataFrame, work: Callable[[Frames], Frames], schema: str) ->
     return df.mapInPandas(_released(work), schema)
 
 
+def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """mapInArrow of a function of this package, in batches of bounded size: longs with nulls stay exact."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+    return df.mapInArrow(_released(work), schema)
+
+
+def in_order(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """The rows sorted by ``keys`` over all partitions, each partition a range of them.
+
+    Rows with equal keys may be any share of all, so a number of the row closes the keys:
+    they spread over partitions, too. It orders nothing that the keys tell apart.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumns({f"_key{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(keys)})
+    keyed = keyed.withColumn("_keyed", F.monotonically_increasing_id())
+    by = [*(f"_key{i}" for i in range(len(keys))), "_keyed"]
+    return keyed.repartitionByRange(parts, *by).sortWithinPartitions(*by).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def ranked(df: DataFrame, *keys: Column, name: str) -> DataFrame:
+    """The rows with ``rank``, their place from 1 in the order of ``keys``, counted without a task that sees them all.
+
+    The sorted rows are written with their place in their partition; what lies before each
+    partition is a sum over partitions, of which the driver holds one number each.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumn("_keyed", F.monotonically_increasing_id())
+    place = F.monotonically_increasing_id()  # partition and, in the low 33 bits, the row in it
+    rows = materialise(keyed.repartitionByRange(parts, *keys, "_keyed").sortWithinPartitions(*keys, "_keyed")
+                       .withColumn("_place", place).drop("_keyed"), name)
+    part = F.shiftright("_place", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    before, starts = 0, []
+    for r in sorted(counts):
+        starts.append((r["_part"], before))
+        before += r["n"]
+    base = spark.createDataFrame(starts, "_part long, _before long")
+    found = rows.withColumn("_part", part).join(F.broadcast(base), "_part")
+    return found.withColumn("rank", F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1) + 1) \
+        .select(*[F.col(f"`{c}`") for c in df.columns], "rank")
+
+
 def whole_groups(frames: Frames, by: list[str]) -> Frames:
     """Frames sorted by the key, cut so that no key goes over a frame's end."""
     rest = None

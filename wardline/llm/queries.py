@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import (bitslice, decontaminate, html_text, language_id, license_scan, near_dup, packing, ppm, quality,
-                          secret_scan)
+from wardline.llm import (bitslice, conversation, decontaminate, html_text, language_id, license_scan, near_dup, packing, ppm, quality,
+                          resample, secret_scan, token_file)
 from wardline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.detect(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.digest(*conversation.repair(conversation.damage(table(spark, sf_dir, "conversations"))))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_topk_search, op3_quality, op4_packing, op5_license_scan, op6_decontaminate, op7_ppm_score,
-    op8_near_dup, op9_html_text, op10_language_id)}
+    op8_near_dup, op9_html_text, op10_language_id, op11_token_file, op12_conversation_repair, op13_resample)}
 ORACLE: dict[str, str] = {"op1_secret_scan": secret_scan.ORACLE, "op2_topk_search": bitslice.ORACLE,
-                          "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE}
+                          "op6_decontaminate": decontaminate.ORACLE, "op8_near_dup": near_dup.ORACLE,
+                          "op12_conversation_repair": conversation.ORACLE, "op13_resample": resample.ORACLE}
