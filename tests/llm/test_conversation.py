@@ -155,6 +155,6 @@ def test_damage_and_dropped_conversations(spark):
 
 def test_rows_and_empty_tables(spark):
     frame = spark.createDataFrame([(1, 1, "assistant", "Well.", "x", 1, 1, 1), (1, 2, "user", "So.", "x", 1, 1, 1)], SCHEMA)
-    rows = C.repaired_rows(*C.repair(frame)).orderBy("place").collect()
+    rows = C.repaired_rows(*C.repair(frame)).orderBy("piece", "place").collect()
     assert [(r.role, r.text) for r in rows] == [("user", ""), ("assistant", "Well."), ("user", "So."), ("assistant", "")]
     assert C.digest(*C.repair(frame.limit(0))).collect() == []
