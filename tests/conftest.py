@@ -4,7 +4,8 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -21,7 +22,3 @@ def spark():
         s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
-
-
-def collect(df):
-    return [r.asDict(recursive=True) for r in df.collect()]

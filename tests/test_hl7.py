@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import collect
+from frames import collect
 from wardline.functions.timeparse import utc_ntz
 from wardline.operators import extract as E
 
