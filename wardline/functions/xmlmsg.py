@@ -2,11 +2,19 @@
 
 One ``from_xml`` call per message turns the envelope into a typed struct;
 every extractor then reads struct paths, so a message is parsed once. The
-schema below lists the segments at each parent they are known to appear
-under (``AdministerPatient`` and its ``VisitGroup``) and the extractors
+schema below lists the segments at each parent that is known (the envelope, its
+payload, ``AdministerPatient`` and its ``VisitGroup``) and the extractors
 coalesce over those parents, which is how a path-suffix lookup is expressed
 without re-parsing. Repeated nodes (PID-3, DG1, OBX) are arrays, so one node
 is a list of one. Malformed XML yields NULL fields and a ``_corrupt_record``.
+
+The same parse keeps the inside of every element that the schema does not know
+(``xs_any``). Only a message in which one of these holds a segment that is read is
+looked at again: its markup is cut into comments, CDATA sections, instructions, tags
+and text, comments go, CDATA becomes escaped text, and then every ``<`` left opens a
+tag, so that elements are found by structure under any parent. (A VARIANT parse would
+read the number 007 as 7, so it is not used.) Not looked for: a segment inside another
+segment that is read.
 """
 
 from __future__ import annotations
@@ -97,12 +105,16 @@ _SEGMENTS = {
 }
 
 
+#: Fixed value: the reader's name for the insides of elements that a schema does not list.
+UNKNOWN = "xs_any"
+
+
 def envelope_schema() -> StructType:
     """Schema of one envelope for ``from_xml`` (plus the corrupt-record column)."""
-    group = dict(_SEGMENTS)
-    admin = dict(_SEGMENTS)
-    admin[VISIT_GROUP] = [group]
-    return _s({REGION: None, BODID: None, RECEIVED: None, PAYLOAD: {ADMINISTER: admin}, CORRUPT: None})
+    rest = {UNKNOWN: [None]}  # behind the names of its element: the reader takes what they leave
+    group = {**_SEGMENTS, **rest}
+    payload = {**_SEGMENTS, ADMINISTER: {**_SEGMENTS, VISIT_GROUP: [group], **rest}, **rest}
+    return _s({REGION: None, BODID: None, RECEIVED: None, **_SEGMENTS, PAYLOAD: payload, **rest, CORRUPT: None})
 
 
 ENVELOPE_SCHEMA = envelope_schema()
@@ -114,66 +126,95 @@ def parse(text: Column) -> Column:
 
 
 SEGMENT_KEYS = {MSH: "msh", EVN: "evn", PID: "pid", PV1: "pv1", PV2: "pv2", ZPV: "zpv", DG1: "dg1"}
-# Segments whose parent element is not fixed by the message specification: when
-# one is under neither known parent it is located anywhere in the document.
-UNPLACED = (MSH, EVN, PID, PV1, PV2, ZPV)
 
+#: What XML text consists of, in the order in which its parts must be tried: a comment, a CDATA section,
+#: an instruction, a tag (whose quoted values may hold any sign), text.
+MARKUP = r"""<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<(?:[^<>"']|"[^"]*"|'[^']*')*>|[^<]+"""
+
+
+def tags_and_text(text: Column) -> Column:
+    """The document with no ``<`` but those that open a tag: comments and instructions dropped, CDATA as escaped text."""
+    def plain(t: Column) -> Column:
+        inside = F.substr(t, F.lit(10), F.length(t) - 12)
+        escaped = F.replace(F.replace(F.replace(inside, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.when(t.startswith("<![CDATA["), escaped).when(~t.startswith("<!--") & ~t.startswith("<?"), t).otherwise("")
 
-def _anywhere(text: Column, seg: str) -> Column:
-    """All ``seg`` elements (one struct, or an array for repeated segments) wherever they sit.
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(MARKUP), F.lit(0)), plain), "")
 
-    A path-suffix lookup: the elements are cut out of the text and parsed on their
-    own (wrapped so their namespace prefixes stay bound). Only evaluated for a
-    message that holds such an element under a parent that is not known; a message
-    without any costs one substring probe.
+
+def _anywhere(tags: Column, seg: str) -> Column:
+    """All ``seg`` elements (the first, or an array for repeated segments) wherever they sit, in document order.
+
+    The elements are cut out and parsed on their own, below a root that binds the document's prefixes.
     """
-    esc = seg.replace(".", r"\.")
-    every = F.regexp_extract_all(text, F.lit(f"<{esc}(?:\\s[^>]*)?>[\\s\\S]*?</{esc}>"), F.lit(0))
+    name = seg.replace(".", r"\.")
+    inside = r"""(?:[^<>"'/]|"[^"]*"|'[^']*'|/(?!>))*"""
+    every = F.regexp_extract_all(tags, F.lit(rf"<{name}(?=[\s/>]){inside}(?:/>|>[\s\S]*?</{name}\s*>)"), F.lit(0))
     repeated = isinstance(_s(_SEGMENTS[seg]), ArrayType)
-    frag = F.array_join(every if repeated else F.slice(every, 1, 1), "")
-    wrapped = F.concat(F.lit('<w xmlns:ns0="urn:w0" xmlns:ns1="urn:w1">'), frag, F.lit("</w>"))
+    prefixes = F.array_distinct(F.regexp_extract_all(tags, F.lit(r"""\sxmlns:([^\s=:"'<>]+)\s*="""), F.lit(1)))
+    root = F.array_join(F.transform(prefixes, lambda p: F.concat(F.lit(" xmlns:"), p, F.lit('="urn:any"'))), "")
+    wrapped = F.concat(F.lit("<w"), root, F.lit(">"), F.array_join(every if repeated else F.slice(every, 1, 1), ""), F.lit("</w>"))
     schema = StructType([StructField(seg, _s(_SEGMENTS[seg]))])
-    return F.when(text.contains(f"<{seg}"), F.from_xml(wrapped, schema, {"mode": "PERMISSIVE"})[seg])
-
-
-def _repeated(admin: Column, groups: Column, text: Column | None, seg: str) -> Column:
-    """All elements of a repeated segment: under both known parents and every group, or, if the text
-    holds more of them than that, all of the document."""
-    none = F.array().cast(_s(_SEGMENTS[seg]))
-    known = F.concat(F.coalesce(admin[seg], none), F.flatten(F.transform(F.coalesce(groups, F.array().cast(ArrayType(_s(dict(_SEGMENTS))))),
-                                                                         lambda g: F.coalesce(g[seg], none))))
-    if text is None:
-        return known
-    # how often the text opens such an element
-    opened = (F.length(text) - F.length(F.replace(text, F.lit(f"<{seg}"), F.lit("")))) / len(f"<{seg}")
-    return F.when(opened > F.size(known), F.coalesce(_anywhere(text, seg), known)).otherwise(known)
+    return F.from_xml(wrapped, schema, {"mode": "PERMISSIVE"})[seg]
 
 
 def _member(field: str):
     return lambda x: x[field]
 
 
-def normalize(env: Column, text: Column | None = None) -> Column:
+def _known(env: Column) -> tuple[list[Column], Column]:
+    """The parents that hold segments, outermost last, and the array of visit groups."""
+    payload = env[PAYLOAD]
+    admin = payload[ADMINISTER]
+    return [admin, payload, env], admin[VISIT_GROUP]
+
+
+def strange(env: Column) -> Column:
+    """The insides of all elements that the schema does not know and that hold a segment which is read."""
+    parents, groups = _known(env)
+    none = F.array().cast("array<string>")
+    of_groups = F.flatten(F.filter(F.transform(groups, _member(UNKNOWN)), lambda x: x.isNotNull()))
+    every = [F.coalesce(p[UNKNOWN], none) for p in parents] + [F.coalesce(of_groups, none)]
+    names = "|".join(n.replace(".", r"\.") for n in (*SEGMENT_KEYS, OBX))
+    return F.filter(F.concat(*every), lambda x: x.rlike(f"<(?:{names})"))
+
+
+def locate(env: Column, text: Column) -> Column:
+    """The document's tags and text if a segment may sit below an element that the schema does not know, else NULL."""
+    return F.when(env[CORRUPT].isNull() & (F.size(strange(env)) > 0), tags_and_text(text))
+
+
+def _repeated(env: Column, tags: Column | None, seg: str) -> Column:
+    """All elements of a repeated segment: of the known parents (outermost last, groups after
+    ``AdministerPatient``) or, if other parents hold segments, all of the document."""
+    parents, groups = _known(env)
+    none = F.array().cast(_s(_SEGMENTS[seg]))
+    in_groups = F.flatten(F.filter(F.transform(groups, _member(seg)), lambda x: x.isNotNull()))
+    known = F.concat(*[F.coalesce(c, none) for c in (parents[0][seg], in_groups, parents[1][seg], parents[2][seg])])
+    return known if tags is None else F.when(tags.isNotNull(), F.coalesce(_anywhere(tags, seg), known)).otherwise(known)
+
+
+def normalize(env: Column, tags: Column | None = None) -> Column:
     """P8/P9 once per message: each segment taken from whichever known parent holds it,
-    else (given the text) from anywhere in the document.
+    else (given :func:`locate`'s column) from anywhere in the document.
 
     struct<region, bodid, received, corrupt, msh, evn, pid, pv1, pv2, zpv, dg1, obx>;
     extractors read this flat struct, so the parent lookup is not repeated per field.
     """
-    admin = env[PAYLOAD][ADMINISTER]
-    groups = admin[VISIT_GROUP]
+    parents, groups = _known(env)
     parts = [env[REGION].alias("region"), env[BODID].alias("bodid"), env[RECEIVED].alias("received"),
              env[CORRUPT].alias("corrupt")]
-    held = F.when(env[CORRUPT].isNull(), text) if text is not None else None
     for seg, k in SEGMENT_KEYS.items():
         if seg == DG1:  # repeated
-            parts.append(_repeated(admin, groups, held, seg).alias(k))
+            parts.append(_repeated(env, tags, seg).alias(k))
             continue
         # of several groups the last one that has the segment
         in_groups = F.try_element_at(F.filter(F.transform(groups, _member(seg)), lambda x: x.isNotNull()), F.lit(-1))
-        found = [admin[seg], in_groups] + ([_anywhere(held, seg)] if held is not None and seg in UNPLACED else [])
+        found = [parents[0][seg], in_groups, parents[1][seg], parents[2][seg]]
+        if tags is not None:
+            found.append(F.when(tags.isNotNull(), _anywhere(tags, seg)))
         parts.append(F.coalesce(*found).alias(k))
-    parts.append(_repeated(admin, groups, held, OBX).alias("obx"))
+    parts.append(_repeated(env, tags, OBX).alias("obx"))
     return F.struct(*parts)
 
 

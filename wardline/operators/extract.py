@@ -24,9 +24,10 @@ def parse_hl7(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def parse_xml(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the parsed envelope, normalized to one struct of segments (two projections)."""
+    """Adds the parsed envelope, normalized to one struct of segments (three projections)."""
     return df.withColumn("_env", xmlmsg.parse(F.col(text))) \
-        .withColumn(PARSED, xmlmsg.normalize(F.col("_env"), F.col(text))).drop("_env")
+        .withColumn("_tags", xmlmsg.locate(F.col("_env"), F.col(text))) \
+        .withColumn(PARSED, xmlmsg.normalize(F.col("_env"), F.col("_tags"))).drop("_env", "_tags")
 
 
 def parse(df: DataFrame, fmt: str, text: str = "text") -> DataFrame:

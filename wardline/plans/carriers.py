@@ -307,7 +307,13 @@ def xml_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     beside = [put(place == 1, lines), put(place == 2, early)]
     other = put(place == 3, lines)
     known, unknown = (_Node(F.when(c, F.concat_ws("", dg1.col, dg1b.col))) for c in (place != 3, place == 3))
-    strange = _Node(F.concat(F.lit("<ns0:Other><Inner>"), F.concat_ws("", unknown.col, other.col), F.lit("</Inner></ns0:Other>")))
+    # what no parser may read as segments: comments, CDATA, an empty element with a sign of markup in its attribute
+    old_dg1 = node(X.DG1, node("DG1.4.DiagnosisDescription", "STALE"), node("DG1.6.DiagnosisType", ER_DIAGNOSIS_TYPE)).col
+    old_obx = obx_xml(OBS_CHIEF_COMPLAINT, TEXT_DX, icd=F.lit("OLD"), name=F.lit("OLD"), ctype=F.lit("OLD"), reason=F.lit("OLD")).col
+    noise = (F.when(o["o_orderkey"] % 7 == 0, F.concat(F.lit("<!-- was: "), old_dg1, old_obx, F.lit(" -->")))
+             .when(o["o_orderkey"] % 7 == 1, F.concat(F.lit("<Note><![CDATA[<!-- "), old_dg1, old_obx, F.lit("]]></Note>")))
+             .when(o["o_orderkey"] % 7 == 2, F.lit(f'<{X.OBX} note="a > b" kind=\'none\'/>')))
+    strange = _Node(F.concat(F.lit("<ns0:Other><Inner>"), F.concat_ws("", noise, unknown.col, other.col), F.lit("</Inner></ns0:Other>")))
     received = F.date_format(o["o_orderdate"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
     region = F.when(o["o_orderpriority"] == "4-NOT SPECIFIED", F.lit(None).cast("string")).otherwise(F.lit("OKC"))
     text = xml_envelope(region, o["o_orderkey"].cast("string"), received, [msh, pid, known, strange, *beside],
