@@ -118,7 +118,7 @@ def test_children_edge_cases(spark):
 
 
 def test_validity_and_quarantine(spark):
-    encoding = [BASE[0].replace("^~\\&", "#~\\&")] + BASE[1:]
+    encoding = [BASE[0].replace("^~\\&", "~~\\&")] + BASE[1:]
     no_version = [BASE[0].replace("|T|2.3", "|T|")] + BASE[1:]
     short = ["MSH|^~\\&|SRC|FAC"] + BASE[1:]
     df = spark.createDataFrame([(t,) for t in [msg(BASE), "not hl7 at all", None, msg(encoding), msg(no_version),

@@ -102,3 +102,95 @@ def test_rewrites_keep_batch_partitioning(spark):
     assert TB.partition_columns(spark, h) == ["_batch_id"]
     UP.append_batch(df, 1, h)  # appending after the rewrite still works
     assert sorted(r[0] for r in spark.read.parquet(h).select("pat_enc_csn_id").collect()) == [1, 2, 2]
+
+
+def files_and_times(path):
+    import pathlib
+
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in pathlib.Path(path).rglob("*.parquet")}
+
+
+def local(path):
+    return path.removeprefix("file://").replace("file:", "")
+
+
+def clinic(spark, root):
+    """A master and a child of ten files each, one encounter a file."""
+    keys = [(k, dt.datetime(2024, 1, 1) if k in (3, 7) else None, dt.datetime(2024, 1, k + 1)) for k in range(10)]
+    master = spark.createDataFrame(keys, "pat_enc_csn_id bigint, hosp_disch_time timestamp, row_insert_tsp timestamp")
+    master.withColumn("f", F.col("pat_enc_csn_id")).repartition("f").write.partitionBy("f").parquet(f"{root}/m")
+    child = spark.createDataFrame([(k, f"c{k}") for k in range(11)], "pat_enc_csn_id bigint, x string")
+    child.withColumn("f", F.col("pat_enc_csn_id")).repartition("f").write.partitionBy("f").parquet(f"{root}/c")
+
+
+def keys_of(spark, path):
+    return sorted(r[0] for r in spark.read.parquet(path).select("pat_enc_csn_id").collect())
+
+
+def test_retention_rewrites_touched_files_only(spark):
+    root = scratch_path(spark, "touched")
+    clinic(spark, root)
+    before = {t: files_and_times(local(f"{root}/{t}")) for t in "mc"}
+    done = RT.retention_job(spark, f"{root}/m", [f"{root}/c"], 2, "2024-01-10")
+    assert done == {f"{root}/m": 2, f"{root}/c": 3}  # the child's orphan, too
+    assert keys_of(spark, f"{root}/m") == keys_of(spark, f"{root}/c") == [0, 1, 2, 4, 5, 6, 8, 9]
+    for t in "mc":
+        after = files_and_times(local(f"{root}/{t}"))
+        assert {f: time for f, time in before[t].items() if f.split("/")[0] not in ("f=3", "f=7", "f=10")}.items() <= after.items()
+    assert RT.retention_job(spark, f"{root}/m", [f"{root}/c"], 2, "2024-01-10") == {f"{root}/m": 0, f"{root}/c": 0}
+
+
+def test_a_rewrite_that_was_cut_off_is_finished_or_undone(spark, monkeypatch):
+    for at in ("aside", "half", "swapped"):
+        root = scratch_path(spark, f"cut-{at}")
+        clinic(spark, root)
+        fs, old, jvm = TB._fs(spark, f"{root}/m")
+
+        def crash(spark, path, at=at, fs=fs, jvm=jvm):
+            import json
+
+            plan = json.loads(TB._read_text(spark, f"{path}.journal"))
+            path_of = jvm.org.apache.hadoop.fs.Path
+            if at == "aside":  # before the table was moved
+                fs.rename(path_of(plan["old"]), path_of(path))
+            elif at == "half":
+                name = plan["kept"][0]
+                fs.mkdirs(path_of(plan["staged"], name).getParent())
+                fs.rename(path_of(plan["old"], name), path_of(plan["staged"], name))
+            else:
+                for name in plan["kept"]:
+                    fs.mkdirs(path_of(plan["staged"], name).getParent())
+                    fs.rename(path_of(plan["old"], name), path_of(plan["staged"], name))
+                fs.rename(path_of(plan["staged"]), path_of(path))
+            raise RuntimeError("killed")
+
+        real = TB.recover
+        monkeypatch.setattr(TB, "recover", lambda spark, path: crash(spark, path) if TB.exists(spark, f"{path}.journal") else None)
+        try:
+            RT.retention_job(spark, f"{root}/m", [], 2, "2024-01-10")
+            raise AssertionError("it was not cut off")
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(TB, "recover", real)
+        TB.recover(spark, f"{root}/m")
+        want = list(range(10)) if at == "aside" else [0, 1, 2, 4, 5, 6, 8, 9]
+        assert keys_of(spark, f"{root}/m") == want
+        assert not any(TB.exists(spark, f"{root}/m{s}") for s in (".journal",))
+        RT.retention_job(spark, f"{root}/m", [], 2, "2024-01-10")
+        assert keys_of(spark, f"{root}/m") == [0, 1, 2, 4, 5, 6, 8, 9]
+
+
+def test_tail_reads_files_of_any_writer(spark):
+    from wardline.sources.tables import tail_table
+    root = scratch_path(spark, "tail")
+    one = spark.createDataFrame([(1,)], "a bigint")
+    for name in ("part-1", "f", "fold", "folded", "foldedx", "data", "0", "folded-1"):
+        one.coalesce(1).write.parquet(f"{root}/w/{name}")
+        fs, _, jvm = TB._fs(spark, root)
+        p = jvm.org.apache.hadoop.fs.Path
+        fs.mkdirs(p(f"{root}/t"))
+        src = next(f for f in TB.data_files(spark, f"{root}/w/{name}"))
+        fs.rename(p(src), p(f"{root}/t/{name}"))
+    q = tail_table(spark, f"{root}/t", one.schema).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{root}/out").count() == 7

@@ -11,8 +11,13 @@ as an array of field arrays. Field addressing then is plain array access:
 * component ``c`` is the ``c``-th ``^`` piece of the first repetition;
 * empty text reads as NULL, as does anything missing.
 
-Escape sequences are left raw. Only the default separators ``|^~\\&`` are
-read; other messages are routed to quarantine by :func:`validity`.
+A message names its own separators in MSH-1 and MSH-2. One that uses others than
+``|^~\\&``, or that holds escape sequences, is rewritten once (:func:`canonical`):
+its separators become the usual ones, and a sign that is data but looks like one of
+them becomes a mark (a code point reserved for such use), which the readers of a field
+turn back. So every reader below knows one set of separators only, and a whole field
+of several components leaves with these. Highlighting, charset and site escapes
+stay as they are.
 """
 
 from __future__ import annotations
@@ -28,6 +33,13 @@ REPETITION_SEP = "~"
 COMPONENT_SEP = r"\^"
 SEGMENT_BREAK = r"[\r\n]+"
 DEFAULT_ENCODING = "^~\\&"
+DEFAULT_HEADER = "MSH|" + DEFAULT_ENCODING
+# Signs with a meaning in a message, the marks (noncharacters, never in text) that stand
+# for them where they are data, and the escape code of each separator.
+SIGNS = "|^~\\&\r\n"
+MARKS = "".join(chr(0xFDD0 + i) for i in range(len(SIGNS)))
+ESCAPES = "FSRET"
+ESCAPED = r"\\(?:[FSTRE]|X(?:[0-9A-Fa-f]{2})+)\\|[^\\]+|\\"
 
 # Observation codes and texts, the ER diagnosis type, the
 # acuity delimiter and the constant message source of the HL7 feed.
@@ -48,9 +60,47 @@ DISCHARGE_TRIGGERS = ("A03", "A13")
 SINGLE_SEGMENTS = ("EVN", "PID", "PV1", "PV2", "ZPV", "DG1")
 
 
+def separators(text: Column) -> tuple[Column, Column]:
+    """MSH-1, and MSH-2 as it stands (component, repetition, escape, subcomponent, maybe truncation)."""
+    sep = F.substring(text, 4, 1)
+    return sep, F.call_function("substring_index", F.substr(text, F.lit(5)), sep, F.lit(1))
+
+
+def canonical(text: Column) -> Column:
+    """The message with the default separators, its escape sequences decoded; most messages are this already."""
+    plain = text.startswith(DEFAULT_HEADER + "|") & ~F.substr(text, F.lit(len(DEFAULT_HEADER) + 1)).contains("\\")
+    return F.when(plain | ~text.startswith("MSH"), text).otherwise(_rewritten(text))
+
+
+def _as_data(x: Column) -> Column:
+    """Signs that would be read as separators, as marks."""
+    return F.translate(x, SIGNS, MARKS)
+
+
+def _rewritten(text: Column) -> Column:
+    sep, encoding = separators(text)
+    own = F.concat(sep, F.substring(encoding, 1, 4))
+    # at once: own separators to the default ones, default ones that are data here to marks
+    body = F.call_function("translate", F.substr(text, F.length(encoding) + 5), F.concat(own, F.lit(SIGNS[:5])), F.lit(SIGNS[:5] + MARKS[:5]))
+
+    def plain(t: Column) -> Column:
+        code = F.substring(t, 2, 1)
+        out = F.when(~t.startswith("\\") | (t == "\\"), t)
+        for i, c in enumerate(ESCAPES):
+            out = out.when(code == c, _as_data(F.substr(own, F.lit(i + 1), F.lit(1))))
+        return out.otherwise(_as_data(F.decode(F.unhex(F.substr(t, F.lit(3), F.length(t) - 3)), "UTF-8")))
+
+    return F.concat(F.lit(DEFAULT_HEADER), F.array_join(F.transform(F.regexp_extract_all(body, F.lit(ESCAPED), F.lit(0)), plain), ""))
+
+
+def literal(x: Column) -> Column:
+    """A value's marks as the signs they stand for."""
+    return F.translate(x, MARKS, SIGNS)
+
+
 def lines(text: Column) -> Column:
     """The message's segments, one string each (empty lines dropped)."""
-    return F.split(text, SEGMENT_BREAK)
+    return F.split(canonical(text), SEGMENT_BREAK)
 
 
 def segment_fields(segs: Column, seg: str) -> Column:
@@ -77,7 +127,7 @@ def field(fields: Column, n: int, seg: str = "") -> Column:
 
 def whole(fields: Column, n: int, seg: str = "") -> Column:
     """Field ``n`` as one value: its first repetition, still encoded; empty -> NULL."""
-    return blank_to_null(F.get(F.split(field(fields, n, seg), REPETITION_SEP), 0))
+    return literal(blank_to_null(F.get(F.split(field(fields, n, seg), REPETITION_SEP), 0)))
 
 
 def components(fields: Column, n: int, seg: str = "") -> Column:
@@ -87,7 +137,7 @@ def components(fields: Column, n: int, seg: str = "") -> Column:
 
 def part(parts: Column, c: int) -> Column:
     """Component ``c``; empty -> NULL."""
-    return blank_to_null(F.get(parts, c - 1))
+    return literal(blank_to_null(F.get(parts, c - 1)))
 
 
 def component(fields: Column, n: int, c: int, seg: str = "") -> Column:
@@ -137,14 +187,22 @@ def parse(text: Column) -> Column:
 
 
 def validity(text: Column) -> Column:
-    """NULL when the message is accepted, else the reason it is quarantined."""
+    """NULL when the message is accepted, else the reason it is quarantined.
+
+    The separators are the message's own; they must be four or five different signs, none of them
+    a letter, a digit or a blank.
+    """
     first = F.substring_index(text, "\r", 1)
     first = F.substring_index(first, "\n", 1)
-    msh = F.split(first, FIELD_SEP)
+    sep, encoding = separators(first)
+    signs = F.concat(sep, encoding)
+    usual = text.startswith(DEFAULT_HEADER + "|")
+    usable = usual | (F.length(encoding).between(4, 5) & (F.size(F.array_distinct(F.split(signs, ""))) == F.length(signs)) & ~signs.rlike(r"[\p{L}\p{N}\s]"))
+    msh = F.split(canonical(first), FIELD_SEP)
     return (
         F.when(text.isNull(), F.lit("null_text"))
-        .when(~text.startswith("MSH|"), F.lit("not_hl7"))
-        .when(~F.get(msh, 1).startswith(DEFAULT_ENCODING), F.lit("encoding"))
+        .when(~text.startswith("MSH") | ~F.substring(text, 4, 1).rlike(r"^[^\p{L}\p{N}\s]"), F.lit("not_hl7"))
+        .when(~usable, F.lit("encoding"))
         .when(F.size(msh) < 12, F.lit("short_header"))
         .when(component(msh, 12, 1, "MSH").isNull(), F.lit("no_version"))
     )
@@ -159,7 +217,7 @@ def _obx_is(o: Column, code: str, text: str) -> Column:
 
 
 def _obx_value(o: Column, c: int) -> Column:
-    return blank_to_null(F.get(o["c5"], c - 1))
+    return literal(blank_to_null(F.get(o["c5"], c - 1)))
 
 
 def acuity(p: Column) -> Column:

@@ -355,7 +355,12 @@ def split_batch(text: Column) -> Column:
 def flatten_struct(c: Column, dtype: StructType, prefix: str = "") -> list[Column]:
     """P10: one column per leaf, named by its dotted path; for a repeated node the last element
     that has the leaf wins, leaf by leaf."""
-    return [read(c).alias(name) for name, read in _leaves(dtype, prefix)]
+    return [read(c).alias(name) for name, read in leaf_paths(dtype, prefix)]
+
+
+def leaf_paths(dtype: StructType, prefix: str = "") -> list:
+    """(dotted path, function from the struct to the leaf) of every leaf."""
+    return list(_leaves(dtype, prefix))
 
 
 def _leaves(dtype: StructType, prefix: str):

@@ -34,7 +34,7 @@ def parse(df: DataFrame, fmt: str, text: str = "text") -> DataFrame:
     return parse_hl7(df, text) if fmt == HL7 else parse_xml(df, text)
 
 
-def _ordered(cols: dict[str, Column], schema, extra: dict[str, Column]) -> list[Column]:
+def ordered_columns(cols: dict[str, Column], schema, extra: dict[str, Column]) -> list[Column]:
     out = []
     for name in data_columns(schema):
         c = cols.get(name, extra.get(name))
@@ -60,7 +60,7 @@ def adt_detail(parsed: DataFrame, fmt: str = HL7, msg_src: str = hl7.HL7_SOURCE)
     staged = parsed.select(nm.alias("msg_nm"), F.struct(*[c.alias(k) for k, c in raw.items()]).alias("_raw"))
     r = F.col("_raw")
     cols = {k: conv(k, r[k]) for k in raw}
-    return staged.select(*_ordered(cols, ADT_HIST, {"msg_nm": F.col("msg_nm")}))
+    return staged.select(*ordered_columns(cols, ADT_HIST, {"msg_nm": F.col("msg_nm")}))
 
 
 def _header(fmt: str, msg_src: str):

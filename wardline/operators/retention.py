@@ -46,32 +46,53 @@ def prune_child(child: DataFrame, kept_master: DataFrame, key: str = KEY) -> Dat
 
 
 def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2, as_of=None, key: str = KEY,
-                  discharge: str = "hosp_disch_time", cluster_by: str | None = "row_insert_tsp") -> None:
-    """Prune the master and its children together, then compact.
-
-    The pruned master is computed once and staged; every child is pruned
-    against the staged copy; only when all staged tables are written are they
-    swapped in, master last, so a failure part-way leaves every table as it
-    was (D21). A table that an ingest appended to meanwhile is not swapped but
-    fails with ``ConcurrentWrite``; run the job again then. Compaction then
-    clusters each table by ``cluster_by``.
+                  discharge: str = "hosp_disch_time", cluster_by: str | None = "row_insert_tsp") -> dict[str, int]:
+    """Prune the master and its children together; the number of files rewritten of each table.
+
+    Only files that hold a row to drop are rewritten, found by a join over the key column and
+    the file that each row comes from; what is left of them is clustered by ``cluster_by`` as it
+    is written (K16 for these files; ``compact`` does it for a whole table). The others are
+    renamed across. All rewrites are staged before the first table is swapped, master last, so a
+    failure part-way leaves every table as it was (D21); a swap that was cut off is finished or
+    undone by the next run. A table that an ingest appended to meanwhile fails with ``ConcurrentWrite``.
     """
-    from wardline.sinks.tables import ConcurrentWrite, compact, data_files, stage, swap_in
-
-    def whole(path):  # a file that vanished must fail the job, not thin out the table
-        return spark.read.option("ignoreMissingFiles", "false").parquet(path)
-
-    seen = {p: data_files(spark, p) for p in [master_path, *child_paths]}
-    staged_master = stage(prune_master(whole(master_path), days, as_of, key, discharge), master_path, rewritten=True)
-    kept = whole(staged_master)
-    staged = [(stage(prune_child(whole(p), kept, key), p, rewritten=True), p) for p in child_paths]
+    from wardline.session import scratch_path
+    from wardline.sinks.tables import ConcurrentWrite, data_files, files_of, partition_columns, read_files, recover, replace_files, stage, with_file
+
+    tables = [*child_paths, master_path]
+    for p in tables:
+        recover(spark, p)
+    seen = {p: data_files(spark, p) for p in tables}
+    if not seen[master_path]:
+        raise ValueError(f"{master_path} holds no files: its children would all go")
+    master = read_files(spark, master_path, seen[master_path])
+    scratch = scratch_path(spark, "retention-keys")
+    expired_keys(master, days, as_of, key, discharge).write.parquet(f"{scratch}/expired")
+    expired = spark.read.parquet(f"{scratch}/expired")
+    master.select(key).where(F.col(key).isNotNull()).distinct().join(expired, key, "left_anti").write.parquet(f"{scratch}/kept")
+    kept = spark.read.parquet(f"{scratch}/kept")
+
+    staged: dict[str, tuple[str | None, set[str]]] = {}
+    for p in tables:
+        if not seen[p]:
+            continue
+        rows = with_file(read_files(spark, p, seen[p]), key)
+        dropped = rows.join(expired, key, "left_semi") if p == master_path else rows.join(kept, key, "left_anti")
+        touched = files_of(dropped)
+        if not touched:
+            continue
+        rows = read_files(spark, p, touched)
+        left = rows.join(expired, key, "left_anti") if p == master_path else rows.join(kept, key, "left_semi")
+        if cluster_by and cluster_by in left.columns:
+            parts = partition_columns(spark, p)
+            spread = F.xxhash64(*[F.col(c) for c in left.columns])
+            left = left.repartitionByRange(len(touched), *parts, cluster_by, spread).sortWithinPartitions(*parts, cluster_by)
+            staged[p] = stage(left, p, rewritten=True, clustered=True), touched
+        else:
+            staged[p] = stage(left, p, rewritten=True), touched
     late = [p for p in seen if data_files(spark, p) != seen[p]]
     if late:  # before any table is swapped
         raise ConcurrentWrite(f"written to during retention: {', '.join(late)}")
-    for s, p in staged:
-        swap_in(spark, s, p, seen[p])
-    swap_in(spark, staged_master, master_path, seen[master_path])
-    if cluster_by:
-        for p in [master_path, *child_paths]:
-            if cluster_by in spark.read.parquet(p).columns:
-                compact(spark, p, cluster_by)
+    for p, (folder, touched) in staged.items():  # the master is the last
+        replace_files(spark, p, folder, touched, seen[p])
+    return {p: len(staged[p][1]) if p in staged else 0 for p in tables}

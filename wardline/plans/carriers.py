@@ -335,18 +335,61 @@ def hl7_from_customers(customer: DataFrame) -> DataFrame:
 
 def damage_events(msgs: DataFrame) -> DataFrame:
     """Rewrites some event messages (with event_type and value kept) into rejects: low-value errors
-    lose their header, low-value purchases get foreign encoding characters, low-value views lose the version."""
+    lose their header, low-value purchases use one sign for two separators, low-value views lose the version."""
     t, et, val = F.col("text"), F.col("event_type"), F.col("value")
     text = (F.when((et == "error") & (val < 4), F.regexp_replace(t, "^MSH", "XXX"))
-            .when((et == "purchase") & (val < 4), F.regexp_replace(t, r"^MSH\|\^~\\&", r"MSH|#~\\&"))
+            .when((et == "purchase") & (val < 4), F.regexp_replace(t, r"^MSH\|\^~\\&", r"MSH|^^\\&"))
             .when((et == "view") & (val < 4), F.regexp_replace(t, r"\|2\.3([\r\n])", "|$1"))
             .otherwise(t))
     return msgs.select("msg_nm", text.alias("text"))
 
 
+# Separators that a feed may use (field, component, repetition, escape, subcomponent),
+# and a text with every sign that some feed would have to escape.
+FEEDS = ("|^~\\&", "#^~\\&", "|$~\\&", "!@*%?")
+HARD_TEXT = "A|D^M~I\\T&#$!@*%?"
+
+
+def foreign_events(events: DataFrame) -> DataFrame:
+    """Event messages in the separators of one of ``FEEDS`` (by event id); the ED disposition of valuable events is
+    ``HARD_TEXT`` and an accent, the bed status READY is partly in hex, both escaped as the feed needs it."""
+    msgs = hl7_from_events(events, keep=("event_id",))
+    out = None
+    for i, own in enumerate(FEEDS):
+        escape = {c: f"{own[3]}{code}{own[3]}" for c, code in zip(own, "FSRET")}
+        hard = "".join(escape.get(c, c) for c in HARD_TEXT) + f"{own[3]}XC3A9{own[3]}"
+        text = F.translate("text", "|^~\\&", own)
+        text = F.replace(F.replace(text, F.lit(f"{own[0]}ADMIT"), F.lit(f"{own[0]}{hard}")), F.lit("READY"), F.lit(f"{own[3]}X5245{own[3]}ADY"))
+        last = i == len(FEEDS) - 1
+        case = F.col("event_id") % len(FEEDS) == i
+        out = F.when(case, text) if out is None else out.otherwise(text) if last else out.when(case, text)
+    return msgs.select("msg_nm", out.alias("text"))
+
+
 def batch_documents(documents: DataFrame, per_file: int = 8) -> DataFrame:
     """Batched files: documents ``doc_id div per_file`` share a file, each part led by a newline."""
     d = documents.select((F.col("doc_id") / per_file).cast("long").alias("file_id"), "doc_id",
                          F.concat(F.lit("\n"), F.col("text")).alias("part"))
     files = d.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("doc_id", "part"))).alias("p"))
     return files.select("file_id", F.array_join(F.transform("p", lambda x: x["part"]), X.BATCH_DELIMITER).alias("text"))
+
+
+def order_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One document an order: attributes, a comment, repeated lines (parts only where the tax is paid), an empty note."""
+    line = F.concat(F.lit("<Line no='"), F.col("l_linenumber"), F.lit("'><Qty>00"), F.col("l_quantity").cast("int"), F.lit("</Qty>"),
+                    F.when(F.col("l_tax") > 0, F.concat(F.lit("<Part.Id>"), F.col("l_partkey"), F.lit("</Part.Id>"))).otherwise(""), F.lit("</Line>"))
+    keys = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.struct(*keys, line.alias("s")).alias("line")) \
+        .groupBy("o_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    text = F.concat(F.lit("<?xml version='1.0'?>\n<Order status='"), F.col("o_orderstatus"), F.lit("'><!-- <Key>old</Key> --><Key>"), F.col("o_orderkey"),
+                    F.lit("</Key><Note>"), F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(F.col("o_orderpriority")), F.lit("</Note><Lines>"),
+                    F.array_join(F.transform(F.coalesce("lines", F.array()), lambda x: x["s"]), ""), F.lit("</Lines></Order>"))
+    return orders.join(lines, "o_orderkey", "left").select(text.alias("text"))
+
+
+def customer_documents(customer: DataFrame) -> DataFrame:
+    """One document a customer: tags twice, an address for some, a kind that only some keys have."""
+    place = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("<Address kind='home'><Nation>"), F.col("c_nationkey"), F.lit("</Nation></Address>"))).otherwise("")
+    key = F.concat(F.lit("<Key"), F.when(F.col("c_custkey") % 2 == 0, " kind='even'").otherwise(""), F.lit(">"), F.col("c_custkey"), F.lit("</Key>"))
+    text = F.concat(F.lit("<Customer>"), key, F.lit("<Tag>all</Tag><Tag>"), F.col("c_mktsegment"), F.lit("</Tag>"), place, F.lit("</Customer>"))
+    return customer.select(text.alias("text"))

@@ -122,6 +122,52 @@ SELECT doc_id // 8 AS file_id,
 FROM documents WHERE length(text) > 0""",
 }
 
+def _cells() -> str:
+    """Every component of the event messages by its address: (segment, field, repetition, component, SQL value, NULL if absent)."""
+    ts14, two = "strftime(ts, '%Y%m%d%H%M%S')", "ts + INTERVAL 2 HOUR"
+    admit = f"CASE WHEN event_type = 'click' THEN strftime(ts, '%Y%m%d%H%M') WHEN user_id % 4 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE {ts14} END"
+    disch = f"CASE WHEN user_id % 4 = 1 THEN strftime({two}, '%Y-%m-%d %H:%M:%S') ELSE strftime({two}, '%Y%m%d%H%M%S') END"
+    birth = "strftime(DATE '1950-01-01' + CAST((user_id * 97) % 20000 AS INTEGER), '%Y%m%d')"
+    cells = {
+        "MSH": [(3, 1, "'WLSRC'"), (4, 1, "'WLFAC'"), (7, 1, ts14), (9, 1, "'ADT'"), (9, 2, _TRIG), (9, 3, "'ADT_A01'"), (10, 1, "event_id"), (11, 1, "'P'"), (12, 1, "'2.3'")],
+        "EVN": [(1, 1, _TRIG), (2, 1, ts14), (4, 1, "'REG'"), (5, 1, "'U' || user_id"), (5, 2, "'DOE'"), (5, 3, "'JO'"), (5, 14, "'FAC' || user_id % 7")],
+        "PID": [(1, 1, "'1'"), (3, 1, "'M' || user_id"), (3, 4, "'E'"), (7, 1, birth), (8, 1, "CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END"), (29, 1, f"CASE WHEN value >= 90 THEN {ts14} END")],
+        "PV1": [(1, 1, "'1'"), (2, 1, "upper(event_type)"), (3, 1, "'D' || user_id % 10"), (3, 2, "'R' || user_id % 50"), (3, 3, "'B' || event_id % 4"), (3, 4, "'FACX'"),
+                (3, 5, "CASE WHEN value < 10 THEN 'DIRTY' ELSE 'READY' END"), (19, 1, "CASE WHEN event_type = 'error' AND value < 3 THEN 'X' ELSE '' END || user_id"),
+                (36, 1, "CASE WHEN event_type = 'purchase' THEN 'HOME' END"), (44, 1, admit), (45, 1, disch), (50, 1, "CASE WHEN value < 5 THEN 'H' || event_id ELSE CAST(event_id * 10 + 7 AS VARCHAR) END")],
+        "PV2": [(2, 1, "CASE user_id % 3 WHEN 0 THEN 'PRIVATE' WHEN 1 THEN 'SEMI' END"), (38, 1, "CASE WHEN event_type = 'signup' THEN 'AMB' ELSE 'CAR' END"),
+                (38, 2, "CASE WHEN event_type = 'signup' THEN 'Ambulance' END")],
+        "ZPV": [(15, 1, f"CASE WHEN value > 50 THEN {_HARD} ELSE 'DISCHARGE' END")]}
+    out = [(seg, f, 1, c, v) for seg, held in cells.items() for f, c, v in held] + [("PID", 3, 2, 1, "'A' || event_id"), ("PID", 3, 2, 4, "'E'")]
+    for when, n, kind, code, text, value in (("true", 0, "TX", "8661-1", "OTHER", [(5, 1, "'x'")]),
+                                             ("value > 40", 1, "CWE", "11283-9", "ACUITY ASSESSMENT AT FIRST ENCOUNTER", [(5, 1, _LVL), (5, 2, f"'Level ' || {_LVL}")]),
+                                             ("value > 80", 2, "CWE", "11283-9", "ACUITY ASSESSMENT AT FIRST ENCOUNTER", [(5, 1, f"{_LVL} + 1"), (5, 2, f"'Level ' || ({_LVL} + 1)")])):
+        held = [(1, 1, f"'{n}'"), (2, 1, f"'{kind}'"), (3, 1, f"'{code}'"), (3, 2, f"'{text}'"), (3, 3, "'LN'"), (4, 1, f"'{n}'"), (11, 1, "'F'"), *value]
+        out += [("OBX", f, 1, c, f"CASE WHEN {when} THEN {v} END") for f, c, v in held]
+    return ", ".join(f"{{'s': '{s}', 'f': {f}, 'r': {r}, 'c': {c}, 'v': CAST({v} AS VARCHAR)}}" for s, f, r, c, v in out)
+
+
+_HARD = "'A|D^M~I' || chr(92) || 'T&#$!@*%?é'"
+ORACLE.update({
+    "hl7_by_address": _event_adt(False),
+    "hl7_segment_table": f"""
+SELECT x.s AS segment, x.f AS field, x.r AS repetition, x.c AS component, count(*) AS n, count(DISTINCT x.v) AS n_values, min(x.v) AS least
+FROM (SELECT unnest([{_cells()}]) AS x FROM events) WHERE x.v IS NOT NULL GROUP BY ALL""",
+    "hl7_foreign_separators": _event_adt(False).replace("THEN 'ADMIT'", f"THEN {_HARD}"),
+    "flatten_xml_discovered": """
+WITH lines AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i, * FROM lineitem)
+SELECT NULL AS "Customer.Address.@kind", NULL AS "Customer.Address.Nation", NULL AS "Customer.Key", NULL AS "Customer.Key.@kind", NULL AS "Customer.Tag",
+  o_orderstatus AS "Order.@status", CAST(o_orderkey AS VARCHAR) AS "Order.Key", CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS "Order.Note",
+  (SELECT CAST(max_by(l_linenumber, i) AS VARCHAR) FROM lines WHERE l_orderkey = o_orderkey) AS "Order.Lines.Line.@no",
+  (SELECT CAST(max_by(l_partkey, i) FILTER (WHERE l_tax > 0) AS VARCHAR) FROM lines WHERE l_orderkey = o_orderkey) AS "Order.Lines.Line.Part.Id",
+  (SELECT '00' || CAST(CAST(trunc(max_by(l_quantity, i)) AS BIGINT) AS VARCHAR) FROM lines WHERE l_orderkey = o_orderkey) AS "Order.Lines.Line.Qty"
+FROM orders
+UNION ALL BY NAME
+SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'home' END AS "Customer.Address.@kind", CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS "Customer.Address.Nation",
+  CAST(c_custkey AS VARCHAR) AS "Customer.Key", CASE WHEN c_custkey % 2 = 0 THEN 'even' END AS "Customer.Key.@kind", c_mktsegment AS "Customer.Tag"
+FROM customer""",
+})
+
 _MASTER = """WITH m AS (SELECT o_custkey AS pat_enc_csn_id, o_orderkey,
   CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS hosp_disch_time FROM orders),
 kept AS (SELECT * FROM m WHERE NOT EXISTS (
@@ -249,3 +295,19 @@ FROM seeded, nation WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_or
 
 ORACLE["retention_job"] = ORACLE["retention_master"]
 ORACLE["retention_job_child"] = ORACLE["retention_child"]
+
+_EARLY = """(SELECT * FROM (SELECT o_custkey AS k, o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS t FROM orders))"""
+_GONE = f"SELECT k FROM {_EARLY} WHERE CAST(t AS DATE) < DATE '1995-01-03'"
+_LEFT = f"""WITH gone AS (SELECT {_ORDER_CSN} AS k FROM orders
+  WHERE o_orderstatus = 'F' AND CAST({_tz("date_trunc('second', o_orderdate)")} AS DATE) < DATE '1995-12-30')"""
+ORACLE.update({
+    "retention_touched_files": f"""
+SELECT k AS pat_enc_csn_id, o_orderkey, t AS hosp_disch_time, k % 64 NOT IN (SELECT k % 64 FROM ({_GONE})) AS same_file
+FROM {_EARLY} WHERE k NOT IN ({_GONE})""",
+    "four_table_retention": _LEFT + f"""
+SELECT 'adt_hist' AS table_name, {_ORDER_CSN} AS pat_enc_csn_id, count(*) AS n FROM orders WHERE ({_ORDER_CSN}) IS NULL OR ({_ORDER_CSN}) NOT IN (SELECT k FROM gone WHERE k IS NOT NULL) GROUP BY ALL
+UNION ALL SELECT 'encntr_dx_hist', pat_enc_csn_id, count(*) FROM ({_HL7_ORDERS["dx"]}) WHERE pat_enc_csn_id NOT IN (SELECT k FROM gone WHERE k IS NOT NULL) GROUP BY ALL
+UNION ALL SELECT 'encntr_er_complnt_hist', pat_enc_csn_id, count(*) FROM ({_HL7_ORDERS["er_complaint"]}) WHERE pat_enc_csn_id NOT IN (SELECT k FROM gone WHERE k IS NOT NULL) GROUP BY ALL
+UNION ALL SELECT 'encntr_visit_rsn_hist', pat_enc_csn_id, count(*) FROM ({_HL7_ORDERS["visit_reason"]}) WHERE pat_enc_csn_id NOT IN (SELECT k FROM gone WHERE k IS NOT NULL) GROUP BY ALL""",
+    "four_table_copy": ORACLE["stream_batch_metrics"].replace("batch_rows", "n").replace("latest_msg_tm", "latest"),
+})

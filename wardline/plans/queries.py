@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from wardline.functions import hl7
 from wardline.functions import xmlmsg as XM
 from wardline.functions.timeparse import utc_ntz
 from wardline.operators import cleanse as CL
 from wardline.operators import extract as E
 from wardline.operators import latest as LT
+from wardline.operators import flatten as FL
 from wardline.operators import retention as RT
+from wardline.operators import segments as SG
 from wardline import jobs as JB
 from wardline.plans import carriers as C
 from wardline.plans import seed_roles as SR
@@ -115,6 +118,25 @@ def hl7_reject_split(spark, d):
     return E.with_validity(msgs, E.HL7).select("msg_nm", "reject_reason")
 
 
+def hl7_foreign_separators(spark, d):
+    """Feeds with separators of their own, escaped text in every one of them."""
+    msgs = land(spark, C.foreign_events(spread(table(spark, d, "events"))), "hl7-foreign")
+    return portable(E.adt_detail(_accepted(msgs, E.HL7)))
+
+
+def hl7_by_address(spark, d):
+    """The long segment table of the event messages, met by a table of field addresses."""
+    return portable(SG.adt_by_address(_hl7_events(spark, d).where(hl7.is_valid(F.col("text"))), SG.adt_addresses(spark)))
+
+
+def hl7_segment_table(spark, d):
+    """Every repetition and component of the feeds' messages as a row, decoded; counted by address."""
+    msgs = land(spark, C.foreign_events(spread(table(spark, d, "events"))), "hl7-segments")
+    rows = SG.segment_table(msgs).where("component > 0")
+    return rows.groupBy("segment", "field", "repetition", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("value").alias("n_values"), F.min("value").alias("least"))
+
+
 # ------------------------------------------------------------------ XML
 
 
@@ -158,6 +180,9 @@ QUERIES = {
     "hl7_acuity": hl7_acuity,
     "hl7_mrn_first_repetition": hl7_mrn_first_repetition,
     "hl7_reject_split": hl7_reject_split,
+    "hl7_foreign_separators": hl7_foreign_separators,
+    "hl7_by_address": hl7_by_address,
+    "hl7_segment_table": hl7_segment_table,
     "xml_adt_detail": xml_adt_detail,
     "xml_dx": xml_dx,
     "xml_visit_reason": xml_visit_reason,
@@ -252,7 +277,15 @@ def flatten_xml_paths(spark, d):
     return parsed.select(*X.flatten_struct(F.col("m"), schema))
 
 
+def flatten_xml_discovered(spark, d):
+    """P10 without a schema: documents of two shapes in one column, their paths found in the documents."""
+    orders = C.order_documents(spread(table(spark, d, "orders")), table(spark, d, "lineitem"))
+    docs = land(spark, orders.unionByName(C.customer_documents(spread(table(spark, d, "customer")))), "shapes")
+    return FL.flatten_documents(docs, "text")
+
+
 QUERIES.update({
+    "flatten_xml_discovered": flatten_xml_discovered,
     "latest_per_key_ties": latest_per_key_ties,
     "latest_row_number": latest_row_number,
     "retention_master": retention_master,
@@ -548,4 +581,59 @@ def retention_job_child(spark, d):
     return spark.read.parquet(f"{_retained(spark, d)}/child")
 
 
-QUERIES.update({"retention_job": retention_job, "retention_job_child": retention_job_child})
+# Fixed query parameters: folders of the master by encounter, a day that expires few encounters.
+RETENTION_FOLDERS = 64
+EARLY_AS_OF = "1995-01-05"
+
+
+def retention_touched_files(spark, d):
+    """Which rows stay, and which of them still lie in the file that they lay in before (same name, same time)."""
+    path = scratch_path(spark, "touched")
+    folder = (F.col("pat_enc_csn_id") % RETENTION_FOLDERS).cast("int")
+    _retention_master(spark, d).withColumn("folder", folder).repartition("folder").write.partitionBy("folder").parquet(path)
+
+    def held():
+        where = F.struct("_metadata.file_name", "_metadata.file_modification_time").alias("file")
+        return spark.read.parquet(path).select("*", where)
+
+    before = land(spark, held().select(F.col("folder").alias("f"), F.col("file").alias("was")).distinct(), "files-before")
+    RT.retention_job(spark, path, [], RETENTION_DAYS, EARLY_AS_OF)
+    same = F.col("file").eqNullSafe(F.col("was"))
+    return held().join(before, F.col("folder") == F.col("f"), "left").select("pat_enc_csn_id", "o_orderkey", "hosp_disch_time", same.alias("same_file"))
+
+
+def _clinic(spark, d):
+    """Four history tables under one root, filled by the ingest of the order messages."""
+    root, _ = _run_ingest(spark, _order_records(spark, d))
+    return root
+
+
+def four_table_retention(spark, d):
+    """R3 over the four tables of an ingest: rows left of each, with the encounters they belong to."""
+    root = _clinic(spark, d)
+    adt = f"{root}/adt_hist"  # the order messages carry no discharge: closed orders get their message's time
+    closed = F.when(F.col("trigger_evnt") == "A03", F.col("msg_tm"))
+    TB.overwrite_table(spark, spark.read.parquet(adt).withColumn("hosp_disch_time", F.coalesce("hosp_disch_time", closed)), adt, [TB.BATCH])
+    JB.retention(spark, root, RETENTION_DAYS, RETENTION_AS_OF)
+    left = None
+    for name, path in JB.paths(root).items():
+        rows = TB.read_history(spark, path).groupBy("pat_enc_csn_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "pat_enc_csn_id", "n")
+        left = rows if left is None else left.unionByName(rows)
+    return left
+
+
+def four_table_copy(spark, d):
+    """K11 for the four tables of an ingest, the copies started twice; rows and latest time of each in the warehouse."""
+    root = _clinic(spark, d)
+    for _ in range(2):
+        for query in JB.copy_tables(spark, root, f"{root}/warehouse", f"{root}/_copies", fmt="parquet").values():
+            query.awaitTermination()
+    out = None
+    for name in JB.paths(root):
+        rows = spark.read.parquet(f"{root}/warehouse/{name}").agg(F.count(F.lit(1)).alias("n"), F.max("msg_tm").alias("latest")).select(F.lit(name).alias("table_name"), "n", "latest")
+        out = rows if out is None else out.unionByName(rows)
+    return portable(out)
+
+
+QUERIES.update({"retention_job": retention_job, "retention_job_child": retention_job_child, "retention_touched_files": retention_touched_files,
+                "four_table_retention": four_table_retention, "four_table_copy": four_table_copy})

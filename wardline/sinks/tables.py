@@ -13,6 +13,7 @@ that were rewritten are not new.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from wardline.schemas import CURRENT, HISTORY
 BATCH = "_batch_id"
 FOLDED = -1
 FOLDED_PREFIX = "folded-"
+#: A name pattern for every other file, whoever wrote it: it differs from the prefix at some sign, or ends before it.
+NOT_REWRITTEN = "{" + ",".join(f"{FOLDED_PREFIX[:i]}[^{c}]*,{FOLDED_PREFIX[:i + 1]}" for i, c in enumerate(FOLDED_PREFIX[:-1])) + f",{FOLDED_PREFIX[:-1]}[^-]*" + "}"
 
 
 class ConcurrentWrite(RuntimeError):
@@ -59,23 +62,14 @@ def data_files(spark: SparkSession, path: str) -> set[str]:
 
 def write_property(spark: SparkSession, path: str, name: str, value: str) -> None:
     """A small fact about a table, beside its data (hidden from scans)."""
-    fs, p, jvm = _fs(spark, f"{path.rstrip('/')}/_wardline_{name}")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(value.encode("utf-8")))
-    finally:
-        out.close()
+    _write_text(spark, f"{path.rstrip('/')}/_wardline_{name}", value)
 
 
 def read_property(spark: SparkSession, path: str, name: str) -> str | None:
     fs, p, jvm = _fs(spark, f"{path.rstrip('/')}/_wardline_{name}")
     if not fs.exists(p):
         return None
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
-    finally:
-        stream.close()
+    return _read_text(spark, p.toString())
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str] | None = None) -> bool:
@@ -108,8 +102,6 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     schema = read_property(spark, path, "schema")
     if schema is None or data_files(spark, path):
         return spark.read.option("ignoreMissingFiles", "false").parquet(path)
-    import json
-
     return spark.createDataFrame([], StructType.fromJson(json.loads(schema)))
 
 
@@ -161,15 +153,15 @@ def swap_in(spark: SparkSession, staged: str, path: str, seen: set[str] | None =
         fs.delete(old, True)
 
 
-def stage(df: DataFrame, path: str, partition_by: list[str] | None = None, rewritten: bool = False) -> str:
+def stage(df: DataFrame, path: str, partition_by: list[str] | None = None, rewritten: bool = False, clustered: bool = False) -> str:
     """Write ``df`` beside ``path``; returns the staged directory. The table's own
     partitioning is kept unless ``partition_by`` says otherwise, and each folder's rows are
-    brought together first (large folders still go to several tasks)."""
+    brought together first (large folders still go to several tasks), unless they are ``clustered`` already."""
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
     if partition_by is None:
         partition_by = [c for c in partition_columns(spark, path) if c in df.columns]
-    if partition_by:
+    if partition_by and not clustered:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode("errorifexists")
     if partition_by:
@@ -189,6 +181,100 @@ def mark_rewritten(spark: SparkSession, staged: str) -> None:
             fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), FOLDED_PREFIX + p.getName()))
 
 
+FILE = "_file"
+
+
+def with_file(rows: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a table's scan, and the file that each row comes from."""
+    return rows.select(*columns, F.col("_metadata.file_path").alias(FILE))
+
+
+def files_of(rows: DataFrame) -> set[str]:
+    """The files that rows of :func:`with_file` come from: one name a file reaches the driver."""
+    jvm = rows.sparkSession._jvm
+    return {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[0])).toString() for r in rows.select(FILE).distinct().collect()}
+
+
+def read_files(spark: SparkSession, path: str, files: set[str]) -> DataFrame:
+    """Rows of some of a table's files, partition columns included; a file that vanished is an error."""
+    return spark.read.option("ignoreMissingFiles", "false").option("basePath", path).parquet(*sorted(files))
+
+
+def replace_files(spark: SparkSession, path: str, staged: str | None, touched: set[str], seen: set[str]) -> None:
+    """Put a rewrite of the ``touched`` files in their place: the staged folder takes the table's other files, by
+    renames (they keep name and time), and becomes the table. ``staged`` None: nothing is left of them.
+
+    A journal beside the table is written first. After a crash :func:`recover` rolls the rewrite back if the
+    table had not yet been moved aside, else forward; meanwhile readers find no table rather than half of one.
+    """
+    fs, target, jvm = _fs(spark, path)
+    base = path.rstrip("/")
+    if data_files(spark, path) != seen:
+        if staged:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+        raise ConcurrentWrite(f"{path} was written to while it was being rewritten")
+    if staged is None:
+        staged = f"{base}.staged-{uuid.uuid4().hex[:8]}"
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(staged))
+    old, here = f"{base}.old-{uuid.uuid4().hex[:8]}", target.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    kept = sorted(f.removeprefix(here).lstrip("/") for f in seen - touched)
+    _write_text(spark, f"{base}.journal", json.dumps({"staged": staged, "old": old, "kept": kept}))
+    if not fs.rename(target, jvm.org.apache.hadoop.fs.Path(old)):
+        recover(spark, path)
+        raise OSError(f"cannot move {path} aside")
+    aside = jvm.org.apache.hadoop.fs.Path(old).makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    if {f.removeprefix(aside) for f in data_files(spark, old)} != {f.removeprefix(here) for f in seen}:  # an append came between
+        fs.rename(jvm.org.apache.hadoop.fs.Path(old), target)
+        recover(spark, path)
+        raise ConcurrentWrite(f"{path} was written to while it was being rewritten")
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish, or undo, a rewrite of single files that was cut off."""
+    base = path.rstrip("/")
+    fs, target, jvm = _fs(spark, path)
+    journal = jvm.org.apache.hadoop.fs.Path(f"{base}.journal")
+    if not fs.exists(journal):
+        return
+    plan = json.loads(_read_text(spark, journal.toString()))
+    staged, old = (jvm.org.apache.hadoop.fs.Path(plan[k]) for k in ("staged", "old"))
+    if fs.exists(old) and not fs.exists(target):  # forward
+        for name in plan["kept"]:
+            src, dst = jvm.org.apache.hadoop.fs.Path(old, name), jvm.org.apache.hadoop.fs.Path(staged, name)
+            if fs.exists(src):
+                fs.mkdirs(dst.getParent())
+                if not fs.rename(src, dst):
+                    raise OSError(f"cannot move {src.toString()}")
+        for st in fs.listStatus(old):  # the table's properties
+            if st.getPath().getName().startswith("_wardline_"):
+                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(staged, st.getPath().getName()))
+        if not fs.rename(staged, target):
+            raise OSError(f"cannot swap {plan['staged']} into {path}")
+    for gone in (staged, old):
+        if fs.exists(gone):
+            fs.delete(gone, True)
+    fs.delete(journal, False)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p, _ = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def overwrite_table(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full overwrite through a staged copy (safe even when ``df`` reads ``path``)."""
     swap_in(spark, stage(df, path, partition_by), path)
