@@ -227,8 +227,9 @@ WHERE date_trunc('day', msg_tm) = (SELECT max(date_trunc('day', msg_tm)) FROM ({
   AND (y.msg_tm >= TIMESTAMP '2024-01-16 00:00:00' OR NOT EXISTS (SELECT 1 FROM ({_STATES}) AS z
     WHERE z.pat_enc_csn_id = x.pat_enc_csn_id AND z.msg_tm >= TIMESTAMP '2024-01-16 00:00:00')))""",
     "latest_to_warehouse": f"""
-SELECT pat_enc_csn_id, h AS msg_tm, msg_nm, trigger_evnt FROM (
-  SELECT *, date_trunc('hour', msg_tm) AS h, max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id) AS m FROM ({_STATES})) WHERE h = m""",
+SELECT pat_enc_csn_id, h AS msg_tm, msg_nm, trigger_evnt, batch FROM (
+  SELECT *, date_trunc('hour', msg_tm) AS h, max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id, batch) AS m FROM (
+    SELECT *, CASE WHEN msg_tm >= TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS batch FROM ({_STATES}))) WHERE h = m""",
     "stream_ingest_fanout": _BROKER_ADT,
     "stream_batch_metrics": f"""
 SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max({_tz("date_trunc('second', o_orderdate)")}) AS latest_msg_tm FROM orders
@@ -241,7 +242,7 @@ UNION ALL SELECT 'encntr_visit_rsn_hist', count(*), max(msg_tm) FROM ({_HL7_ORDE
     "stream_xml_files": f"SELECT *, true AS named_by_file FROM ({_XML_ADT_NO_NAME})",
     "stream_table_copy": _STATES,
     "append_stream": _STATES,
-    "cluster_by_range": _STATES,
+    "cluster_by_range": f"SELECT *, true AS in_range FROM ({_STATES})",
     "table_actions": _STATES + " WHERE event_type <> 'error'",
 })
 
@@ -311,3 +312,17 @@ UNION ALL SELECT 'encntr_er_complnt_hist', pat_enc_csn_id, count(*) FROM ({_HL7_
 UNION ALL SELECT 'encntr_visit_rsn_hist', pat_enc_csn_id, count(*) FROM ({_HL7_ORDERS["visit_reason"]}) WHERE pat_enc_csn_id NOT IN (SELECT k FROM gone WHERE k IS NOT NULL) GROUP BY ALL""",
     "four_table_copy": ORACLE["stream_batch_metrics"].replace("batch_rows", "n").replace("latest_msg_tm", "latest"),
 })
+
+ORACLE.update({
+    "catalog_tables": f"SELECT *, true AS stamped, (SELECT count(*) FROM events) AS n_before, 0 AS n_after FROM ({_STATES})",
+    "bucketed_retention": _MASTER + """
+SELECT 'adt_hist' AS table_name, pat_enc_csn_id, CAST(o_orderkey AS VARCHAR) AS item FROM kept
+UNION ALL SELECT 'encntr_dx_hist', c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT pat_enc_csn_id FROM kept)""",
+    "staged_load": _STATES,
+    "committed_batches": f"SELECT *, 0 AS n_dx FROM ({_BROKER_ADT})",
+    "stateful_winners": f"""
+SELECT pat_enc_csn_id, msg_tm, msg_nm, trigger_evnt, run FROM (
+  SELECT *, max(ROW(msg_tm, msg_nm)) OVER (PARTITION BY pat_enc_csn_id ORDER BY run RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
+  FROM (SELECT *, CAST(substr(msg_nm, 5) AS BIGINT) % 3 AS run FROM ({_STATES}) WHERE pat_enc_csn_id IS NOT NULL)) WHERE best = ROW(msg_tm, msg_nm)""",
+    "live_metrics": f"SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max(msg_tm) AS latest_msg_tm FROM ({_STATES})",
+})

@@ -24,12 +24,15 @@ from wardline.plans import carriers as C
 from wardline.plans import seed_roles as SR
 from wardline.schemas import ADT_HIST
 from wardline.session import scratch_path
+from wardline.sinks import catalog as CT
 from wardline.sinks import metered as MT
 from wardline.sinks import tables as TB
 from wardline.sinks import upsert as UP
 from wardline.sinks import warehouse as WH
 from wardline.sources import files as FS
 from wardline.sources import tables as ST
+from wardline.streaming import live as LV
+from wardline.streaming import state as WN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -198,6 +201,7 @@ QUERIES = {
 # Fixed query parameters of the registered retention check.
 RETENTION_AS_OF = "1996-01-01"
 RETENTION_DAYS = 2
+RETENTION_BUCKETS = 16
 
 
 def latest_per_key_ties(spark, d):
@@ -302,6 +306,8 @@ QUERIES.update({
 # ------------------------------------------------------------------ sinks and streams
 
 
+# Fixed query parameter: files of the clustered table.
+CLUSTERED_FILES = 4
 # Fixed query parameter: envelopes in a dropped XML file.
 XML_PER_FILE = 500
 # Fixed query parameter: events before this instant form the older of two upsert batches.
@@ -478,21 +484,28 @@ def append_stream(spark, d):
 
 
 def latest_to_warehouse(spark, d):
-    """K10 as a stream: the latest states of each of two batches, ties kept; read as the latest of them."""
+    """K10 as a stream: the latest states of each of two batches, ties kept; the rows as they were loaded, with their batch."""
     root = scratch_path(spark, "latest")
     for batch, half in enumerate(_halves(spark, d)):
         rows = half.withColumn("msg_tm", F.date_trunc("hour", "msg_tm"))
         TB.append_batch_rows(rows, batch, f"{root}/table")
         WH.latest_stream(ST.tail_table(spark, f"{root}/table", rows.schema), f"{root}/warehouse", f"{root}/_checkpoint", fmt="parquet").awaitTermination()
-    return LT.latest_with_ties(spark.read.parquet(f"{root}/warehouse"), ["pat_enc_csn_id"]).drop(TB.BATCH)
+    return spark.read.parquet(f"{root}/warehouse").withColumnRenamed(TB.BATCH, "batch")
 
 
 def cluster_by_range(spark, d):
-    """Rewrite clustered by time; contents unchanged."""
+    """Rewrite clustered by time into a few files; contents unchanged, and no file's times reach into the next file's."""
     path = scratch_path(spark, "cluster")
-    _event_states(spark, d).write.parquet(path)
-    TB.compact(spark, path, "msg_tm")
-    return spark.read.parquet(path)
+    spread(_event_states(spark, d)).write.parquet(path)
+    TB.compact(spark, path, "msg_tm", files=CLUSTERED_FILES)
+    rows = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    ranges = rows.groupBy("file").agg(F.min("msg_tm").alias("low"), F.max("msg_tm").alias("high"))  # a row a file
+    before = ranges.select(F.col("low").alias("l"), F.col("high").alias("h"), F.col("file").alias("f"))
+    overlaps = (F.col("f") != F.col("file")) & (F.col("l") < F.col("high")) & (F.col("low") < F.col("h"))
+    kept = ranges.join(F.broadcast(before), overlaps, "left_anti").select("file", F.lit(True).alias("apart"))
+    many = ranges.count() == CLUSTERED_FILES
+    return rows.join(F.broadcast(kept), "file", "left").select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt",
+                                                               (F.coalesce("apart", F.lit(False)) & F.lit(many)).alias("in_range"))
 
 
 def table_actions(spark, d):
@@ -637,3 +650,112 @@ def four_table_copy(spark, d):
 
 QUERIES.update({"retention_job": retention_job, "retention_job_child": retention_job_child, "retention_touched_files": retention_touched_files,
                 "four_table_retention": four_table_retention, "four_table_copy": four_table_copy})
+
+
+# ------------------------------------------------------------------ catalog tables, staged loads, state
+
+
+def _catalog(spark, buckets=None):
+    """A database of its own below the shared folder, with the eight tables."""
+    place = scratch_path(spark, "catalog")
+    name = "wardline_" + place.rsplit("-", 1)[-1]
+    CT.create_catalog(spark, name, buckets, place)
+    return name
+
+
+def _kept(spark, rows, name):
+    """A result read from a database that goes."""
+    out = land(spark, rows, "catalog-result")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return out
+
+
+def catalog_tables(spark, d):
+    """K12, K14, K15, K17, K18, S5 by name: the tables made twice, filled by name (the table stamps the rows), tailed into a
+    current table by position, a third filled and truncated."""
+    db = _catalog(spark)
+    CT.create_catalog(spark, db)
+    rows = _event_states(spark, d).withColumn("msg_tm", F.col("msg_tm").cast("timestamp"))
+    for part in (0, 1):
+        CT.insert_named(rows.where(F.substring("msg_nm", -1, 1).cast("int") % 2 == part), f"{db}.adt_hist")
+    columns = [*ADT_HIST.fieldNames(), F.lit(None).alias("row_updt_tsp"), F.lit(None).alias("update_user_id")]
+    CT.tail(spark, f"{db}.adt_hist").writeStream.option("checkpointLocation", scratch_path(spark, "catalog-tail")).trigger(availableNow=True) \
+        .foreachBatch(lambda b, i: CT.insert_select(b.select(*columns), f"{db}.adt_dtl")).start().awaitTermination()
+    CT.insert_named(rows.select("pat_enc_csn_id", "msg_tm"), f"{db}.encntr_dx")
+    filled = spark.table(f"{db}.encntr_dx").count()
+    CT.truncate(spark, [f"{db}.encntr_dx"])
+    stamped = F.col("row_insert_tsp").isNotNull() & F.col("insert_user_id").isNotNull() & F.col("row_updt_tsp").isNull()
+    out = spark.table(f"{db}.adt_dtl").select("pat_enc_csn_id", F.col("msg_tm").cast("timestamp_ntz").alias("msg_tm"), "msg_nm", "trigger_evnt", stamped.alias("stamped"),
+                                             F.lit(filled).cast("long").alias("n_before"), F.lit(spark.table(f"{db}.encntr_dx").count()).cast("long").alias("n_after"))
+    return _kept(spark, out, db)
+
+
+def bucketed_retention(spark, d):
+    """J4, J5, R3 over catalog tables bucketed by encounter."""
+    db = _catalog(spark, buckets=RETENTION_BUCKETS)
+    master = _retention_master(spark, d)
+    CT.insert_named(master.select("pat_enc_csn_id", F.col("o_orderkey").cast("string").alias("bod_id"), F.col("hosp_disch_time").cast("timestamp").alias("hosp_disch_time")), f"{db}.adt_hist")
+    CT.insert_named(table(spark, d, "customer").select(F.col("c_custkey").alias("pat_enc_csn_id"), F.col("c_name").alias("dx_name")), f"{db}.encntr_dx_hist")
+    CT.retention(spark, db, RETENTION_DAYS, RETENTION_AS_OF, buckets=RETENTION_BUCKETS)
+    rows = spark.table(f"{db}.adt_hist").select(F.lit("adt_hist").alias("table_name"), "pat_enc_csn_id", F.col("bod_id").alias("item")) \
+        .unionByName(spark.table(f"{db}.encntr_dx_hist").select(F.lit("encntr_dx_hist").alias("table_name"), "pat_enc_csn_id", F.col("dx_name").alias("item")))
+    return _kept(spark, rows, db)
+
+
+def staged_load(spark, d):
+    """Two batches staged and loaded; each load is cut off after two files, replayed, and replayed once more."""
+    root = scratch_path(spark, "staged")
+    for batch, half in enumerate(_halves(spark, d)):
+        WH.stage_batch(half.repartition(5), batch, f"{root}/marks")
+        WH.load_batch(spark, batch, f"{root}/warehouse", f"{root}/marks", "parquet", only=2)
+        for _ in range(2):
+            WH.stage_batch(half, batch, f"{root}/marks")
+            WH.load_batch(spark, batch, f"{root}/warehouse", f"{root}/marks", "parquet")
+    return spark.read.parquet(f"{root}/warehouse").drop(WH.LOAD, WH.LOAD_FILE)
+
+
+def committed_batches(spark, d):
+    """T7, all or nothing: an ingest's committed rows beside a batch that was cut off after two of its four tables."""
+    root, paths = _run_ingest(spark, _event_records(spark, d))
+    cut_off = land(spark, spark.read.parquet(paths["adt_hist"]).drop(TB.BATCH), "cut-off")
+    for name, rows in (("adt_hist", cut_off), ("encntr_dx_hist", cut_off.select("msg_src", "msg_tm", "pat_enc_csn_id", F.lit("x").alias("dx_icd_cd")))):
+        TB.append_batch_rows(rows, 1_000_000, paths[name])
+    cols = [c for c in ADT_HIST.fieldNames() if c not in ("row_insert_tsp", "insert_user_id")]
+    n_dx = JB.read_committed(spark, root, "encntr_dx_hist").count()
+    return portable(JB.read_committed(spark, root, "adt_hist").select(*cols, F.lit(n_dx).cast("long").alias("n_dx")))
+
+
+def stateful_winners(spark, d):
+    """K6, T8 with state: events in three drops; the rows that each run emits, those whose key's latest row came with it."""
+    root = scratch_path(spark, "state")
+    rows = _event_states(spark, d)
+    drop = F.regexp_extract("msg_nm", "[0-9]+", 0).cast("long") % 3
+    for run in range(3):
+        rows.where(drop == run).write.mode("append").parquet(f"{root}/drop")
+
+        def put(batch, _, run=run):
+            batch.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{root}/out")
+
+        WN.winners_stream(ST.tail_table(spark, f"{root}/drop", rows.schema), f"{root}/_checkpoint", put).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+def live_metrics(spark, d):
+    """An append stream on a one-second trigger; its rows and latest time as a listener heard of them."""
+    root = scratch_path(spark, "live")
+    rows = spread(_event_states(spark, d)).withColumn("msg_tm", F.col("msg_tm").cast("timestamp"))
+    rows.write.parquet(f"{root}/drop")
+    heard = LV.LiveMetrics(spark)
+    try:
+        q = LV.live_append(ST.tail_table(spark, f"{root}/drop", rows.schema, max_files=3), f"{root}/table", "adt_hist", f"{root}/_checkpoint")
+        q.processAllAvailable()
+        q.stop()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        heard.record(f"{root}/metrics")
+    finally:
+        heard.close()
+    m = MT.read_metrics(spark, f"{root}/metrics").groupBy("table_name").agg(F.sum("batch_rows").alias("batch_rows"), F.max("latest_msg_tm").alias("latest_msg_tm"))
+    return m.select("table_name", "batch_rows", F.col("latest_msg_tm").cast("timestamp_ntz").alias("latest_msg_tm"))
+
+
+QUERIES.update({f.__name__: f for f in (catalog_tables, bucketed_retention, staged_load, committed_batches, stateful_winners, live_metrics)})

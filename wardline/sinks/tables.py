@@ -45,6 +45,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def data_files(spark: SparkSession, path: str) -> set[str]:
     """The data files below a table's folder; hidden files and folders (``_…``, ``.…``) aside."""
     fs, p, _ = _fs(spark, path)
@@ -311,6 +316,27 @@ def append_batch_rows(df: DataFrame, batch_id: int, path: str, observed: tuple =
     return True
 
 
+def commit_batch(spark: SparkSession, batch_id: int, commits: str, rows: dict[str, int]) -> None:
+    """The record that all tables of a batch are written, made after the last of them; rows by table."""
+    write_property(spark, commits, f"batch_{int(batch_id)}", json.dumps(rows))
+
+
+def committed(spark: SparkSession, commits: str) -> list[int]:
+    """The batches that are committed: one number a batch."""
+    fs, p, _ = _fs(spark, commits)
+    mark = "_wardline_batch_"
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n.removeprefix(mark)) for n in names if n.startswith(mark))
+
+
+def read_committed(spark: SparkSession, path: str, commits: str) -> DataFrame:
+    """A history's rows of committed batches (and of folded ones, which were): of a batch that was cut off
+    between two tables no table shows a row. The batch is a partition column, so other batches' files are not read."""
+    done = [FOLDED, *committed(spark, commits)]
+    rows = read_history(spark, path)
+    return rows.join(F.broadcast(spark.createDataFrame([(b,) for b in done], f"{BATCH} integer")), BATCH, "left_semi")
+
+
 def compact(spark: SparkSession, path: str, col: str = "row_insert_tsp", files: int | None = None, keep_batches: int = 1) -> None:
     """Rewrite the table range-partitioned and sorted on ``col`` (one-column clustering).
 
