@@ -69,3 +69,21 @@ def test_received_times(spark, session_tz):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [want for _, want in RECEIVED]
+
+
+def test_xml_times_do_not_depend_on_the_session_zone(spark):
+    """A received time without a zone is UTC, one with a zone is honoured, wherever the session runs."""
+    from wardline.functions.timeparse import iso_time, utc_ntz
+
+    texts = ["2024-07-01T10:00:00", "2024-07-01T10:00:00Z", "2024-07-01T10:00:00-05:00", "20240701100000", "2024-03-10T02:30:00", "2024-11-03T01:30:00"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = {}
+    try:
+        for zone in ("UTC", "America/Chicago", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = spark.createDataFrame([(t,) for t in texts], "t string").select(utc_ntz(iso_time(F.col("t"))).cast("string")).collect()
+            got[zone] = [r[0] for r in rows]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got["UTC"] == ["2024-07-01 10:00:00", "2024-07-01 10:00:00", "2024-07-01 15:00:00", "2024-07-01 10:00:00", "2024-03-10 02:30:00", "2024-11-03 01:30:00"]
+    assert got["America/Chicago"] == got["Asia/Kolkata"] == got["UTC"]

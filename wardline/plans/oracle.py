@@ -326,3 +326,12 @@ SELECT pat_enc_csn_id, msg_tm, msg_nm, trigger_evnt, run FROM (
   FROM (SELECT *, CAST(substr(msg_nm, 5) AS BIGINT) % 3 AS run FROM ({_STATES}) WHERE pat_enc_csn_id IS NOT NULL)) WHERE best = ROW(msg_tm, msg_nm)""",
     "live_metrics": f"SELECT 'adt_hist' AS table_name, count(*) AS batch_rows, max(msg_tm) AS latest_msg_tm FROM ({_STATES})",
 })
+
+ORACLE.update({
+    "upsert_stream": ORACLE["upsert_merge"],
+    "append_and_upsert_stream": f"""
+SELECT x.*, msg_nm = (SELECT max(ROW(y.msg_tm, y.msg_nm))[2] FROM ({_STATES}) AS y WHERE y.pat_enc_csn_id = x.pat_enc_csn_id) AS is_current FROM ({_STATES}) AS x""",
+    "blocking_append": f"SELECT *, (SELECT count(*) FROM events) AS n_counted, false AS running FROM ({_STATES})",
+    "archived_files": f"SELECT msg_nm AS value, 1 AS n_held, true AS held, 1 AS n_read FROM ({_STATES})",
+    "hl7_normalized": f"SELECT msg_nm, '2.5' AS version, 0 AS n_newlines FROM ({_STATES})",
+})

@@ -758,4 +758,62 @@ def live_metrics(spark, d):
     return m.select("table_name", "batch_rows", F.col("latest_msg_tm").cast("timestamp_ntz").alias("latest_msg_tm"))
 
 
+def _two_drops(spark, d):
+    """A folder that gets the newer half, then the older one, and the stream that tails it."""
+    root = scratch_path(spark, "drops")
+    for part in _halves(spark, d):
+        part.write.mode("append").parquet(f"{root}/drop")
+        yield root, ST.tail_table(spark, f"{root}/drop", part.schema)
+
+
+def upsert_stream(spark, d):
+    """K6: two batches streamed into the current table."""
+    for root, drop in _two_drops(spark, d):
+        UP.upsert_stream(drop, f"{root}/current", f"{root}/_checkpoint").awaitTermination()
+    return UP.read_current(spark, f"{root}/current").select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt")
+
+
+def append_and_upsert_stream(spark, d):
+    """K8: the same stream into a history and a current table; every history row, and whether it is its key's current one."""
+    for root, drop in _two_drops(spark, d):
+        UP.append_and_upsert_stream(drop, f"{root}/hist", f"{root}/current", f"{root}/_checkpoint").awaitTermination()
+    now = UP.read_current(spark, f"{root}/current").select("pat_enc_csn_id", F.col("msg_nm").alias("now"))
+    rows = spark.read.parquet(f"{root}/hist").select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt").join(now, "pat_enc_csn_id", "left")
+    return rows.select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt", F.col("now").eqNullSafe(F.col("msg_nm")).alias("is_current"))
+
+
+def blocking_append(spark, d):
+    """K4: an append with metrics that returns when the stream has ended."""
+    for root, drop in _two_drops(spark, d):
+        q = MT.metered_stream(drop, f"{root}/table", "adt_hist", f"{root}/_checkpoint", f"{root}/metrics", wait=True)
+    counted = MT.read_metrics(spark, f"{root}/metrics").agg(F.sum("batch_rows")).first()[0]
+    return spark.read.parquet(f"{root}/table").select("pat_enc_csn_id", "msg_tm", "msg_nm", "trigger_evnt", F.lit(counted).alias("n_counted"), F.lit(q.isActive).alias("running"))
+
+
+def archived_files(spark, d):
+    """Files dropped in two rounds, archived as they are done; what each folder holds at last, line by line."""
+    root = scratch_path(spark, "archive")
+    lines = _event_states(spark, d).select(F.col("msg_nm").alias("value"), F.col("msg_tm"))
+    for name, part in (("one", F.col("msg_tm") < F.lit(SPLIT_TS)), ("two", F.col("msg_tm") >= F.lit(SPLIT_TS))):
+        lines.where(part).select("value").repartition(3).write.text(f"{root}/drop/{name}")
+        files = FS.read_files(spark, f"{root}/drop", archive_dir=f"{root}/archive", glob="part-*", max_files=2)
+        FS.decode_named(files).writeStream.format("parquet").option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start(f"{root}/read").awaitTermination()
+    # a file goes once the batch after its own is planned; those of the last batch stay
+    FS.decode_named(FS.read_files(spark, f"{root}/drop", archive_dir=f"{root}/archive", glob="part-*")).writeStream.format("parquet") \
+        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start(f"{root}/read").awaitTermination()
+    where = F.when(F.col("_metadata.file_path").contains("/archive/"), "archive").otherwise("drop").alias("folder")
+    left = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text([f"{root}/archive", f"{root}/drop"]).select("value", where)
+    n = spark.read.parquet(f"{root}/read").select(F.explode(F.split("text", "\n")).alias("value")).where("value <> ''")
+    once = n.groupBy("value").agg(F.count(F.lit(1)).alias("n_read"))
+    return left.groupBy("value").agg(F.count(F.lit(1)).alias("n_held"), F.max(F.col("folder")).isNotNull().alias("held")).join(once, "value")
+
+
+def hl7_normalized(spark, d):
+    """The event messages as other tools want them: version patched, carriage returns alone."""
+    text = hl7.normalize(F.col("text"))
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return _hl7_events(spark, d).select("msg_nm", F.element_at(F.split(F.substring_index(text, "\r", 1), r"\|"), 12).alias("version"), breaks.cast("long").alias("n_newlines"))
+
+
+QUERIES.update({f.__name__: f for f in (upsert_stream, append_and_upsert_stream, blocking_append, archived_files, hl7_normalized)})
 QUERIES.update({f.__name__: f for f in (catalog_tables, bucketed_retention, staged_load, committed_batches, stateful_winners, live_metrics)})
