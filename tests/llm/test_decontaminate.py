@@ -58,6 +58,21 @@ def test_proximity(spark, documents):
     assert got == {(1, True), (2, False)}
 
 
+def test_proximity_counts_a_term_as_often_as_the_window(spark, documents):
+    wins = D.windows(frame(spark, [(1, "a a b")]))
+    docs = documents([(1, "a x b"), (2, "b a x a"), (3, "a a b"), (4, "b b a")])
+    looked = D.anchors(wins, D.frequencies(docs, wins.selectExpr("explode(terms) AS term").distinct(), 2))
+    postings = D.build_index(docs, looked.select("term"), 1)
+    assert {(r.doc_id, r.exact) for r in D.matches(postings, looked, 1, proximity=True).collect()} == {(2, False), (3, True)}
+
+
+def test_rows_that_share_or_lack_an_id(spark, documents):
+    item = "one two three four five six seven eight nine ten"
+    docs = [(None, "clean words here"), (None, f"x {item} y"), (5, item), (5, "other text"), (5, item), (None, None), (6, item.upper())]
+    got = D.decontaminate(documents(docs), frame(spark, [(1, item)]))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, [(1, item)])
+
+
 def test_empty(spark, documents):
     none = frame(spark, [(1, "x")]).limit(0)
     assert [r.n_hit for r in D.decontaminate(documents([(1, "x y")]), none).collect()] == [0]

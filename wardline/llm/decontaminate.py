@@ -9,12 +9,13 @@ by its rarest term (by corpus frequency); the offset-adjusted intersection with
 the lists of its other terms is then a comparison inside the posting. Lists are
 cut by document, as the scan deals them, so a frequent term never meets in one
 task. ``matches`` returns exact phrase matches and proximity matches (all terms
-of the window within its width of the anchor, in any order).
+of the window, as often as it holds them, within its width of the anchor, in any order).
 
 A null or wordless text has no words and no hits; a wordless item has no window.
-Repeated documents get the same result each; repeated items count once by
-item_id; a null item_id hits words but is no item. Rows with a null doc_id share
-their hits. Empty tables give empty results; extra columns are ignored.
+Rows are told apart by their id and text (two hashes of both), so each is judged by its
+own text, whatever id it shares or lacks; rows equal in both get the same result each.
+Repeated items count once by item_id; a null item_id hits words but is no item. Empty
+tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,38 +58,43 @@ def anchors(wins: DataFrame, freq: DataFrame) -> DataFrame:
     return rarest.select(F.col("a.term").alias("term"), "key", "terms", F.col("a.shift").alias("shift"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, n_terms: int, width: int = WIDTH) -> DataFrame:
-    """Postings (term, doc_id, pos, at, around) of the given terms: ``around[at]`` is the term itself."""
-    tokens = docs.select("doc_id", words(F.col("text")).alias("w"))
-    spread = tokens.select("doc_id", "w", F.posexplode("w").alias("pos", "term"))
+def row_key(docs: DataFrame) -> DataFrame:
+    """The documents with ``row``, which tells rows apart by id and text."""
+    return docs.withColumn("row", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b")))
+
+
+def build_index(docs: DataFrame, terms: DataFrame, n_terms: int, width: int = WIDTH, id: str = "doc_id") -> DataFrame:
+    """Postings (term, ``id``, pos, at, around) of the given terms: ``around[at]`` is the term itself."""
+    tokens = docs.select(id, words(F.col("text")).alias("w"))
+    spread = tokens.select(id, "w", F.posexplode("w").alias("pos", "term"))
     found = spread.join(broadcast_if_small(terms, n_terms, 64), "term")
     low = F.greatest(F.col("pos") - (width - 1), F.lit(0))
-    return found.select("term", "doc_id", "pos", (F.col("pos") - low).alias("at"),
+    return found.select("term", id, "pos", (F.col("pos") - low).alias("at"),
                         F.slice("w", low + 1, F.col("pos") - low + width).alias("around"))
 
 
-def matches(postings: DataFrame, looked_up: DataFrame, n_windows: int, proximity: bool = False) -> DataFrame:
-    """(doc_id, start, n, key): exact matches; with ``proximity`` also (doc_id, pos, n, key, exact=false) ones."""
+def matches(postings: DataFrame, looked_up: DataFrame, n_windows: int, proximity: bool = False, id: str = "doc_id") -> DataFrame:
+    """(``id``, start, n, key): exact matches; with ``proximity`` also (``id``, pos, n, key, exact=false) ones."""
     w = broadcast_if_small(looked_up, n_windows, 400)
     first = F.col("at") - F.col("shift")
     exact = (first >= 0) & (F.slice("around", F.greatest(first, F.lit(0)) + 1, F.size("terms")) == F.col("terms"))
-    near = F.size(F.array_except("terms", "around")) == 0
+    near = F.forall(F.array_distinct("terms"), lambda t: F.size(F.filter("around", lambda x: x == t)) >= F.size(F.filter("terms", lambda x: x == t)))
     met = postings.join(w, (postings["term"] == w["term"]) & ((exact | near) if proximity else exact))
-    out = met.select("doc_id", F.when(exact, F.col("pos") - F.col("shift")).otherwise(F.col("pos")).alias("start"),
+    out = met.select(id, F.when(exact, F.col("pos") - F.col("shift")).otherwise(F.col("pos")).alias("start"),
                      F.size("terms").alias("n"), "key", exact.alias("exact")).distinct()
     return out if proximity else out.drop("exact")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    docs = docs.select("doc_id", "text")
+    docs = row_key(docs.select("doc_id", "text"))
     wins = materialise(windows(items.select("item_id", "text"), width), "windows")
     terms = materialise(wins.select(F.explode("terms").alias("term")).distinct(), "terms")
     freq = materialise(frequencies(docs, terms, terms.count()), "frequencies")
     looked_up = materialise(anchors(wins, broadcast_if_small(freq, freq.count(), 64)), "anchors")
     rare = materialise(looked_up.select("term").distinct(), "anchor-terms")
-    postings = materialise(build_index(docs, rare, rare.count(), width), "postings")
-    hits = materialise(matches(postings, looked_up, looked_up.count()), "hits")
+    postings = materialise(build_index(docs, rare, rare.count(), width, "row"), "postings")
+    hits = materialise(matches(postings, looked_up, looked_up.count(), id="row"), "hits")
 
     def cover(acc: Column, x: Column) -> Column:
         end = F.greatest(acc["end"], x["start"] + x["n"])
@@ -97,15 +103,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     # spans and items of one document: at most as many as it has words, times the items of a window
     spans = F.array_sort(F.collect_set(F.struct("start", "n")))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    hit = hits.groupBy("doc_id").agg(F.aggregate(spans, zero, cover, lambda a: a["n"]).cast("long").alias("n_hit"))
+    hit = hits.groupBy("row").agg(F.aggregate(spans, zero, cover, lambda a: a["n"]).cast("long").alias("n_hit"))
     ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))
-    held = (hits.select("doc_id", "key").distinct().join(wins.select("key", "item_id"), "key")
-            .select("doc_id", "item_id").distinct().groupBy("doc_id").agg(ids.alias("ids")))
-    found = hit.join(held.withColumnRenamed("doc_id", "held_id"), F.col("doc_id").eqNullSafe(F.col("held_id")), "left")
-    found = found.select(F.col("doc_id").alias("hit_id"), "n_hit", "ids")
-    counted = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    held = (hits.select("row", "key").distinct().join(wins.select("key", "item_id"), "key")
+            .select("row", "item_id").distinct().groupBy("row").agg(ids.alias("ids")))
+    found = hit.join(held, "row", "left")
+    counted = docs.select("row", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    return (counted.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
+    return (counted.join(found, "row", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.size(F.coalesce("ids", none)).cast("long").alias("n_items"),
                     F.sha2(F.array_join(F.coalesce("ids", none), ","), 256).alias("items_sha256"),
