@@ -11,10 +11,15 @@ Every block answers every query exactly; the answers meet in a top-k per query.
 Queries and index blocks are paired by block number: the queries, in sets of
 bounded size, are sent to every block, and a task holds one block at a time.
 
-Defined cases: vectors that are null or hold null or non-finite components, or a
-value beyond 32 bits after scaling, or without an id, take no part. A query
-meets vectors of its own length only, and no row of its own id. Equal query rows
-give one result; repeated candidates count each. Extra columns are ignored.
+A slice holds values of 32 bits. Vectors with a larger one, if there are any, are no part of
+the index: they meet the queries, and as queries all vectors, in blocks of whole numbers of
+any size, and all answers meet in the same top-k.
+
+Defined cases: vectors that are null or hold null or non-finite components, or without an
+id, take no part. A query meets vectors of its own length only, and no row of its own id.
+Equal query rows give one result; repeated candidates count each. A score beyond 64 bits
+is ranked as it is and given as the nearest long. A component
+beyond a double once scaled counts as non-finite. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,12 +40,20 @@ BLOCK = 16384
 QUERIES = 64
 
 
+def usable(rows: DataFrame, scale: int = SCALE) -> DataFrame:
+    """(vec_id, w, wide): the vectors that take part, scaled, as whole doubles; ``wide`` ones have a value beyond 32 bits."""
+    def whole(e: Column) -> Column:  # doubles beyond 2^53 are whole already
+        return F.when(F.abs(e) < float(1 << 53), F.floor(e).cast("double")).otherwise(e)
+
+    scaled = F.transform("embedding", lambda e: e.cast("double") * scale)
+    held = rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("x")).where(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
+    finite = F.forall("x", lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) < float("inf")), F.lit(False)))
+    return held.where(finite).select("vec_id", F.transform("x", whole).alias("w"), F.exists("x", lambda e: F.abs(e) >= float(1 << 31)).alias("wide"))
+
+
 def quantised(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): integer vectors of the rows that take part."""
-    x = F.transform("embedding", lambda e: e.cast("double"))
-    usable = F.forall(x, lambda e: F.coalesce(F.abs(e * scale) < float(1 << 31), F.lit(False)))
-    return (rows.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(usable)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e * scale).cast("long")).alias("v")))
+    """(vec_id, v): integer vectors of the rows whose values fit in 32 bits."""
+    return usable(rows, scale).where(~F.col("wide")).select("vec_id", F.col("w").cast("array<long>").alias("v"))
 
 
 class Slices(NamedTuple):
@@ -212,8 +225,74 @@ def _search(k: int):
     return work
 
 
+#: Vectors of a block of the path for large values; shares in which its queries meet the blocks.
+EXACT, SALTS = 256, 64
+
+
+def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        for dim, g in f.groupby(f["w"].map(len)):
+            for i in range(0, len(g), EXACT):
+                part = g.iloc[i : i + EXACT]
+                yield pd.DataFrame({"dim": [int(dim)], "ids": [part["vec_id"].to_numpy("<i8").tobytes()],
+                                    "vectors": [np.concatenate([np.zeros(0), *part["w"]]).astype("<f8").tobytes()]})
+
+
+def _numbers(ids: bytes, vectors: bytes, dim: int) -> tuple[list[int], np.ndarray]:
+    """Ids, and vectors as whole numbers of any size."""
+    i = np.frombuffer(ids, "<i8").tolist()
+    return i, np.array([int(x) for x in np.frombuffer(vectors, "<f8")], object).reshape(len(i), dim)
+
+
+def _name(vector: np.ndarray) -> bytes:
+    """What stands for a query's vector: as the index has it, if it could be there."""
+    small = all(abs(x) < 1 << 31 for x in vector)
+    return np.array(vector, np.int64).tobytes() if small else ",".join(map(str, vector)).encode()
+
+
+def _order(score: int) -> tuple[int, str]:
+    """Sorts as the score does: beyond 64 bits or not, and then by digits of a fixed number (of two largest doubles' product)."""
+    if -1 << 63 <= score < 1 << 63:
+        return 0, ""
+    digits = f"{abs(score):0640d}"
+    return (1, digits) if score > 0 else (-1, digits.translate(str.maketrans("0123456789", "9876543210")))
+
+
+def exact(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(query_id, vector, vec_id, score, size, digits): of each block of candidates each query's k best, in whole numbers of any size."""
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for r in f.itertuples(index=False):
+                (qi, q), (ci, c) = _numbers(r.q_ids, r.q_vectors, r.dim), _numbers(r.ids, r.vectors, r.dim)
+                scores = q @ c.T if r.dim else np.zeros((len(qi), len(ci)), int)
+                for query, vector, row in zip(qi, q, scores, strict=True):
+                    for low, i in sorted((-int(x), i) for x, i in zip(row, ci, strict=True) if i != query)[:k]:
+                        out.append((query, _name(vector), i, max(min(-low, (1 << 63) - 1), -1 << 63), *_order(-low)))
+            yield pd.DataFrame(out, columns=["query_id", "vector", "vec_id", "score", "size", "digits"])
+
+    schema = "dim int, ids binary, vectors binary"
+    asked = queries.select("vec_id", "w").distinct().transform(map_frames, _blocks, schema).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    held = candidates.select("vec_id", "w").transform(map_frames, _blocks, schema).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int"))
+    spread = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return held.join(spread, ["dim", "salt"]).select("dim", "ids", "vectors", "q_ids", "q_vectors") \
+        .transform(map_frames, meet, "query_id long, vector binary, vec_id long, score long, size int, digits string")
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest scores, ties to the smaller vec_id."""
+    found = indexed(rows, is_query, k, scale, block).withColumns({"size": F.lit(0), "digits": F.lit("")})
+    if usable(rows, scale).where("wide").limit(1).count():
+        every = materialise(usable(rows, scale), "all-vectors")
+        asked = every.where(is_query)
+        found = found.unionByName(exact(asked, every.where("wide"), k)).unionByName(exact(asked.where("wide"), every.where("NOT wide"), k))
+    best = Window.partitionBy("query_id", "vector").orderBy(F.desc("size"), F.desc("digits"), F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def indexed(rows: DataFrame, is_query: Column, k: int, scale: int, block: int) -> DataFrame:
+    """(query_id, vector, vec_id, score): of each block of the index each query's k best rows."""
     v = materialise(quantised(rows, scale), "vectors")
     n = v.count()
     n_blocks = max(1, -(-n // block))
@@ -227,11 +306,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE, b
     to = index.select("block", "dim", F.pmod("block", F.lit(salts)).cast("int").alias("salt"))
     sent = to.join(spread, ["dim", "salt"]).select("block", "dim", "ids", "vectors")
     both = index.unionByName(sent, allowMissingColumns=True)
-    found = (both.repartition("block").sortWithinPartitions("block", F.col("vectors").isNotNull())
-             .transform(map_frames, _search(k), "query_id long, vector binary, vec_id long, score long"))
-    best = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (both.repartition("block").sortWithinPartitions("block", F.col("vectors").isNotNull())
+            .transform(map_frames, _search(k), "query_id long, vector binary, vec_id long, score long"))
 
 
 ORACLE = """
