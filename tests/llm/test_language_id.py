@@ -28,6 +28,41 @@ def test_marginals_equal_plain_forward_backward():
             back /= back.sum()
 
 
+def test_gradient_equals_a_numeric_one():
+    """Of the log likelihood of the labels, by every emission and every move; chains of one word and over segments among them."""
+    rng = np.random.default_rng(8)
+    k, first = 3, np.array([0, 1, 5, 80])
+    emit, moves, gold = rng.normal(size=(80, k)), rng.normal(size=(k, k)), rng.integers(0, k, 80)
+
+    def likelihood(emit, moves):
+        total = 0.0
+        for s, e in zip(first[:-1], first[1:], strict=True):
+            every, path = np.full(k, 1 / k), np.full(k, 1 / k)
+            for t in range(s, e):
+                every = (every @ np.exp(moves)) * np.exp(emit[t])
+                path = (path @ np.exp(moves)) * np.exp(emit[t]) * (np.arange(k) == gold[t])
+            total += np.log(path.sum()) - np.log(every.sum())
+        return total
+
+    by_emit, by_move = L.gradient(emit, moves, first, gold)
+    for x, got in ((emit, by_emit), (moves, by_move)):
+        for at in np.ndindex(x.shape):
+            old = x[at]
+            x[at] = old + 1e-5
+            up = likelihood(emit, moves)
+            x[at] = old - 1e-5
+            down = likelihood(emit, moves)
+            x[at] = old
+            assert abs(got[at] - (up - down) / 2e-5) < 1e-6
+
+
+def test_sampled_words_come_from_all_over_a_text(spark):
+    rows = spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)),) for n in (0, 5, 192, 193, 5000)], "text string")
+    got = [r[0].split() for r in rows.select(L.spread_words(F.col("text"), 192)).collect()]
+    assert [len(g) for g in got] == [0, 5, 192, 192, 192]
+    assert got[2] == [f"w{i}" for i in range(192)] and got[4][0] == "w0" and got[4][-1] == "w4999" and "w2500" in got[4]
+
+
 def test_held_out_accuracy_and_code_switching(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     held = fold(F.col("doc_id"), 5) == 0

@@ -48,6 +48,19 @@ def test_odd_rows_in_every_stage(spark, documents, empty):
     C.STAGES[-1][1](spark, docs, SF).collect()
 
 
+def test_other_languages_go(spark):
+    """The prediction decides, not the label: documents of a language that is not kept go, and those of too low a score."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = C.language(spark, docs, SF, keep=("en", "fr"))
+    left = {r.doc_id: r.lang for r in kept.collect()}
+    lettered = {r.doc_id: r.lang for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    wanted = {d for d, lang in lettered.items() if lang in ("en", "fr")}
+    assert 0 < len(wanted) < len(lettered) and len(wanted ^ set(left)) <= 0.02 * len(lettered)
+    wrong = docs.withColumn("lang", C.F.when(C.F.col("doc_id") == min(wanted), "de").otherwise(C.F.col("lang")))  # one label is wrong
+    assert min(wanted) in {r.doc_id for r in C.language(spark, wrong, SF, keep=(lettered[min(wanted)],)).collect()}
+    assert C.language(spark, docs, SF, least_score=1.1).count() == 0
+
+
 def test_order():
     assert [n for n, _ in C.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "packing"]
 

@@ -5,8 +5,8 @@ and inner n-grams (two to four bytes, white space as the word's edge) and of the
 word itself if it is in the learned lexicon; transitions between labels are
 learned, too. Passages that occur under several labels in the sample tell nothing of
 any: they are left out of learning and of a text's vote. Weights come from a sample of labelled documents of bounded size
-(``per_label`` documents a label, ``sample_words`` words of each; both are
-parameters), some of them joined in pairs so that switching occurs. Texts are
+(``per_label`` documents a label, about ``sample_words`` words of each, in stretches from
+all over the text; both are parameters), some of them joined in pairs so that switching occurs. Texts are
 labelled whole: forward-backward gives each word's probabilities, a text's
 language is the label with the largest share of letters.
 
@@ -37,6 +37,7 @@ LEXICON = 4096
 BUCKETS = 1 << 16
 STEPS = 40
 SEGMENT = 64
+STRETCH = 64  # words of a stretch of a sampled text
 RUN = 5  # words of a run by which shared passages are told
 
 
@@ -106,8 +107,8 @@ def has_letter(w: arrays.Words) -> np.ndarray:
     return letters(w) > 0
 
 
-def marginals(emit: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(words, labels) probabilities by forward-backward over whole texts.
+def marginals(emit: np.ndarray, moves: np.ndarray, first: np.ndarray, forward: np.ndarray | None = None) -> np.ndarray:
+    """(words, labels) probabilities by forward-backward over whole texts; ``forward`` takes the forward messages.
 
     Chains are cut into segments; the products of a segment's transfer matrices
     carry the messages over it, so that long texts are exact and still few steps.
@@ -154,6 +155,8 @@ def marginals(emit: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndar
         x = (now[:m] @ step) * psi[begin_o[:m] + t]
         now[:m] = x = x / x.sum(1, keepdims=True)
         out[begin_o[:m] + t] = x
+    if forward is not None:
+        forward[:] = out
     now = back[order]
     for t in range(SEGMENT - 1, -1, -1):
         m = active[t]
@@ -167,6 +170,28 @@ def marginals(emit: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndar
     return out
 
 
+def gradient(emit: np.ndarray, moves: np.ndarray, first: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the chains' log likelihood, by emissions and by moves. The word before a chain is any label, each alike.
+
+    The probability of a pair of neighbours is the forward message of the one, the move, and of the other
+    its probability over what the move foretold for it, so it needs no second pass.
+    """
+    n, k = emit.shape
+    ahead = np.empty((n, k))
+    p = marginals(emit, moves, first, ahead)
+    step = np.exp(moves - moves.max())
+    starts = first[:-1][np.diff(first) > 0]
+    before = np.empty((n, k))
+    before[1:] = ahead[:-1]
+    before[starts] = 1 / k
+    expected = step * (before.T @ (p / np.maximum(before @ step, 1e-300)))
+    inner = np.setdiff1d(np.arange(n), starts)
+    seen = np.zeros((k, k))
+    np.add.at(seen, (gold[inner - 1], gold[inner]), 1)
+    seen += step / step.sum(0) * np.bincount(gold[starts], minlength=k)
+    return np.eye(k)[gold] - p, seen - expected
+
+
 def _shared_runs(w: arrays.Words, of_text: np.ndarray, gold: np.ndarray, k: int) -> np.ndarray:
     """Runs of words that occur under several labels: these tell nothing of any."""
     hashes = arrays.run_hashes(w.hashes, RUN)
@@ -195,7 +220,7 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 7)
     k, rng = len(names), np.random.default_rng(seed)
     if not names:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.empty(0, np.uint64), np.zeros((1, 0), np.float32), np.zeros((0, 0)), np.empty(0, np.uint64))
-    w = arrays.words([" ".join(t.split()[:SAMPLE_WORDS]).encode("utf-8", "surrogatepass") for t in texts])
+    w = arrays.words([t.encode("utf-8", "surrogatepass") for t in texts])
     of_text = np.repeat(np.arange(len(texts)), np.diff(w.first))
     gold = np.array([names.index(x) for x in labels])[of_text]
     shared = _shared_runs(w, of_text, gold, k)
@@ -226,24 +251,15 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 7)
     where, gold = where[rows], gold[rows]
     params = [np.zeros((BUCKETS, k)), np.zeros((len(lexicon) + 1, k)), np.zeros((k, k))]
     square = [np.full_like(p, 1e-3) for p in params]
-    chain_start = np.zeros(len(rows), bool)
-    chain_start[first[:-1][first[:-1] < len(rows)]] = True
-    inner = np.flatnonzero(~chain_start)
-    target = np.eye(k)[gold]
     for _ in range(steps):
         score = np.stack([np.bincount(of, params[0][gram, c], len(unique)) for c in range(k)], 1) + params[1][slot]
         emit = score[where] * lettered
-        p = marginals(emit, params[2], first)
-        diff = (target - p) * lettered / len(rows)
+        by_emission, by_move = gradient(emit, params[2], first, gold)
+        diff = by_emission * lettered / len(rows)
         by_word = np.stack([np.bincount(where, diff[:, c], len(unique)) for c in range(k)], 1)
         grad = [np.stack([np.bincount(gram, by_word[of, c], BUCKETS) for c in range(k)], 1),
                 np.stack([np.bincount(slot, by_word[:, c], len(lexicon) + 1) for c in range(k)], 1)]
-        # expected moves: from the marginals of neighbours, coupled by the current transitions
-        pair = p[inner - 1][:, :, None] * np.exp(params[2] - params[2].max())[None] * p[inner][:, None, :]
-        pair /= np.maximum(pair.sum((1, 2), keepdims=True), 1e-300)
-        seen = np.zeros((k, k))
-        np.add.at(seen, (gold[inner - 1], gold[inner]), 1)
-        grad.append((seen - pair.sum(0)) / len(rows))
+        grad.append(by_move / len(rows))
         for x, s, d in zip(params, square, grad, strict=True):
             d = d * len(rows) / 1000 - 1e-4 * x
             s += d * d
@@ -251,15 +267,23 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS, seed: int = 7)
     return Model(names, params[0].astype(np.float32), lexicon, params[1].astype(np.float32), params[2], shared)
 
 
-def sample(docs: DataFrame, learn: Column, per_label: int = PER_LABEL) -> DataFrame:
-    """At most per_label labelled documents of each label, by a hash of the id and the text; SAMPLE_WORDS words of each."""
+def spread_words(text: Column, most: int) -> Column:
+    """A text's words; of a longer one about ``most``, in stretches from its first to its last word."""
+    w = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
+    n = max(most // STRETCH, 2)
+    at = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(w, (F.floor(i * (F.size(w) - STRETCH) / (n - 1)) + 1).cast("int"), STRETCH))
+    return F.array_join(F.when(F.size(w) <= n * STRETCH, w).otherwise(F.flatten(at)), " ")
+
+
+def sample(docs: DataFrame, learn: Column, per_label: int = PER_LABEL, sample_words: int = SAMPLE_WORDS) -> DataFrame:
+    """At most per_label labelled documents of each label, by a hash of the id and the text; of each text about sample_words words from all over it."""
     cut = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     drawn = bounded_sample(cut, "lang", per_label, "doc_id", "text")
-    return drawn.withColumn("text", F.substring_index(F.regexp_replace("text", r"\s+", " "), " ", SAMPLE_WORDS))
+    return drawn.withColumn("text", spread_words(F.col("text"), sample_words))
 
 
-def learn_model(docs: DataFrame, learn: Column, per_label: int = PER_LABEL) -> Model:
-    rows = sample(docs.select("doc_id", "text", "lang"), learn, per_label).orderBy("lang", "doc_id", "text").toPandas()
+def learn_model(docs: DataFrame, learn: Column, per_label: int = PER_LABEL, sample_words: int = SAMPLE_WORDS) -> Model:
+    rows = sample(docs.select("doc_id", "text", "lang"), learn, per_label, sample_words).orderBy("lang", "doc_id", "text").toPandas()
     return fit(rows["text"].tolist(), rows["lang"].tolist())
 
 
