@@ -35,14 +35,21 @@ def _without(numbered: DataFrame, rejected: DataFrame, name: str, columns: list[
     return numbered.join(broadcast_if_small(gone, gone.count(), 16), NUMBER, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter go."""
+#: Languages that stay (None: every language that the labelled documents teach), and the least share of a text's
+#: letters that its language must have.
+LANGUAGES: tuple[str, ...] | None = None
+LEAST_SCORE = 0.0
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: tuple[str, ...] | None = LANGUAGES, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Documents whose predicted language is one of ``keep`` with at least that score; those without a letter have none and go."""
     model = language_id.learn_model(docs, F.lit(True))
     if not model.labels:  # nothing to judge by
         return docs
     numbered = _numbered(docs)
     found = language_id.detect(_by_number(numbered), model, runs=False)
-    return _without(numbered, found.where(F.col("lang_pred") == "und"), "no-language", docs.columns)
+    kept = F.col("lang_pred").isin(*(model.labels if keep is None else keep)) & (F.col("score") >= least_score)
+    return _without(numbered, found.where(~kept), "no-language", docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
