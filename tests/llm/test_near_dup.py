@@ -27,7 +27,9 @@ def brute(rows):
     for i in range(len(s)):
         for j in range(i):
             both = len(s[i][1] & s[j][1])
-            if both and None not in (s[i][0], s[j][0]) and 100 * both >= 75 * (len(s[i][1]) + len(s[j][1]) - both):
+            if None in (s[i][0], s[j][0]):
+                continue
+            if s[i][0] == s[j][0] and s[i][1] and s[j][1] or both and 100 * both >= 75 * (len(s[i][1]) + len(s[j][1]) - both):
                 up[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(s):
@@ -55,7 +57,8 @@ def planted(rng):
 
 
 def test_equal_to_brute_force(spark, documents):
-    rows = [*ODD, *planted(random.Random(4)), (900, "one two three"), (901, "One TWO three"), (902, "one two three four")]
+    rows = [*ODD, *planted(random.Random(4)), (900, "one two three"), (901, "One TWO three"), (902, "one two three four"),
+            (903, "an id on two texts that differ"), (903, "and on this one that has a twin"), (904, "and on this one that has a twin")]
     want = brute(rows)
     for region, chunk in ((N.REGION, N.CHUNK), (8, 8)):  # whole regions, or nearly all of them dealt out in chunks
         got = N.near_duplicates(documents(rows), region, chunk)
@@ -82,3 +85,19 @@ def test_signatures_estimate_similarity():
 def test_empty(spark, documents):
     assert N.near_duplicates(documents([(1, "x")]).limit(0)).count() == 0
     assert [r.kept for r in N.near_duplicates(documents([(1, None), (2, "")])).collect()] == [True, True]
+
+
+def test_deepened_regions_lose_no_link(spark, documents):
+    """Regions of one tree that are all deepened, by recall against brute force over many near copies."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for j in rng.sample(range(80), rng.choice([0, 1, 2, 3])):
+            copy[j] = f"n{rng.randrange(9)}"
+        rows.append((i, " ".join(copy)))
+    rows += [(500 + i, " ".join(base[:30] + [f"o{i}x{j}" for j in range(40)])) for i in range(60)]
+    want = brute(rows)
+    got = N.near_duplicates(documents(rows), 16, 16)
+    assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str) == want
