@@ -80,3 +80,31 @@ def test_winner_is_widened_to_what_lies_around_it(spark):
     got = H.extract(pages(spark, [(1, "http://h.example/1", page), (2, "http://h.example/2", page), (3, None, page)])).collect()
     assert [r.text for r in got] == [want] * 3
     assert {r.path for r in got} == {"html/body/div.wrap/div.post"}
+
+
+def text_of(page):
+    found = H.blocks(page)
+    path = H._best(H.containers(found))
+    return H.main_text(found, path and H.widened(path, H.amounts(found)))
+
+
+def test_formulas_and_forms_that_are_layout():
+    assert text_of("<body><article><p>a <math><mi>x</mi><mo>=</mo></math> b <svg viewBox='0'><text>c</text></svg></p></article></body>") == "a x= b c"
+    assert text_of("<body><form id=page><nav><a>menu</a></nav><div><p>the words of the page</p></div></form></body>") == "the words of the page"
+    assert text_of("<body><form><p>name</p><input></form></body>") == ""
+    assert text_of("<body><article><p>text</p><form><p>mail</p></form></article></body>") == "text"
+    related = "<body><article><p>some longer text here</p><div class=related><p>{}</p></div></article></body>"
+    assert text_of(related.format("a true paragraph")) == "some longer text here\na true paragraph"
+    assert text_of(related.format("<a href=x>other things</a>")) == "some longer text here"
+
+
+def test_deep_and_broken_pages_take_time_in_proportion():
+    import time
+
+    begin = time.monotonic()
+    deep = "".join(f"<div class='a b'><p>w{i}" for i in range(20_000))
+    assert text_of(f"<body>{deep}").split("\n") == [f"w{i}" for i in range(20_000)]
+    assert text_of("<body>" + "<div>" * 60_000 + "x" + "</div>" * 60_000) == "x"
+    for piece in ('<a "', '<a b="', "<!", "<a b='>", "<!--", "</", "<a ="):
+        text_of("<p>text</p>" + piece * 100_000)
+    assert time.monotonic() - begin < 30

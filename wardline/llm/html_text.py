@@ -14,7 +14,9 @@ keep page order; white space in a block is one space.
 
 Defined cases: a null or empty page, or one without text, gives an empty text;
 a null or unreadable url is a host of its own for each page; unclosed and stray
-tags are closed or skipped; repeated rows vote and are read each; extra columns
+tags are closed or skipped; a tag that never ends is markup up to the next ``>``, else to the page's
+end; elements nested deeper than DEEP are read as if they stood at that depth; a form that
+holds parts of a page (its article, header or menu) is layout, and its text is read; repeated rows vote and are read each; extra columns
 are ignored.
 """
 
@@ -22,7 +24,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -33,14 +36,19 @@ from wardline.llm.common import broadcast_if_small, map_frames, materialise
 
 #: HTML's elements by kind, and words of class, id or role that mark what is no article. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg math iframe object select title".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br".split())
-SKIPPED = frozenset("nav aside footer form button dialog menu head".split())
-SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+RAW = frozenset("script style noscript template textarea iframe object select title annotation annotation-xml".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br "
+                   "math semantics mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mtable mtr mtd svg g text tspan".split())
+SKIPPED = frozenset("nav aside footer button dialog menu head".split())
+#: A form that holds one of these is a page's layout. Fixed values.
+PAGE_PARTS = frozenset("article main header footer nav".split())
+SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 SKIPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted "
-    "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+    "replies respond sidebar signup sponsor sponsored subscribe subscription topbar".split())
+#: Boxes that are no article only where their text is mostly links. Fixed values.
+LINKED_WORDS = frozenset("recommended related share sharing social toolbar widget".split())
 #: A class with one of these tells of what is there or not (``has-sidebar``), and is no sidebar. Fixed values.
 TELLING_WORDS = frozenset("has have no non none not with without".split())
 PAGE_WORDS = frozenset("header site page global main top".split())
@@ -50,21 +58,64 @@ CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset figur
           "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
           "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Levels of nesting that are told apart.
+DEEP = 200
+
+_START = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")  # quotes count after an equals sign
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")  # whole ones, one after the other
 _WORD = re.compile(r"[a-z]+")
 
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # generalised elements from the root
+    at: int  # the innermost path
     linked: int  # characters in links
-    skipped_at: int  # the first element of the path that is no article, or the path's length
+    top: int  # the innermost path that is an article's, if the block is not
+    skipped: bool
+
+
+class Page(NamedTuple):
+    """Paths of generalised elements, each the number of its parent (before it) and its last step, and the blocks in order."""
+
+    parents: list[int]
+    steps: list[str]
+    found: list[Block]
+
+
+class _Open(NamedTuple):
+    tag: str
+    at: int  # path of the innermost block element
+    top: int  # the innermost path outside of what is skipped
+    skipped: bool
+    linked_box: bool
+    form: int  # number of the form around, from 1; 0: none
+
 
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of tags, comments and declarations (no tag); send() moves to the place to go on from.
 
-def _element(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised name (class words without numbers), and whether it is no article."""
-    skip = tag in SKIPPED
+    Every character is looked at a bounded number of times: once a tag's quotes run to the end of
+    the page, quotes are no longer heeded, and after the last ``>`` there is no tag.
+    """
+    at, quotes, last = 0, True, page.rfind(">")
+    while m := _START.search(page, at):
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            end = end + 3 if end >= 0 else len(page)
+        elif m.start() > last:  # never ends
+            end = len(page)
+        else:
+            closed = _REST.match(page, m.end()) if quotes and m[2] else None
+            quotes &= closed is not None or not m[2]
+            end = closed.end() if closed else page.index(">", m.start()) + 1
+        moved = yield m.start(), end, m[1] or "", (m[2] or "").lower(), page[m.end() : end - 1] if m[2] else ""
+        at = moved or end
+
+
+def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Generalised name (class words without numbers), whether it is no article, and whether it is none where it is mostly links."""
+    skip, box = tag in SKIPPED, False
     words: list[str] = []
     seen: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
@@ -79,17 +130,25 @@ def _element(tag: str, attributes: str) -> tuple[str, bool]:
         else:
             found = _WORD.findall(value)
             names = [_WORD.findall(name) for name in value.split()]
-            skip |= any(TELLING_WORDS.isdisjoint(name) and not SKIPPED_WORDS.isdisjoint(name) for name in names)
+            told = [name for name in names if TELLING_WORDS.isdisjoint(name)]
+            skip |= any(not SKIPPED_WORDS.isdisjoint(name) for name in told)
+            box |= any(not LINKED_WORDS.isdisjoint(name) for name in told)
             skip |= "header" in found and PAGE_WORDS.issuperset(found)  # not an article's own
             if key == "class":
                 words += found
-    return ".".join([tag, *sorted(set(words))]), skip and tag not in ("html", "body", "article", "main")
-
-
-def blocks(page: str) -> list[Block]:
-    """Blocks of text in page order."""
-    out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, generalised, no article
+    article = tag in ("html", "body", "article", "main")
+    return ".".join([tag, *sorted(set(words))]), skip and not article, box and not article
+
+
+def blocks(page: str) -> Page:
+    """Blocks of text in page order, in time and memory in proportion to the page."""
+    parents, steps, depths = [-1], [""], [0]
+    known: dict[tuple[int, str], int] = {}
+    out: list[tuple[Block, int, int]] = []  # with the form around, and the innermost path outside of it
+    layout: set[int] = set()  # forms that hold parts of the page
+    tops: list[int] = [0]  # of each form: the innermost path outside of it
+    stack = [_Open("", 0, 0, False, False, 0)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = 0
 
@@ -97,94 +156,140 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         joined = " ".join(html.unescape("".join(text)).split())
         if joined:
-            names = tuple(s[1] for s in stack if s[0] not in INLINE)
-            flags = [s[2] for s in stack if s[0] not in INLINE]
-            inline = any(s[2] for s in stack if s[0] in INLINE)
-            out.append(Block(joined, names, linked, flags.index(True) if True in flags else len(names) if not inline else len(names) - 1))
+            o = stack[-1]
+            links = o.linked_box and 2 * linked >= len(joined)
+            out.append((Block(joined, o.at, linked, o.top if o.skipped else parents[o.at] if links else o.at, o.skipped or links), o.form, tops[o.form]))
         text.clear()
         linked = 0
 
-    at, raw = 0, None
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        if raw is None:
-            piece = page[at : m.start()]
-            text.append(piece)
-            if any(s[0] == "a" for s in stack):
-                linked += len(piece.strip())
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:  # a comment or a declaration
-            continue
-        if m[1]:
-            if any(s[0] == tag for s in stack):
+    def close() -> None:
+        opened[stack.pop().tag] -= 1
+
+    def read(piece: str) -> None:
+        nonlocal linked
+        text.append(piece)
+        if opened["a"]:
+            linked += len(piece.strip())
+
+    def enter(tag: str, attributes: str, inline: bool) -> None:
+        name, skip, box = _element(tag, attributes)
+        up = stack[-1]
+        at, form = up.at, up.form
+        if tag in PAGE_PARTS and form:
+            layout.add(form)
+        if tag == "header" and not opened["article"] and not opened["main"]:
+            skip = True
+        if not inline:
+            under = parents[at] if depths[at] >= DEEP else at
+            at = known.setdefault((under, name), len(parents))
+            if at == len(parents):
+                parents.append(under)
+                steps.append(name)
+                depths.append(depths[under] + 1)
+        if tag == "form" and not form:
+            tops.append(up.top if up.skipped else up.at)
+            form = len(tops) - 1
+        top = up.top if up.skipped else up.at if skip and not inline else max(0, parents[at]) if skip else at
+        stack.append(_Open(tag, at, top, up.skipped or skip, up.linked_box or box, form))
+        opened[tag] += 1
+
+    at, tokens = 0, _tokens(page)
+    token = next(tokens, None)
+    while token is not None:
+        start, end, slash, tag, attributes = token
+        read(page[at:start])
+        at, moved = end, None
+        if slash:
+            if opened[tag]:
                 if tag not in INLINE:
                     flush()
-                while stack.pop()[0] != tag:
-                    pass
+                while stack[-1].tag != tag:
+                    close()
+                close()
             elif tag == "br":
                 text.append(" ")
-            continue
-        if tag in RAW:  # its content is no text
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            if not m[3].rstrip().endswith("/"):
-                at = end.end() if end else len(page)
-            continue
-        if tag in INLINE:
-            if tag in VOID:
-                text.append(" " if tag == "br" else "")
-            else:
-                name, skip = _element(tag, m[3])
-                stack.append((tag, name, skip))
-            continue
-        flush()
-        while any(s[0] in INLINE for s in stack[-1:]):  # a block ends inline elements left open
-            stack.pop()
-        while stack and tag in CLOSES.get(stack[-1][0], ()):
-            stack.pop()
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
-            name, skip = _element(tag, m[3])
-            if tag == "header" and not any(s[0] in ("article", "main") for s in stack):
-                skip = True
-            stack.append((tag, name, skip))
-    if at < len(page):
-        text.append(page[at:])
+        elif tag in RAW:  # its content is no text
+            if not attributes.rstrip().endswith("/"):
+                closed = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = moved = closed.end() if closed else len(page)
+        elif tag in INLINE:
+            if tag == "br":
+                text.append(" ")
+            elif tag not in VOID and not attributes.rstrip().endswith("/"):
+                enter(tag, attributes, inline=True)
+        elif tag:
+            flush()
+            while stack[-1].tag in INLINE:  # a block ends inline elements left open
+                close()
+            while tag in CLOSES.get(stack[-1].tag, ()):
+                close()
+            if tag not in VOID and not attributes.rstrip().endswith("/"):
+                enter(tag, attributes, inline=False)
+        try:
+            token = tokens.send(moved)
+        except StopIteration:
+            token = None
+    read(page[at:])
     flush()
+    found = [b._replace(top=min(b.top, top), skipped=True) if form and form not in layout else b for b, form, top in out]
+    return Page(parents, steps, found)
+
+
+def _tag(step: str) -> str:
+    return step.partition(".")[0]
+
+
+def _names(page: Page, wanted: Iterable[int]) -> dict[int, str]:
+    """The paths as text, of some of the numbers."""
+    out = {}
+    for at in wanted:
+        parts, up = [], at
+        while up > 0:
+            parts.append(page.steps[up])
+            up = page.parents[up]
+        out[at] = "/".join(reversed(parts))
     return out
 
 
-def containers(found: list[Block]) -> dict[str, float]:
+def containers(page: Page) -> dict[str, float]:
     """Score of each container path: characters of its blocks that are text and no links, nearer blocks more.
 
     A container around the best one holds the same text at a greater distance, so the
-    innermost one that holds nearly all of it wins; semantic elements weigh more.
+    innermost one that holds nearly all of it wins; semantic elements weigh more. One sum
+    for each path is handed on to the path around it.
     """
-    out: dict[str, float] = {}
-    for b in found:
-        worth = len(b.text) - 2 * min(b.linked, len(b.text))
-        far = 1.0
-        for depth in range(len(b.path) - 1, -1, -1):
-            tag = b.path[depth].partition(".")[0]
-            if tag in CONTAINERS and depth < b.skipped_at:
-                key = "/".join(b.path[: depth + 1])
-                bonus = 1.5 if tag in ("article", "main") else 1.0
-                out[key] = out.get(key, 0.0) + bonus * far * (worth if b.skipped_at >= len(b.path) else -0.2 * len(b.text))
-                far *= 0.7
-    return out
+    n = len(page.parents)
+    own, met = [0.0] * n, [False] * n
+    for b in page.found:
+        own[b.top] += -0.2 * len(b.text) if b.skipped else len(b.text) - 2 * min(b.linked, len(b.text))
+        met[b.top] = True
+    out: dict[int, float] = {}
+    for at in range(n - 1, 0, -1):  # a path comes after the one around it
+        if not met[at]:
+            continue
+        tag, hand = _tag(page.steps[at]), own[at]
+        if tag in CONTAINERS:
+            out[at] = (1.5 if tag in ("article", "main") else 1.0) * hand
+            hand *= 0.7
+        own[page.parents[at]] += hand
+        met[page.parents[at]] = True
+    names = _names(page, out)
+    return {names[at]: s for at, s in out.items()}
 
 
-def amounts(found: list[Block]) -> dict[str, tuple[int, int]]:
+def amounts(page: Page) -> dict[str, tuple[int, int]]:
     """Characters of text that is not skipped in each container path, and those of them in links."""
-    out: dict[str, tuple[int, int]] = {}
-    for b in found:
-        if b.skipped_at >= len(b.path):
-            for depth, step in enumerate(b.path):
-                if step.partition(".")[0] in CONTAINERS:
-                    key = "/".join(b.path[: depth + 1])
-                    n, linked = out.get(key, (0, 0))
-                    out[key] = n + len(b.text), linked + min(b.linked, len(b.text))
-    return out
+    n = len(page.parents)
+    chars, links = [0] * n, [0] * n
+    for b in page.found:
+        if not b.skipped:
+            chars[b.at] += len(b.text)
+            links[b.at] += min(b.linked, len(b.text))
+    for at in range(n - 1, 0, -1):
+        chars[page.parents[at]] += chars[at]
+        links[page.parents[at]] += links[at]
+    names = _names(page, [at for at in range(1, n) if chars[at] and _tag(page.steps[at]) in CONTAINERS])
+    return {name: (chars[at], links[at]) for at, name in names.items()}
 
 
 def widened(path: str, held: dict[str, tuple[int, int]]) -> str:
@@ -193,7 +298,7 @@ def widened(path: str, held: dict[str, tuple[int, int]]) -> str:
     n, linked = held.get(path, (0, 0))
     for depth in range(len(steps) - 1, 0, -1):
         around = "/".join(steps[:depth])
-        if steps[depth - 1].partition(".")[0] == "body":
+        if _tag(steps[depth - 1]) == "body":
             break
         if around not in held:  # no container
             continue
@@ -206,10 +311,19 @@ def widened(path: str, held: dict[str, tuple[int, int]]) -> str:
     return path
 
 
-def main_text(found: list[Block], path: str) -> str:
-    """The blocks of the container, without what is skipped inside of it."""
-    steps = tuple(path.split("/"))
-    return "\n".join(b.text for b in found if b.path[: len(steps)] == steps and b.skipped_at >= len(b.path))
+def main_text(page: Page, path: str | None) -> str:
+    """The blocks of the container (None: of the page), without what is skipped inside of it."""
+    inside = [path is None] * len(page.parents)
+    steps = path.split("/") if path else []
+    matched = [0] + [-1] * (len(page.parents) - 1)  # steps of the path that a number has gone along
+    for at in range(1, len(page.parents)):
+        up = page.parents[at]
+        if inside[up]:
+            inside[at] = True
+        elif matched[up] >= 0 and matched[up] < len(steps) and page.steps[at] == steps[matched[up]]:
+            matched[at] = matched[up] + 1
+            inside[at] = matched[at] == len(steps)
+    return "\n".join(b.text for b in page.found if inside[b.at] and not b.skipped)
 
 
 def _best(scored: dict[str, float]) -> str | None:
@@ -247,12 +361,12 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         texts, paths = [], []
         for path, page in zip(f["path"], f["html"], strict=True):
-            found = blocks(page) if page else []
+            found = blocks(page or "")
             text = main_text(found, path) if path else ""
             if not text:  # not laid out like its host's other pages
                 path = _best(containers(found))
                 path = path and widened(path, amounts(found))
-                text = main_text(found, path) if path else "\n".join(b.text for b in found if b.skipped_at >= len(b.path))
+                text = main_text(found, path)
             texts.append(text)
             paths.append(path)
         yield pd.DataFrame({"page_id": f["page_id"].astype("Int64").array, "url": f["url"], "text": texts, "path": paths, "n_chars": [len(t) for t in texts]})
