@@ -18,7 +18,21 @@ def test_held_out_accuracy(spark):
     assert ((out.score >= 0.5) == out.quality).mean() > 0.95 and got.score.between(0, 1).all()
 
 
-def test_gradient_of_the_bag_loss():
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(3)
+    per = np.array([1, 4, 2, 3])
+    x, first, y, weight = rng.normal(0, 1, (per.sum(), 5)), np.cumsum(per) - per, np.array([1.0, 0, 1, 0]), rng.uniform(0.1, 1, 4)
+    params = Q._start(5, rng)
+    for i, grad in enumerate(Q._gradient(params, x, first, y, weight)):
+        for at in np.ndindex(params[i].shape):
+            up, down = [p.copy() for p in params], [p.copy() for p in params]
+            up[i][at] += 1e-5
+            down[i][at] -= 1e-5
+            slope = (Q._loss(up, x, first, y, weight) - Q._loss(down, x, first, y, weight)) / 2e-5
+            assert abs(slope - grad[at]) < 1e-6
+
+
+def test_attention_of_bags():
     """Attention weights of a bag sum to one, and longer bags don't change a lone passage's score."""
     model = Q.fit([b"good words in here", b"### ### $$$"] * 20, np.array([1, 0] * 20), steps=20)
     p, a, per = Q.predict(model, [b"good words", b"", b"w " * 1000])
@@ -27,6 +41,14 @@ def test_gradient_of_the_bag_loss():
     assert np.allclose(alone, p[0])
 
 
+def test_sample_is_bounded_when_an_id_repeats(spark, documents):
+    docs = documents([(1, f"text {i}") for i in range(50)] + [(1, "same")] * 30 + [(2, "a"), (3, "b")])
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = Q.sample(docs, labels, F.lit(True), per_label=4).select("doc_id", "text", "quality").distinct().collect()
+    assert sorted(r.quality for r in rows) == [0, 1, 1, 1, 1]
+    assert Q.learn_model(docs, labels, F.lit(True), per_label=4) is not None
+
+
 def test_odd_rows(spark, documents):
     docs = documents(ODD)
     assert Q.score(docs, None).select("score").distinct().collect()[0].score == 0.5
