@@ -30,3 +30,48 @@ def test_odd_rows(spark):
     rows = [(d, f"s/{d}", t) for d, t in ODD]
     assert L.scan(files(spark, rows)).count() == len(ODD)
     assert L.scan(files(spark, rows).limit(0)).count() == 0
+
+
+def wrapped(text, mark="", width=70):
+    import textwrap
+
+    return "\n".join(mark + line for line in textwrap.wrap(" ".join(text.split()), width))
+
+
+def test_whole_texts_and_headers_are_told_apart(spark):
+    rows, want = [], {}
+    for i, (name, texts) in enumerate(sorted(L.LONG.items())):
+        for k, text in enumerate(texts):
+            at, own, other = 100 * i + 10 * k, f"d{i}x{k}", "plain words that hold nothing\n" * 40
+            title = f"{name} License\n\nCopyright (c) 2020 Some One\n\n" if k == 0 else ""
+            rows += [(at, f"{own}/LICENSE", title + wrapped(text)), (at + 1, f"{own}/src/a.c", other), (at + 2, "else/b.c", f"{wrapped(text, ' * ', 60)}\n{other}")]
+            want |= {at: (name, None), at + 1: (name, own), at + 2: (name, None)}
+    got = {r.doc_id: (r.license, r.inherited_from) for r in L.scan(files(spark, rows)).collect()}
+    assert got == want
+
+
+def test_windows_equal_brute_force():
+    """No window that reaches the threshold is passed over."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(2)
+    idf = dict.fromkeys(["", *L.VOCABULARY], 9.0) | {"the": 1.1, "of": 1.2, "and": 1.2, "software": 4.0, "license": 3.0}
+    m = L.Matcher(idf)
+    for name in ("MIT", "ISC", "GPL-3.0", "CC-BY-SA-4.0"):
+        lines = [*["some other words here"] * 3, *wrapped(L.LONG[name][0]).lower().split("\n"), "the end of it"]
+        for _ in range(4):
+            kept = [" ".join(w for w in x.split() if rng.random() < 0.8) for x in lines]
+            want = []
+            for other, u, size, _ in m.long:
+                for b in range(len(kept)):
+                    e, words = b, []
+                    while e < len(kept) and len(words) < size:
+                        words += L.pieces(kept[e])
+                        e += 1
+                    v, norm = m.weights(Counter(words))
+                    cosine = sum(x * v.get(t, 0.0) for t, x in u.items()) / norm
+                    if L.pieces(kept[b]) and cosine >= m.least:
+                        want.append((other, b, e, round(cosine, 9)))
+            assert [(n, b, e, round(c, 9)) for c, n, b, e in m.windows(kept)] == want
+            assert want
