@@ -36,3 +36,9 @@ def test_a_larger_drop_is_taken_in_larger_but_bounded_batches(spark):
 
 def test_a_batch_of_one_file_is_dealt_over_the_cores(spark):
     assert I.on_every_core(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_spread_makes_tasks_by_rows(spark, monkeypatch):
+    events = Q.table(spark, SF, "events")
+    monkeypatch.setattr(Q, "ROWS_PER_TASK", 100)
+    assert Q.spread(events).rdd.getNumPartitions() == -(-events.count() // 100)
