@@ -42,3 +42,12 @@ def test_spread_makes_tasks_by_rows(spark, monkeypatch):
     events = Q.table(spark, SF, "events")
     monkeypatch.setattr(Q, "ROWS_PER_TASK", 100)
     assert Q.spread(events).rdd.getNumPartitions() == -(-events.count() // 100)
+
+
+def test_latest_to_warehouse_tells_the_latest_of_the_warehouse(spark):
+    rows = Q.latest_to_warehouse(spark, SF).collect()
+    best = {}
+    for r in rows:
+        best[r["pat_enc_csn_id"]] = max(best.get(r["pat_enc_csn_id"], r["msg_tm"]), r["msg_tm"])
+    assert {r["is_latest"] for r in rows} == {True, False}
+    assert all(r["is_latest"] == (r["msg_tm"] == best[r["pat_enc_csn_id"]]) for r in rows)

@@ -227,8 +227,9 @@ WHERE date_trunc('day', msg_tm) = (SELECT max(date_trunc('day', msg_tm)) FROM ({
   AND (y.msg_tm >= TIMESTAMP '2024-01-16 00:00:00' OR NOT EXISTS (SELECT 1 FROM ({_STATES}) AS z
     WHERE z.pat_enc_csn_id = x.pat_enc_csn_id AND z.msg_tm >= TIMESTAMP '2024-01-16 00:00:00')))""",
     "latest_to_warehouse": f"""
-SELECT pat_enc_csn_id, h AS msg_tm, msg_nm, trigger_evnt, batch FROM (
-  SELECT *, date_trunc('hour', msg_tm) AS h, max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id, batch) AS m FROM (
+SELECT pat_enc_csn_id, h AS msg_tm, msg_nm, trigger_evnt, batch, h = best AS is_latest FROM (
+  SELECT *, date_trunc('hour', msg_tm) AS h, max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id, batch) AS m,
+    max(date_trunc('hour', msg_tm)) OVER (PARTITION BY pat_enc_csn_id) AS best FROM (
     SELECT *, CASE WHEN msg_tm >= TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS batch FROM ({_STATES}))) WHERE h = m""",
     "stream_ingest_fanout": _BROKER_ADT,
     "stream_batch_metrics": f"""
