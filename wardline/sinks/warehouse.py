@@ -56,6 +56,7 @@ def stage_batch(df: DataFrame, batch_id: int, marks: str) -> None:
     if _loaded(spark, batch_id, marks) or read_property(spark, folder, "manifest") is not None:
         return
     df.write.mode("overwrite").parquet(folder)
+    write_property(spark, folder, "fresh", "nothing appended yet")
     write_property(spark, folder, "manifest", json.dumps(sorted(f.rsplit("/", 1)[-1] for f in data_files(spark, folder))))
 
 
@@ -69,7 +70,9 @@ def load_batch(spark: SparkSession, batch_id: int, table: str, marks: str, fmt:
     if _loaded(spark, batch_id, marks):
         return
     files = json.loads(read_property(spark, folder, "manifest"))
-    todo = sorted(set(files) - files_held(spark, batch_id, table, fmt, options))[:only]
+    fresh = read_property(spark, folder, "fresh") is not None  # no append was begun: the destination need not be asked
+    todo = sorted(set(files) - (set() if fresh else files_held(spark, batch_id, table, fmt, options)))[:only]
+    remove(spark, f"{folder}/_wardline_fresh")
     if todo:
         rows = spark.read.option("ignoreMissingFiles", "false").parquet(*[f"{folder}/{f}" for f in todo])
         rows = rows.select("*", F.lit(int(batch_id)).cast("long").alias(LOAD), F.col("_metadata.file_name").alias(LOAD_FILE))
