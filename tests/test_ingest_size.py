@@ -15,7 +15,8 @@ def _messages(spark, render):
 def test_tables_from_cut_columns_are_those_from_the_parse(spark):
     for fmt, render in ((E.HL7, C.hl7_from_orders), (E.XML, C.xml_from_orders)):
         odd = spark.createDataFrame([("bad", "no message"), ("none", None)], "msg_nm string, text string")
-        checked = E.with_validity(E.parse(_messages(spark, render).unionByName(odd), fmt), fmt)
+        messages = Q.land(spark, _messages(spark, render).unionByName(odd), "cut")
+        checked = E.with_validity(E.parse(messages, fmt), fmt).persist()
         good = checked.where("reject_reason IS NULL")
         cut = E.cut_once(good, fmt)
         assert E.PARSED not in cut.columns  # a cache of it holds no parse
