@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions import hl7
-from wardline.operators.extract import ordered_columns
+from wardline.operators.extract import ordered_columns, typed
 from wardline.schemas import ADT_HIST
 
 #: Addresses are sent to the tasks up to so many; beyond it they are joined by a shuffle.
@@ -50,39 +50,46 @@ def segment_table(messages: DataFrame, key: str = "msg_nm", text: str = "text")
     separators = header & (F.col("field") == 2)
     parts = F.when(separators, F.array("held")).otherwise(F.concat(F.array("held"), F.split("held", hl7.COMPONENT_SEP)))
     rows = cells.select(key, "segment_no", "segment", "code", "code_text", "field", (F.col("repetition") + 1).alias("repetition"), F.posexplode(parts).alias("component", "held"))
-    return rows.where("held <> ''").withColumn("value", hl7.literal(F.col("held"))).drop("held")
+    return rows.where("held <> ''").withColumn("value", hl7.literal_held(F.col("held"))).drop("held")
 
 
 def by_address(messages: DataFrame, addresses: DataFrame, key: str = "msg_nm", text: str = "text") -> DataFrame:
     """A row for each message, a text column for each address: the value in the first segment of that id,
     or, if the address says ``many``, all values in order, joined. Repetitions but the first are not read."""
     names = addresses.select("column", "many").distinct().orderBy("column").collect()  # a configuration: a row an address
-    asked = F.broadcast(addresses) if addresses.limit(SENT + 1).count() <= SENT else addresses
+    slots = {c: i for i, c in enumerate(dict.fromkeys(r["column"] for r in names))}
+    asked = addresses.withColumn("slot", F.array_position(F.lit(list(slots)), F.col("column")).cast("int") - 1)
+    asked = F.broadcast(asked) if addresses.limit(SENT + 1).count() <= SENT else asked
     cells = segment_table(messages, key, text).where("repetition = 1")
     fits = (F.col("a.code").isNull() | ((F.col("a.code") == F.col("c.code")) & (F.col("a.code_text") == F.col("c.code_text"))))
     hits = cells.alias("c").join(asked.alias("a"), (F.col("c.segment") == F.col("a.segment")) & (F.col("c.field") == F.col("a.field"))
                                  & (F.col("c.component") == F.col("a.component")) & fits) \
-        .select(F.col(f"c.{key}").alias(key), "a.column", "c.segment_no", "c.value")
+        .select(F.col(f"c.{key}").alias(key), F.struct("a.slot", "c.segment_no", "c.value").alias("hit"))
     # a message without a hit stays a row
-    every = hits.unionByName(messages.select(key, F.lit(None).cast("string").alias("column"), F.lit(0).alias("segment_no"), F.lit(None).cast("string").alias("value")))
+    every = hits.unionByName(messages.select(key, F.lit(None).cast(hits.schema["hit"].dataType).alias("hit")))
+    # one list a message, by address and place: an aggregate for each address would test every hit for every address
+    rows = every.groupBy(key).agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    rows = rows.select(key, "hits", F.transform("hits", lambda h: h["slot"]).alias("slots"), F.transform("hits", lambda h: h["value"]).alias("values"))
     out = []
     for r in names:
-        mine = F.col("column") == r["column"]
+        slot = slots[r["column"]]
         if r["many"]:
-            held = F.array_sort(F.collect_list(F.when(mine, F.struct("segment_no", "value"))))
-            out.append(hl7.blank_to_null(F.array_join(F.transform(held, lambda x: x["value"]), hl7.ACUITY_DELIMITER)).alias(r["column"]))
+            held = F.filter("hits", lambda h: h["slot"] == slot)
+            out.append(hl7.blank_to_null(F.array_join(F.transform(held, lambda h: h["value"]), hl7.ACUITY_DELIMITER)).alias(r["column"]))
         else:
-            out.append(F.min_by(F.when(mine, F.col("value")), F.when(mine, F.col("segment_no"))).alias(r["column"]))
-    return every.groupBy(key).agg(*out)
+            first = F.array_position("slots", slot)
+            out.append(F.get("values", (first - 1).cast("int")).alias(r["column"]))
+    return rows.select(key, *out)
 
 
 def adt_by_address(messages: DataFrame, addresses: DataFrame, msg_src: str = hl7.HL7_SOURCE) -> DataFrame:
     """E1 from the long table: the ADT rows, and as text whatever other columns the addresses name."""
     rows = by_address(messages, addresses)
     event = F.col("trigger_evnt")
-    raw = {c: F.col(c) for c in rows.columns if c not in ("msg_nm", "admitted", "discharged")}
+    raw = {c: F.col(c) for c in rows.columns if c not in ("admitted", "discharged")}
     raw |= {"hosp_admsn_time": F.when(event.isin(*hl7.ADMIT_TRIGGERS), F.col("admitted")),
             "hosp_disch_time": F.when(event.isin(*hl7.DISCHARGE_TRIGGERS), F.col("discharged")),
             "adt_arrival_time": F.when(event.isin(*hl7.ARRIVAL_TRIGGERS), F.col("admitted")), "msg_src": F.lit(msg_src)}
-    own = [c for c in raw if c not in ADT_HIST.fieldNames()]
-    return rows.select(*ordered_columns({k: hl7.convert(k, v) for k, v in raw.items()}, ADT_HIST, {"msg_nm": F.col("msg_nm")}), *own)
+    own = [c for c in raw if c not in ADT_HIST.fieldNames() and c != "msg_nm"]
+    staged, cols = typed(rows.select(F.struct(*[c.alias(k) for k, c in raw.items()]).alias("_raw")), list(raw), hl7.convert)
+    return staged.select(*ordered_columns(cols, ADT_HIST, {}), *[cols[c].alias(c) for c in own])
