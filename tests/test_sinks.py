@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators import retention as RT
@@ -194,3 +195,28 @@ def test_tail_reads_files_of_any_writer(spark):
     q = tail_table(spark, f"{root}/t", one.schema).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out")
     q.awaitTermination()
     assert spark.read.parquet(f"{root}/out").count() == 7
+
+
+def test_files_are_told_by_a_number_each(spark):
+    path = scratch_path(spark, "with % and space")
+    rows = spark.createDataFrame([(i, f"a b%2{i % 3}=ü") for i in range(9)], "k long, part string")
+    rows.repartition(3).write.partitionBy("part").parquet(path)
+    files = TB.data_files(spark, path)
+    assert len(files) > 2
+    told = TB.with_file(TB.read_files(spark, path, files), "k", "part")
+    assert dict(told.dtypes)[TB.FILE] == "bigint"  # goes through a shuffle with every row
+    assert TB.files_of(told, files) == files
+    one = TB.files_of(told.where("k = 4"), files)
+    assert len(one) == 1 and [r.k for r in TB.read_files(spark, path, one).where("k = 4").collect()] == [4]
+    assert TB.files_of(told.where("k < 0"), files) == set()
+    with pytest.raises(ValueError):
+        TB.files_of(told, one)
+
+
+def test_key_fates_are_the_expired_and_the_kept_keys(spark):
+    rows = [(1, dt.datetime(2024, 1, 1)), (1, None), (2, dt.datetime(2024, 1, 9)), (3, None), (None, dt.datetime(2024, 1, 1)), (4, dt.datetime(2024, 1, 8)), (5, dt.datetime(2024, 1, 7, 23))]
+    m = spark.createDataFrame(rows, "pat_enc_csn_id long, hosp_disch_time timestamp_ntz")
+    fates = {r[0]: r[1] for r in RT.key_fates(m, 2, "2024-01-10").collect()}
+    expired = {r[0] for r in RT.expired_keys(m, 2, "2024-01-10").collect()}
+    kept = {r[0] for r in RT.prune_master(m, 2, "2024-01-10").collect()}
+    assert fates == {k: k in expired for k in (1, 2, 3, 4, 5)} and {k for k, gone in fates.items() if not gone} == kept - {None}

@@ -9,6 +9,7 @@ the runtime size of the key side is below the broadcast threshold.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,13 @@ def expired_keys(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
     return master.where(d.isNotNull() & (F.to_date(d) < cut)).select(key).distinct()
 
 
+def key_fates(master: DataFrame, days: int = 2, as_of=None, key: str = KEY, discharge: str = "hosp_disch_time") -> DataFrame:
+    """Each encounter of the master once, and whether it is ``expired`` (as :func:`expired_keys` has it): both key sets
+    of a retention from one scan and one aggregation."""
+    old = F.to_date(F.col(discharge)) < F.date_sub(_as_of(as_of), days)
+    return master.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.coalesce(old, F.lit(False))).alias("expired"))
+
+
 def prune_master(master: DataFrame, days: int = 2, as_of=None, key: str = KEY,
                  discharge: str = "hosp_disch_time") -> DataFrame:
     """All rows of expired encounters go; rows with a NULL key stay."""
@@ -54,7 +62,7 @@ def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2
     is written (K16 for these files; ``compact`` does it for a whole table). The others are
     renamed across. All rewrites are staged before the first table is swapped, master last, so a
     failure part-way leaves every table as it was (D21); a swap that was cut off is finished or
-    undone by the next run. A table that an ingest appended to meanwhile fails with ``ConcurrentWrite``.
+    undone by the next run. The tables are staged side by side, as none needs another's rewrite. A table that an ingest appended to meanwhile fails with ``ConcurrentWrite``.
     """
     from wardline.session import scratch_path
     from wardline.sinks.tables import ConcurrentWrite, data_files, files_of, partition_columns, read_files, recover, replace_files, stage, with_file
@@ -66,30 +74,29 @@ def retention_job(spark, master_path: str, child_paths: list[str], days: int = 2
     if not seen[master_path]:
         raise ValueError(f"{master_path} holds no files: its children would all go")
     master = read_files(spark, master_path, seen[master_path])
-    scratch = scratch_path(spark, "retention-keys")
-    expired_keys(master, days, as_of, key, discharge).write.parquet(f"{scratch}/expired")
-    expired = spark.read.parquet(f"{scratch}/expired")
-    master.select(key).where(F.col(key).isNotNull()).distinct().join(expired, key, "left_anti").write.parquet(f"{scratch}/kept")
-    kept = spark.read.parquet(f"{scratch}/kept")
+    fates = scratch_path(spark, "retention-keys")
+    key_fates(master, days, as_of, key, discharge).write.parquet(fates)
+    expired = spark.read.parquet(fates).where("expired").select(key)
+    kept = spark.read.parquet(fates).where("NOT expired").select(key)
 
-    staged: dict[str, tuple[str | None, set[str]]] = {}
-    for p in tables:
-        if not seen[p]:
-            continue
+    def rewritten(p: str) -> tuple[str | None, set[str]] | None:
         rows = with_file(read_files(spark, p, seen[p]), key)
         dropped = rows.join(expired, key, "left_semi") if p == master_path else rows.join(kept, key, "left_anti")
-        touched = files_of(dropped)
+        touched = files_of(dropped, seen[p])
         if not touched:
-            continue
+            return None
         rows = read_files(spark, p, touched)
         left = rows.join(expired, key, "left_anti") if p == master_path else rows.join(kept, key, "left_semi")
         if cluster_by and cluster_by in left.columns:
             parts = partition_columns(spark, p)
             spread = F.xxhash64(*[F.col(c) for c in left.columns])
             left = left.repartitionByRange(len(touched), *parts, cluster_by, spread).sortWithinPartitions(*parts, cluster_by)
-            staged[p] = stage(left, p, rewritten=True, clustered=True), touched
-        else:
-            staged[p] = stage(left, p, rewritten=True), touched
+            return stage(left, p, rewritten=True, clustered=True), touched
+        return stage(left, p, rewritten=True), touched
+
+    given = [p for p in tables if seen[p]]
+    with ThreadPoolExecutor(max_workers=len(given)) as pool:
+        staged = {p: done for p, done in zip(given, pool.map(rewritten, given), strict=True) if done}
     late = [p for p in seen if data_files(spark, p) != seen[p]]
     if late:  # before any table is swapped
         raise ConcurrentWrite(f"written to during retention: {', '.join(late)}")
